@@ -91,46 +91,81 @@ def _col(v) -> Column:
     return F.col(v) if isinstance(v, str) else v
 
 
+def let(value: Column, body) -> Column:
+    """Bind ``value`` once and use it many times in ``body`` (a lambda over the
+    bound value).  Spark expressions are trees: reusing a Python Column object
+    copies its whole subtree, so a chain of shared intermediates grows
+    exponentially.  Binding through a one-element ``transform`` keeps the
+    expression linear in size and evaluates each intermediate once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def chain(value: Column, *stages) -> Column:
+    """``let`` applied stage after stage: each stage maps the previous bound
+    struct to the next struct."""
+    if not stages:
+        return value
+    return let(value, lambda v: chain(stages[0](v), *stages[1:]))
+
+
+def _s(**cols) -> Column:
+    return F.struct(*[c.alias(n) for n, c in cols.items()])
+
+
 def wgs84_to_rd(lon, lat) -> Column:
     """struct<x, y> in EPSG:28992 for WGS 84 longitude/latitude in degrees."""
-    lam = F.radians(_col(lon).cast("double"))
-    phi = F.radians(_col(lat).cast("double"))
-    sphi, cphi = F.sin(phi), F.cos(phi)
-    nu = F.lit(WGS84_A) / F.sqrt(1.0 - P.e2_w * sphi * sphi)
-    gx = nu * cphi * F.cos(lam)
-    gy = nu * cphi * F.sin(lam)
-    gz = nu * (1.0 - P.e2_w) * sphi
-    # inverse Helmert: X_a = R^T (X_w - T) / scale
-    ux = (gx - P.tx) / P.scale
-    uy = (gy - P.ty) / P.scale
-    uz = (gz - P.tz) / P.scale
-    ax = ux + P.rz * uy - P.ry * uz
-    ay = -P.rz * ux + uy + P.rx * uz
-    az = P.ry * ux - P.rx * uy + uz
-    # geocentric -> Bessel geodetic (Bowring, then one refinement)
-    p = F.sqrt(ax * ax + ay * ay)
-    theta = F.atan2(az * BESSEL_A, p * P.b_b)
-    st, ct = F.sin(theta), F.cos(theta)
-    phi_b0 = F.atan2(az + P.ep2_b * P.b_b * st * st * st,
-                     p - P.e2_b * BESSEL_A * ct * ct * ct)
-    s0 = F.sin(phi_b0)
-    nu_b = F.lit(BESSEL_A) / F.sqrt(1.0 - P.e2_b * s0 * s0)
-    phi_b = F.atan2(az + P.e2_b * nu_b * s0, p)
-    lam_b = F.atan2(ay, ax)
-    # oblique stereographic (EPSG 9809)
-    sp = F.sin(phi_b)
-    big_lam = P.n * (lam_b - P.lam0) + P.lam0
-    sa = (1.0 + sp) / (1.0 - sp)
-    sb = (1.0 - P.e_b * sp) / (1.0 + P.e_b * sp)
-    w = P.c * F.pow(sa * F.pow(sb, F.lit(P.e_b)), F.lit(P.n))
-    chi = F.asin((w - 1.0) / (w + 1.0))
-    sc, cc = F.sin(chi), F.cos(chi)
-    dl = big_lam - P.lam0
-    cdl = F.cos(dl)
-    bden = 1.0 + sc * P.sin_chi0 + cc * P.cos_chi0 * cdl
-    x = FALSE_EASTING + P.two_r_k0 * cc * F.sin(dl) / bden
-    y = FALSE_NORTHING + P.two_r_k0 * (sc * P.cos_chi0 - cc * P.sin_chi0 * cdl) / bden
-    return F.struct(x.alias("x"), y.alias("y"))
+    start = _s(lam=F.radians(_col(lon).cast("double")), phi=F.radians(_col(lat).cast("double")))
+
+    def geocentric(a):
+        sphi, cphi = F.sin(a["phi"]), F.cos(a["phi"])
+        return _s(lam=a["lam"], sphi=sphi, cphi=cphi,
+                  nu=F.lit(WGS84_A) / F.sqrt(1.0 - P.e2_w * sphi * sphi))
+
+    def shifted(b):
+        # inverse Helmert: X_a = R^T (X_w - T) / scale
+        ux = (b["nu"] * b["cphi"] * F.cos(b["lam"]) - P.tx) / P.scale
+        uy = (b["nu"] * b["cphi"] * F.sin(b["lam"]) - P.ty) / P.scale
+        uz = (b["nu"] * (1.0 - P.e2_w) * b["sphi"] - P.tz) / P.scale
+        return _s(ux=ux, uy=uy, uz=uz)
+
+    def rotated(u):
+        return _s(ax=u["ux"] + P.rz * u["uy"] - P.ry * u["uz"],
+                  ay=-P.rz * u["ux"] + u["uy"] + P.rx * u["uz"],
+                  az=P.ry * u["ux"] - P.rx * u["uy"] + u["uz"])
+
+    def bowring(c):
+        p = F.sqrt(c["ax"] * c["ax"] + c["ay"] * c["ay"])
+        return _s(ax=c["ax"], ay=c["ay"], az=c["az"], p=p,
+                  th=F.atan2(c["az"] * BESSEL_A, p * P.b_b))
+
+    def first_lat(d):
+        st, ct = F.sin(d["th"]), F.cos(d["th"])
+        return _s(ax=d["ax"], ay=d["ay"], az=d["az"], p=d["p"],
+                  s0=F.sin(F.atan2(d["az"] + P.ep2_b * P.b_b * st * st * st,
+                                   d["p"] - P.e2_b * BESSEL_A * ct * ct * ct)))
+
+    def refined(e):
+        nu_b = F.lit(BESSEL_A) / F.sqrt(1.0 - P.e2_b * e["s0"] * e["s0"])
+        phi_b = F.atan2(e["az"] + P.e2_b * nu_b * e["s0"], e["p"])
+        return _s(sp=F.sin(phi_b), dl=P.n * (F.atan2(e["ay"], e["ax"]) - P.lam0))
+
+    def conformal(f):
+        sp = f["sp"]
+        sa = (1.0 + sp) / (1.0 - sp)
+        sb = (1.0 - P.e_b * sp) / (1.0 + P.e_b * sp)
+        w = P.c * F.pow(sa * F.pow(sb, F.lit(P.e_b)), F.lit(P.n))
+        chi = F.asin((w - 1.0) / (w + 1.0))
+        return _s(sc=F.sin(chi), cc=F.cos(chi), sdl=F.sin(f["dl"]), cdl=F.cos(f["dl"]))
+
+    def projected(h):
+        bden = 1.0 + h["sc"] * P.sin_chi0 + h["cc"] * P.cos_chi0 * h["cdl"]
+        x = FALSE_EASTING + P.two_r_k0 * h["cc"] * h["sdl"] / bden
+        y = FALSE_NORTHING + P.two_r_k0 * (h["sc"] * P.cos_chi0
+                                           - h["cc"] * P.sin_chi0 * h["cdl"]) / bden
+        return _s(x=x, y=y)
+
+    return chain(start, geocentric, shifted, rotated, bowring, first_lat, refined,
+                 conformal, projected)
 
 
 def st_transform(geom, to_srid: int = 28992) -> Column:
@@ -158,7 +193,7 @@ def rd_sql_stages(src: str, lon: str, lat: str, keep: str = "*") -> str:
     """A SQL subquery adding columns ``rd_x``/``rd_y`` to ``src`` using staged
     projections (each stage computes a few intermediate columns)."""
     def f(v):
-        return repr(float(v))
+        return f"({float(v)!r})"
 
     s1 = (f"SELECT {keep}, radians({lon}) AS _lam, radians({lat}) AS _phi FROM {src}")
     s2 = (f"SELECT *, {f(WGS84_A)} / sqrt(1.0 - {f(P.e2_w)} * sin(_phi) * sin(_phi)) AS _nu "

@@ -36,6 +36,16 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it many times in ``body``.
+
+    Column expressions are trees: reusing one Python Column object in several
+    places copies its subtree each time, and chains of such reuse grow
+    exponentially.  A one-element ``transform`` binds the value to a lambda
+    variable instead, so expressions stay linear in size."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _pt(arr: Column) -> Column:
     """array<double> [x, y, ...] -> struct<x, y>."""
     return F.struct(F.get(arr, 0).alias("x"), F.get(arr, 1).alias("y"))
@@ -50,30 +60,29 @@ def _empty_parts() -> Column:
 
 
 def _dispatch(gtype: Column, coords: Column):
-    """(dim, parts) for a simple GeoJSON geometry type; null dim if unknown."""
-    point = F.from_json(coords, "array<double>")
-    multi1 = F.from_json(coords, "array<array<double>>")
-    multi2 = F.from_json(coords, "array<array<array<double>>>")
-    multi3 = F.from_json(coords, "array<array<array<array<double>>>>")
-    point_parts = F.when(F.size(_ring(F.array(point))) > 0,
-                         F.array(F.array(_ring(F.array(point))))).otherwise(_empty_parts())
+    """(dim, parts) for a simple GeoJSON geometry type; null dim if unknown.
+    Coordinates are parsed only in the branch of their type."""
+    def parsed(schema, body):
+        return let(F.from_json(coords, schema), body)
+
     parts = (
-        F.when(gtype == "Point", point_parts)
-        .when(gtype == "MultiPoint",
-              F.transform(F.filter(_ring(multi1), lambda p: F.lit(True)),
-                          lambda p: F.array(F.array(p))))
-        .when(gtype == "LineString",
-              F.when(F.size(_ring(multi1)) > 0, F.array(F.array(_ring(multi1))))
-              .otherwise(_empty_parts()))
-        .when(gtype == "MultiLineString",
-              F.transform(F.filter(multi2, lambda ln: F.size(ln) > 0),
-                          lambda ln: F.array(_ring(ln))))
-        .when(gtype == "Polygon",
-              F.when(F.size(multi2) > 0, F.array(F.transform(multi2, _ring)))
-              .otherwise(_empty_parts()))
-        .when(gtype == "MultiPolygon",
-              F.transform(F.filter(multi3, lambda poly: F.size(poly) > 0),
-                          lambda poly: F.transform(poly, _ring)))
+        F.when(gtype == "Point", parsed("array<double>", lambda a: let(
+            _ring(F.array(a)), lambda r: F.when(F.size(r) > 0, F.array(F.array(r)))
+            .otherwise(_empty_parts()))))
+        .when(gtype == "MultiPoint", parsed("array<array<double>>", lambda a: F.transform(
+            _ring(a), lambda p: F.array(F.array(p)))))
+        .when(gtype == "LineString", parsed("array<array<double>>", lambda a: let(
+            _ring(a), lambda r: F.when(F.size(r) > 0, F.array(F.array(r)))
+            .otherwise(_empty_parts()))))
+        .when(gtype == "MultiLineString", parsed("array<array<array<double>>>", lambda a:
+              F.transform(F.filter(a, lambda ln: F.size(ln) > 0),
+                          lambda ln: F.array(_ring(ln)))))
+        .when(gtype == "Polygon", parsed("array<array<array<double>>>", lambda a:
+              F.when(F.size(a) > 0, F.array(F.transform(a, _ring)))
+              .otherwise(_empty_parts())))
+        .when(gtype == "MultiPolygon", parsed("array<array<array<array<double>>>>", lambda a:
+              F.transform(F.filter(a, lambda poly: F.size(poly) > 0),
+                          lambda poly: F.transform(poly, _ring))))
     )
     dim = (F.when(gtype.isin("Point", "MultiPoint"), F.lit(0))
            .when(gtype.isin("LineString", "MultiLineString"), F.lit(1))
@@ -89,39 +98,45 @@ def geom_from_geojson(text, srid: int = DEFAULT_SRID, on_error: str = "fail") ->
     GeometryCollection keeps its members of the highest dimension (that is
     all a centroid or containment test uses).
     """
+    if on_error not in ("fail", "null"):
+        raise ValueError("on_error must be 'fail' or 'null'")
     txt = _c(text)
-    head = F.from_json(txt, _HEAD_SCHEMA)
+    bound = F.struct(txt.alias("t"), F.from_json(txt, _HEAD_SCHEMA).alias("h"))
+    return let(bound, lambda v: _from_head(v["t"], v["h"], srid, on_error))
+
+
+def _from_head(txt: Column, head: Column, srid: int, on_error: str) -> Column:
     gtype = head["type"]
     dim, parts = _dispatch(gtype, head["coordinates"])
 
+    def collection(members):
+        return let(F.array_max(F.transform(members, lambda m: m["dim"])), lambda top: F.struct(
+            F.coalesce(top, F.lit(0)).alias("dim"),
+            F.coalesce(F.flatten(F.transform(F.filter(members, lambda m: m["dim"] == top),
+                                             lambda m: m["parts"])), _empty_parts())
+            .alias("parts")))
+
     members = F.transform(
         F.coalesce(head["geometries"], F.array().cast("array<string>")),
-        lambda m: F.struct(*[
-            v.alias(n) for n, v in zip(
-                ("dim", "parts"),
-                _dispatch(F.get_json_object(m, "$.type"),
-                          F.from_json(m, _HEAD_SCHEMA)["coordinates"]))]))
-    top = F.array_max(F.transform(members, lambda m: m["dim"]))
-    coll_parts = F.flatten(F.transform(F.filter(members, lambda m: m["dim"] == top),
-                                       lambda m: m["parts"]))
-    is_coll = gtype == "GeometryCollection"
-    dim = F.when(is_coll, F.coalesce(top, F.lit(0))).otherwise(dim)
-    parts = F.when(is_coll, F.coalesce(coll_parts, _empty_parts())).otherwise(parts)
-
-    geom = F.struct(F.lit(srid).alias("srid"), dim.cast("int").alias("dim"),
-                    parts.alias("parts"))
-    missing = txt.isNull() | (F.trim(txt) == "null")
-    bad = dim.isNull()
-    if on_error == "fail":
-        bad_value = F.raise_error(F.concat(F.lit("invalid GeoJSON geometry: "),
-                                           F.substring(txt, 1, 200)))
-    elif on_error == "null":
-        bad_value = F.lit(None)
-    else:
-        raise ValueError("on_error must be 'fail' or 'null'")
-    return (F.when(missing, F.lit(None).cast(GEOM_TYPE))
-            .when(bad, bad_value.cast(GEOM_TYPE))
-            .otherwise(geom))
+        lambda m: let(F.from_json(m, _HEAD_SCHEMA), lambda mh: F.struct(*[
+            v.alias(n) for n, v in zip(("dim", "parts"),
+                                       _dispatch(mh["type"], mh["coordinates"]))])))
+    simple = F.struct(dim.cast("int").alias("dim"), parts.alias("parts"))
+    body = F.when(gtype == "GeometryCollection", collection(members)).otherwise(simple)
+
+    def finish(b):
+        geom = F.struct(F.lit(srid).alias("srid"), b["dim"].cast("int").alias("dim"),
+                        b["parts"].alias("parts"))
+        if on_error == "fail":
+            bad_value = F.raise_error(F.concat(F.lit("invalid GeoJSON geometry: "),
+                                               F.substring(txt, 1, 200)))
+        else:
+            bad_value = F.lit(None)
+        return (F.when(txt.isNull() | (F.trim(txt) == "null"), F.lit(None).cast(GEOM_TYPE))
+                .when(b["dim"].isNull(), bad_value.cast(GEOM_TYPE))
+                .otherwise(geom))
+
+    return let(body, finish)
 
 
 def make_point(x, y, srid: int = DEFAULT_SRID) -> Column:
@@ -169,11 +184,12 @@ def vertices(geom) -> Column:
 
 def bbox(geom) -> Column:
     """struct<minx, miny, maxx, maxy> of a geometry (nulls when empty)."""
-    vs = vertices(geom)
-    xs = F.transform(vs, lambda p: p["x"])
-    ys = F.transform(vs, lambda p: p["y"])
-    return F.struct(F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"),
-                    F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy"))
+    def box(vs):
+        xs = F.transform(vs, lambda p: p["x"])
+        ys = F.transform(vs, lambda p: p["y"])
+        return F.struct(F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"),
+                        F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy"))
+    return let(vertices(geom), box)
 
 
 def _ring_stats(ring: Column, sign: Column, x0: Column, y0: Column) -> Column:
@@ -234,8 +250,14 @@ def st_centroid(geom) -> Column:
     zero length falls back to the mean of the vertices.  Empty -> a point
     geometry with no vertex (so ``st_x`` is null).
     """
-    g = _c(geom)
-    origin = _first_vertex(g)
+    return let(_c(geom), _centroid_of)
+
+
+def _centroid_of(g: Column) -> Column:
+    return let(_first_vertex(g), lambda origin: _centroid_at(g, origin))
+
+
+def _centroid_at(g: Column, origin: Column) -> Column:
     x0 = origin["x"]
     y0 = origin["y"]
     rings = F.flatten(F.transform(
@@ -263,10 +285,12 @@ def st_centroid(geom) -> Column:
               .when(by_points, t["py_sum"] / F.when(by_points, t["n"])))
         return F.struct((cx + x0).alias("x"), (cy + y0).alias("y"))
 
-    c = F.aggregate(rings, zero, add, finish)
-    parts = F.when(c["x"].isNull(), _empty_parts()).otherwise(F.array(F.array(F.array(c))))
-    return F.when(g.isNull(), F.lit(None).cast(GEOM_TYPE)).otherwise(
-        F.struct(g["srid"].alias("srid"), F.lit(0).alias("dim"), parts.alias("parts")))
+    def point(c):
+        parts = F.when(c["x"].isNull(), _empty_parts()).otherwise(F.array(F.array(F.array(c))))
+        return F.when(g.isNull(), F.lit(None).cast(GEOM_TYPE)).otherwise(
+            F.struct(g["srid"].alias("srid"), F.lit(0).alias("dim"), parts.alias("parts")))
+
+    return let(F.aggregate(rings, zero, add, finish), point)
 
 
 def polygon_edges(geom) -> Column:
@@ -288,9 +312,11 @@ def within_edges(px, py, edges) -> Column:
     crossing test is written without division so that horizontal edges need
     no special case.
     """
-    x = _c(px)
-    y = _c(py)
+    return let(F.struct(_c(px).cast("double").alias("x"), _c(py).cast("double").alias("y")),
+               lambda p: _within_at(p["x"], p["y"], _c(edges)))
+
 
+def _within_at(x: Column, y: Column, edges: Column) -> Column:
     def step(acc, e):
         x1, y1, x2, y2 = e["x1"], e["y1"], e["x2"], e["y2"]
         d = y2 - y1
@@ -304,7 +330,7 @@ def within_edges(px, py, edges) -> Column:
             (acc["on"] | (on_line & in_box)).alias("on"))
 
     init = F.struct(F.lit(0).alias("n"), F.lit(False).alias("on"))
-    return F.aggregate(_c(edges), init, step,
+    return F.aggregate(edges, init, step,
                        lambda acc: ((acc["n"] % 2) == 1) & ~acc["on"])
 
 
@@ -313,18 +339,25 @@ def st_within(px, py, geom) -> Column:
 
     Only area geometries contain points; null point or geometry -> null.
     """
-    g = _c(geom)
-    x = _c(px)
-    y = _c(py)
-    b = bbox(g)
-    in_bbox = (x > b["minx"]) & (x < b["maxx"]) & (y > b["miny"]) & (y < b["maxy"])
-    res = (g["dim"] == 2) & in_bbox & within_edges(x, y, polygon_edges(g))
-    return F.when(x.isNull() | y.isNull() | g.isNull(), F.lit(None).cast("boolean")).otherwise(res)
+    bound = F.struct(_c(px).cast("double").alias("x"), _c(py).cast("double").alias("y"),
+                     _c(geom).alias("g"))
+
+    def body(v):
+        x, y, g = v["x"], v["y"], v["g"]
+        return let(bbox(g), lambda b: F.when(
+            x.isNull() | y.isNull() | g.isNull(), F.lit(None).cast("boolean")).otherwise(
+            (g["dim"] == 2) & (x > b["minx"]) & (x < b["maxx"]) & (y > b["miny"])
+            & (y < b["maxy"]) & _within_at(x, y, polygon_edges(g))))
+
+    return let(bound, body)
 
 
 def to_geojson(geom) -> Column:
     """Geometry struct -> compact GeoJSON geometry text."""
-    g = _c(geom)
+    return let(_c(geom), _geojson_of)
+
+
+def _geojson_of(g: Column) -> Column:
     parts = g["parts"]
     n = F.size(parts)
 

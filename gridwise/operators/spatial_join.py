@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridwise.functions.geometry import bbox, polygon_edges, within_edges
+from gridwise.session import geometry_plan_settings
 
 # Per-polygon cell count above which the cell size is doubled.
 MAX_CELLS_PER_POLYGON = 4096
@@ -119,6 +120,7 @@ def spatial_join(points: DataFrame, polys: DataFrame, x: str = "x", y: str = "y"
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
+    geometry_plan_settings(points.sparkSession)
     grid = grid or plan_grid(polys, geom, cell, broadcast_limit)
     c = grid.cell
     pc = polygon_cells(polys, geom, c)
@@ -145,6 +147,7 @@ def within_candidates(points: DataFrame, polys: DataFrame, x: str = "x", y: str
     """Every (point, polygon) pair whose polygon's closed bounding box holds the
     point, with the exact ``within`` flag — the candidate set of the grid join,
     never the full Cartesian product."""
+    geometry_plan_settings(points.sparkSession)
     grid = plan_grid(polys, geom, cell, broadcast_limit)
     c = grid.cell
     pc = polygon_cells(polys, geom, c).drop(geom)

@@ -19,7 +19,8 @@ from gridwise.functions.geometry import (geom_from_geojson, st_centroid, st_set_
                                          st_x, st_y)
 from gridwise.functions.text import concat_text, str_left, str_right
 from gridwise.operators.joins import broadcast_if_small, join_concat_key, union_all
-from gridwise.operators.spatial_join import spatial_join, within_candidates  # noqa: F401
+from gridwise.operators.spatial_join import spatial_join
+from gridwise.session import geometry_plan_settings
 
 
 def _q(name: str) -> str:
@@ -75,6 +76,7 @@ def inspections_total(area_staging: DataFrame, object_staging: DataFrame,
     ``text(inspectionItem.id)||text(score) = text(type id)||text(option id)``,
     renamed, with the geometry parsed once: centroid X as ``lat``, Y as
     ``lon`` (the published, swapped names) and ``geom`` labelled 4326."""
+    geometry_plan_settings(area_staging.sparkSession)
     a = union_all(area_staging, object_staging)
     for col in ("inspectionItem.id", "score", "geojson"):
         if col not in a.columns:

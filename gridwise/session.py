@@ -28,6 +28,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.sql.constraintPropagation.enabled", "false")
     )
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -36,6 +37,20 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def geometry_plan_settings(spark: SparkSession) -> None:
+    """Settings the geometry plans rely on.
+
+    Constraint propagation infers ``isnotnull`` filters for join keys and
+    pushes them below the projections that compute those keys; for keys
+    derived from geometry (a projected centroid) that copies the whole
+    parse -> centroid -> projection expression into the filter, so it is both
+    evaluated twice per row and, through alias substitution, blows up the
+    optimizer.  Our joins add their own null handling, so it is switched off.
+    """
+    if spark.conf.get("spark.sql.constraintPropagation.enabled", "true") != "false":
+        spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; set one if unset."""
     sc = spark.sparkContext
