@@ -254,7 +254,13 @@ def st_centroid(geom) -> Column:
 
 
 def _centroid_of(g: Column) -> Column:
-    return let(_first_vertex(g), lambda origin: _centroid_at(g, origin))
+    # fast path: a single point is its own centroid (no loop over rings)
+    parts = g["parts"]
+    single = ((F.size(parts) == 1) & (F.size(F.get(parts, 0)) == 1)
+              & (F.size(F.get(F.get(parts, 0), 0)) == 1))
+    as_point = F.struct(g["srid"].alias("srid"), F.lit(0).alias("dim"), parts.alias("parts"))
+    return F.when(g.isNull(), F.lit(None).cast(GEOM_TYPE)).when(single, as_point).otherwise(
+        let(_first_vertex(g), lambda origin: _centroid_at(g, origin)))
 
 
 def _centroid_at(g: Column, origin: Column) -> Column:

@@ -42,52 +42,45 @@ class GridPlan:
     broadcast: bool
 
 
-def _measure(polys: DataFrame, geom: str) -> dict:
-    """One small aggregate over the polygon side: count, vertex count, bbox
-    side distribution."""
-    b = bbox(F.col(geom))
-    side = F.greatest(b["maxx"] - b["minx"], b["maxy"] - b["miny"])
-    row = (polys.select(side.alias("side"),
-                        F.size(F.flatten(F.flatten(F.col(geom)["parts"]))).alias("nv"),
-                        b.alias("b"))
-           .agg(F.count(F.lit(1)).alias("n"),
-                F.sum("nv").alias("nv"),
-                F.percentile_approx("side", 0.5).alias("median_side"),
-                F.max("side").alias("max_side"),
-                F.min("b.minx").alias("minx"), F.max("b.maxx").alias("maxx"),
-                F.min("b.miny").alias("miny"), F.max("b.maxy").alias("maxy"))
-           .first())
-    return row.asDict() if row is not None else {}
-
-
 def plan_grid(polys: DataFrame, geom: str = "geom", cell: float | None = None,
               broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> GridPlan:
-    """Choose the cell size and measure the exploded polygon side.
+    """Choose the cell size and bound the size of the exploded polygon side,
+    with one aggregate over the polygon layer (never over the points).
+
+    A polygon whose bbox side is s covers at most (s/cell + 2)^2 cells, each
+    carrying its n edges (~32 bytes each) and ~96 bytes of keys and bbox, so
+    the replicated size is bounded by
 
-    Two small aggregates over the polygon layer (not over the points): the
-    bbox-side distribution picks the cell, then the exact replicated size
-    (cells x edges per polygon) decides whether broadcasting is safe.
+        sum_i (s_i/c + 2)^2 (96 + 32 n_i)
+          = S2/c^2 + 4 S1/c + 4 S0,   S_k = sum_i s_i^k (96 + 32 n_i),
+
+    which one pass computes before the cell size c is known.  Broadcasting
+    happens only when that bound is under ``broadcast_limit``.
     """
-    st = _measure(polys, geom)
+    b = bbox(F.col(geom))
+    side = F.greatest(b["maxx"] - b["minx"], b["maxy"] - b["miny"])
+    weight = F.lit(96.0) + F.size(F.flatten(F.flatten(F.col(geom)["parts"]))) * 32.0
+    row = (polys.select(side.alias("s"), weight.alias("w"))
+           .where(F.col("s").isNotNull())
+           .agg(F.count(F.lit(1)).alias("n"),
+                F.percentile_approx("s", 0.5).alias("median_side"),
+                F.max("s").alias("max_side"),
+                F.sum(F.col("s") * F.col("s") * F.col("w")).alias("s2"),
+                F.sum(F.col("s") * F.col("w")).alias("s1"),
+                F.sum("w").alias("s0"))
+           .first())
+    st = row.asDict() if row is not None else {}
     n = int(st.get("n") or 0)
+    mx = float(st.get("max_side") or 0.0)
     if cell is None:
-        med = st.get("median_side") or 0.0
-        mx = st.get("max_side") or 0.0
-        cell = float(med) if med and med > 0 else (float(mx) if mx and mx > 0 else 1.0)
+        med = float(st.get("median_side") or 0.0)
+        cell = med if med > 0 else (mx if mx > 0 else 1.0)
         # a very large polygon must not explode into too many cells
         while mx and (mx / cell + 2) ** 2 > MAX_CELLS_PER_POLYGON:
             cell *= 2.0
-    b = bbox(F.col(geom))
-    ncell = ((F.floor(b["maxx"] / cell) - F.floor(b["minx"] / cell) + 1)
-             * (F.floor(b["maxy"] / cell) - F.floor(b["miny"] / cell) + 1))
-    nv = F.size(F.flatten(F.flatten(F.col(geom)["parts"])))
-    row = (polys.where(b["minx"].isNotNull())
-           .select(ncell.alias("nc"), nv.alias("nv"))
-           .agg(F.sum("nc").alias("cells"),
-                F.sum(F.col("nc") * (F.lit(96) + F.col("nv") * 32)).alias("bytes"))
-           .first())
-    cells = int(row["cells"] or 0) if row else 0
-    est = int(row["bytes"] or 0) if row else 0
+    s2, s1, s0 = (float(st.get(k) or 0.0) for k in ("s2", "s1", "s0"))
+    est = int(s2 / (cell * cell) + 4.0 * s1 / cell + 4.0 * s0)
+    cells = int(n * ((mx / cell + 2) ** 2)) if n else 0
     return GridPlan(cell=cell, polygons=n, cells=cells, est_bytes=est,
                     broadcast=est <= broadcast_limit)
 

@@ -194,16 +194,19 @@ def insp_staging(t: Tables) -> DataFrame:
     )
 
 
+def split_staging(staging: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Area rounds are the parts of size up to 25, object rounds the rest;
+    the two staging tables together hold every part."""
+    small = F.col("creatingUserId") <= 25
+    return staging.where(small), staging.where(~small | F.col("creatingUserId").isNull())
+
+
 def insp_area(t: Tables) -> DataFrame:
-    """Area rounds: parts of size up to 25 (the object rounds are the rest;
-    the two staging tables together hold every part)."""
-    s = insp_staging(t)
-    return s.where(F.col("creatingUserId") <= 25)
+    return split_staging(insp_staging(t))[0]
 
 
 def insp_object(t: Tables) -> DataFrame:
-    s = insp_staging(t)
-    return s.where(~(F.col("creatingUserId") <= 25) | F.col("creatingUserId").isNull())
+    return split_staging(insp_staging(t))[1]
 
 
 def type_docs_region(t: Tables) -> DataFrame:

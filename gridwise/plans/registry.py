@@ -145,7 +145,8 @@ def st_transform_q(spark, sf_dir):
 def _total(t):
     types = inspection_types(I.type_docs_region(t), doc_order=["id", "_chunk"],
                              with_index=False)
-    return enrich.inspections_total(I.insp_area(t), I.insp_object(t), types)
+    area, obj = I.split_staging(I.insp_staging(t))
+    return enrich.inspections_total(area, obj, types)
 
 
 @query
