@@ -178,6 +178,29 @@ def _content_type_sql() -> str:
     return f"CASE lower({EXT}) {cases} ELSE NULL END"
 
 
+def _corner_rows(src: str, lon0: str, lat0: str, lon1: str, lat1: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT layer, code, naam, {x} AS lon, {y} AS lat FROM ({src})"
+        for x, y in ((lon0, lat0), (lon1, lat0), (lon1, lat1), (lon0, lat1)))
+
+
+_DEG_BUURT = ("SELECT 'buurt' AS layer, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, "
+              "n_name AS naam, CAST(470 + (n_nationkey % 5) * 7 AS DOUBLE) / 100.0 AS lon0, "
+              "CAST(5230 + (n_nationkey // 5) * 10 AS DOUBLE) / 100.0 AS lat0, "
+              "CAST(477 + (n_nationkey % 5) * 7 AS DOUBLE) / 100.0 AS lon1, "
+              "CAST(5240 + (n_nationkey // 5) * 10 AS DOUBLE) / 100.0 AS lat1 FROM nation")
+_DEG_SD = ("SELECT 'stadsdeel' AS layer, CAST(r_regionkey AS VARCHAR) AS code, r_name AS naam, "
+           "4.7 AS lon0, CAST(5230 + r_regionkey * 10 AS DOUBLE) / 100.0 AS lat0, "
+           "5.05 AS lon1, CAST(5240 + r_regionkey * 10 AS DOUBLE) / 100.0 AS lat1 FROM region")
+_CORNERS = " UNION ALL ".join(
+    _corner_rows(src, "CAST(lon0 AS DOUBLE)", "lat0", "CAST(lon1 AS DOUBLE)", "lat1")
+    for src in (_DEG_BUURT, _DEG_SD))
+AREA_LAYERS = (
+    "SELECT layer, code, naam, 28992 AS srid, round(min(rd_x), 2) AS minx, "
+    "round(min(rd_y), 2) AS miny, round(max(rd_x), 2) AS maxx, round(max(rd_y), 2) AS maxy "
+    f"FROM ({rd_sql_stages('(' + _CORNERS + ')', 'lon', 'lat')}) GROUP BY layer, code, naam")
+
+
 SQL: dict[str, str] = {
     "spatial_join_points":
         f"SELECT p.id, p.x, p.y, n.code, n.naam FROM ({PTS}) p JOIN ({NB}) n ON {INSIDE_NB}",
@@ -326,4 +349,28 @@ SQL: dict[str, str] = {
     "scan_detail_by_uri":
         "SELECT '/c/' || CAST(c_custkey AS VARCHAR) AS uri, c_custkey, c_name, c_mktsegment "
         "FROM customer WHERE c_custkey IN (SELECT DISTINCT user_id FROM events)",
+    "scan_table": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
+    "sink_replace_table":
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
+    "sink_ctas": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
+    "export_csv_semicolon": "SELECT doc_id, text, lang, source FROM documents",
+    "export_csv_comma": "SELECT doc_id, text, lang, source FROM documents",
+    "export_geojson": (
+        "SELECT code, naam, '{\"type\":\"Polygon\",\"coordinates\":[[' || "
+        + " || ',' || ".join(
+            "'[' || CAST(CAST({} AS DOUBLE) AS VARCHAR) || ',' || CAST(CAST({} AS DOUBLE) AS "
+            "VARCHAR) || ']'".format(a, b) for a, b in (
+                ("x0", "y0"), ("x0 + 2", "y0"), ("x0 + 2", "y0 + 2"), ("x0", "y0 + 2"),
+                ("x0", "y0")))
+        + f" || ']]}}' AS geometry FROM ({NB})"),
+    "scan_area_layer":
+        "SELECT code, naam, CAST(x0 AS DOUBLE) AS minx, CAST(y0 AS DOUBLE) AS miny, "
+        f"CAST(x0 + 2 AS DOUBLE) AS maxx, CAST(y0 + 2 AS DOUBLE) AS maxy FROM ({NB})",
+    "area_layers": AREA_LAYERS,
+    "scan_objects": "SELECT c_custkey, c_name FROM customer",
+    "zip_members":
+        "SELECT 'customers_' || CAST(c_custkey // 100 AS VARCHAR) || '.csv' AS member, "
+        "CAST(count(*) AS INTEGER) AS n_lines, false AS failed FROM customer "
+        "WHERE c_custkey // 100 >= 10 GROUP BY c_custkey // 100 "
+        "UNION ALL SELECT NULL, NULL, true",
 }

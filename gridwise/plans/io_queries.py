@@ -48,3 +48,239 @@ def scan_detail_by_uri_q(spark, sf_dir):
     docs = D.read_json_text(spark, path)
     return D.scan_detail_by_uri(listing, docs, strict=False).select(
         "uri", "c_custkey", "c_name", "c_mktsegment")
+
+
+# ---------------------------------------------------------------------------
+# tables
+# ---------------------------------------------------------------------------
+
+from gridwise.session import work_dir  # noqa: E402
+from gridwise.sinks import export as X  # noqa: E402
+from gridwise.sinks import tables as T  # noqa: E402
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+
+
+@query
+def scan_table(spark, sf_dir):
+    o = _t(spark, sf_dir)("orders").select(*ORDER_COLS)
+    path = T.replace_table(o, work_dir(spark, "orders"))
+    return T.scan_table(spark, path).select(*ORDER_COLS)
+
+
+@query
+def sink_replace_table(spark, sf_dir):
+    o = _t(spark, sf_dir)("orders").select(*ORDER_COLS)
+    path = work_dir(spark, "orders_replace")
+    # first run: a stale version of the table; second run replaces it whole
+    T.replace_table(o.where(F.col("o_orderstatus") == "F")
+                    .withColumn("o_totalprice", F.lit(0.0)), path)
+    T.replace_table(o, path)
+    return T.scan_table(spark, path).select(*ORDER_COLS)
+
+
+@query
+def sink_ctas(spark, sf_dir):
+    o = _t(spark, sf_dir)("orders").select(*ORDER_COLS)
+    return T.create_table_as_select(spark, o, "orders_ctas",
+                                    work_dir(spark, "orders_ctas")).select(*ORDER_COLS)
+
+
+# ---------------------------------------------------------------------------
+# CSV / GeoJSON exports
+# ---------------------------------------------------------------------------
+
+DOC_SCHEMA = "doc_id long, text string, lang string, source string"
+
+
+def _csv_roundtrip(spark, sf_dir, sep):
+    d = _t(spark, sf_dir)("documents").select("doc_id", "text", "lang", "source")
+    path = X.export_csv(d, work_dir(spark, "export"), "documents", sep=sep,
+                        run_date="2024-01-01")
+    return X.read_csv_export(spark, path, sep=sep, schema=DOC_SCHEMA)
+
+
+@query
+def export_csv_semicolon(spark, sf_dir):
+    return _csv_roundtrip(spark, sf_dir, ";")
+
+
+@query
+def export_csv_comma(spark, sf_dir):
+    return _csv_roundtrip(spark, sf_dir, ",")
+
+
+_FEATURE_BACK = "type string, properties struct<code:string, naam:string>, geometry string"
+
+
+@query
+def export_geojson(spark, sf_dir):
+    nb = I.nb(_t(spark, sf_dir))
+    path = X.export_geojson(nb, work_dir(spark, "nb_geojson"), "geom", ["code", "naam"])
+    back = spark.read.text(path).select(F.from_json("value", _FEATURE_BACK).alias("f"))
+    return back.select(F.col("f.properties.code").alias("code"),
+                       F.col("f.properties.naam").alias("naam"),
+                       F.col("f.geometry").alias("geometry"))
+
+
+@query
+def scan_area_layer(spark, sf_dir):
+    from gridwise.functions.geometry import bbox
+    from gridwise.sources.areas import layer_columns, read_area_layer
+    nb = I.nb(_t(spark, sf_dir)).withColumnRenamed("code", "CODE")
+    path = X.export_geojson(nb, work_dir(spark, "nb_layer"), "geom", ["CODE", "naam"],
+                            collection_size=8)
+    layer = layer_columns(read_area_layer(spark, path), ["code", "naam"])
+    b = bbox(F.col("wkb_geometry"))
+    return layer.select("code", "naam", b["minx"].alias("minx"), b["miny"].alias("miny"),
+                        b["maxx"].alias("maxx"), b["maxy"].alias("maxy"))
+
+
+def degree_layers(t):
+    """Two layers in WGS 84 degrees: nation squares (neighbourhoods) and
+    region bands (districts)."""
+    from gridwise.functions.geometry import make_box
+    n = t("nation")
+    k = F.col("n_nationkey")
+    lon0 = (F.lit(470) + (k % 5) * 7).cast("double") / F.lit(100.0)
+    lat0 = (F.lit(5230) + F.floor(k / 5) * 10).cast("double") / F.lit(100.0)
+    lon1 = (F.lit(477) + (k % 5) * 7).cast("double") / F.lit(100.0)
+    lat1 = (F.lit(5240) + F.floor(k / 5) * 10).cast("double") / F.lit(100.0)
+    buurt = n.select(F.lpad(k.cast("string"), 2, "0").alias("code"), F.col("n_name").alias("naam"),
+                     make_box(lon0, lat0, lon1, lat1).alias("geom"))
+    r = t("region")
+    rk = F.col("r_regionkey")
+    blat0 = (F.lit(5230) + rk * 10).cast("double") / F.lit(100.0)
+    blat1 = (F.lit(5240) + rk * 10).cast("double") / F.lit(100.0)
+    sd = r.select(rk.cast("string").alias("code"), F.col("r_name").alias("naam"),
+                  make_box(F.lit(4.7), blat0, F.lit(5.05), blat1).alias("geom"))
+    return {"buurt": buurt, "stadsdeel": sd}
+
+
+@query
+def area_layers(spark, sf_dir):
+    from gridwise.functions.geometry import bbox
+    from gridwise.sources.areas import layer_columns, load_layers
+    paths = {name: X.export_geojson(df, work_dir(spark, f"layer_{name}"), "geom",
+                                    ["code", "naam"])
+             for name, df in degree_layers(_t(spark, sf_dir)).items()}
+    loaded = load_layers(spark, paths)
+    out = None
+    for name, layer in loaded.items():
+        b = bbox(F.col("wkb_geometry"))
+        cols = layer_columns(layer, ["code", "naam"]).select(
+            F.lit(name).alias("layer"), "code", "naam",
+            F.col("wkb_geometry")["srid"].alias("srid"),
+            F.round(b["minx"], 2).alias("minx"), F.round(b["miny"], 2).alias("miny"),
+            F.round(b["maxx"], 2).alias("maxx"), F.round(b["maxy"], 2).alias("maxy"))
+        out = cols if out is None else out.unionByName(cols)
+    return out
+
+
+# ---------------------------------------------------------------------------
+# files, objects, archives, publish
+# ---------------------------------------------------------------------------
+
+from gridwise.sinks.publish import publish_manifest as _manifest  # noqa: E402
+from gridwise.sources import files as FS  # noqa: E402
+
+
+def _customer_files(spark, sf_dir, records_per_file=500):
+    """Customers landed as CSV part files (more files as the table grows)."""
+    c = _t(spark, sf_dir)("customer").select("c_custkey", "c_name", "c_mktsegment")
+    path = work_dir(spark, "objects")
+    (c.repartition(4).write.mode("overwrite").option("header", "true")
+     .option("maxRecordsPerFile", records_per_file).csv(path))
+    return path
+
+
+@query
+def scan_objects(spark, sf_dir):
+    path = _customer_files(spark, sf_dir)
+    objs = FS.scan_objects(spark, path, glob="*.csv")
+    # one row per data line of every object (the header line excluded)
+    lines = objs.select("name", F.explode(F.split(
+        F.regexp_replace(F.decode("content", "UTF-8"), r"\n$", ""), "\n")).alias("line"))
+    return lines.where(~F.col("line").startswith("c_custkey")).select(
+        F.split("line", ",").getItem(0).cast("bigint").alias("c_custkey"),
+        F.split("line", ",").getItem(1).alias("c_name"))
+
+
+@query
+def list_files(spark, sf_dir):
+    path = _customer_files(spark, sf_dir)
+    return FS.list_files(spark, path, glob="*.csv").select("name", "length")
+
+
+@query
+def check_objects(spark, sf_dir):
+    path = _customer_files(spark, sf_dir)
+    found = FS.list_files(spark, path, glob="*.csv").select("name")
+    expected = found.unionByName(spark.range(1).select(F.lit("missing.csv").alias("name")))
+    return FS.check_objects(spark, path, expected).select("name", "present")
+
+
+@query
+def publish_manifest(spark, sf_dir):
+    c = _t(spark, sf_dir)("customer")
+    folder = work_dir(spark, "publish")
+    X.export_csv(c, folder, "customers", sep=";", run_date="2024-01-01")
+    X.export_geojson(I.nb(_t(spark, sf_dir)), f"{folder}/areas.geojson", "geom",
+                     ["code", "naam"])
+    return _manifest(spark, f"{folder}/*", glob="part-*").select(
+        "name", "length", "content_type")
+
+
+ZIP_GROUP = 100      # customers per archive member
+MEMBERS_PER_ZIP = 10
+
+
+def _write_zips(folder):
+    """applyInPandas body: one archive per group of members; archive 0 is
+    written truncated (corrupt).  Writes through pyarrow's file systems, so
+    the folder may be local, HDFS or an object store."""
+    import io
+    import zipfile
+
+    import pandas as pd
+    from pyarrow import fs as pafs
+
+    def write(pdf):
+        arch = int(pdf["archive"].iloc[0])
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+            for m, text in sorted(zip(pdf["member"], pdf["text"])):
+                zf.writestr(f"customers_{int(m)}.csv", text)
+        data = buf.getvalue()
+        if arch == 0:
+            data = data[: len(data) // 3]
+        filesystem, root = pafs.FileSystem.from_uri(folder)
+        filesystem.create_dir(root, recursive=True)
+        with filesystem.open_output_stream(f"{root}/archive_{arch}.zip") as out:
+            out.write(data)
+        return pd.DataFrame({"archive": [arch], "bytes": [len(data)]})
+
+    return write
+
+
+@query
+def zip_members(spark, sf_dir):
+    c = _t(spark, sf_dir)("customer")
+    member = F.floor(F.col("c_custkey") / ZIP_GROUP)
+    line = F.concat_ws(",", F.col("c_custkey").cast("string"), F.col("c_name"))
+    # members of at most ZIP_GROUP lines (custkey is unique), archives of at
+    # most MEMBERS_PER_ZIP members: every group is bounded
+    members = (c.groupBy(member.alias("member"))
+               .agg(F.concat_ws("\n", F.array_sort(F.collect_list(line))).alias("text"))
+               .withColumn("archive", F.floor(F.col("member") / MEMBERS_PER_ZIP)))
+    folder = work_dir(spark, "zips")
+    if folder.startswith("/"):
+        folder = "file://" + folder
+    (members.groupBy("archive").applyInPandas(_write_zips(folder), "archive long, bytes long")
+     .write.format("noop").mode("overwrite").save())
+    rows = FS.zip_members(spark, folder)
+    return rows.select(
+        "member",
+        F.when(F.col("content").isNotNull(),
+               F.size(F.split(F.decode("content", "UTF-8"), "\n"))).alias("n_lines"),
+        F.col("error").isNotNull().alias("failed"))
