@@ -24,8 +24,10 @@ def bounded_chunks(df: DataFrame, group_keys: list[str], order_keys: list[str],
     spark = df.sparkSession
     checkpoint_root(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c) for c in group_keys + order_keys]
-    laid = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    keys = [F.col(c) for c in group_keys + order_keys] + [F.col("_tie")]
+    laid = (df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+            .repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+            .drop("_tie")
             .withColumn(name, F.floor(F.monotonically_increasing_id() / F.lit(max_size)))
             .checkpoint(eager=True))
     return laid

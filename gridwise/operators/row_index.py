@@ -3,7 +3,8 @@
 ``row_number().over(Window.orderBy(k))`` moves every row into one task.  At
 scale we instead:
 
-1. range-partition on the order keys and sort within partitions;
+1. range-partition on the order keys (plus a tiebreaker, so a hot tied
+   value is split too) and sort within partitions;
 2. reliably checkpoint that layout (so partition contents are fixed for the
    two passes below, even if an executor is lost and tasks re-run);
 3. count rows per partition — one row per partition reaches the driver — and
@@ -28,8 +29,13 @@ def with_row_index(df: DataFrame, order_cols: list[str], name: str = "idx",
     spark: SparkSession = df.sparkSession
     checkpoint_root(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c) for c in order_cols]
-    laid = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Tied order keys get a deterministic tiebreaker (a hash of the row), so
+    # even a value shared by a third of the rows is spread over several range
+    # partitions instead of landing in one task.
+    keys = [F.col(c) for c in order_cols] + [F.col("_tie")]
+    laid = (df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+            .repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+            .drop("_tie")
             .withColumn("_mid", F.monotonically_increasing_id())
             .checkpoint(eager=True))
     counts = (laid.groupBy(F.shiftright(F.col("_mid"), 33).alias("_pid"))

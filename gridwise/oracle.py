@@ -373,4 +373,5 @@ SQL: dict[str, str] = {
         "CAST(count(*) AS INTEGER) AS n_lines, false AS failed FROM customer "
         "WHERE c_custkey // 100 >= 10 GROUP BY c_custkey // 100 "
         "UNION ALL SELECT NULL, NULL, true",
+    "inspections_total_areas_stream": FLAGSHIP,
 }

@@ -284,3 +284,30 @@ def zip_members(spark, sf_dir):
         F.when(F.col("content").isNotNull(),
                F.size(F.split(F.decode("content", "UTF-8"), "\n"))).alias("n_lines"),
         F.col("error").isNotNull().alias("failed"))
+
+
+# ---------------------------------------------------------------------------
+# incremental enrichment (Structured Streaming)
+# ---------------------------------------------------------------------------
+
+@query
+def inspections_total_areas_stream(spark, sf_dir):
+    from gridwise.plans import enrich
+    from gridwise.plans.loaders import inspection_types
+    from gridwise.streaming.incremental import enrichment_stream, start_enrichment
+    t = _t(spark, sf_dir)
+    area, obj = I.split_staging(I.insp_staging(t))
+    root = work_dir(spark, "stream")
+    # land the two staging tables as files, the way the loader would
+    T.replace_table(area, f"{root}/staging_area")
+    T.replace_table(obj, f"{root}/staging_object")
+    types = inspection_types(I.type_docs_region(t), doc_order=["id", "_chunk"],
+                             with_index=False)
+    b6, w6, s6, g6 = I.rd_layers(t)
+    hierarchy = enrich.area_hierarchy(b6, w6, s6)
+    stream = enrichment_stream(spark, f"{root}/staging_area", f"{root}/staging_object",
+                               area.schema, types, hierarchy, g6, max_files_per_trigger=2)
+    q = start_enrichment(stream, f"{root}/out", f"{root}/checkpoint")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    return out.withColumn("lat", F.round("lat", 9)).withColumn("lon", F.round("lon", 9))
