@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gridwise.functions.geometry import GEOM_TYPE
+from gridwise.functions.geometry import GEOM_TYPE, memo_expr
 
 # ---------------------------------------------------------------------------
 # Fixed values (public EPSG parameters; results must match PostGIS/PROJ).
@@ -112,6 +112,7 @@ def _s(**cols) -> Column:
     return F.struct(*[c.alias(n) for n, c in cols.items()])
 
 
+@memo_expr
 def wgs84_to_rd(lon, lat) -> Column:
     """struct<x, y> in EPSG:28992 for WGS 84 longitude/latitude in degrees."""
     start = _s(lam=F.radians(_col(lon).cast("double")), phi=F.radians(_col(lat).cast("double")))
@@ -168,6 +169,7 @@ def wgs84_to_rd(lon, lat) -> Column:
                  conformal, projected)
 
 
+@memo_expr
 def st_transform(geom, to_srid: int = 28992) -> Column:
     """``ST_Transform(g, 28992)`` for geometries labelled 4326: every vertex
     is reprojected; the label becomes 28992.  Other pairs raise."""

@@ -31,6 +31,15 @@ def union_all(a: DataFrame, b: DataFrame, by_position: bool = False) -> DataFram
     return a.unionByName(b, allowMissingColumns=True)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over at least ``min_partitions`` tasks (default:
+    the cluster's parallelism) before CPU-heavy per-row work, but only when
+    the input has fewer partitions than that — a large input keeps its scan
+    partitioning and no shuffle is added."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def measured_size(df: DataFrame, row_bytes: Column | None = None) -> tuple[int, int]:
     """(rows, bytes) of a frame, measured with one aggregate.  ``row_bytes``
     estimates a row's size; by default the sum of the string lengths plus 16

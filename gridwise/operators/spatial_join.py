@@ -103,13 +103,20 @@ def polygon_cells(polys: DataFrame, geom: str, cell: float, prefix: str = "_g")
 def spatial_join(points: DataFrame, polys: DataFrame, x: str = "x", y: str = "y",
                  geom: str = "geom", how: str = "inner", cell: float | None = None,
                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-                 keep_geom: bool = False, grid: GridPlan | None = None) -> DataFrame:
+                 keep_geom: bool = False, grid: GridPlan | None = None,
+                 salt: int = 1) -> DataFrame:
     """Rows of ``points`` paired with every polygon of ``polys`` that strictly
     contains the point (x, y).  0 hits drops the point (``how='inner'``) or
     keeps it with null polygon columns (``how='left'``); k hits give k rows.
 
     Column names of the two inputs must not overlap (except the geometry,
     which is dropped unless ``keep_geom``).
+
+    When the polygon side is too large to broadcast, the join shuffles on the
+    cell key; adaptive execution splits oversized cell partitions at run time.
+    ``salt > 1`` additionally spreads every cell over ``salt`` sub-keys (points
+    pick one by a hash of their coordinates, polygon cells are replicated to
+    all of them), for inputs known to pile points into a few cells.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -125,13 +132,20 @@ def spatial_join(points: DataFrame, polys: DataFrame, x: str = "x", y: str = "y"
     py = F.col(y)
     pts = (points.withColumn("_p_cx", F.floor(px / c))
            .withColumn("_p_cy", F.floor(py / c)))
+    salted = salt > 1 and not grid.broadcast
+    if salted:
+        pts = pts.withColumn("_p_s", F.pmod(F.xxhash64(px, py), F.lit(salt)))
+        pc = pc.withColumn("_g_s", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                        F.lit(salt - 1).cast("long"))))
     box = F.col("_g_box")
     cond: Column = (
         (F.col("_p_cx") == F.col("_g_cx")) & (F.col("_p_cy") == F.col("_g_cy"))
         & (px > box["minx"]) & (px < box["maxx"]) & (py > box["miny"]) & (py < box["maxy"])
         & within_edges(px, py, F.col("_g_edges")))
+    if salted:
+        cond = cond & (F.col("_p_s") == F.col("_g_s"))
     out = pts.join(pc, cond, how)
-    return out.drop("_p_cx", "_p_cy", "_g_cx", "_g_cy", "_g_box", "_g_edges")
+    return out.drop("_p_cx", "_p_cy", "_g_cx", "_g_cy", "_g_box", "_g_edges", "_p_s", "_g_s")
 
 
 def within_candidates(points: DataFrame, polys: DataFrame, x: str = "x", y: str = "y",

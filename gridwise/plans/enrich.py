@@ -18,7 +18,7 @@ from gridwise.functions.crs import wgs84_to_rd
 from gridwise.functions.geometry import (geom_from_geojson, st_centroid, st_set_srid,
                                          st_x, st_y)
 from gridwise.functions.text import concat_text, str_left, str_right
-from gridwise.operators.joins import broadcast_if_small, join_concat_key, union_all
+from gridwise.operators.joins import broadcast_if_small, join_concat_key, spread, union_all
 from gridwise.operators.spatial_join import spatial_join
 from gridwise.session import geometry_plan_settings
 
@@ -78,6 +78,8 @@ def inspections_total(area_staging: DataFrame, object_staging: DataFrame,
     ``lon`` (the published, swapped names) and ``geom`` labelled 4326."""
     geometry_plan_settings(area_staging.sparkSession)
     a = union_all(area_staging, object_staging)
+    if not a.isStreaming:
+        a = spread(a)
     for col in ("inspectionItem.id", "score", "geojson"):
         if col not in a.columns:
             raise KeyError(f"staging column missing: {col}")

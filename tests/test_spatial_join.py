@@ -44,8 +44,8 @@ def _geojson(rings):
             + ",".join("[" + ",".join(f"[{x},{y}]" for x, y in r) + "]" for r in rings) + "]}")
 
 
-@pytest.mark.parametrize("seed,limit", [(1, None), (2, None), (3, 0)])
-def test_grid_join_equals_brute_force(spark, seed, limit):
+@pytest.mark.parametrize("seed,limit,salt", [(1, None, 1), (2, None, 1), (3, 0, 1), (4, 0, 5)])
+def test_grid_join_equals_brute_force(spark, seed, limit, salt):
     rng = random.Random(seed)
     polys = _polys(rng, 40)
     # half the points on the integer grid, so many lie exactly on edges
@@ -54,7 +54,7 @@ def test_grid_join_equals_brute_force(spark, seed, limit):
     pdf = spark.createDataFrame(pts, "pid long, x double, y double")
     gdf = spark.createDataFrame([(i, _geojson(r)) for i, r in polys], "gid long, t string") \
         .select("gid", geom_from_geojson(F.col("t")).alias("geom"))
-    kw = {} if limit is None else {"broadcast_limit": limit}
+    kw = {"salt": salt} if limit is None else {"broadcast_limit": limit, "salt": salt}
     got = sorted((r.pid, r.gid) for r in spatial_join(pdf, gdf, **kw).select("pid", "gid").collect())
     want = sorted((pid, gid) for pid, x, y in pts for gid, rings in polys if _inside(x, y, rings))
     assert got == want
