@@ -3,6 +3,7 @@ nested documents into flat staging tables with a row index ``idx``."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +31,17 @@ def inspection_rounds(docs: DataFrame, doc_order: list[str] | None = None,
     text, merge round > inspection > result, flatten to dotted columns) with
     ``idx`` in document order."""
     rows = shape.explode_rounds(docs, mode=mode, doc_order=doc_order)
-    flat_cols = shape.flatten_columns(rows, "rec")
-    flat = rows.select("_doc", "_i", "_r", *[e.alias(n) for n, e in flat_cols], "geojson")
-    names = [n for n, _ in flat_cols] + ["geojson"]
     if not with_index:
-        return flat.select(*[F.col(f"`{n}`") for n in names])
-    out = with_row_index(flat, ["_doc", "_i", "_r"])
+        flat_cols = shape.flatten_columns(rows, "rec")
+        return rows.select(*[e.alias(n) for n, e in flat_cols], "geojson")
+    # two passes read the exploded rows (list lengths for the column names,
+    # then the row-index layout): keep them between the passes
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        flat_cols = shape.flatten_columns(rows, "rec")
+        flat = rows.select("_doc", "_i", "_r", *[e.alias(n) for n, e in flat_cols], "geojson")
+        out = with_row_index(flat, ["_doc", "_i", "_r"])   # checkpointed layout
+    finally:
+        rows.unpersist()
+    names = [n for n, _ in flat_cols] + ["geojson"]
     return out.select("idx", *[F.col(f"`{n}`") for n in names])
