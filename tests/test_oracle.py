@@ -21,9 +21,22 @@ def con():
     return c
 
 
+PYTHON_NODES = ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas",
+                "FlatMapGroupsInPandas", "MapInArrow")
+PYTHON_ALLOWED = {"zip_members"}   # S9 expands archives in mapInPandas
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("key", sorted(E.queries()))
 def test_query(spark, con, key):
     df = E.queries()[key](spark, SF)
+    plan = _plan(df)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    if key not in PYTHON_ALLOWED:
+        assert not any(n in plan for n in PYTHON_NODES), plan
     rows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(key)
     if sql is None:
@@ -37,6 +50,19 @@ def test_query(spark, con, key):
     assert digest(df.columns, rows) == digest(ocols, orows)
 
 
+def test_flagship_plan(spark):
+    df = E.queries()["inspections_total_areas"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # score options, hierarchy cells and working-area cells are broadcast;
+    # the inspection rows are never shuffled for a join
+    assert plan.count("BroadcastHashJoin") >= 3
+    assert "SortMergeJoin" not in plan
+    # the part scan reads only the columns the staging rows use
+    assert "ReadSchema: struct<p_partkey:bigint,p_name:string,p_size:int>" in \
+        df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
