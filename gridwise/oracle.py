@@ -22,6 +22,13 @@ WIJK = ("SELECT CAST(min(s_nationkey) % 7 AS VARCHAR) || right(s_name, 2) AS vol
         "right(s_name, 2) AS code, min(s_name) AS naam FROM supplier GROUP BY right(s_name, 2)")
 SD = "SELECT CAST(r_regionkey AS VARCHAR) AS code, r_name AS naam FROM region"
 
+SQ = ("SELECT c_custkey AS id, right(c_name, 3) AS code, c_name AS naam, "
+      "CAST((c_custkey * 37) % 1000 AS DOUBLE) / 100.0 AS x, "
+      "CAST((c_custkey * 91) % 1000 AS DOUBLE) / 100.0 AS y, "
+      "CAST((c_custkey * 37) % 1000 - 25 AS DOUBLE) / 100.0 AS x0, "
+      "CAST((c_custkey * 91) % 1000 - 25 AS DOUBLE) / 100.0 AS y0, "
+      "CAST((c_custkey * 37) % 1000 + 25 AS DOUBLE) / 100.0 AS x1, "
+      "CAST((c_custkey * 91) % 1000 + 25 AS DOUBLE) / 100.0 AS y1 FROM customer")
 INSIDE_NB = "p.x > n.x0 AND p.x < n.x0 + 2 AND p.y > n.y0 AND p.y < n.y0 + 2"
 
 
@@ -184,11 +191,12 @@ def _corner_rows(src: str, lon0: str, lat0: str, lon1: str, lat1: str) -> str:
         for x, y in ((lon0, lat0), (lon1, lat0), (lon1, lat1), (lon0, lat1)))
 
 
-_DEG_BUURT = ("SELECT 'buurt' AS layer, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, "
-              "n_name AS naam, CAST(470 + (n_nationkey % 5) * 7 AS DOUBLE) / 100.0 AS lon0, "
-              "CAST(5230 + (n_nationkey // 5) * 10 AS DOUBLE) / 100.0 AS lat0, "
-              "CAST(477 + (n_nationkey % 5) * 7 AS DOUBLE) / 100.0 AS lon1, "
-              "CAST(5240 + (n_nationkey // 5) * 10 AS DOUBLE) / 100.0 AS lat1 FROM nation")
+_DEG_BUURT = ("SELECT 'buurt' AS layer, CAST(c_custkey AS VARCHAR) AS code, c_name AS naam, "
+              "CAST(47000 + ((c_custkey * 37) % 1000) * 5 - 25 AS DOUBLE) / 10000.0 AS lon0, "
+              "CAST(522000 + ((c_custkey * 91) % 1000) * 5 - 25 AS DOUBLE) / 10000.0 AS lat0, "
+              "CAST(47000 + ((c_custkey * 37) % 1000) * 5 + 25 AS DOUBLE) / 10000.0 AS lon1, "
+              "CAST(522000 + ((c_custkey * 91) % 1000) * 5 + 25 AS DOUBLE) / 10000.0 AS lat1 "
+              "FROM customer")
 _DEG_SD = ("SELECT 'stadsdeel' AS layer, CAST(r_regionkey AS VARCHAR) AS code, r_name AS naam, "
            "4.7 AS lon0, CAST(5230 + r_regionkey * 10 AS DOUBLE) / 100.0 AS lat0, "
            "5.05 AS lon1, CAST(5240 + r_regionkey * 10 AS DOUBLE) / 100.0 AS lat1 FROM region")
@@ -209,9 +217,9 @@ SQL: dict[str, str] = {
         f"FROM ({PTS}) p JOIN ({NB}) n ON {INSIDE_NB} JOIN ({WA}) w ON p.x > 0 AND p.x < 10 "
         "AND p.y > w.y0 AND p.y < w.y0 + 2",
     "spatial_join_centroids":
-        f"SELECT n.code, n.naam, CAST(n.x0 + 1 AS DOUBLE) AS cx, CAST(n.y0 + 1 AS DOUBLE) AS cy, "
-        f"s.code AS stadsdeelcode, s.naam AS stadsdeelnaam FROM ({NB}) n JOIN ({SDZ}) s "
-        "ON n.x0 + 1 > 0 AND n.x0 + 1 < 10 AND n.y0 + 1 > s.y0 AND n.y0 + 1 < s.y0 + 2",
+        "SELECT q.id, q.code, round(q.x, 6) AS cx, round(q.y, 6) AS cy, "
+        f"s.code AS stadsdeelcode, s.naam AS stadsdeelnaam FROM ({SQ}) q JOIN ({SDZ}) s "
+        "ON q.x > 0 AND q.x < 10 AND q.y > s.y0 AND q.y < s.y0 + 2",
     "st_within":
         f"SELECT p.id, n.code, ({INSIDE_NB}) AS within FROM ({PTS}) p JOIN ({NB}) n "
         "ON p.x >= n.x0 AND p.x <= n.x0 + 2 AND p.y >= n.y0 AND p.y <= n.y0 + 2",
@@ -295,12 +303,11 @@ SQL: dict[str, str] = {
         f"FROM ({BUURT}) b, ({WIJK}) w, ({SD}) s "
         "WHERE s.code = left(b.code, 1) AND w.code = left(b.code, 2)",
     "area_hierarchy_spatial":
-        "SELECT DISTINCT s.code AS stadsdeelcode, s.code || n.code AS buurtcode, "
-        "w.vollcode AS wijkcode, s.naam AS stadsdeelnaam, n.naam AS buurtnaam, "
-        "w.naam AS wijknaam, CAST(n.x0 AS DOUBLE) AS minx, CAST(n.y0 AS DOUBLE) AS miny, "
-        "CAST(n.x0 + 2 AS DOUBLE) AS maxx, CAST(n.y0 + 2 AS DOUBLE) AS maxy "
-        f"FROM ({NB}) n JOIN ({SDZ}) s ON n.x0 + 1 > 0 AND n.x0 + 1 < 10 AND n.y0 + 1 > s.y0 "
-        f"AND n.y0 + 1 < s.y0 + 2 JOIN ({WIJK}) w ON w.code = left(n.code, 2)",
+        "SELECT DISTINCT s.code AS stadsdeelcode, s.code || q.code AS buurtcode, "
+        "w.vollcode AS wijkcode, s.naam AS stadsdeelnaam, q.naam AS buurtnaam, "
+        "w.naam AS wijknaam, q.x0 AS minx, q.y0 AS miny, q.x1 AS maxx, q.y1 AS maxy "
+        f"FROM ({SQ}) q JOIN ({SDZ}) s ON q.x > 0 AND q.x < 10 AND q.y > s.y0 "
+        f"AND q.y < s.y0 + 2 JOIN ({WIJK}) w ON w.code = left(q.code, 2)",
     "explode_types":
         "SELECT s_suppkey AS id, s_name AS name, 'score ' || s_name AS description, "
         "'measure ' || CAST(s_suppkey % 10 AS VARCHAR) AS measuring_desc, "
@@ -356,16 +363,14 @@ SQL: dict[str, str] = {
     "export_csv_semicolon": "SELECT doc_id, text, lang, source FROM documents",
     "export_csv_comma": "SELECT doc_id, text, lang, source FROM documents",
     "export_geojson": (
-        "SELECT code, naam, '{\"type\":\"Polygon\",\"coordinates\":[[' || "
+        "SELECT CAST(id AS VARCHAR) AS code, naam, '{\"type\":\"Polygon\",\"coordinates\":[[' || "
         + " || ',' || ".join(
-            "'[' || CAST(CAST({} AS DOUBLE) AS VARCHAR) || ',' || CAST(CAST({} AS DOUBLE) AS "
-            "VARCHAR) || ']'".format(a, b) for a, b in (
-                ("x0", "y0"), ("x0 + 2", "y0"), ("x0 + 2", "y0 + 2"), ("x0", "y0 + 2"),
-                ("x0", "y0")))
-        + f" || ']]}}' AS geometry FROM ({NB})"),
+            "'[' || CAST({} AS VARCHAR) || ',' || CAST({} AS VARCHAR) || ']'".format(a, b)
+            for a, b in (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0")))
+        + f" || ']]}}' AS geometry FROM ({SQ})"),
     "scan_area_layer":
-        "SELECT code, naam, CAST(x0 AS DOUBLE) AS minx, CAST(y0 AS DOUBLE) AS miny, "
-        f"CAST(x0 + 2 AS DOUBLE) AS maxx, CAST(y0 + 2 AS DOUBLE) AS maxy FROM ({NB})",
+        "SELECT CAST(id AS VARCHAR) AS code, naam, x0 AS minx, y0 AS miny, x1 AS maxx, "
+        f"y1 AS maxy FROM ({SQ})",
     "area_layers": AREA_LAYERS,
     "scan_objects": "SELECT c_custkey, c_name FROM customer",
     "zip_members":

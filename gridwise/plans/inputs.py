@@ -64,6 +64,35 @@ def nb(t: Tables, geom: str = "geom") -> DataFrame:
                     make_box(x0, y0, x0 + 2, y0 + 2, srid=0).alias(geom))
 
 
+def cust_squares(t: Tables, geom: str = "geom") -> DataFrame:
+    """Customers as squares of side 0.5 centred on their point: a polygon
+    layer that grows with the data."""
+    c = t("customer")
+    k = F.col("c_custkey")
+    vx = (k * 37) % 1000
+    vy = (k * 91) % 1000
+    return c.select(k.alias("id"), F.right(F.col("c_name"), F.lit(3)).alias("code"),
+                    F.col("c_name").alias("naam"),
+                    make_box(_h(vx - 25), _h(vy - 25), _h(vx + 25), _h(vy + 25), srid=0)
+                    .alias(geom))
+
+
+def cust_squares_degrees(t: Tables, geom: str = "geom") -> DataFrame:
+    """Customer squares in WGS 84 degrees (side 0.005 deg) around
+    lon = 4.7 + vx/2000, lat = 52.2 + vy/2000."""
+    c = t("customer")
+    k = F.col("c_custkey")
+    vlon = F.lit(47000) + ((k * 37) % 1000) * 5
+    vlat = F.lit(522000) + ((k * 91) % 1000) * 5
+
+    def deg(v):
+        return v.cast("double") / F.lit(10000.0)
+
+    return c.select(k.alias("id"), F.col("c_name").alias("naam"),
+                    make_box(deg(vlon - 25), deg(vlat - 25), deg(vlon + 25), deg(vlat + 25))
+                    .alias(geom))
+
+
 def bands(t: Tables, offset: int, geom: str = "geom") -> DataFrame:
     """Region bands x in (0, 10), y in (2r + offset, 2r + offset + 2)."""
     r = t("region")

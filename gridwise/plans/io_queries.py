@@ -115,8 +115,8 @@ _FEATURE_BACK = "type string, properties struct<code:string, naam:string>, geome
 
 @query
 def export_geojson(spark, sf_dir):
-    nb = I.nb(_t(spark, sf_dir))
-    path = X.export_geojson(nb, work_dir(spark, "nb_geojson"), "geom", ["code", "naam"])
+    sq = I.cust_squares(_t(spark, sf_dir)).withColumn("code", F.col("id").cast("string"))
+    path = X.export_geojson(sq, work_dir(spark, "squares_geojson"), "geom", ["code", "naam"])
     back = spark.read.text(path).select(F.from_json("value", _FEATURE_BACK).alias("f"))
     return back.select(F.col("f.properties.code").alias("code"),
                        F.col("f.properties.naam").alias("naam"),
@@ -127,9 +127,11 @@ def export_geojson(spark, sf_dir):
 def scan_area_layer(spark, sf_dir):
     from gridwise.functions.geometry import bbox
     from gridwise.sources.areas import layer_columns, read_area_layer
-    nb = I.nb(_t(spark, sf_dir)).withColumnRenamed("code", "CODE")
-    path = X.export_geojson(nb, work_dir(spark, "nb_layer"), "geom", ["CODE", "naam"],
-                            collection_size=8)
+    # upper-case property key on purpose: the layer scan lower-cases keys
+    sq = (I.cust_squares(_t(spark, sf_dir)).drop("code")
+          .withColumn("CODE", F.col("id").cast("string")))
+    path = X.export_geojson(sq, work_dir(spark, "squares_layer"), "geom", ["CODE", "naam"],
+                            collection_size=64)
     layer = layer_columns(read_area_layer(spark, path), ["code", "naam"])
     b = bbox(F.col("wkb_geometry"))
     return layer.select("code", "naam", b["minx"].alias("minx"), b["miny"].alias("miny"),
@@ -137,17 +139,11 @@ def scan_area_layer(spark, sf_dir):
 
 
 def degree_layers(t):
-    """Two layers in WGS 84 degrees: nation squares (neighbourhoods) and
-    region bands (districts)."""
+    """Two layers in WGS 84 degrees: customer squares (neighbourhoods, grows
+    with the data) and region bands (districts)."""
     from gridwise.functions.geometry import make_box
-    n = t("nation")
-    k = F.col("n_nationkey")
-    lon0 = (F.lit(470) + (k % 5) * 7).cast("double") / F.lit(100.0)
-    lat0 = (F.lit(5230) + F.floor(k / 5) * 10).cast("double") / F.lit(100.0)
-    lon1 = (F.lit(477) + (k % 5) * 7).cast("double") / F.lit(100.0)
-    lat1 = (F.lit(5240) + F.floor(k / 5) * 10).cast("double") / F.lit(100.0)
-    buurt = n.select(F.lpad(k.cast("string"), 2, "0").alias("code"), F.col("n_name").alias("naam"),
-                     make_box(lon0, lat0, lon1, lat1).alias("geom"))
+    buurt = I.cust_squares_degrees(t).select(F.col("id").cast("string").alias("code"), "naam",
+                                             "geom")
     r = t("region")
     rk = F.col("r_regionkey")
     blat0 = (F.lit(5230) + rk * 10).cast("double") / F.lit(100.0)

@@ -61,10 +61,11 @@ def spatial_join_two_layers(spark, sf_dir):
                                           "gebiedscode", "gebiedsnaam")
 
 
-def _nb_centroids(t):
-    nb = I.nb(t)
+def _square_centroids(t):
+    sq = I.cust_squares(t)
     c = G.st_centroid(F.col("geom"))
-    return nb.withColumn("cx", G.st_x(c)).withColumn("cy", G.st_y(c))
+    return sq.withColumn("_c", c).withColumn("cx", G.st_x("_c")).withColumn(
+        "cy", G.st_y("_c")).drop("_c")
 
 
 @query
@@ -72,8 +73,8 @@ def spatial_join_centroids(spark, sf_dir):
     t = _t(spark, sf_dir)
     s = I.sdz(t).select(F.col("code").alias("stadsdeelcode"),
                         F.col("naam").alias("stadsdeelnaam"), F.col("geom").alias("s_geom"))
-    return (spatial_join(_nb_centroids(t).drop("geom"), s, x="cx", y="cy", geom="s_geom")
-            .select("code", "naam", F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"),
+    return (spatial_join(_square_centroids(t).drop("geom"), s, x="cx", y="cy", geom="s_geom")
+            .select("id", "code", F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"),
                     "stadsdeelcode", "stadsdeelnaam"))
 
 
@@ -310,9 +311,9 @@ def area_hierarchy_prefix(spark, sf_dir):
 @query
 def area_hierarchy_spatial(spark, sf_dir):
     t = _t(spark, sf_dir)
-    nb = I.nb(t, geom="wkb_geometry")
+    sq = I.cust_squares(t, geom="wkb_geometry")
     sd = I.sdz(t, geom="wkb_geometry")
-    out = enrich.area_hierarchy_spatial(nb, sd, I.wijk_codes(t))
+    out = enrich.area_hierarchy_spatial(sq, sd, I.wijk_codes(t))
     b = G.bbox(F.col("wkb_geometry"))
     return out.select("stadsdeelcode", "buurtcode", "wijkcode", "stadsdeelnaam", "buurtnaam",
                       "wijknaam", b["minx"].alias("minx"), b["miny"].alias("miny"),
