@@ -139,8 +139,8 @@ ROUND_ROWS = (
     "SELECT c_custkey, c_name, c_mktsegment, o_orderkey, o_orderdate, o_orderstatus, "
     "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
     "l_returnflag, l_linestatus, l_shipdate, "
-    "CAST((o_orderkey * 37) % 1000 AS DOUBLE) / 100.0 AS gx, "
-    "CAST((o_orderkey * 91) % 1000 AS DOUBLE) / 100.0 AS gy "
+    "CAST(47000 + ((o_orderkey * 37) % 1000) * 5 AS DOUBLE) / 10000.0 AS gx, "
+    "CAST(522000 + ((o_orderkey * 91) % 1000) * 5 AS DOUBLE) / 10000.0 AS gy "
     "FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey"
 )
 ROUND_GEOJSON = ("'{\"type\":\"Point\",\"coordinates\":[' || CAST(gx AS VARCHAR) || ',' || "
@@ -173,6 +173,38 @@ INSPECTION_ROUNDS = (
     f"c_mktsegment AS segment, {ROUND_GEOJSON} AS geojson FROM ({ROUND_ROWS})"
 )
 
+E2E_STAGING = (
+    "SELECT c_custkey AS id, c_name AS inspectionRoundName, "
+    "strftime(o_orderdate, '%Y-%m-%d') AS createdAt, l_suppkey AS creatingUserId, "
+    f"{ROUND_MODIFIED} AS modifiedAt, {ROUND_COMPLETED} AS roundResultCompletedAt, "
+    "l_partkey % 25 AS score, l_suppkey % 5 AS item_id, o_orderkey AS location_id, gx, gy, "
+    f"{_photo(0, 'id')} AS photo_id, {_photo(0, 'uri')} AS photo_uri, "
+    f"{ROUND_GEOJSON} AS geojson FROM ({ROUND_ROWS})"
+)
+E2E_TOTAL = (
+    "SELECT a.createdAt AS inspection_created_at, a.creatingUserId AS creating_user_id, "
+    "a.id AS inspection_round_id, a.inspectionRoundName AS inspection_round_name, "
+    "a.gx AS x, a.gy AS y, a.location_id AS location_id, "
+    "a.modifiedAt AS inspection_round_modified_at, a.photo_id AS photo_id, "
+    "a.photo_uri AS photo_uri, a.roundResultCompletedAt AS inspection_round_completed_at, "
+    "b.description AS score_description, b.inspection_type_id AS inspection_type_id, "
+    "b.inspection_type_name AS inspection_type_name, "
+    "b.measuring_desc AS score_measuring_description, b.name AS score, "
+    "a.gx AS lat, a.gy AS lon, a.geojson "
+    f"FROM ({E2E_STAGING}) a JOIN ({TYPES}) b ON CAST(a.item_id AS VARCHAR) || "
+    "CAST(a.score AS VARCHAR) = CAST(b.inspection_type_id AS VARCHAR) || CAST(b.id AS VARCHAR)"
+)
+E2E = (
+    f"WITH t AS ({rd_sql_stages('(' + E2E_TOTAL + ')', 'lat', 'lon')}) "
+    f"SELECT {TOTAL_COLS}, t.score AS score_id, {TOTAL_COLS2}, round(t.lat, 9) AS lat, "
+    "round(t.lon, 9) AS lon, t.geojson, d.stadsdeelcode, d.stadsdeelnaam, "
+    "g.naam AS gebiedsnaam, g.code AS gebiedscode, d.wijkcode, d.wijknaam, d.buurtnaam, "
+    f"d.buurtcode FROM t JOIN ({HIER6}) d ON t.rd_x > d.x0 AND t.rd_x < d.x0 + 7000 "
+    "AND t.rd_y > d.y0 AND t.rd_y < d.y0 + 11000 "
+    f"JOIN ({G6}) g ON t.rd_x > 108000 AND t.rd_x < 143000 AND t.rd_y > g.y0 "
+    "AND t.rd_y < g.y0 + 11000"
+)
+
 # pages / names ------------------------------------------------------------
 STEP = "regexp_extract(regexp_replace(url, '[?#].*$', ''), '([^/]*)$', 1)"
 EXT = (f"CASE WHEN regexp_matches({STEP}, '.\\.[^.]*$') THEN "
@@ -379,4 +411,5 @@ SQL: dict[str, str] = {
         "WHERE c_custkey // 100 >= 10 GROUP BY c_custkey // 100 "
         "UNION ALL SELECT NULL, NULL, true",
     "inspections_total_areas_stream": FLAGSHIP,
+    "inspections_end_to_end": E2E,
 }

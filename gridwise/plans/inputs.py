@@ -331,8 +331,9 @@ def round_docs(t: Tables, max_results: int = 64, max_inspections: int = 16) -> D
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("createdAt"),
     ], "results", max_size=max_results)
     ok = F.col("o_orderkey")
-    gx = _h((ok * 37) % 1000)
-    gy = _h((ok * 91) % 1000)
+    # WGS 84 degrees: lon = 4.7 + v/2000, lat = 52.2 + w/2000
+    gx = (F.lit(47000) + ((ok * 37) % 1000) * 5).cast("double") / F.lit(10000.0)
+    gy = (F.lit(522000) + ((ok * 91) % 1000) * 5).cast("double") / F.lit(10000.0)
     orders = (o.join(results, o["o_orderkey"] == results["l_orderkey"], "left")
               .select("o_custkey", "o_orderkey",
                       F.coalesce(F.col("_chunk"), F.lit(-1)).alias("_rchunk"),

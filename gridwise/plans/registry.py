@@ -173,6 +173,24 @@ def inspections_total_areas(spark, sf_dir):
     return e.withColumn("lat", F.round("lat", 9)).withColumn("lon", F.round("lon", 9))
 
 
+@query
+def inspections_end_to_end(spark, sf_dir):
+    """The production flow in one plan: nested round documents -> E2 staging
+    rows (area rounds: status F, object rounds: the rest) -> E4 -> E6."""
+    t = _t(spark, sf_dir)
+    staging = inspection_rounds(I.round_docs(t), doc_order=["id", "_doc_chunk"],
+                                with_index=False)
+    final = F.col("status") == "F"
+    area = staging.where(final)
+    obj = staging.where(~final | F.col("status").isNull())
+    types = inspection_types(I.type_docs_region(t), doc_order=["id", "_chunk"],
+                             with_index=False)
+    b6, w6, s6, g6 = I.rd_layers(t)
+    total = enrich.inspections_total(area, obj, types)
+    out = enrich.inspections_total_areas(total, enrich.area_hierarchy(b6, w6, s6), g6)
+    return out.withColumn("lat", F.round("lat", 9)).withColumn("lon", F.round("lon", 9))
+
+
 # ---------------------------------------------------------------------------
 # keys, unions, code joins
 # ---------------------------------------------------------------------------
