@@ -19,7 +19,8 @@ _FEATURE = "type string, properties map<string, string>, geometry string, featur
 
 
 def read_area_layer(spark: SparkSession, path: str, to_srid: int | None = None,
-                    whole_files: bool = False, geom: str = "wkb_geometry") -> DataFrame:
+                    whole_files: bool = False, geom: str = "wkb_geometry",
+                    source_srid: int = 4326) -> DataFrame:
     """GeoJSON features -> rows of lower-cased properties + geometry.
 
     ``whole_files=True`` reads each file as one document (a pretty-printed
@@ -39,7 +40,7 @@ def read_area_layer(spark: SparkSession, path: str, to_srid: int | None = None,
                .select(F.col("d.properties").alias("p"), F.col("d.geometry").alias("g")))
     feats = single.unionByName(members)
     props = F.transform_keys(F.col("p"), lambda k, v: F.lower(k))
-    g = geom_from_geojson(F.col("g"))
+    g = geom_from_geojson(F.col("g"), srid=source_srid)
     if to_srid is not None:
         g = st_transform(g, to_srid)
     return feats.select(props.alias("properties"), g.alias(geom))
@@ -51,8 +52,10 @@ def layer_columns(layer: DataFrame, names: list[str], geom: str = "wkb_geometry"
 
 
 def load_layers(spark: SparkSession, layers: dict[str, str], to_srid: int = 28992,
-                geom: str = "wkb_geometry") -> dict[str, DataFrame]:
+                geom: str = "wkb_geometry", source_srid: int = 4326) -> dict[str, DataFrame]:
     """Every named layer read and reprojected once; returns the frames
-    (write them with ``sinks.tables.replace_table`` to persist)."""
-    return {name: read_area_layer(spark, path, to_srid=to_srid, geom=geom)
+    (write them with ``sinks.tables.replace_table`` to persist).  Layers
+    already in the target system (``source_srid == to_srid``) pass through."""
+    return {name: read_area_layer(spark, path, to_srid=to_srid, geom=geom,
+                                  source_srid=source_srid)
             for name, path in layers.items()}
