@@ -135,7 +135,8 @@ def explode_rounds(docs: DataFrame, mode: str = "failfast",
                    inspections: str = "inspections", results: str = "results",
                    inspection_drop: str = "closingUserDisplayName",
                    result_drop: str = "creatingUserDisplayName",
-                   geometry_path: str = "location.geoJsonFeature.geometry") -> DataFrame:
+                   geometry_path: str = "location.geoJsonFeature.geometry",
+                   redrop: bool = True) -> DataFrame:
     """Round document -> one row per result, with the round merged over each
     inspection and the inspection merged over each result (round wins over
     inspection wins over result).  Before merging, ``inspection_drop`` is
@@ -145,6 +146,10 @@ def explode_rounds(docs: DataFrame, mode: str = "failfast",
 
     Returns a struct column ``rec`` (the merged record, still nested) plus
     ``geojson`` and ordering columns ``_doc``, ``_i``, ``_r``.
+
+    A parent that carries a dropped display name would bring it back through
+    the merge (the original removes the child's copy before merging);
+    ``redrop=True`` removes such names from the merged record as well.
     """
     rtype: StructType = docs.schema
     if inspections not in rtype.fieldNames():
@@ -178,7 +183,8 @@ def explode_rounds(docs: DataFrame, mode: str = "failfast",
         if geo_type is None:
             raise KeyError(f"required field missing: {geometry_path}")
     geojson = _json_value(geo_src, geo_type)
-    insp = insp.dropFields(geometry_path)
+    # an object left empty by the cut flattens to nothing, so drop it whole
+    insp = insp.dropFields(".".join(_empty_after_drop(itype2, steps)))
     itype3 = _drop_path(itype2, steps)
 
     merged_insp = merge_parent_wins(insp, itype3, F.col("_round"), round_type)
@@ -195,16 +201,43 @@ def explode_rounds(docs: DataFrame, mode: str = "failfast",
     res = drop_fields(F.col("_res"), rtype_, (result_drop,), mode)
     rtype2 = StructType([f for f in rtype_.fields if f.name != result_drop])
     rec = merge_parent_wins(res, rtype2, F.col("_m"), itype4)
+    if redrop:
+        merged = _merged_type(rtype2, itype4).fieldNames()
+        again = [n for n in (inspection_drop, result_drop) if n in merged]
+        if again:
+            rec = rec.dropFields(*again)
     return lvl3.select("_doc", "_i", "_r", rec.alias("rec"), "geojson")
 
 
+def _empty_after_drop(t: StructType, steps: list[str]) -> list[str]:
+    """The path to drop so that no struct is left without fields: the
+    shallowest ancestor whose only content is the dropped subtree."""
+    cut = len(steps)
+    node: DataType = t
+    chain = []
+    for st_ in steps:
+        chain.append(node)
+        node = node[st_].dataType
+    for depth in range(len(steps) - 1, 0, -1):
+        if len(chain[depth].fields) == 1:
+            cut = depth
+        else:
+            break
+    return steps[:cut]
+
+
 def _drop_path(t: StructType, steps: list[str]) -> StructType:
+    steps = _empty_after_drop(t, steps)
+    return _drop_exact(t, steps)
+
+
+def _drop_exact(t: StructType, steps: list[str]) -> StructType:
     if len(steps) == 1:
         return StructType([f for f in t.fields if f.name != steps[0]])
     out = []
     for f in t.fields:
         if f.name == steps[0] and isinstance(f.dataType, StructType):
-            out.append(StructField(f.name, _drop_path(f.dataType, steps[1:]), f.nullable))
+            out.append(StructField(f.name, _drop_exact(f.dataType, steps[1:]), f.nullable))
         else:
             out.append(f)
     return StructType(out)

@@ -39,10 +39,12 @@ def dated_file_name(stem: str, run_date: _dt.date | str | None = None,
 
 
 def export_csv(df: DataFrame, output_folder: str, table_name: str, sep: str = ";",
-               run_date=None, single_file: bool = False) -> str:
-    """K4 (``sep=';'``) / K5 (``sep=','``): returns the written path."""
+               run_date=None, single_file: bool = False, limit: int | None = None) -> str:
+    """K4 (``sep=';'``) / K5 (``sep=','``): returns the written path.
+    ``limit`` writes only a preview of that many rows (L1)."""
     path = f"{output_folder.rstrip('/')}/{dated_file_name(table_name, run_date)}"
-    out = df.coalesce(1) if single_file else df
+    out = df.limit(limit) if limit is not None else df
+    out = out.coalesce(1) if single_file else out
     out.write.mode("overwrite").options(**CSV_OPTIONS).option("sep", sep).csv(path)
     return path
 

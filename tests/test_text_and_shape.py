@@ -106,6 +106,20 @@ def test_explode_rounds_merge_and_flatten(spark):
     assert out[1].asDict()["photos.0.id"] is None
 
 
+def test_parent_display_name_is_dropped_again(spark):
+    t = ("struct<id:bigint, closingUserDisplayName:string, inspections:array<struct<"
+         "id:bigint, closingUserDisplayName:string, location:struct<geoJsonFeature:"
+         "struct<geometry:string>>, results:array<struct<id:bigint, "
+         "creatingUserDisplayName:string>>>>>")
+    docs = spark.createDataFrame([((1, "round closer", [(2, "insp closer", ((None,),),
+                                                          [(3, "creator")])]),)],
+                                 f"d {t}").select("d.*")
+    rec_type = shape.explode_rounds(docs).schema["rec"].dataType
+    assert "closingUserDisplayName" not in rec_type.fieldNames()
+    kept = shape.explode_rounds(docs, redrop=False).select("rec.closingUserDisplayName")
+    assert kept.first()[0] == "round closer"
+
+
 def test_explode_rounds_failfast(spark):
     docs = spark.createDataFrame([(1, None)], "id bigint, inspections array<struct<id:bigint>>")
     with pytest.raises(KeyError):
