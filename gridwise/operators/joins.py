@@ -59,6 +59,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return F.broadcast(df) if n <= max_rows and b <= max_bytes else df
 
 
+def in_parallel(*thunks):
+    """Run independent small driver-side measurements (each one Spark job)
+    concurrently; Spark schedules jobs from several threads side by side."""
+    from concurrent.futures import ThreadPoolExecutor
+    if len(thunks) <= 1:
+        return [t() for t in thunks]
+    with ThreadPoolExecutor(max_workers=len(thunks)) as pool:
+        return [f.result() for f in [pool.submit(t) for t in thunks]]
+
+
 def concat_key(*cols, dtypes=None) -> Column:
     """``a::text || b::text`` with database text forms (integral doubles print
     without ``.0``); null in any part -> null key (never matches)."""

@@ -18,8 +18,9 @@ from gridwise.functions.crs import wgs84_to_rd
 from gridwise.functions.geometry import (geom_from_geojson, st_centroid, st_set_srid,
                                          st_x, st_y)
 from gridwise.functions.text import concat_text, str_left, str_right
-from gridwise.operators.joins import broadcast_if_small, join_concat_key, spread, union_all
-from gridwise.operators.spatial_join import spatial_join
+from gridwise.operators.joins import (broadcast_if_small, in_parallel, join_concat_key, spread,
+                                      union_all)
+from gridwise.operators.spatial_join import plan_grid, spatial_join
 from gridwise.session import geometry_plan_settings
 
 
@@ -113,11 +114,11 @@ def area_hierarchy(buurt: DataFrame, wijk: DataFrame, stadsdeel: DataFrame,
     neighbourhood."""
     b = buurt.select(F.col("code").alias("_b_code"), F.col("naam").alias("buurtnaam"),
                      *([F.col(geom)] if geom else []))
-    w = broadcast_if_small(wijk.select(F.col("vollcode").alias("wijkcode"),
-                                       F.col("naam").alias("wijknaam")))
+    w0 = wijk.select(F.col("vollcode").alias("wijkcode"), F.col("naam").alias("wijknaam"))
+    s0 = stadsdeel.select(F.col("code").alias("stadsdeelcode"),
+                          F.col("naam").alias("stadsdeelnaam"))
+    w, s = in_parallel(lambda: broadcast_if_small(w0), lambda: broadcast_if_small(s0))
     a = b.join(w, str_right(F.col("wijkcode"), 2) == str_left(F.col("_b_code"), 2), "left")
-    s = broadcast_if_small(stadsdeel.select(F.col("code").alias("stadsdeelcode"),
-                                            F.col("naam").alias("stadsdeelnaam")))
     d = a.join(s, F.col("stadsdeelcode") == str_left(F.col("wijkcode"), 1), "left")
     return d.select("stadsdeelnaam", "stadsdeelcode", "wijknaam", "wijkcode", "buurtnaam",
                     concat_text(F.col("stadsdeelcode"), F.col("_b_code")).alias("buurtcode"),
@@ -189,11 +190,15 @@ def inspections_total_areas(total: DataFrame, hierarchy: DataFrame,
     As published, ``score_id`` repeats the score *name*; ``keep_score_id``
     keeps the numeric id instead."""
     pts = rd_point(total.drop("geom"))
-    e = spatial_join(pts, hierarchy, x="_rd_x", y="_rd_y", geom=hierarchy_geom, how=how)
     g = working_areas.select(F.col("naam").alias("gebiedsnaam"),
                              F.col("code").alias("gebiedscode"),
                              F.col(area_geom).alias("_g_geom"))
-    out = spatial_join(e, g, x="_rd_x", y="_rd_y", geom="_g_geom", how=how)
+    # both layers are measured at once (two small jobs side by side)
+    grid_d, grid_g = in_parallel(lambda: plan_grid(hierarchy, hierarchy_geom),
+                                 lambda: plan_grid(g, "_g_geom"))
+    e = spatial_join(pts, hierarchy, x="_rd_x", y="_rd_y", geom=hierarchy_geom, how=how,
+                     grid=grid_d)
+    out = spatial_join(e, g, x="_rd_x", y="_rd_y", geom="_g_geom", how=how, grid=grid_g)
     if not keep_score_id:
         out = out.withColumn("score_id", F.col("score"))
     return out.select(*TOTAL_AREAS_COLUMNS)
