@@ -209,6 +209,23 @@ def explode_rounds(docs: DataFrame, mode: str = "failfast",
     return lvl3.select("_doc", "_i", "_r", rec.alias("rec"), "geojson")
 
 
+def round_problems(docs: DataFrame, doc_key: str = "id", inspections: str = "inspections",
+                   results: str = "results") -> DataFrame:
+    """The reject list of ``mode='permissive'``: every round without an
+    ``inspections`` list and every inspection without a ``results`` list —
+    the documents a fail-fast run stops on.  Columns: the document key, the
+    inspection position (null for round-level problems) and the problem."""
+    rounds = docs.where(F.col(inspections).isNull()).select(
+        F.col(doc_key).alias("doc"), F.lit(None).cast("int").alias("inspection"),
+        F.lit(f"missing {inspections}").alias("problem"))
+    insp = (docs.where(F.col(inspections).isNotNull())
+            .select(F.col(doc_key).alias("doc"), F.posexplode(inspections).alias("pos", "i"))
+            .where(F.col("i")[results].isNull())
+            .select("doc", F.col("pos").alias("inspection"),
+                    F.lit(f"missing {results}").alias("problem")))
+    return rounds.unionByName(insp)
+
+
 def _empty_after_drop(t: StructType, steps: list[str]) -> list[str]:
     """The path to drop so that no struct is left without fields: the
     shallowest ancestor whose only content is the dropped subtree."""

@@ -120,6 +120,22 @@ def test_parent_display_name_is_dropped_again(spark):
     assert kept.first()[0] == "round closer"
 
 
+def test_permissive_rounds_and_rejects(spark):
+    t = ("struct<id:bigint, inspections:array<struct<id:bigint, closingUserDisplayName:string, "
+         "location:struct<geoJsonFeature:struct<type:string, geometry:string>>, "
+         "results:array<struct<id:bigint, creatingUserDisplayName:string>>>>>")
+    rows = [((1, [(10, "c", (("Feature", None),), [(100, "u")]),
+                  (11, "c", (("Feature", None),), None)]),),
+            ((2, None),)]
+    docs = spark.createDataFrame(rows, f"d {t}").select("d.*")
+    kept = shape.explode_rounds(docs, mode="permissive").collect()
+    assert len(kept) == 1 and kept[0].geojson == "null"
+    probs = sorted((r.doc, r.inspection, r.problem) for r in shape.round_problems(docs).collect())
+    assert probs == [(1, 1, "missing results"), (2, None, "missing inspections")]
+    with pytest.raises(Exception):
+        shape.explode_rounds(docs).collect()
+
+
 def test_explode_rounds_failfast(spark):
     docs = spark.createDataFrame([(1, None)], "id bigint, inspections array<struct<id:bigint>>")
     with pytest.raises(KeyError):
