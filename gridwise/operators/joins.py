@@ -36,8 +36,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     the cluster's parallelism) before CPU-heavy per-row work, but only when
     the input has fewer partitions than that — a large input keeps its scan
     partitioning and no shuffle is added."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (Spark Connect: no RDD API; leave as is)
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def measured_size(df: DataFrame, row_bytes: Column | None = None) -> tuple[int, int]:

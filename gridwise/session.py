@@ -53,19 +53,26 @@ def geometry_plan_settings(spark: SparkSession) -> None:
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; set one if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext)
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         # Only reached outside a cluster (tests, local bench): no shared
         # folder was configured, so a scratch folder on this host is the
         # shared folder.
         configured = tempfile.mkdtemp(prefix="gridwise-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    spark.conf.set("spark.checkpoint.dir", configured)
+    return configured
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
