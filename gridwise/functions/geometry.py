@@ -25,7 +25,6 @@ GEOM_TYPE = StructType([
     StructField("dim", IntegerType()),
     StructField("parts", PARTS_TYPE),
 ])
-EDGE_TYPE = StructType([StructField(n, DoubleType()) for n in ("x1", "y1", "x2", "y2")])
 
 DEFAULT_SRID = 4326
 
