@@ -39,7 +39,12 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus)
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # stage and task times for later inspection, written to a scratch folder
+        extra = {"spark__eventLog__enabled": "true",
+                 "spark__eventLog__dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, **extra)
     qs = all_queries()
     names = [q for q in HEADLINE if q in qs]
     warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")

@@ -91,3 +91,36 @@ def test_plan_has_equi_join_not_cartesian(spark):
         assert "CartesianProduct" not in plan
         assert "BroadcastNestedLoopJoin" not in plan
         assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+
+
+def _star(cx, cy, r_out, r_in, n):
+    import math
+    pts = []
+    for k in range(2 * n):
+        r = r_out if k % 2 == 0 else r_in
+        a = math.pi * k / n
+        pts.append((round(cx + r * math.cos(a), 6), round(cy + r * math.sin(a), 6)))
+    return pts + [pts[0]]
+
+
+def test_many_vertex_stars_and_multipolygons(spark):
+    rng = random.Random(11)
+    polys = []
+    for i in range(25):
+        cx, cy = rng.uniform(5, 45), rng.uniform(5, 45)
+        rings = [_star(cx, cy, rng.uniform(3, 8), rng.uniform(1, 3), rng.randint(20, 120))]
+        polys.append((i, [rings] if i % 4 else [rings, [_star(cx + 20, cy, 2, 1, 15)]]))
+    pts = [(j, rng.uniform(0, 70), rng.uniform(0, 50)) for j in range(800)]
+
+    def gj(parts):
+        body = ",".join("[" + ",".join("[" + ",".join(f"[{x},{y}]" for x, y in r) + "]"
+                                         for r in part) + "]" for part in parts)
+        return '{"type":"MultiPolygon","coordinates":[' + body + ']}'
+
+    pdf = spark.createDataFrame(pts, "pid long, x double, y double")
+    gdf = spark.createDataFrame([(i, gj(p)) for i, p in polys], "gid long, t string") \
+        .select("gid", geom_from_geojson(F.col("t")).alias("geom"))
+    got = sorted((r.pid, r.gid) for r in spatial_join(pdf, gdf).select("pid", "gid").collect())
+    want = sorted((pid, gid) for pid, x, y in pts for gid, parts in polys
+                  if any(_inside(x, y, part) for part in parts))
+    assert got == want
