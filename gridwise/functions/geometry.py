@@ -219,56 +219,72 @@ def bbox(geom) -> Column:
     return let(vertices(geom), box)
 
 
-def _ring_stats(ring: Column, sign: Column, x0: Column, y0: Column) -> Column:
-    """One pass over a ring: twice signed area and first moments (shoelace,
-    closing edge included), segment lengths and length moments (open path),
-    and the vertex sum.  Coordinates are taken relative to (x0, y0)."""
+def _ring_area(ring: Column, sign: Column, x0: Column, y0: Column) -> Column:
+    """One pass over a ring (closing edge included): weight = signed area and
+    the first moments, coordinates relative to (x0, y0)."""
     init = F.struct(
         F.lit(0.0).alias("a2"), F.lit(0.0).alias("sx"), F.lit(0.0).alias("sy"),
-        F.lit(0.0).alias("l"), F.lit(0.0).alias("lx"), F.lit(0.0).alias("ly"),
-        F.lit(0.0).alias("n"), F.lit(0.0).alias("px_sum"), F.lit(0.0).alias("py_sum"),
         F.lit(None).cast("double").alias("px"), F.lit(None).cast("double").alias("py"),
         F.lit(None).cast("double").alias("fx"), F.lit(None).cast("double").alias("fy"))
 
     def step(acc, p):
         xj = p["x"] - x0
         yj = p["y"] - y0
-        first = acc["px"].isNull()
         xi = F.coalesce(acc["px"], xj)
         yi = F.coalesce(acc["py"], yj)
         cross = xi * yj - xj * yi
-        seg = F.sqrt((xj - xi) * (xj - xi) + (yj - yi) * (yj - yi))
         return F.struct(
             (acc["a2"] + cross).alias("a2"),
             (acc["sx"] + (xi + xj) * cross).alias("sx"),
             (acc["sy"] + (yi + yj) * cross).alias("sy"),
-            (acc["l"] + seg).alias("l"),
-            (acc["lx"] + seg * (xi + xj) / 2.0).alias("lx"),
-            (acc["ly"] + seg * (yi + yj) / 2.0).alias("ly"),
-            (acc["n"] + 1.0).alias("n"),
-            (acc["px_sum"] + xj).alias("px_sum"),
-            (acc["py_sum"] + yj).alias("py_sum"),
             xj.alias("px"), yj.alias("py"),
-            F.when(first, xj).otherwise(acc["fx"]).alias("fx"),
-            F.when(first, yj).otherwise(acc["fy"]).alias("fy"))
+            F.coalesce(acc["fx"], xj).alias("fx"), F.coalesce(acc["fy"], yj).alias("fy"))
 
     def finish(acc):
-        # closing edge last -> first for the area terms only
         xi, yi, xj, yj = acc["px"], acc["py"], acc["fx"], acc["fy"]
         cross = F.coalesce(xi * yj - xj * yi, F.lit(0.0))
         a2 = acc["a2"] + cross
         sx = acc["sx"] + F.coalesce((xi + xj) * cross, F.lit(0.0))
         sy = acc["sy"] + F.coalesce((yi + yj) * cross, F.lit(0.0))
-        return F.struct(
-            (sign * F.abs(a2) / 2.0).alias("w"),
-            (sign * F.signum(a2) * sx / 6.0).alias("cx"),
-            (sign * F.signum(a2) * sy / 6.0).alias("cy"),
-            acc["l"].alias("l"), acc["lx"].alias("lx"), acc["ly"].alias("ly"),
-            acc["n"].alias("n"), acc["px_sum"].alias("px_sum"), acc["py_sum"].alias("py_sum"))
+        return F.struct((sign * F.abs(a2) / 2.0).alias("w"),
+                        (sign * F.signum(a2) * sx / 6.0).alias("cx"),
+                        (sign * F.signum(a2) * sy / 6.0).alias("cy"))
 
     return F.aggregate(ring, init, step, finish)
 
 
+def _ring_length(ring: Column, x0: Column, y0: Column) -> Column:
+    """Segment lengths and length-weighted midpoints along a ring/line."""
+    init = F.struct(F.lit(0.0).alias("l"), F.lit(0.0).alias("lx"), F.lit(0.0).alias("ly"),
+                    F.lit(None).cast("double").alias("px"),
+                    F.lit(None).cast("double").alias("py"))
+
+    def step(acc, p):
+        xj = p["x"] - x0
+        yj = p["y"] - y0
+        xi = F.coalesce(acc["px"], xj)
+        yi = F.coalesce(acc["py"], yj)
+        seg = F.sqrt((xj - xi) * (xj - xi) + (yj - yi) * (yj - yi))
+        return F.struct((acc["l"] + seg).alias("l"),
+                        (acc["lx"] + seg * (xi + xj) / 2.0).alias("lx"),
+                        (acc["ly"] + seg * (yi + yj) / 2.0).alias("ly"),
+                        xj.alias("px"), yj.alias("py"))
+
+    return F.aggregate(ring, init, step)
+
+
+def _sum3(arr: Column, term) -> Column:
+    """Element-wise sums of three terms over an array, in one pass."""
+    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("a", "b", "c")])
+
+    def step(acc, e):
+        ta, tb, tc = term(e)
+        return F.struct((acc["a"] + ta).alias("a"), (acc["b"] + tb).alias("b"),
+                        (acc["c"] + tc).alias("c"))
+
+    return F.aggregate(arr, zero, step)
+
+
 @memo_expr
 def st_centroid(geom) -> Column:
     """``ST_Centroid``: centre of mass of the highest dimension present.
@@ -292,52 +308,68 @@ def _centroid_of(g: Column) -> Column:
 
 
 def _centroid_at(g: Column, origin: Column) -> Column:
+    """Area centroid for areas; only when that is undefined (lines, zero
+    area) the length-weighted centroid; only when that is undefined too the
+    mean of the vertices.  Each fallback pass runs only when it is needed."""
     x0 = origin["x"]
     y0 = origin["y"]
-    rings = F.flatten(F.transform(
+    rings = F.flatten(g["parts"])
+    signed = F.flatten(F.transform(
         g["parts"],
         lambda part: F.transform(part, lambda r, i: F.struct(
             r.alias("r"), F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("s")))))
-    zero = F.struct(*[F.lit(0.0).alias(n) for n in
-                      ("w", "cx", "cy", "l", "lx", "ly", "n", "px_sum", "py_sum")])
-
-    def add(acc, rs):
-        st = _ring_stats(rs["r"], rs["s"], x0, y0)
-        return F.struct(*[(acc[n] + st[n]).alias(n) for n in
-                          ("w", "cx", "cy", "l", "lx", "ly", "n", "px_sum", "py_sum")])
-
-    def finish(t):
-        dim = g["dim"]
-        by_area = (dim == 2) & (t["w"] != 0.0)
-        by_length = (dim >= 1) & (t["l"] > 0.0)
-        by_points = t["n"] > 0.0
-        cx = (F.when(by_area, t["cx"] / F.when(by_area, t["w"]))
-              .when(by_length, t["lx"] / F.when(by_length, t["l"]))
-              .when(by_points, t["px_sum"] / F.when(by_points, t["n"])))
-        cy = (F.when(by_area, t["cy"] / F.when(by_area, t["w"]))
-              .when(by_length, t["ly"] / F.when(by_length, t["l"]))
-              .when(by_points, t["py_sum"] / F.when(by_points, t["n"])))
-        return F.struct((cx + x0).alias("x"), (cy + y0).alias("y"))
-
-    def point(c):
-        parts = F.when(c["x"].isNull(), _empty_parts()).otherwise(F.array(F.array(F.array(c))))
+
+    def point(x, y):
+        return F.struct((x + x0).alias("x"), (y + y0).alias("y"))
+
+    def ratio(t, num, den, positive):
+        ok = t[den] > 0 if positive else t[den] != 0.0
+        return F.when(ok, point(t[num[0]] / F.when(ok, t[den]), t[num[1]] / F.when(ok, t[den])))
+
+    def by_points():
+        vs = F.flatten(rings)
+        return let(_sum3(vs, lambda p: (p["x"] - x0, p["y"] - y0, F.lit(1.0))),
+                   lambda t: ratio(t, ("a", "b"), "c", True))
+
+    def by_length():
+        lens = F.transform(rings, lambda r: _ring_length(r, x0, y0))
+        return let(_sum3(lens, lambda e: (e["l"], e["lx"], e["ly"])),
+                   lambda t: F.coalesce(ratio(t, ("b", "c"), "a", True), by_points()))
+
+    def by_area():
+        areas = F.transform(signed, lambda rs: _ring_area(rs["r"], rs["s"], x0, y0))
+        return let(_sum3(areas, lambda e: (e["w"], e["cx"], e["cy"])),
+                   lambda t: F.coalesce(ratio(t, ("b", "c"), "a", False), by_length()))
+
+    dim = g["dim"]
+    c = F.when(dim == 2, by_area()).when(dim == 1, by_length()).otherwise(by_points())
+
+    def as_geom(cc):
+        parts = F.when(cc.isNull() | cc["x"].isNull(), _empty_parts()).otherwise(
+            F.array(F.array(F.array(cc))))
         return F.when(g.isNull(), F.lit(None).cast(GEOM_TYPE)).otherwise(
             F.struct(g["srid"].alias("srid"), F.lit(0).alias("dim"), parts.alias("parts")))
 
-    return let(F.aggregate(rings, zero, add, finish), point)
+    return let(c, as_geom)
 
 
 @memo_expr
 def polygon_edges(geom) -> Column:
-    """All ring edges of a geometry as array<struct<x1,y1,x2,y2>> (each ring
-    closed back to its first vertex).  Computed once per polygon so that the
-    per-pair containment test is a single pass over a flat array."""
+    """All ring edges of a geometry as array<struct<x1,y1,dx,dy,y2,minx,maxx,
+    miny,maxy>> (each ring closed back to its first vertex).  Computed once
+    per polygon, so the per-pair containment test is one cheap pass over a
+    flat array with everything that depends only on the edge precomputed."""
     rings = F.flatten(_c(geom)["parts"])
-    return F.flatten(F.transform(rings, lambda r: F.transform(
-        r, lambda p, k: F.struct(
+
+    def edge(r, p, k):
+        return let(F.get(r, (k + 1) % F.size(r)), lambda q: F.struct(
             p["x"].alias("x1"), p["y"].alias("y1"),
-            F.get(r, (k + 1) % F.size(r))["x"].alias("x2"),
-            F.get(r, (k + 1) % F.size(r))["y"].alias("y2")))))
+            (q["x"] - p["x"]).alias("dx"), (q["y"] - p["y"]).alias("dy"),
+            q["y"].alias("y2"),
+            F.least(p["x"], q["x"]).alias("minx"), F.greatest(p["x"], q["x"]).alias("maxx"),
+            F.least(p["y"], q["y"]).alias("miny"), F.greatest(p["y"], q["y"]).alias("maxy")))
+
+    return F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p, k: edge(r, p, k))))
 
 
 @memo_expr
@@ -346,7 +378,8 @@ def within_edges(px, py, edges) -> Column:
 
     A point on any edge — outer boundary or hole — is not within.  The
     crossing test is written without division so that horizontal edges need
-    no special case.
+    no special case.  The accumulator is one integer: the crossing count,
+    or -1 once the point is found on an edge.
     """
     return let(F.struct(_c(px).cast("double").alias("x"), _c(py).cast("double").alias("y")),
                lambda p: _within_at(p["x"], p["y"], _c(edges)))
@@ -354,20 +387,14 @@ def within_edges(px, py, edges) -> Column:
 
 def _within_at(x: Column, y: Column, edges: Column) -> Column:
     def step(acc, e):
-        x1, y1, x2, y2 = e["x1"], e["y1"], e["x2"], e["y2"]
-        d = y2 - y1
-        straddles = (y1 > y) != (y2 > y)
-        left_of = ((x - x1) * d - (x2 - x1) * (y - y1)) * d < 0
-        on_line = ((x2 - x1) * (y - y1) - d * (x - x1)) == 0
-        in_box = ((x >= F.least(x1, x2)) & (x <= F.greatest(x1, x2))
-                  & (y >= F.least(y1, y2)) & (y <= F.greatest(y1, y2)))
-        return F.struct(
-            (acc["n"] + F.when(straddles & left_of, F.lit(1)).otherwise(F.lit(0))).alias("n"),
-            (acc["on"] | (on_line & in_box)).alias("on"))
-
-    init = F.struct(F.lit(0).alias("n"), F.lit(False).alias("on"))
-    return F.aggregate(edges, init, step,
-                       lambda acc: ((acc["n"] % 2) == 1) & ~acc["on"])
+        cross = (x - e["x1"]) * e["dy"] - e["dx"] * (y - e["y1"])
+        on_edge = ((cross == 0) & (x >= e["minx"]) & (x <= e["maxx"])
+                   & (y >= e["miny"]) & (y <= e["maxy"]))
+        straddles = (e["y1"] > y) != (e["y2"] > y)
+        return (F.when(acc < 0, acc).when(on_edge, F.lit(-1))
+                .when(straddles & (cross * e["dy"] < 0), acc + 1).otherwise(acc))
+
+    return F.aggregate(edges, F.lit(0), step, lambda acc: (acc >= 0) & ((acc % 2) == 1))
 
 
 @memo_expr
