@@ -18,6 +18,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
 
+# ---------------------------------------------------------------------------
+# Field names of the inspection API documents.
+#   type documents:   id, inspectionItemName, inspectionItemOptions
+#   round documents:  inspections -> results; inspections carry
+#                     closingUserDisplayName and location.geoJsonFeature.geometry,
+#                     results carry creatingUserDisplayName
+# ---------------------------------------------------------------------------
+TYPE_OPTIONS = "inspectionItemOptions"
+TYPE_NAME = "inspectionItemName"
+ROUND_INSPECTIONS = "inspections"
+INSPECTION_RESULTS = "results"
+INSPECTION_DROP = "closingUserDisplayName"
+RESULT_DROP = "creatingUserDisplayName"
+GEOMETRY_PATH = "location.geoJsonFeature.geometry"
+
+
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -35,8 +51,8 @@ def _require(col: Column, what: str, mode: str) -> Column:
     raise ValueError("mode must be 'failfast' or 'permissive'")
 
 
-def explode_types(docs: DataFrame, options: str = "inspectionItemOptions",
-                  type_id: str = "id", type_name: str = "inspectionItemName",
+def explode_types(docs: DataFrame, options: str = TYPE_OPTIONS,
+                  type_id: str = "id", type_name: str = TYPE_NAME,
                   mode: str = "failfast", doc_order: str | None = None) -> DataFrame:
     """One row per option of each inspection-type document, with the parent's
     id and name added as ``inspection_type_id``/``inspection_type_name``
@@ -132,10 +148,10 @@ def _json_value(c: Column, dtype: DataType) -> Column:
 
 def explode_rounds(docs: DataFrame, mode: str = "failfast",
                    doc_order: list[str] | str | None = None,
-                   inspections: str = "inspections", results: str = "results",
-                   inspection_drop: str = "closingUserDisplayName",
-                   result_drop: str = "creatingUserDisplayName",
-                   geometry_path: str = "location.geoJsonFeature.geometry",
+                   inspections: str = ROUND_INSPECTIONS, results: str = INSPECTION_RESULTS,
+                   inspection_drop: str = INSPECTION_DROP,
+                   result_drop: str = RESULT_DROP,
+                   geometry_path: str = GEOMETRY_PATH,
                    redrop: bool = True) -> DataFrame:
     """Round document -> one row per result, with the round merged over each
     inspection and the inspection merged over each result (round wins over
@@ -209,8 +225,8 @@ def explode_rounds(docs: DataFrame, mode: str = "failfast",
     return lvl3.select("_doc", "_i", "_r", rec.alias("rec"), "geojson")
 
 
-def round_problems(docs: DataFrame, doc_key: str = "id", inspections: str = "inspections",
-                   results: str = "results") -> DataFrame:
+def round_problems(docs: DataFrame, doc_key: str = "id", inspections: str = ROUND_INSPECTIONS,
+                   results: str = INSPECTION_RESULTS) -> DataFrame:
     """The reject list of ``mode='permissive'``: every round without an
     ``inspections`` list and every inspection without a ``results`` list —
     the documents a fail-fast run stops on.  Columns: the document key, the

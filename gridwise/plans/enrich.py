@@ -28,6 +28,11 @@ def _q(name: str) -> str:
     return f"`{name}`"
 
 
+# ---------------------------------------------------------------------------
+# The staging field names the loader produces and the column
+# names of the published tables, in published order.  They must equal the
+# original's names for the output to be a drop-in replacement.
+# ---------------------------------------------------------------------------
 # staging column -> published name (inspections_total, in published order)
 TOTAL_FROM_STAGING = [
     ("createdAt", "inspection_created_at"),

@@ -25,6 +25,8 @@ from gridwise.sinks.tables import replace_table, scan_table  # noqa: F401 (re-ex
 from gridwise.sources.areas import layer_columns, load_layers
 from gridwise.sources.documents import read_json_text
 
+# The names of the four area layers of the upstream map
+# service and the property columns used from each.
 LAYER_COLUMNS = {
     "stadsdeel": ["code", "naam"],
     "buurt": ["code", "naam"],
