@@ -115,40 +115,34 @@ def _s(**cols) -> Column:
 @memo_expr
 def wgs84_to_rd(lon, lat) -> Column:
     """struct<x, y> in EPSG:28992 for WGS 84 longitude/latitude in degrees."""
-    start = _s(lam=F.radians(_col(lon).cast("double")), phi=F.radians(_col(lat).cast("double")))
-
-    def geocentric(a):
-        sphi, cphi = F.sin(a["phi"]), F.cos(a["phi"])
-        return _s(lam=a["lam"], sphi=sphi, cphi=cphi,
-                  nu=F.lit(WGS84_A) / F.sqrt(1.0 - P.e2_w * sphi * sphi))
+    lam = F.radians(_col(lon).cast("double"))
+    phi = F.radians(_col(lat).cast("double"))
+    # stage boundaries only where a value is reused heavily; cheap values
+    # are recomputed inline (fewer bindings per row)
+    start = _s(lam=lam, sphi=F.sin(phi), cphi=F.cos(phi))
 
     def shifted(b):
-        # inverse Helmert: X_a = R^T (X_w - T) / scale
-        ux = (b["nu"] * b["cphi"] * F.cos(b["lam"]) - P.tx) / P.scale
-        uy = (b["nu"] * b["cphi"] * F.sin(b["lam"]) - P.ty) / P.scale
-        uz = (b["nu"] * (1.0 - P.e2_w) * b["sphi"] - P.tz) / P.scale
+        # geocentric (h = 0), then inverse Helmert: X_a = R^T (X_w - T) / scale
+        nu = F.lit(WGS84_A) / F.sqrt(1.0 - P.e2_w * b["sphi"] * b["sphi"])
+        ux = (nu * b["cphi"] * F.cos(b["lam"]) - P.tx) / P.scale
+        uy = (nu * b["cphi"] * F.sin(b["lam"]) - P.ty) / P.scale
+        uz = (nu * (1.0 - P.e2_w) * b["sphi"] - P.tz) / P.scale
         return _s(ux=ux, uy=uy, uz=uz)
 
-    def rotated(u):
-        return _s(ax=u["ux"] + P.rz * u["uy"] - P.ry * u["uz"],
-                  ay=-P.rz * u["ux"] + u["uy"] + P.rx * u["uz"],
-                  az=P.ry * u["ux"] - P.rx * u["uy"] + u["uz"])
-
-    def bowring(c):
-        p = F.sqrt(c["ax"] * c["ax"] + c["ay"] * c["ay"])
-        return _s(ax=c["ax"], ay=c["ay"], az=c["az"], p=p,
-                  th=F.atan2(c["az"] * BESSEL_A, p * P.b_b))
+    def bowring(u):
+        ax = u["ux"] + P.rz * u["uy"] - P.ry * u["uz"]
+        ay = -P.rz * u["ux"] + u["uy"] + P.rx * u["uz"]
+        az = P.ry * u["ux"] - P.rx * u["uy"] + u["uz"]
+        p = F.sqrt(ax * ax + ay * ay)
+        return _s(ax=ax, ay=ay, az=az, p=p, th=F.atan2(az * BESSEL_A, p * P.b_b))
 
-    def first_lat(d):
+    def refined(d):
         st, ct = F.sin(d["th"]), F.cos(d["th"])
-        return _s(ax=d["ax"], ay=d["ay"], az=d["az"], p=d["p"],
-                  s0=F.sin(F.atan2(d["az"] + P.ep2_b * P.b_b * st * st * st,
-                                   d["p"] - P.e2_b * BESSEL_A * ct * ct * ct)))
-
-    def refined(e):
-        nu_b = F.lit(BESSEL_A) / F.sqrt(1.0 - P.e2_b * e["s0"] * e["s0"])
-        phi_b = F.atan2(e["az"] + P.e2_b * nu_b * e["s0"], e["p"])
-        return _s(sp=F.sin(phi_b), dl=P.n * (F.atan2(e["ay"], e["ax"]) - P.lam0))
+        s0 = F.sin(F.atan2(d["az"] + P.ep2_b * P.b_b * F.pow(st, 3),
+                           d["p"] - P.e2_b * BESSEL_A * F.pow(ct, 3)))
+        nu_b = F.lit(BESSEL_A) / F.sqrt(1.0 - P.e2_b * s0 * s0)
+        phi_b = F.atan2(d["az"] + P.e2_b * nu_b * s0, d["p"])
+        return _s(sp=F.sin(phi_b), dl=P.n * (F.atan2(d["ay"], d["ax"]) - P.lam0))
 
     def conformal(f):
         sp = f["sp"]
@@ -165,8 +159,7 @@ def wgs84_to_rd(lon, lat) -> Column:
                                            - h["cc"] * P.sin_chi0 * h["cdl"]) / bden
         return _s(x=x, y=y)
 
-    return chain(start, geocentric, shifted, rotated, bowring, first_lat, refined,
-                 conformal, projected)
+    return chain(start, shifted, bowring, refined, conformal, projected)
 
 
 @memo_expr
