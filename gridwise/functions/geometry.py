@@ -136,8 +136,12 @@ def _from_head(txt: Column, head: Column, srid: int, on_error: str) -> Column:
     dim, parts = _dispatch(gtype, head["coordinates"])
 
     def collection(members):
+        # members are taken one level deep; a nested collection or a member
+        # of unknown type makes the whole geometry invalid (null dim)
+        invalid = F.exists(members, lambda m: m["dim"].isNull())
         return let(F.array_max(F.transform(members, lambda m: m["dim"])), lambda top: F.struct(
-            F.coalesce(top, F.lit(0)).alias("dim"),
+            F.when(invalid, F.lit(None).cast("int"))
+            .otherwise(F.coalesce(top, F.lit(0))).alias("dim"),
             F.coalesce(F.flatten(F.transform(F.filter(members, lambda m: m["dim"] == top),
                                              lambda m: m["parts"])), _empty_parts())
             .alias("parts")))

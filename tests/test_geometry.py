@@ -90,6 +90,15 @@ def test_bad_geojson(spark):
         df.select(G.geom_from_geojson(F.col("t")).alias("g")).collect()
 
 
+def test_nested_collection_is_invalid(spark):
+    t = ('{"type":"GeometryCollection","geometries":[{"type":"GeometryCollection",'
+         '"geometries":[{"type":"Point","coordinates":[1,1]}]}]}')
+    df = spark.createDataFrame([(t,)], "t string")
+    assert df.select(G.geom_from_geojson(F.col("t"), on_error="null").alias("g")).first().g is None
+    with pytest.raises(Exception):
+        df.select(G.geom_from_geojson(F.col("t")).alias("g")).collect()
+
+
 def test_geojson_round_trip(spark):
     texts = [t for t, _ in CENTROIDS[:7]]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
