@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridwise.functions.geometry import geom_from_geojson, make_box
+from gridwise.operators.joins import broadcast_if_small
 from gridwise.operators.nesting import nest
 
 
@@ -266,7 +267,8 @@ def type_docs_supplier(t: Tables) -> DataFrame:
         F.concat(F.lit("score "), F.col("s_name")).alias("description"),
         F.concat(F.lit("measure "), _txt(F.col("s_suppkey") % 10)).alias("measuring_desc"),
     ], "inspectionItemOptions", max_size=64)
-    return (opts.join(F.broadcast(n), opts["s_nationkey"] == n["n_nationkey"], "inner")
+    n = broadcast_if_small(n)
+    return (opts.join(n, opts["s_nationkey"] == n["n_nationkey"], "inner")
             .select(F.col("s_nationkey").cast("bigint").alias("id"),
                     F.col("n_name").alias("inspectionItemName"),
                     "_chunk", "inspectionItemOptions"))
