@@ -47,6 +47,6 @@ def with_row_index(df: DataFrame, order_cols: list[str], name: str = "idx",
     off_df = spark.createDataFrame(offsets, StructType([
         StructField("_pid", LongType(), False), StructField("_off", LongType(), False)]))
     return (laid.withColumn("_pid", F.shiftright(F.col("_mid"), 33))
-            .join(F.broadcast(off_df), "_pid")
+            .join(F.broadcast(off_df), "_pid")   # one row per partition: bounded
             .withColumn(name, F.col("_off") + (F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))))
             .drop("_pid", "_off", "_mid"))
