@@ -386,10 +386,12 @@ def within_edges(px, py, edges) -> Column:
     or -1 once the point is found on an edge.
     """
     return let(F.struct(_c(px).cast("double").alias("x"), _c(py).cast("double").alias("y")),
-               lambda p: _within_at(p["x"], p["y"], _c(edges)))
+               lambda p: point_in_edges(p["x"], p["y"], _c(edges)))
 
 
-def _within_at(x: Column, y: Column, edges: Column) -> Column:
+def point_in_edges(x: Column, y: Column, edges: Column) -> Column:
+    """``within_edges`` for coordinates that are plain column references (no
+    binding needed, e.g. inside a join condition)."""
     def step(acc, e):
         cross = (x - e["x1"]) * e["dy"] - e["dx"] * (y - e["y1"])
         on_edge = ((cross == 0) & (x >= e["minx"]) & (x <= e["maxx"])
@@ -415,7 +417,7 @@ def st_within(px, py, geom) -> Column:
         return let(bbox(g), lambda b: F.when(
             x.isNull() | y.isNull() | g.isNull(), F.lit(None).cast("boolean")).otherwise(
             (g["dim"] == 2) & (x > b["minx"]) & (x < b["maxx"]) & (y > b["miny"])
-            & (y < b["maxy"]) & _within_at(x, y, polygon_edges(g))))
+            & (y < b["maxy"]) & point_in_edges(x, y, polygon_edges(g))))
 
     return let(bound, body)
 

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridwise.functions.geometry import bbox, polygon_edges, within_edges
+from gridwise.functions.geometry import bbox, point_in_edges, polygon_edges
 from gridwise.session import geometry_plan_settings
 
 # Per-polygon cell count above which the cell size is doubled.
@@ -141,7 +141,7 @@ def spatial_join(points: DataFrame, polys: DataFrame, x: str = "x", y: str = "y"
     cond: Column = (
         (F.col("_p_cx") == F.col("_g_cx")) & (F.col("_p_cy") == F.col("_g_cy"))
         & (px > box["minx"]) & (px < box["maxx"]) & (py > box["miny"]) & (py < box["maxy"])
-        & within_edges(px, py, F.col("_g_edges")))
+        & point_in_edges(px, py, F.col("_g_edges")))
     if salted:
         cond = cond & (F.col("_p_s") == F.col("_g_s"))
     out = pts.join(pc, cond, how)
@@ -172,7 +172,7 @@ def within_candidates(points: DataFrame, polys: DataFrame, x: str = "x", y: str
             & (px >= box["minx"]) & (px <= box["maxx"]) & (py >= box["miny"])
             & (py <= box["maxy"]))
     return (pts.join(pc, cond, "inner")
-            .withColumn("within", within_edges(px, py, F.col("_g_edges"))
+            .withColumn("within", point_in_edges(px, py, F.col("_g_edges"))
                         & (px > box["minx"]) & (px < box["maxx"])
                         & (py > box["miny"]) & (py < box["maxy"]))
             .drop("_p_cx", "_p_cy", "_g_cx", "_g_cy", "_g_box", "_g_edges"))
