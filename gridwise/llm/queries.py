@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from gridwise.llm.bpe import op3_bpe
 from gridwise.llm.langid import op10_language_id
 from gridwise.llm.quality import op6_quality
 
 QUERIES = {
+    "op3_bpe": op3_bpe,
     "op6_quality": op6_quality,
     "op10_language_id": op10_language_id,
 }
