@@ -5,11 +5,15 @@ from __future__ import annotations
 from gridwise.llm.bpe import op3_bpe
 from gridwise.llm.langid import op10_language_id
 from gridwise.llm.quality import op6_quality
+from gridwise.llm.warc import OP1_SQL, op1_warc
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op3_bpe": op3_bpe,
     "op6_quality": op6_quality,
     "op10_language_id": op10_language_id,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_warc": OP1_SQL,
+}
