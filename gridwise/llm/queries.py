@@ -5,6 +5,7 @@ from __future__ import annotations
 from gridwise.llm.bpe import op3_bpe
 from gridwise.llm.langid import op10_language_id
 from gridwise.llm.mixing import OP8_SQL, op8_mixing
+from gridwise.llm.pii import op7_pii
 from gridwise.llm.quality import op6_quality
 from gridwise.llm.warc import OP1_SQL, op1_warc
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op3_bpe": op3_bpe,
     "op6_quality": op6_quality,
+    "op7_pii": op7_pii,
     "op8_mixing": op8_mixing,
     "op10_language_id": op10_language_id,
 }
