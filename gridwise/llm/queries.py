@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from gridwise.llm.bpe import op3_bpe
+from gridwise.llm.jaccard import OP9_SQL, op9_jaccard_join
 from gridwise.llm.langid import op10_language_id
 from gridwise.llm.mixing import OP8_SQL, op8_mixing
 from gridwise.llm.pii import op7_pii
@@ -15,10 +16,12 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_pii": op7_pii,
     "op8_mixing": op8_mixing,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
 }
 
 SQL: dict[str, str] = {
     "op1_warc": OP1_SQL,
     "op8_mixing": OP8_SQL,
+    "op9_jaccard_join": OP9_SQL,
 }
