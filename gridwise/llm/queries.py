@@ -8,11 +8,13 @@ from gridwise.llm.langid import op10_language_id
 from gridwise.llm.mixing import OP8_SQL, op8_mixing
 from gridwise.llm.pii import op7_pii
 from gridwise.llm.quality import op6_quality
+from gridwise.llm.rp_forest import OP5_SQL, op5_embedding_dedup
 from gridwise.llm.warc import OP1_SQL, op1_warc
 
 QUERIES = {
     "op1_warc": op1_warc,
     "op3_bpe": op3_bpe,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_quality": op6_quality,
     "op7_pii": op7_pii,
     "op8_mixing": op8_mixing,
@@ -22,6 +24,7 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op1_warc": OP1_SQL,
+    "op5_embedding_dedup": OP5_SQL,
     "op8_mixing": OP8_SQL,
     "op9_jaccard_join": OP9_SQL,
 }
