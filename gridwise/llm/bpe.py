@@ -558,6 +558,24 @@ def decode(docs: DataFrame, vocab_path: str, ids: str = "ids") -> DataFrame:
     return docs.withColumn("decoded", text_of(F.col(ids)))
 
 
+def with_digests(docs: DataFrame, vocab_path: str, ids: str = "ids") -> DataFrame:
+    """``docs`` with n_tokens, ids_sha256 and decoded_sha256 of lists of ids added."""
+
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        decoder = Decoder(vocabulary(vocab_path))
+        for lists in batches:
+            rows = []
+            for x in lists:
+                x = np.asarray([] if x is None else x, "<u4")
+                text = hashlib.sha256(decoder.feed(x.tolist()) + decoder.finish())
+                rows.append((len(x), hashlib.sha256(x.tobytes()).hexdigest(), text.hexdigest()))
+            yield pd.DataFrame(rows, columns=list(OUTPUTS))
+
+    keep = [c for c in docs.columns if c not in OUTPUTS]
+    return docs.select(*keep, measure(F.col(ids)).alias("_m")).select(*keep, "_m.*")
+
+
 def digests(docs: DataFrame, vocab_path: str, text: str = "text") -> DataFrame:
     """``docs`` with n_tokens, ids_sha256 and decoded_sha256 of each whole text,
     in one pass that never holds more than a block of ids."""
