@@ -32,3 +32,41 @@ def base_spans(text):
                 continue
             out.append((m.start(), rank, m.end(), kind))
     return sorted(out)
+
+
+def shingle_set(text, width=5):
+    """The set of word shingles of a text."""
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return set()
+    if len(words) < width:
+        return {tuple(words)}
+    return {tuple(words[i:i + width]) for i in range(len(words) - width + 1)}
+
+
+def components(ids, links):
+    """The smallest id reachable from each."""
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in ids}
+
+
+def jaccard_join(rows):
+    """doc_id -> (set size, component) for rows (doc_id, text), all pairs."""
+    sets = {i: shingle_set(t) for i, t in rows}
+    ids = sorted(sets)
+    links = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:]
+             if sets[a] and sets[b]
+             and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    named = components(ids, links)
+    return {i: (len(sets[i]), named[i]) for i in ids}
