@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gridwise.functions.geometry import GEOM_TYPE, memo_expr
+from gridwise.functions.geometry import GEOM_TYPE, let
 
 # ---------------------------------------------------------------------------
 # Fixed values (public EPSG parameters; results must match PostGIS/PROJ).
@@ -91,15 +91,6 @@ def _col(v) -> Column:
     return F.col(v) if isinstance(v, str) else v
 
 
-def let(value: Column, body) -> Column:
-    """Bind ``value`` once and use it many times in ``body`` (a lambda over the
-    bound value).  Spark expressions are trees: reusing a Python Column object
-    copies its whole subtree, so a chain of shared intermediates grows
-    exponentially.  Binding through a one-element ``transform`` keeps the
-    expression linear in size and evaluates each intermediate once."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def chain(value: Column, *stages) -> Column:
     """``let`` applied stage after stage: each stage maps the previous bound
     struct to the next struct."""
@@ -112,7 +103,6 @@ def _s(**cols) -> Column:
     return F.struct(*[c.alias(n) for n, c in cols.items()])
 
 
-@memo_expr
 def wgs84_to_rd(lon, lat) -> Column:
     """struct<x, y> in EPSG:28992 for WGS 84 longitude/latitude in degrees."""
     lam = F.radians(_col(lon).cast("double"))
@@ -162,7 +152,6 @@ def wgs84_to_rd(lon, lat) -> Column:
     return chain(start, shifted, bowring, refined, conformal, projected)
 
 
-@memo_expr
 def st_transform(geom, to_srid: int = 28992) -> Column:
     """``ST_Transform(g, 28992)`` for geometries labelled 4326: every vertex
     is reprojected; the label becomes 28992.  Other pairs raise."""
@@ -182,41 +171,3 @@ def st_transform(geom, to_srid: int = 28992) -> Column:
                   F.raise_error(F.concat(F.lit("unsupported transform from SRID "),
                                          g["srid"].cast("string"))).cast(GEOM_TYPE))
             .otherwise(out))
-
-
-def rd_sql_stages(src: str, lon: str, lat: str, keep: str = "*") -> str:
-    """A SQL subquery adding columns ``rd_x``/``rd_y`` to ``src`` using staged
-    projections (each stage computes a few intermediate columns)."""
-    def f(v):
-        return f"({float(v)!r})"
-
-    s1 = (f"SELECT {keep}, radians({lon}) AS _lam, radians({lat}) AS _phi FROM {src}")
-    s2 = (f"SELECT *, {f(WGS84_A)} / sqrt(1.0 - {f(P.e2_w)} * sin(_phi) * sin(_phi)) AS _nu "
-          f"FROM ({s1})")
-    s3 = (f"SELECT *, (_nu * cos(_phi) * cos(_lam) - {f(P.tx)}) / {f(P.scale)} AS _ux, "
-          f"(_nu * cos(_phi) * sin(_lam) - {f(P.ty)}) / {f(P.scale)} AS _uy, "
-          f"(_nu * {f(1.0 - P.e2_w)} * sin(_phi) - {f(P.tz)}) / {f(P.scale)} AS _uz "
-          f"FROM ({s2})")
-    s4 = (f"SELECT *, _ux + {f(P.rz)} * _uy - {f(P.ry)} * _uz AS _ax, "
-          f"-{f(P.rz)} * _ux + _uy + {f(P.rx)} * _uz AS _ay, "
-          f"{f(P.ry)} * _ux - {f(P.rx)} * _uy + _uz AS _az FROM ({s3})")
-    s5 = (f"SELECT *, sqrt(_ax * _ax + _ay * _ay) AS _p, "
-          f"atan2(_az * {f(BESSEL_A)}, sqrt(_ax * _ax + _ay * _ay) * {f(P.b_b)}) AS _th "
-          f"FROM ({s4})")
-    s6 = (f"SELECT *, atan2(_az + {f(P.ep2_b * P.b_b)} * sin(_th) * sin(_th) * sin(_th), "
-          f"_p - {f(P.e2_b * BESSEL_A)} * cos(_th) * cos(_th) * cos(_th)) AS _phb0 FROM ({s5})")
-    s7 = (f"SELECT *, atan2(_az + {f(P.e2_b)} * ({f(BESSEL_A)} / sqrt(1.0 - {f(P.e2_b)} "
-          f"* sin(_phb0) * sin(_phb0))) * sin(_phb0), _p) AS _phb, atan2(_ay, _ax) AS _lamb "
-          f"FROM ({s6})")
-    s8 = (f"SELECT *, {f(P.n)} * (_lamb - {f(P.lam0)}) AS _dl, "
-          f"asin(({f(P.c)} * pow(((1.0 + sin(_phb)) / (1.0 - sin(_phb))) * "
-          f"pow((1.0 - {f(P.e_b)} * sin(_phb)) / (1.0 + {f(P.e_b)} * sin(_phb)), {f(P.e_b)}), "
-          f"{f(P.n)}) - 1.0) / ({f(P.c)} * pow(((1.0 + sin(_phb)) / (1.0 - sin(_phb))) * "
-          f"pow((1.0 - {f(P.e_b)} * sin(_phb)) / (1.0 + {f(P.e_b)} * sin(_phb)), {f(P.e_b)}), "
-          f"{f(P.n)}) + 1.0)) AS _chi FROM ({s7})")
-    s9 = (f"SELECT *, 1.0 + sin(_chi) * {f(P.sin_chi0)} + cos(_chi) * {f(P.cos_chi0)} * cos(_dl) "
-          f"AS _bd FROM ({s8})")
-    s10 = (f"SELECT *, {f(FALSE_EASTING)} + {f(P.two_r_k0)} * cos(_chi) * sin(_dl) / _bd AS rd_x, "
-           f"{f(FALSE_NORTHING)} + {f(P.two_r_k0)} * (sin(_chi) * {f(P.cos_chi0)} - cos(_chi) * "
-           f"{f(P.sin_chi0)} * cos(_dl)) / _bd AS rd_y FROM ({s9})")
-    return s10

@@ -35,32 +35,6 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def memo_expr(fn):
-    """Cache an expression builder by the text of its arguments.
-
-    Building a geometry expression costs thousands of driver->JVM calls; the
-    result is an unresolved expression, so the same Column object can be
-    reused in every DataFrame that applies the function to the same input."""
-    cache: dict = {}
-
-    def key(v):
-        return ("col", str(v)) if isinstance(v, Column) else ("val", repr(v))
-
-    def wrapper(*args, **kwargs):
-        k = (tuple(key(a) for a in args), tuple(sorted((n, key(v)) for n, v in kwargs.items())))
-        hit = cache.get(k)
-        if hit is None:
-            hit = fn(*args, **kwargs)
-            if len(cache) < 512:
-                cache[k] = hit
-        return hit
-
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    wrapper.__wrapped__ = fn
-    return wrapper
-
-
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it many times in ``body``.
 
@@ -115,7 +89,6 @@ def _dispatch(gtype: Column, coords: Column):
     return dim, F.coalesce(parts, _empty_parts())
 
 
-@memo_expr
 def geom_from_geojson(text, srid: int = DEFAULT_SRID, on_error: str = "fail") -> Column:
     """``ST_GeomFromGeoJSON``: GeoJSON geometry text -> geometry struct.
 
@@ -212,7 +185,6 @@ def vertices(geom) -> Column:
     return F.flatten(F.flatten(_c(geom)["parts"]))
 
 
-@memo_expr
 def bbox(geom) -> Column:
     """struct<minx, miny, maxx, maxy> of a geometry (nulls when empty)."""
     def box(vs):
@@ -289,7 +261,6 @@ def _sum3(arr: Column, term) -> Column:
     return F.aggregate(arr, zero, step)
 
 
-@memo_expr
 def st_centroid(geom) -> Column:
     """``ST_Centroid``: centre of mass of the highest dimension present.
 
@@ -357,7 +328,6 @@ def _centroid_at(g: Column, origin: Column) -> Column:
     return let(c, as_geom)
 
 
-@memo_expr
 def polygon_edges(geom) -> Column:
     """All ring edges of a geometry as array<struct<x1,y1,dx,dy,y2,minx,maxx,
     miny,maxy>> (each ring closed back to its first vertex).  Computed once
@@ -376,7 +346,6 @@ def polygon_edges(geom) -> Column:
     return F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p, k: edge(r, p, k))))
 
 
-@memo_expr
 def within_edges(px, py, edges) -> Column:
     """Point strictly inside the area bounded by ``edges`` (even-odd rule).
 
@@ -403,7 +372,6 @@ def point_in_edges(x: Column, y: Column, edges: Column) -> Column:
     return F.aggregate(edges, F.lit(0), step, lambda acc: (acc >= 0) & ((acc % 2) == 1))
 
 
-@memo_expr
 def st_within(px, py, geom) -> Column:
     """``ST_Within(point, polygon)`` for a point given by coordinates.
 
@@ -422,7 +390,6 @@ def st_within(px, py, geom) -> Column:
     return let(bound, body)
 
 
-@memo_expr
 def to_geojson(geom) -> Column:
     """Geometry struct -> compact GeoJSON geometry text."""
     return let(_c(geom), _geojson_of)

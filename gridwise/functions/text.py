@@ -6,6 +6,8 @@ expressions, so it stays inside whole-stage codegen.
 
 from __future__ import annotations
 
+import mimetypes
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -18,25 +20,14 @@ from pyspark.sql.types import DoubleType, FloatType
 MASK_PREFIX = "PG:"
 MASK_TEXT = "PG: <CONNECTION STRING REDACTED>"
 
-# Content types by lower-cased file extension (standard IANA/mimetypes
-# registrations for the file kinds a publish step handles).  Unknown -> null.
-CONTENT_TYPES = {
-    "csv": "text/csv",
-    "txt": "text/plain",
-    "html": "text/html",
-    "htm": "text/html",
-    "xml": "text/xml",
-    "json": "application/json",
-    "geojson": "application/geo+json",
-    "zip": "application/zip",
-    "pdf": "application/pdf",
-    "png": "image/png",
-    "jpg": "image/jpeg",
-    "jpeg": "image/jpeg",
-    "gif": "image/gif",
-    "js": "text/javascript",
-    "css": "text/css",
-}
+# Content types by lower-cased file extension: the registry that Python's
+# standard library ships (no files of this host are read), and GeoJSON's own.
+_REGISTRY = mimetypes.MimeTypes(filenames=())
+CONTENT_TYPES = {ext.lstrip("."): kind for strict in (False, True)
+                 for ext, kind in _REGISTRY.types_map[strict].items()}
+CONTENT_TYPES |= {"csv": "text/csv", "geojson": "application/geo+json"}
+# endings that compress a file of the type before them
+ENCODINGS = tuple(ext.lstrip(".") for ext in _REGISTRY.encodings_map)
 
 
 def _c(col) -> Column:
@@ -70,9 +61,14 @@ def key_text(col, dtype=None) -> Column:
     if dtype is not None and not isinstance(dtype, (DoubleType, FloatType)):
         return c.cast("string")
     as_double = c.cast("double")
-    integral = (as_double == F.floor(as_double)) & (F.abs(as_double) < F.lit(9.0e18))
+    plain = F.abs(as_double) < F.lit(1.0e15)
+    integral = (as_double == F.floor(as_double)) & plain & ~F.isnan(as_double)
+    # from 1e15 on databases print the shortest digits with an exponent: 1.5e+15
+    scientific = F.regexp_replace(F.regexp_replace(
+        as_double.cast("string"), r"\.0E", "E"), "E", "e+")
     return (F.when(c.isNull(), F.lit(None).cast("string"))
-            .when(integral & ~F.isnan(as_double), as_double.cast("bigint").cast("string"))
+            .when(integral, as_double.cast("bigint").cast("string"))
+            .when(~plain & (F.abs(as_double) < float("inf")), scientific)
             .otherwise(c.cast("string")))
 
 
@@ -93,6 +89,11 @@ def path_last_step(col) -> Column:
     return F.regexp_extract(no_query, r"([^/]*)$", 1)
 
 
+def path_name(col) -> Column:
+    """Last step of a file's path, as it is (``a#1.csv`` is a file name)."""
+    return F.regexp_extract(_c(col), r"([^/]*)$", 1)
+
+
 def file_ext(col) -> Column:
     """Extension after the last dot of the last path step; '' when none."""
     return F.regexp_extract(path_last_step(col), r"(?<=.)\.([^.]*)$", 1)
@@ -105,10 +106,14 @@ def file_stem(col) -> Column:
         F.regexp_replace(base, r"(?<=.)\.[^.]*$", ""))
 
 
-def content_type(col) -> Column:
-    """Content type guessed from the file name's extension; null if unknown."""
+def content_type(col, last_step=path_last_step) -> Column:
+    """Content type guessed from the extension of a URL's last step (of a file:
+    ``last_step=path_name``); an ending that only says how the file is compressed
+    (``x.csv.gz``) is passed over; null if unknown."""
     table = F.create_map(*[F.lit(x) for kv in CONTENT_TYPES.items() for x in kv])
-    return F.try_element_at(table, F.lower(file_ext(col)))
+    endings = "|".join(map(_regex_quote, ENCODINGS))
+    inner = F.regexp_replace(F.lower(last_step(_c(col))), rf"(?<=.)\.(?:{endings})$", "")
+    return F.try_element_at(table, F.regexp_extract(inner, r"(?<=.)\.([^.]*)$", 1))
 
 
 def dated_name(stem, run_date=None, suffix: str = ".csv") -> Column:

@@ -31,19 +31,6 @@ def union_all(a: DataFrame, b: DataFrame, by_position: bool = False) -> DataFram
     return a.unionByName(b, allowMissingColumns=True)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over at least ``min_partitions`` tasks (default:
-    the cluster's parallelism) before CPU-heavy per-row work, but only when
-    the input has fewer partitions than that — a large input keeps its scan
-    partitioning and no shuffle is added."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (Spark Connect: no RDD API; leave as is)
-        return df
-    return df.repartition(target) if current < target else df
-
-
 def measured_size(df: DataFrame, row_bytes: Column | None = None) -> tuple[int, int]:
     """(rows, bytes) of a frame, measured with one aggregate.  ``row_bytes``
     estimates a row's size; by default the sum of the string lengths plus 16
@@ -91,6 +78,11 @@ def join_concat_key(left: DataFrame, right: DataFrame, left_parts: list[str],
     """
     lt = {f.name: f.dataType for f in left.schema.fields}
     rt = {f.name: f.dataType for f in right.schema.fields}
+    # null keys never match: without them an inner join has no task of nulls
+    for c in left_parts if how == "inner" else ():
+        left = left.where(left[c].isNotNull())
+    for c in right_parts if how in ("inner", "left") else ():
+        right = right.where(right[c].isNotNull())
     if small_side == "right":
         right = broadcast_if_small(right)
     elif small_side == "left":

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridwise.operators.row_index import tiebreak
 from gridwise.session import checkpoint_root
 
 
@@ -23,11 +24,10 @@ def bounded_chunks(df: DataFrame, group_keys: list[str], order_keys: list[str],
                    name: str = "_chunk") -> DataFrame:
     spark = df.sparkSession
     checkpoint_root(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c) for c in group_keys + order_keys] + [F.col("_tie")]
-    laid = (df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-            .repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-            .drop("_tie")
+    keys = [F.col(c) for c in group_keys + order_keys] + [F.col("_tie"), F.col("_draw")]
+    laid = (df.withColumn("_tie", tiebreak(df)).withColumn("_draw", F.rand(17))
+            .repartitionByRange(*([partitions] if partitions else []), *keys)
+            .sortWithinPartitions(*keys).drop("_tie", "_draw")
             .withColumn(name, F.floor(F.monotonically_increasing_id() / F.lit(max_size)))
             .checkpoint(eager=True))
     return laid

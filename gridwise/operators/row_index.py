@@ -24,18 +24,27 @@ from gridwise.session import checkpoint_root
 _LOW_BITS = (1 << 33) - 1
 
 
+def tiebreak(df: DataFrame):
+    """A hash of the row, over the columns that have one (maps don't)."""
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields
+                if "map<" not in f.dataType.simpleString()
+                and "variant" not in f.dataType.simpleString()]
+    return F.xxhash64(*hashable) if hashable else F.lit(0).cast("long")
+
+
 def with_row_index(df: DataFrame, order_cols: list[str], name: str = "idx",
                    partitions: int | None = None) -> DataFrame:
     spark: SparkSession = df.sparkSession
     checkpoint_root(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Tied order keys get a deterministic tiebreaker (a hash of the row), so
-    # even a value shared by a third of the rows is spread over several range
-    # partitions instead of landing in one task.
-    keys = [F.col(c) for c in order_cols] + [F.col("_tie")]
-    laid = (df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-            .repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-            .drop("_tie")
+    # Tied order keys get a tiebreaker (a hash of the row) and rows that are
+    # equal altogether a random number, so a value or a row that a third of the
+    # table shares is spread over several range partitions.  The layout is
+    # checkpointed before it is used; without ``partitions`` the session decides
+    # their number and adaptive execution joins small ones.
+    keys = [F.col(c) for c in order_cols] + [F.col("_tie"), F.col("_draw")]
+    laid = (df.withColumn("_tie", tiebreak(df)).withColumn("_draw", F.rand(17))
+            .repartitionByRange(*([partitions] if partitions else []), *keys)
+            .sortWithinPartitions(*keys).drop("_tie", "_draw")
             .withColumn("_mid", F.monotonically_increasing_id())
             .checkpoint(eager=True))
     counts = (laid.groupBy(F.shiftright(F.col("_mid"), 33).alias("_pid"))

@@ -77,16 +77,23 @@ def explode_types(docs: DataFrame, options: str = TYPE_OPTIONS,
 def merge_parent_wins(child: Column, child_type: StructType, parent: Column,
                       parent_type: StructType, exclude: tuple[str, ...] = ()) -> Column:
     """``child.update(parent)`` on structs: every top-level key of the parent
-    replaces the child's (whole value, no deep merge; a null parent value
-    still wins); keys only in the child keep their position, parent-only keys
-    are appended in parent order.  ``exclude`` names are dropped."""
-    pnames = [f.name for f in parent_type.fields]
+    replaces the child's (whole value, no deep merge); keys only in the child
+    keep their position, parent-only keys are appended in parent order.
+    ``exclude`` names are dropped.
+
+    A struct can't tell an absent key from a null one: a null in the parent
+    leaves the child's value.  ``round_text`` merges documents by the keys that
+    they hold, where a present null wins."""
+    ptypes = {f.name: f.dataType for f in parent_type.fields}
     cols = []
     for f in child_type.fields:
         if f.name in exclude:
             continue
-        src = parent if f.name in pnames else child
-        cols.append(src[f.name].alias(f.name))
+        value = child[f.name]
+        if f.name in ptypes:
+            same = ptypes[f.name] == f.dataType
+            value = F.coalesce(parent[f.name], value) if same else parent[f.name]
+        cols.append(value.alias(f.name))
     cnames = {f.name for f in child_type.fields}
     for f in parent_type.fields:
         if f.name not in cnames and f.name not in exclude:
@@ -113,8 +120,13 @@ def drop_fields(col, struct_type: StructType, names: tuple[str, ...],
     return _c(col).dropFields(*present) if present else _c(col)
 
 
-def drop_key(col, key: str = "dates") -> Column:
-    """Drop one key from a map, top level only (non-maps pass through)."""
+def drop_key(col, key: str = "dates", dtype: DataType | None = None) -> Column:
+    """Drop one key, top level only, from a map or a struct; values of another
+    ``dtype`` pass through.  Without ``dtype`` the column is taken for a map."""
+    if isinstance(dtype, StructType):
+        return _c(col).dropFields(key) if key in dtype.fieldNames() else _c(col)
+    if dtype is not None and not isinstance(dtype, MapType):
+        return _c(col)
     return F.map_filter(_c(col), lambda k, v: k != F.lit(key))
 
 
@@ -170,9 +182,10 @@ def explode_rounds(docs: DataFrame, mode: str = "failfast",
     rtype: StructType = docs.schema
     if inspections not in rtype.fieldNames():
         raise KeyError(f"required field missing: {inspections}")
-    # fields named with a leading underscore are bookkeeping, not record keys
-    round_fields = [f for f in rtype.fields
-                    if f.name != inspections and not f.name.startswith("_")]
+    # order columns named with an underscore are bookkeeping, not record keys
+    listed = [doc_order] if isinstance(doc_order, str) else list(doc_order or [])
+    own = {inspections, *(c for c in listed if c.startswith("_"))}
+    round_fields = [f for f in rtype.fields if f.name not in own]
     round_type = StructType(round_fields)
     if doc_order is None:
         order = F.monotonically_increasing_id()
@@ -288,22 +301,13 @@ def _merged_type(child: StructType, parent: StructType) -> StructType:
 # flatten to dotted paths
 # ---------------------------------------------------------------------------
 
-def _array_paths(expr: Column, dtype: DataType, name: str, out: list):
-    """Collect (name, expr) of every array under a struct tree (not inside
-    arrays); their max sizes are measured together in one aggregate."""
-    if isinstance(dtype, StructType):
-        for f in dtype.fields:
-            _array_paths(expr[f.name], f.dataType, f"{name}{f.name}.", out)
-    elif isinstance(dtype, ArrayType):
-        out.append((name, expr, dtype))
-
-
 def flatten_columns(df: DataFrame, col: str | None = None,
                     sep: str = ".") -> list[tuple[str, Column]]:
     """Columns of the wide flattening of ``df`` (or of one struct column):
     every leaf of the nested structure becomes a column named by its dotted
     path; list elements are addressed by position (``photos.0.id``) up to the
-    longest list present in the data.  Maps and leaves keep their type.
+    longest list present in the data.  Maps and leaves keep their type.  Of two
+    leaves with one path (``{"a": {"b": 1}, "a.b": 2}``) the later one stays.
 
     The longest list per path is measured with one aggregate per nesting
     depth of lists (a handful of scalars reach the driver, no rows)."""
@@ -312,29 +316,38 @@ def flatten_columns(df: DataFrame, col: str | None = None,
     else:
         st = df.schema[col].dataType
         fields = [(f.name, F.col(col)[f.name], f.dataType) for f in st.fields]
-    leaves: list[tuple[str, Column]] = []
-    pending = [(n, e, t) for n, e, t in fields]
+    leaves: list[tuple[str, Column, int]] = []
+    pending = [(n, e, t, i) for i, (n, e, t) in enumerate(fields)]
     while pending:
         arrays = []
         nxt = []
-        for name, expr, dtype in pending:
+        for name, expr, dtype, top in pending:
             if isinstance(dtype, StructType):
-                if not dtype.fields:
-                    continue
-                nxt += [(f"{name}{sep}{f.name}", expr[f.name], f.dataType) for f in dtype.fields]
+                nxt += [(f"{name}{sep}{f.name}", expr.getField(f.name), f.dataType, top)
+                        for f in dtype.fields]
             elif isinstance(dtype, ArrayType):
-                arrays.append((name, expr, dtype))
+                arrays.append((name, expr, dtype, top))
             else:
-                leaves.append((name, expr))
+                leaves.append((name, expr, top))
         if arrays:
-            row = df.agg(*[F.max(F.size(e)).alias(f"m{i}") for i, (_, e, _) in
+            row = df.agg(*[F.max(F.size(e)).alias(f"m{i}") for i, (_, e, _, _) in
                            enumerate(arrays)]).first()
-            for i, (name, expr, dtype) in enumerate(arrays):
-                m = row[f"m{i}"] or 0
-                for k in range(max(m, 0)):
-                    nxt.append((f"{name}{sep}{k}", F.get(expr, k), dtype.elementType))
+            for i, (name, expr, dtype, top) in enumerate(arrays):
+                for k in range(max(row[f"m{i}"] or 0, 0)):
+                    nxt.append((f"{name}{sep}{k}", F.get(expr, k), dtype.elementType, top))
         pending = nxt
-    return leaves
+    return list(_last_of_each(leaves).items())
+
+
+def _last_of_each(leaves: list) -> dict[str, Column]:
+    """(path, column, top field's number) -> column by path; of equal paths the
+    one in the later field."""
+    out: dict[str, Column] = {}
+    rank: dict[str, int] = {}
+    for path, e, field in leaves:
+        if path not in out or field >= rank[path]:
+            out[path], rank[path] = e, field
+    return out
 
 
 def flatten_wide(df: DataFrame, col: str | None = None, keep: list[str] | None = None,
@@ -344,10 +357,11 @@ def flatten_wide(df: DataFrame, col: str | None = None, keep: list[str] | None =
 
 
 def flatten_long(df: DataFrame, id_col: str, col: str | None = None,
-                 keep_nulls: bool = False) -> DataFrame:
-    """Long form ``(id, path, value)``: one row per leaf, value as text;
-    null leaves are dropped unless ``keep_nulls``.  A single ``explode`` of
-    an array of (path, value) structs — no shuffle."""
+                 keep_nulls: bool = True) -> DataFrame:
+    """Long form ``(id, path, value)``: one row per leaf, value as text; null
+    leaves stay unless ``keep_nulls`` is false.  A single ``explode`` of an
+    array of (path, value) structs — no shuffle; lists are measured as for the
+    wide form."""
     cols = flatten_columns(df, col)
     pairs = [F.struct(F.lit(n).alias("path"), e.cast("string").alias("value"))
              for n, e in cols]

@@ -4,175 +4,184 @@ A plain ``WHERE st_within(point, polygon)`` has no equality key, so Spark can
 only plan a Cartesian product or a broadcast nested-loop join.  We give the
 join an equality key instead:
 
-1. every polygon is replicated onto the grid cells its bounding box covers
-   (``explode(sequence(...))`` in x and y);
-2. every point falls in exactly one cell (``floor(x / cell)``), so a
+1. every polygon has a level, the power of two that its bounding box's longer
+   side fits into, and is replicated onto the cells of that size that the box
+   covers: two by two at most, however uneven the sizes in a layer are;
+2. every point falls in one cell per level that the layer has, so a
    (point, polygon) pair meets at most once — no de-duplication needed;
-3. equi-join on (cx, cy): a broadcast hash join when the polygon side's size
-   is measured below the limit, otherwise a shuffled sort-merge join, where
-   adaptive execution splits hot cells (skew join);
+3. equi-join on (level, cx, cy): a broadcast hash join when the polygon side's
+   bound is below the limit, otherwise a shuffled join on the salted cell;
 4. the bounding-box test and then the exact ``within`` test run as the join
-   condition, so ``how='left'`` keeps points that hit nothing.
+   condition.
 
 Polygon ring edges are computed once per polygon, before the join.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridwise.functions.geometry import bbox, point_in_edges, polygon_edges
-from gridwise.session import geometry_plan_settings
 
-# Per-polygon cell count above which the cell size is doubled.
-MAX_CELLS_PER_POLYGON = 4096
-# Polygon side broadcast only when its measured size is under this many bytes.
+# Polygon side broadcast only when the bound of its size is under this many bytes.
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+# Sub-keys of a cell in a shuffled join.
+DEFAULT_SALT = 8
+# Bytes: an edge is nine doubles and its null bits, with its place in the array;
+# keys, box and row overhead come on top.
+EDGE_BYTES = 96
+ROW_BYTES = 256
+CELLS_PER_POLYGON = 4
 
 
 @dataclass
 class GridPlan:
-    cell: float
+    levels: tuple[int, ...]
     polygons: int
-    cells: int
     est_bytes: int
     broadcast: bool
 
 
-def plan_grid(polys: DataFrame, geom: str = "geom", cell: float | None = None,
-              broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> GridPlan:
-    """Choose the cell size and bound the size of the exploded polygon side,
-    with one aggregate over the polygon layer (never over the points).
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are computed once per row.
 
-    A polygon whose bbox side is s covers at most (s/cell + 2)^2 cells, each
-    carrying its n edges (~32 bytes each) and ~96 bytes of keys and bbox, so
-    the replicated size is bounded by
+    A generator yields them, and the optimizer moves no filter below a
+    generator: what a join infers about its keys is not computed a second time
+    from the expressions behind them."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
-        sum_i (s_i/c + 2)^2 (96 + 32 n_i)
-          = S2/c^2 + 4 S1/c + 4 S0,   S_k = sum_i s_i^k (96 + 32 n_i),
 
-    which one pass computes before the cell size c is known.  Broadcasting
-    happens only when that bound is under ``broadcast_limit``.
-    """
+def _side_and_level(geom: str) -> tuple[Column, Column]:
     b = bbox(F.col(geom))
     side = F.greatest(b["maxx"] - b["minx"], b["maxy"] - b["miny"])
-    weight = F.lit(96.0) + F.size(F.flatten(F.flatten(F.col(geom)["parts"]))) * 32.0
-    row = (polys.select(side.alias("s"), weight.alias("w"))
-           .where(F.col("s").isNotNull())
-           .agg(F.count(F.lit(1)).alias("n"),
-                F.percentile_approx("s", 0.5).alias("median_side"),
-                F.max("s").alias("max_side"),
-                F.sum(F.col("s") * F.col("s") * F.col("w")).alias("s2"),
-                F.sum(F.col("s") * F.col("w")).alias("s1"),
-                F.sum("w").alias("s0"))
-           .first())
-    st = row.asDict() if row is not None else {}
-    n = int(st.get("n") or 0)
-    mx = float(st.get("max_side") or 0.0)
-    if cell is None:
-        med = float(st.get("median_side") or 0.0)
-        cell = med if med > 0 else (mx if mx > 0 else 1.0)
-        # a very large polygon must not explode into too many cells
-        while mx and (mx / cell + 2) ** 2 > MAX_CELLS_PER_POLYGON:
-            cell *= 2.0
-    s2, s1, s0 = (float(st.get(k) or 0.0) for k in ("s2", "s1", "s0"))
-    est = int(s2 / (cell * cell) + 4.0 * s1 / cell + 4.0 * s0)
-    cells = int(n * ((mx / cell + 2) ** 2)) if n else 0
-    return GridPlan(cell=cell, polygons=n, cells=cells, est_bytes=est,
+    return side, F.ceil(F.log2(side)).cast("int")
+
+
+def plan_grid(polys: DataFrame, geom: str = "geom",
+              broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> GridPlan:
+    """The levels of a layer and a bound of the size of its replicated side, with
+    one aggregate over the polygons (never over the points).
+
+    A polygon covers at most four cells of its level; each carries its edges
+    (``EDGE_BYTES`` each), its attributes and ``ROW_BYTES``."""
+    side, level = _side_and_level(geom)
+    width = F.lit(ROW_BYTES)
+    for f in polys.schema.fields:
+        if f.name != geom:
+            width = width + F.coalesce(F.length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) + 16
+    edges = F.size(F.flatten(F.flatten(F.col(geom)["parts"])))
+    row = (polys.select(side.alias("s"), level.alias("l"),
+                        ((width + edges * EDGE_BYTES) * CELLS_PER_POLYGON).alias("w"))
+           .where("s > 0")
+           .agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set("l")).alias("levels"),
+                F.sum("w").alias("bytes")).first())
+    est = int(row["bytes"] or 0)
+    return GridPlan(levels=tuple(row["levels"] or ()), polygons=int(row["n"] or 0), est_bytes=est,
                     broadcast=est <= broadcast_limit)
 
 
-def polygon_cells(polys: DataFrame, geom: str, cell: float, prefix: str = "_g") -> DataFrame:
-    """Polygons with bbox, edges and one row per covered grid cell."""
-    b = bbox(F.col(geom))
-    with_box = polys.withColumn(f"{prefix}_box", b).withColumn(
-        f"{prefix}_edges", polygon_edges(F.col(geom)))
-    box = F.col(f"{prefix}_box")
-    cx0 = F.floor(box["minx"] / cell)
-    cx1 = F.floor(box["maxx"] / cell)
-    cy0 = F.floor(box["miny"] / cell)
-    cy1 = F.floor(box["maxy"] / cell)
-    return (with_box.where(box["minx"].isNotNull() & (F.col(geom)["dim"] == 2))
-            .withColumn(f"{prefix}_cx", F.explode(F.sequence(cx0, cx1)))
-            .withColumn(f"{prefix}_cy", F.explode(F.sequence(cy0, cy1))))
+def polygon_cells(polys: DataFrame, geom: str, prefix: str = "_g") -> DataFrame:
+    """Polygons with box and edges, one row per cell of their level they cover."""
+    side, level = _side_and_level(geom)
+    names = {n: f"{prefix}_{n}" for n in ("box", "edges", "level", "cell", "cx", "cy")}
+    box, cell = F.col(names["box"]), F.col(names["cell"])
+
+    def span(low: str, high: str) -> Column:
+        return F.sequence(F.floor(box[low] / cell), F.floor(box[high] / cell))
+
+    found = computed_once(polys.where(F.col(geom)["dim"] == 2), **{
+        names["box"]: bbox(F.col(geom)), names["edges"]: polygon_edges(F.col(geom)),
+        names["level"]: F.when(side > 0, level)})
+    return (found.where(F.col(names["level"]).isNotNull())
+            .withColumn(names["cell"], F.pow(F.lit(2.0), F.col(names["level"])))
+            .withColumn(names["cx"], F.explode(span("minx", "maxx")))
+            .withColumn(names["cy"], F.explode(span("miny", "maxy")))
+            .drop(names["cell"]))
+
+
+def _candidates(points: DataFrame, polys: DataFrame, x: str, y: str, geom: str, grid: GridPlan,
+                salt: int, keep_geom: bool, closed: bool) -> DataFrame:
+    """(point, polygon) pairs whose polygon's box holds the point."""
+    px, py, box = F.col(x), F.col(y), F.col("_g_box")
+    salt = 1 if grid.broadcast else salt
+    cells = polygon_cells(polys, geom)
+    if not keep_geom:
+        cells = cells.drop(geom)
+    cells = cells.withColumn("_g_s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    probes = F.array(*[F.struct(
+        F.lit(level).alias("_p_level"),
+        F.floor(px / math.ldexp(1.0, level)).alias("_p_cx"),
+        F.floor(py / math.ldexp(1.0, level)).alias("_p_cy"),
+        F.pmod(F.xxhash64(px, py), F.lit(salt)).cast("int").alias("_p_s"))
+        for level in grid.levels])
+    pts = points.where(px.isNotNull() & py.isNotNull()).select("*", F.inline(probes))
+    if grid.broadcast:
+        cells = F.broadcast(cells)
+    inside = ((px >= box["minx"]) & (px <= box["maxx"]) & (py >= box["miny"]) & (py <= box["maxy"])
+              if closed else
+              (px > box["minx"]) & (px < box["maxx"]) & (py > box["miny"]) & (py < box["maxy"])
+              & point_in_edges(px, py, F.col("_g_edges")))
+    return pts.join(cells, (F.col("_p_level") == F.col("_g_level"))
+                    & (F.col("_p_cx") == F.col("_g_cx")) & (F.col("_p_cy") == F.col("_g_cy"))
+                    & (F.col("_p_s") == F.col("_g_s")) & inside)
+
+
+_KEYS = ["_p_level", "_p_cx", "_p_cy", "_p_s", "_g_level", "_g_cx", "_g_cy", "_g_s", "_g_box",
+         "_g_edges"]
 
 
 def spatial_join(points: DataFrame, polys: DataFrame, x: str = "x", y: str = "y",
-                 geom: str = "geom", how: str = "inner", cell: float | None = None,
+                 geom: str = "geom", how: str = "inner",
                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
                  keep_geom: bool = False, grid: GridPlan | None = None,
-                 salt: int = 1) -> DataFrame:
+                 salt: int = DEFAULT_SALT) -> DataFrame:
     """Rows of ``points`` paired with every polygon of ``polys`` that strictly
     contains the point (x, y).  0 hits drops the point (``how='inner'``) or
-    keeps it with null polygon columns (``how='left'``); k hits give k rows.
+    keeps it with null polygon columns (``how='left'``); k hits give k rows.  A
+    point with a null coordinate has no hit.
 
     Column names of the two inputs must not overlap (except the geometry,
     which is dropped unless ``keep_geom``).
 
     When the polygon side is too large to broadcast, the join shuffles on the
-    cell key; adaptive execution splits oversized cell partitions at run time.
-    ``salt > 1`` additionally spreads every cell over ``salt`` sub-keys (points
-    pick one by a hash of their coordinates, polygon cells are replicated to
-    all of them), for inputs known to pile points into a few cells.
+    cell and one of ``salt`` sub-keys (points pick one by a hash of their
+    coordinates, polygon cells are replicated to all of them), and adaptive
+    execution splits what is still too large.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    geometry_plan_settings(points.sparkSession)
-    grid = grid or plan_grid(polys, geom, cell, broadcast_limit)
-    c = grid.cell
-    pc = polygon_cells(polys, geom, c)
-    if not keep_geom:
-        pc = pc.drop(geom)
-    if grid.broadcast:
-        pc = F.broadcast(pc)
-    px = F.col(x)
-    py = F.col(y)
-    pts = (points.withColumn("_p_cx", F.floor(px / c))
-           .withColumn("_p_cy", F.floor(py / c)))
-    salted = salt > 1 and not grid.broadcast
-    if salted:
-        pts = pts.withColumn("_p_s", F.pmod(F.xxhash64(px, py), F.lit(salt)))
-        pc = pc.withColumn("_g_s", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                        F.lit(salt - 1).cast("long"))))
-    box = F.col("_g_box")
-    cond: Column = (
-        (F.col("_p_cx") == F.col("_g_cx")) & (F.col("_p_cy") == F.col("_g_cy"))
-        & (px > box["minx"]) & (px < box["maxx"]) & (py > box["miny"]) & (py < box["maxy"])
-        & point_in_edges(px, py, F.col("_g_edges")))
-    if salted:
-        cond = cond & (F.col("_p_s") == F.col("_g_s"))
-    out = pts.join(pc, cond, how)
-    return out.drop("_p_cx", "_p_cy", "_g_cx", "_g_cy", "_g_box", "_g_edges", "_p_s", "_g_s")
+    grid = grid or plan_grid(polys, geom, broadcast_limit)
+    extra = [f for f in polys.schema.fields if keep_geom or f.name != geom]
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in extra]
+    if not grid.levels:
+        out = points.select("*", *nulls)
+        return out if how == "left" else out.where("false")
+    found = _candidates(points, polys, x, y, geom, grid, salt, keep_geom, False).drop(*_KEYS)
+    if how == "inner":
+        return found
+    # a point without a hit is known by its coordinates
+    hit = found.select(F.col(x).alias("_h_x"), F.col(y).alias("_h_y")).distinct()
+    missed = points.join(hit, (F.col(x) == F.col("_h_x")) & (F.col(y) == F.col("_h_y")), "left_anti")
+    return found.unionByName(missed.select("*", *nulls))
 
 
 def within_candidates(points: DataFrame, polys: DataFrame, x: str = "x", y: str = "y",
-                      geom: str = "geom", cell: float | None = None,
+                      geom: str = "geom",
                       broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """Every (point, polygon) pair whose polygon's closed bounding box holds the
     point, with the exact ``within`` flag — the candidate set of the grid join,
     never the full Cartesian product."""
-    geometry_plan_settings(points.sparkSession)
-    grid = plan_grid(polys, geom, cell, broadcast_limit)
-    c = grid.cell
-    pc = polygon_cells(polys, geom, c).drop(geom)
-    if grid.broadcast:
-        pc = F.broadcast(pc)
-    px = F.col(x)
-    py = F.col(y)
-    box = F.col("_g_box")
-    pts = points.withColumn("_p_cx", F.floor(px / c)).withColumn("_p_cy", F.floor(py / c))
-    # a point on a cell border may touch a box of a neighbouring cell only via
-    # the box edge; those pairs are flagged false anyway, so restrict the
-    # candidates to boxes that contain the point (closed) and whose cell set
-    # includes the point's cell.
-    cond = ((F.col("_p_cx") == F.col("_g_cx")) & (F.col("_p_cy") == F.col("_g_cy"))
-            & (px >= box["minx"]) & (px <= box["maxx"]) & (py >= box["miny"])
-            & (py <= box["maxy"]))
-    return (pts.join(pc, cond, "inner")
-            .withColumn("within", point_in_edges(px, py, F.col("_g_edges"))
-                        & (px > box["minx"]) & (px < box["maxx"])
-                        & (py > box["miny"]) & (py < box["maxy"]))
-            .drop("_p_cx", "_p_cy", "_g_cx", "_g_cy", "_g_box", "_g_edges"))
+    grid = plan_grid(polys, geom, broadcast_limit)
+    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in polys.schema.fields
+             if f.name != geom]
+    if not grid.levels:
+        return points.select("*", *extra, F.lit(False).alias("within")).where("false")
+    px, py, box = F.col(x), F.col(y), F.col("_g_box")
+    found = _candidates(points, polys, x, y, geom, grid, DEFAULT_SALT, False, True)
+    return found.withColumn(
+        "within", point_in_edges(px, py, F.col("_g_edges")) & (px > box["minx"])
+        & (px < box["maxx"]) & (py > box["miny"]) & (py < box["maxy"])).drop(*_KEYS)

@@ -6,7 +6,64 @@ closed-form projection for coordinates)."""
 
 from __future__ import annotations
 
-from gridwise.functions.crs import rd_sql_stages
+import math
+
+
+# WGS 84 longitude and latitude -> RD New, by the definition of the projection
+# and independent of the engine's chain: geodetic latitude by iteration, the
+# conformal sphere by isometric latitudes, the stereographic projection by the
+# angle from the origin.
+# Fixed values (published EPSG parameters):
+#   WGS 84 a = 6378137, 1/f = 298.257223563; Bessel 1841 a = 6377397.155,
+#   1/f = 299.1528128; Amersfoort to WGS 84: translation (565.2369, 50.0087,
+#   465.658) m, rotation (-0.406857330322398, 0.350732676542563,
+#   -1.8703473836068) arc seconds, 4.0812 ppm, position vector; origin
+#   52 09 22.178 N, 5 23 15.5 E, scale 0.9999079, false origin (155000, 463000)
+def rd_sql(src: str, lon: str, lat: str) -> str:
+    """A subquery that adds ``rd_x`` and ``rd_y`` to the rows of ``src``."""
+    def squared(inverse_flattening):
+        return (2 - 1 / inverse_flattening) / inverse_flattening
+
+    def isometric(phi, e):
+        return (math.log(math.tan(math.pi / 4 + phi / 2))
+                - e / 2 * math.log((1 + e * math.sin(phi)) / (1 - e * math.sin(phi))))
+
+    ew2, a, eb2 = squared(298.257223563), 6377397.155, squared(299.1528128)
+    e = math.sqrt(eb2)
+    rx, ry, rz = (math.radians(v / 3600) for v in
+                  (-0.406857330322398, 0.350732676542563, -1.8703473836068))
+    scale = 1 + 4.0812e-6
+    phi0 = math.radians(52 + 9 / 60 + 22.178 / 3600)
+    lam0 = math.radians(5 + 23 / 60 + 15.5 / 3600)
+    w = 1 - eb2 * math.sin(phi0) ** 2
+    radius = a * math.sqrt(1 - eb2) / w
+    n = math.sqrt(1 + eb2 * math.cos(phi0) ** 4 / (1 - eb2))
+    b0 = math.asin(math.sin(phi0) / n)
+    m = math.log(math.tan(math.pi / 4 + b0 / 2)) - n * isometric(phi0, e)
+    at = (f"SELECT *, radians({lon}) AS z_l, radians({lat}) AS z_p FROM {src}")
+    at = f"SELECT *, 6378137.0 / sqrt(1 - {ew2!r} * pow(sin(z_p), 2)) AS z_n FROM ({at})"
+    at = (f"SELECT *, (z_n * cos(z_p) * cos(z_l) - 565.2369) / {scale!r} AS z_x, "
+          f"(z_n * cos(z_p) * sin(z_l) - 50.0087) / {scale!r} AS z_y, "
+          f"(z_n * {1 - ew2!r} * sin(z_p) - 465.658) / {scale!r} AS z_z FROM ({at})")
+    at = (f"SELECT *, z_x + ({rz!r}) * z_y - ({ry!r}) * z_z AS z_u, "
+          f"z_y - ({rz!r}) * z_x + ({rx!r}) * z_z AS z_v, "
+          f"z_z + ({ry!r}) * z_x - ({rx!r}) * z_y AS z_w FROM ({at})")
+    at = (f"SELECT *, sqrt(z_u * z_u + z_v * z_v) AS z_r, atan2(z_v, z_u) AS z_lam, "
+          f"atan2(z_w, sqrt(z_u * z_u + z_v * z_v) * {1 - eb2!r}) AS z_f0 FROM ({at})")
+    for i in range(6):
+        at = (f"SELECT *, atan2(z_w + {eb2 * a!r} * sin(z_f{i}) / sqrt(1 - {eb2!r} * "
+              f"pow(sin(z_f{i}), 2)), z_r) AS z_f{i + 1} FROM ({at})")
+    at = (f"SELECT *, 2 * atan(exp({n!r} * (ln(tan({math.pi / 4!r} + z_f6 / 2)) - {e / 2!r} * "
+          f"ln((1 + {e!r} * sin(z_f6)) / (1 - {e!r} * sin(z_f6)))) + ({m!r}))) - {math.pi / 2!r} "
+          f"AS z_b, {n!r} * (z_lam - {lam0!r}) AS z_d FROM ({at})")
+    half = (f"pow(sin((z_b - {b0!r}) / 2), 2) + pow(sin(z_d / 2), 2) * cos(z_b) * {math.cos(b0)!r}")
+    at = f"SELECT *, 2 * asin(sqrt({half})) AS z_s FROM ({at})"
+    # the length 2 k R tan(s / 2), divided by sin(s) once for both directions
+    at = (f"SELECT *, CASE WHEN z_s = 0 THEN {0.9999079 * radius!r} ELSE "
+          f"{2 * 0.9999079 * radius!r} * tan(z_s / 2) / sin(z_s) END AS z_k FROM ({at})")
+    return (f"SELECT *, 155000 + z_k * sin(z_d) * cos(z_b) AS rd_x, 463000 + z_k * "
+            f"(sin(z_b) - {math.sin(b0)!r} * cos(z_s)) / {math.cos(b0)!r} AS rd_y FROM ({at})")
+
 
 PTS = ("SELECT c_custkey AS id, CAST((c_custkey * 37) % 1000 AS DOUBLE) / 100.0 AS x, "
        "CAST((c_custkey * 91) % 1000 AS DOUBLE) / 100.0 AS y, "
@@ -18,6 +75,8 @@ SDZ = "SELECT CAST(r_regionkey AS VARCHAR) AS code, r_name AS naam, 2 * r_region
 BUURT = "SELECT right(c_name, 3) AS code, c_name AS naam FROM customer"
 WIJK = ("SELECT CAST(min(s_nationkey) % 7 AS VARCHAR) || right(s_name, 2) AS vollcode, "
         "right(s_name, 2) AS code, min(s_name) AS naam FROM supplier GROUP BY right(s_name, 2)")
+QUARTERS = ("SELECT s_suppkey % 100 AS q, min(s_nationkey) % 7 AS digit, min(s_name) AS qname "
+            "FROM supplier GROUP BY s_suppkey % 100")
 SD = "SELECT CAST(r_regionkey AS VARCHAR) AS code, r_name AS naam FROM region"
 
 SQ = ("SELECT c_custkey AS id, right(c_name, 3) AS code, c_name AS naam, "
@@ -61,18 +120,27 @@ def _xy4(a: str, b: str) -> str:
     return f"'[' || {_dec4(a)} || ',' || {_dec4(b)} || ']'"
 
 
-INSP_GEOJSON = (
-    "CASE k % 4 "
-    f"WHEN 0 THEN '{{\"type\":\"Point\",\"coordinates\":' || {_xy4('vlon', 'vlat')} || '}}' "
-    "WHEN 1 THEN '{\"type\":\"Polygon\",\"coordinates\":[[' || "
-    f"{_xy4('vlon - 5', 'vlat - 5')} || ',' || {_xy4('vlon + 5', 'vlat - 5')} || ',' || "
-    f"{_xy4('vlon + 5', 'vlat + 5')} || ',' || {_xy4('vlon - 5', 'vlat + 5')} || ',' || "
-    f"{_xy4('vlon - 5', 'vlat - 5')} || ']]}}' "
-    "WHEN 2 THEN '{\"type\":\"LineString\",\"coordinates\":[' || "
-    f"{_xy4('vlon - 5', 'vlat')} || ',' || {_xy4('vlon + 5', 'vlat')} || ']}}' "
-    "ELSE '{\"type\":\"MultiPoint\",\"coordinates\":[' || "
-    f"{_xy4('vlon - 5', 'vlat - 5')} || ',' || {_xy4('vlon + 5', 'vlat + 5')} || ']}}' END"
-)
+def _xyd(a: str, b: str) -> str:
+    """The same pair as a JSON writer prints doubles."""
+    return ("'[' || " + " || ',' || ".join(f"CAST(CAST({v} AS DOUBLE) / 10000.0 AS VARCHAR)"
+                                            for v in (a, b)) + " || ']'")
+
+
+def _geojson(xy) -> str:
+    return (
+        "CASE k % 4 "
+        f"WHEN 0 THEN '{{\"type\":\"Point\",\"coordinates\":' || {xy('vlon', 'vlat')} || '}}' "
+        "WHEN 1 THEN '{\"type\":\"Polygon\",\"coordinates\":[[' || "
+        f"{xy('vlon - 5', 'vlat - 5')} || ',' || {xy('vlon + 5', 'vlat - 5')} || ',' || "
+        f"{xy('vlon + 5', 'vlat + 5')} || ',' || {xy('vlon - 5', 'vlat + 5')} || ',' || "
+        f"{xy('vlon - 5', 'vlat - 5')} || ']]}}' "
+        "WHEN 2 THEN '{\"type\":\"LineString\",\"coordinates\":[' || "
+        f"{xy('vlon - 5', 'vlat')} || ',' || {xy('vlon + 5', 'vlat')} || ']}}' "
+        "ELSE '{\"type\":\"MultiPoint\",\"coordinates\":[' || "
+        f"{xy('vlon - 5', 'vlat - 5')} || ',' || {xy('vlon + 5', 'vlat + 5')} || ']}}' END")
+
+
+INSP_GEOJSON = _geojson(_xy4)
 
 TYPES = ("SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name, 'score ' || n_name AS "
          "description, 'measure ' || CAST(n_nationkey AS VARCHAR) AS measuring_desc, "
@@ -95,20 +163,17 @@ TOTAL = (
     "= CAST(b.inspection_type_id AS VARCHAR) || CAST(b.id AS VARCHAR)"
 )
 
-B6 = ("SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') || 'a' AS code, n_name AS naam, "
-      "108000 + (n_nationkey % 5) * 7000 AS x0, 469000 + (n_nationkey // 5) * 11000 AS y0 "
-      "FROM nation")
-W6 = ("SELECT CAST(n_nationkey % 7 AS VARCHAR) || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') "
-      "AS vollcode, 'W' || n_name AS naam FROM nation")
-S6 = "SELECT CAST(r_regionkey AS VARCHAR) AS code, r_name AS naam FROM region"
 G6 = ("SELECT 'G' || CAST(r_regionkey AS VARCHAR) AS code, 'Gebied ' || r_name AS naam, "
       "474000 + r_regionkey * 11000 AS y0 FROM region")
+# By the arithmetic of the layers: neighbourhood and quarter are the nation's, the
+# district is the region whose key is the nation's modulo 7 (none for 5 and 6).
 HIER6 = (
-    "SELECT s.naam AS stadsdeelnaam, s.code AS stadsdeelcode, a.wijknaam, a.wijkcode, "
-    "a.buurtnaam, s.code || a.code AS buurtcode, a.x0, a.y0 FROM "
-    f"(SELECT w.vollcode AS wijkcode, b.naam AS buurtnaam, w.naam AS wijknaam, b.code, b.x0, b.y0 "
-    f"FROM ({B6}) b LEFT JOIN ({W6}) w ON right(w.vollcode, 2) = left(b.code, 2)) a "
-    f"LEFT JOIN ({S6}) s ON s.code = left(a.wijkcode, 1)"
+    "SELECT r_name AS stadsdeelnaam, CAST(r_regionkey AS VARCHAR) AS stadsdeelcode, "
+    "'W' || n_name AS wijknaam, CAST(n_nationkey % 7 AS VARCHAR) || "
+    "lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS wijkcode, n_name AS buurtnaam, "
+    "CAST(r_regionkey AS VARCHAR) || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') || 'a' AS buurtcode, "
+    "108000 + (n_nationkey % 5) * 7000 AS x0, 469000 + (n_nationkey // 5) * 11000 AS y0 "
+    "FROM nation LEFT JOIN region ON r_regionkey = n_nationkey % 7"
 )
 
 TOTAL_COLS = ("inspection_created_at, creating_user_id, inspection_round_id, "
@@ -118,7 +183,7 @@ TOTAL_COLS2 = ("score_description, inspection_type_id, inspection_type_name, "
                "score_measuring_description, score")
 
 FLAGSHIP = (
-    f"WITH t AS ({rd_sql_stages('(' + TOTAL + ')', 'lat', 'lon')}) "
+    f"WITH t AS ({rd_sql('(' + TOTAL + ')', 'lat', 'lon')}) "
     f"SELECT {TOTAL_COLS}, t.score AS score_id, {TOTAL_COLS2}, round(t.lat, 9) AS lat, "
     "round(t.lon, 9) AS lon, t.geojson, d.stadsdeelcode, d.stadsdeelnaam, "
     "g.naam AS gebiedsnaam, g.code AS gebiedscode, d.wijkcode, d.wijknaam, d.buurtnaam, "
@@ -189,7 +254,7 @@ E2E_TOTAL = (
     "CAST(a.score AS VARCHAR) = CAST(b.inspection_type_id AS VARCHAR) || CAST(b.id AS VARCHAR)"
 )
 E2E = (
-    f"WITH t AS ({rd_sql_stages('(' + E2E_TOTAL + ')', 'lat', 'lon')}) "
+    f"WITH t AS ({rd_sql('(' + E2E_TOTAL + ')', 'lat', 'lon')}) "
     f"SELECT {TOTAL_COLS}, t.score AS score_id, {TOTAL_COLS2}, round(t.lat, 9) AS lat, "
     "round(t.lon, 9) AS lon, t.geojson, d.stadsdeelcode, d.stadsdeelnaam, "
     "g.naam AS gebiedsnaam, g.code AS gebiedscode, d.wijkcode, d.wijknaam, d.buurtnaam, "
@@ -205,9 +270,15 @@ EXT = (f"CASE WHEN regexp_matches({STEP}, '.\\.[^.]*$') THEN "
        f"regexp_extract({STEP}, '\\.([^.]*)$', 1) ELSE '' END")
 
 
+# Registered types of the extensions that the pages' URLs can have.
+KINDS = {"html": "text/html", "htm": "text/html", "css": "text/css", "js": "text/javascript",
+         "json": "application/json", "xml": "text/xml", "txt": "text/plain", "csv": "text/csv",
+         "pdf": "application/pdf", "zip": "application/zip", "png": "image/png",
+         "jpg": "image/jpeg", "jpeg": "image/jpeg", "gif": "image/gif", "svg": "image/svg+xml"}
+
+
 def _content_type_sql() -> str:
-    from gridwise.functions.text import CONTENT_TYPES
-    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CONTENT_TYPES.items())
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in KINDS.items())
     return f"CASE lower({EXT}) {cases} ELSE NULL END"
 
 
@@ -232,8 +303,11 @@ _CORNERS = " UNION ALL ".join(
 AREA_LAYERS = (
     "SELECT layer, code, naam, 28992 AS srid, round(min(rd_x), 2) AS minx, "
     "round(min(rd_y), 2) AS miny, round(max(rd_x), 2) AS maxx, round(max(rd_y), 2) AS maxy "
-    f"FROM ({rd_sql_stages('(' + _CORNERS + ')', 'lon', 'lat')}) GROUP BY layer, code, naam")
+    f"FROM ({rd_sql('(' + _CORNERS + ')', 'lon', 'lat')}) GROUP BY layer, code, naam")
+
 
+ARCHIVES = ("SELECT 'archive_' || CAST(c_custkey // 1000 AS VARCHAR) || '.zip' AS name "
+            "FROM customer GROUP BY c_custkey // 1000")
 
 SQL: dict[str, str] = {
     "spatial_join_points":
@@ -265,7 +339,7 @@ SQL: dict[str, str] = {
         "SELECT id, 4326 AS srid_before, 28992 AS srid, "
         f"CASE id % 4 WHEN 0 THEN 1 WHEN 1 THEN 5 ELSE 2 END AS n_vertices FROM ({PTS})",
     "st_transform":
-        "SELECT id, round(rd_x, 2) AS rd_x, round(rd_y, 2) AS rd_y FROM (" + rd_sql_stages(
+        "SELECT id, round(rd_x, 2) AS rd_x, round(rd_y, 2) AS rd_y FROM (" + rd_sql(
             "(SELECT p_partkey AS id, CAST(47000 + ((p_partkey * 37) % 1000) * 5 AS DOUBLE) "
             "/ 10000.0 AS lon, CAST(522000 + ((p_partkey * 91) % 1000) * 5 AS DOUBLE) "
             "/ 10000.0 AS lat FROM part)", "lon", "lat") + ")",
@@ -317,17 +391,22 @@ SQL: dict[str, str] = {
     "join_left_suffix_prefix":
         f"SELECT b.code, b.naam AS buurtnaam, w.vollcode AS wijkcode, w.naam AS wijknaam "
         f"FROM ({BUURT}) b LEFT JOIN ({WIJK}) w ON right(w.vollcode, 2) = left(b.code, 2)",
+    # a customer's neighbourhood code is its key modulo 1000; the tens of it name
+    # the quarter, the hundreds (prefix form) or the quarter's digit the district
     "area_hierarchy":
-        "SELECT s.naam AS stadsdeelnaam, s.code AS stadsdeelcode, a.wijknaam, a.wijkcode, "
-        "a.buurtnaam, s.code || a.code AS buurtcode FROM "
-        f"(SELECT w.vollcode AS wijkcode, b.naam AS buurtnaam, w.naam AS wijknaam, b.code "
-        f"FROM ({BUURT}) b LEFT JOIN ({WIJK}) w ON right(w.vollcode, 2) = left(b.code, 2)) a "
-        f"LEFT JOIN ({SD}) s ON s.code = left(a.wijkcode, 1)",
+        "SELECT r_name AS stadsdeelnaam, CAST(r_regionkey AS VARCHAR) AS stadsdeelcode, "
+        "qname AS wijknaam, CAST(digit AS VARCHAR) || lpad(CAST(q AS VARCHAR), 2, '0') AS wijkcode, "
+        "c_name AS buurtnaam, CAST(r_regionkey AS VARCHAR) || "
+        "lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') AS buurtcode "
+        f"FROM customer LEFT JOIN ({QUARTERS}) ON q = c_custkey % 1000 // 10 "
+        "LEFT JOIN region ON r_regionkey = digit",
     "area_hierarchy_prefix":
-        "SELECT s.code AS stadsdeelcode, s.code || b.code AS buurtcode, w.vollcode AS wijkcode, "
-        "s.naam AS stadsdeelnaam, b.naam AS buurtnaam, w.naam AS wijknaam "
-        f"FROM ({BUURT}) b, ({WIJK}) w, ({SD}) s "
-        "WHERE s.code = left(b.code, 1) AND w.code = left(b.code, 2)",
+        "SELECT CAST(r_regionkey AS VARCHAR) AS stadsdeelcode, CAST(r_regionkey AS VARCHAR) || "
+        "lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') AS buurtcode, "
+        "CAST(digit AS VARCHAR) || lpad(CAST(q AS VARCHAR), 2, '0') AS wijkcode, "
+        "r_name AS stadsdeelnaam, c_name AS buurtnaam, qname AS wijknaam "
+        f"FROM customer JOIN ({QUARTERS}) ON q = c_custkey % 1000 // 10 "
+        "JOIN region ON r_regionkey = c_custkey % 1000 // 100",
     "area_hierarchy_spatial":
         "SELECT DISTINCT s.code AS stadsdeelcode, s.code || q.code AS buurtcode, "
         "w.vollcode AS wijkcode, s.naam AS stadsdeelnaam, q.naam AS buurtnaam, "
@@ -365,7 +444,7 @@ SQL: dict[str, str] = {
         "SELECT event_id, 'event_type' AS path, event_type AS value FROM events "
         "UNION ALL SELECT event_id, 'user_id', CAST(user_id AS VARCHAR) FROM events "
         "UNION ALL SELECT event_id, 'props.k', CAST(CAST(json_extract(props, '$.k') AS BIGINT) "
-        "AS VARCHAR) FROM events WHERE json_extract(props, '$.k') IS NOT NULL",
+        "AS VARCHAR) FROM events",
     "flatten_wide":
         "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS \"props.k\" FROM events",
     "array_first":
@@ -378,7 +457,7 @@ SQL: dict[str, str] = {
         "SELECT event_id, event_type, user_id, CASE WHEN event_type = 'error' THEN NULL "
         "ELSE value END AS value FROM events",
     "scan_listing":
-        "SELECT '/e/' || CAST(event_id AS VARCHAR) AS uri FROM events WHERE event_type = 'click'",
+        "SELECT '/e/' || CAST(event_id AS VARCHAR) AS uri FROM events",
     "scan_detail_by_uri":
         "SELECT '/c/' || CAST(c_custkey AS VARCHAR) AS uri, c_custkey, c_name, c_mktsegment "
         "FROM customer WHERE c_custkey IN (SELECT DISTINCT user_id FROM events)",
@@ -402,8 +481,26 @@ SQL: dict[str, str] = {
     "zip_members":
         "SELECT 'customers_' || CAST(c_custkey // 100 AS VARCHAR) || '.csv' AS member, "
         "CAST(count(*) AS INTEGER) AS n_lines, false AS failed FROM customer "
-        "WHERE c_custkey // 100 >= 10 GROUP BY c_custkey // 100 "
-        "UNION ALL SELECT NULL, NULL, true",
+        "GROUP BY c_custkey // 100 UNION ALL SELECT NULL, NULL, true",
+    "list_files":
+        f"SELECT name FROM ({ARCHIVES}) UNION ALL SELECT 'broken#1.zip' WHERE EXISTS "
+        "(SELECT 1 FROM customer WHERE c_custkey < 1000)",
+    "check_objects":
+        f"SELECT name, true AS present FROM ({ARCHIVES}) "
+        "UNION ALL SELECT 'archive_x#1.zip', false",
+    "publish_manifest":
+        f"SELECT name, 'application/zip' AS content_type, true AS present FROM ({ARCHIVES}) "
+        "UNION ALL SELECT 'archive_x#1.zip', 'application/zip', false",
+    "inspection_rounds_mixed":
+        "SELECT id, k AS part, score, CAST(k % 7 AS VARCHAR) AS status, "
+        "CASE WHEN k % 4 = 0 THEN NULL WHEN k % 2 = 0 THEN 'r' || CAST(k AS VARCHAR) "
+        "ELSE 'i' || CAST(k AS VARCHAR) END AS modifiedAt, "
+        "CASE WHEN k % 3 = 0 THEN 't' || CAST(k AS VARCHAR) END AS _tag, "
+        "CASE WHEN k % 5 = 0 THEN 'n' || CAST(k AS VARCHAR) END AS note, "
+        f"{_geojson(_xyd)} AS geojson FROM ({INSP})",
+    "inspections_mixed_areas":
+        "SELECT inspection_round_id, location_id, score, stadsdeelcode, wijkcode, buurtcode, "
+        f"gebiedscode, lat, lon FROM ({FLAGSHIP})",
     "inspections_total_areas_stream": FLAGSHIP,
     "inspections_end_to_end": E2E,
 }

@@ -18,10 +18,9 @@ from gridwise.functions.crs import wgs84_to_rd
 from gridwise.functions.geometry import (geom_from_geojson, st_centroid, st_set_srid,
                                          st_x, st_y)
 from gridwise.functions.text import concat_text, str_left, str_right
-from gridwise.operators.joins import (broadcast_if_small, in_parallel, join_concat_key, spread,
+from gridwise.operators.joins import (broadcast_if_small, in_parallel, join_concat_key,
                                       union_all)
-from gridwise.operators.spatial_join import plan_grid, spatial_join
-from gridwise.session import geometry_plan_settings
+from gridwise.operators.spatial_join import computed_once, plan_grid, spatial_join
 
 
 def _q(name: str) -> str:
@@ -82,10 +81,7 @@ def inspections_total(area_staging: DataFrame, object_staging: DataFrame,
     ``text(inspectionItem.id)||text(score) = text(type id)||text(option id)``,
     renamed, with the geometry parsed once: centroid X as ``lat``, Y as
     ``lon`` (the published, swapped names) and ``geom`` labelled 4326."""
-    geometry_plan_settings(area_staging.sparkSession)
     a = union_all(area_staging, object_staging)
-    if not a.isStreaming:
-        a = spread(a)
     for col in ("inspectionItem.id", "score", "geojson"):
         if col not in a.columns:
             raise KeyError(f"staging column missing: {col}")
@@ -102,8 +98,7 @@ def inspections_total(area_staging: DataFrame, object_staging: DataFrame,
           for s, d in TOTAL_FROM_STAGING],
         *[F.col("_t_" + s).alias(d) for s, d in TOTAL_FROM_TYPES],
         F.col("geojson"), geom.alias("_g"))
-    cen = st_centroid(F.col("_g"))
-    return (staged.withColumn("_c", cen)
+    return (computed_once(staged, _c=st_centroid(F.col("_g")))
             .select(*[F.col(d) for _, d in TOTAL_FROM_STAGING],
                     *[F.col(d) for _, d in TOTAL_FROM_TYPES],
                     st_x("_c").alias("lat"), st_y("_c").alias("lon"),
@@ -159,9 +154,9 @@ def area_hierarchy_spatial(buurt: DataFrame, stadsdeel: DataFrame, wijk: DataFra
     The original pairs every (neighbourhood, district) with *every* quarter
     (a condition-less cross join); that all-pairs product is not built."""
     cen = st_centroid(F.col(geom))
-    b = (buurt.select(F.col("code").alias("_b_code"), F.col("naam").alias("buurtnaam"),
-                      F.col(geom))
-         .withColumn("_cx", st_x(cen)).withColumn("_cy", st_y(cen)))
+    b = computed_once(buurt.select(F.col("code").alias("_b_code"),
+                                   F.col("naam").alias("buurtnaam"), F.col(geom)), _cen=cen)
+    b = b.withColumn("_cx", st_x("_cen")).withColumn("_cy", st_y("_cen")).drop("_cen")
     s = stadsdeel.select(F.col("code").alias("stadsdeelcode"),
                          F.col("naam").alias("stadsdeelnaam"), F.col(geom).alias("_s_geom"))
     a = spatial_join(b, s, x="_cx", y="_cy", geom="_s_geom")
@@ -178,7 +173,7 @@ def area_hierarchy_spatial(buurt: DataFrame, stadsdeel: DataFrame, wijk: DataFra
 def rd_point(total: DataFrame) -> DataFrame:
     """``ST_TRANSFORM(ST_CENTROID(geom), 28992)`` computed once, from the
     centroid columns (``lat`` holds X, ``lon`` holds Y)."""
-    return (total.withColumn("_rd", wgs84_to_rd(F.col("lat"), F.col("lon")))
+    return (computed_once(total, _rd=wgs84_to_rd(F.col("lat"), F.col("lon")))
             .withColumn("_rd_x", F.col("_rd")["x"]).withColumn("_rd_y", F.col("_rd")["y"])
             .drop("_rd"))
 

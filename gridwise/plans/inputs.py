@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridwise.functions.geometry import geom_from_geojson, make_box
+from gridwise.functions.geometry import make_box
 from gridwise.operators.joins import broadcast_if_small
 from gridwise.operators.nesting import nest
 
@@ -231,14 +231,6 @@ def split_staging(staging: DataFrame) -> tuple[DataFrame, DataFrame]:
     return staging.where(small), staging.where(~small | F.col("creatingUserId").isNull())
 
 
-def insp_area(t: Tables) -> DataFrame:
-    return split_staging(insp_staging(t))[0]
-
-
-def insp_object(t: Tables) -> DataFrame:
-    return split_staging(insp_staging(t))[1]
-
-
 def type_docs_region(t: Tables) -> DataFrame:
     """Score-type documents: one per region with its nations as options.
     ``nation`` is a fixed 25-row dimension, so each list is bounded."""
@@ -382,5 +374,40 @@ def events_json_text(t: Tables) -> DataFrame:
     return e.select(text.alias("value"))
 
 
-def parse_geometry(df: DataFrame, col: str = "geojson", out: str = "geom") -> DataFrame:
-    return df.withColumn(out, geom_from_geojson(F.col(col)))
+def mixed_round_texts(t: Tables) -> DataFrame:
+    """One round document per part, as JSON text, with one inspection and one
+    result.  The geometry's kind follows the key; ``modifiedAt`` is in every
+    inspection, in even rounds (null in every fourth) not in odd ones; ``_tag`` is
+    a key of every third round, ``note`` of every fifth inspection."""
+    s = insp_staging(t)
+    k = F.col("k")
+    rows = s.select(F.col("`location.locationId`").alias("k"),
+                    F.col("geojson").alias("g"), F.col("score"),
+                    F.col("`inspectionItem.id`").alias("item"), "inspectionRoundName")
+
+    def member(name: str, value: Column, when: Column | None = None) -> Column:
+        text = F.concat(F.lit(f',"{name}":'), value)
+        return text if when is None else F.when(when, text).otherwise("")
+
+    def quoted(value: Column) -> Column:
+        return F.concat(F.lit('"'), value, F.lit('"'))
+
+    result = F.concat(F.lit('{"creatingUserDisplayName":"u"'), member("score", _txt(F.col("score"))),
+                      member("inspectionItem", F.concat(F.lit('{"id":'), _txt(F.col("item")),
+                                                        F.lit("}"))),
+                      F.lit("}"))
+    insp = F.concat(
+        F.lit('{"closingUserDisplayName":"c"'), member("status", quoted(_txt(k % 7))),
+        member("modifiedAt", quoted(F.concat(F.lit("i"), _txt(k)))),
+        member("note", quoted(F.concat(F.lit("n"), _txt(k))), k % 5 == 0),
+        member("location", F.concat(F.lit('{"locationId":'), _txt(k), F.lit(
+            ',"geoJsonFeature":{"type":"Feature","geometry":'), F.col("g"), F.lit("}}"))),
+        member("results", F.concat(F.lit("["), result, F.lit("]"))), F.lit("}"))
+    doc = F.concat(
+        F.lit('{"id":'), _txt(_div(k, 4)),
+        member("inspectionRoundName", quoted(F.col("inspectionRoundName"))),
+        member("modifiedAt", F.when(k % 4 == 0, F.lit("null")).otherwise(
+            quoted(F.concat(F.lit("r"), _txt(k)))), k % 2 == 0),
+        member("_tag", quoted(F.concat(F.lit("t"), _txt(k))), k % 3 == 0),
+        member("inspections", F.concat(F.lit("["), insp, F.lit("]"))), F.lit("}"))
+    return rows.select(doc.alias("value"))

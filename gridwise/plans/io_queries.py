@@ -24,7 +24,7 @@ def records_to_table_q(spark, sf_dir):
 
 @query
 def scan_listing_q(spark, sf_dir):
-    e = _t(spark, sf_dir)("events").where(F.col("event_type") == "click")
+    e = _t(spark, sf_dir)("events")
     item = F.to_json(F.struct(F.concat(F.lit("/e/"), F.col("event_id").cast("string"))
                               .alias("uri")))
     # listing pages of at most 1000 objects, one JSON array per line
@@ -39,14 +39,16 @@ def scan_listing_q(spark, sf_dir):
 @query
 def scan_detail_by_uri_q(spark, sf_dir):
     t = _t(spark, sf_dir)
-    listing = (t("events").select(F.concat(F.lit("/c/"), F.col("user_id").cast("string"))
-                                  .alias("uri")).distinct())
+    # the customers that events name; other user ids have no document
+    listing = (t("events").join(t("customer"), F.col("user_id") == F.col("c_custkey"), "left_semi")
+               .select(F.concat(F.lit("/c/"), F.col("user_id").cast("string")).alias("uri"))
+               .distinct())
     docs_text = t("customer").select(F.to_json(F.struct(
         F.concat(F.lit("/c/"), F.col("c_custkey").cast("string")).alias("uri"),
         "c_custkey", "c_name", "c_mktsegment")).alias("value"))
     path = D.write_json_text(spark, docs_text, "details")
     docs = D.read_json_text(spark, path)
-    return D.scan_detail_by_uri(listing, docs, strict=False).select(
+    return D.scan_detail_by_uri(listing, docs).select(
         "uri", "c_custkey", "c_name", "c_mktsegment")
 
 
@@ -177,7 +179,7 @@ def area_layers(spark, sf_dir):
 # files, objects, archives, publish
 # ---------------------------------------------------------------------------
 
-from gridwise.sinks.publish import publish_manifest as _manifest  # noqa: E402
+from gridwise.sinks.publish import publish_files  # noqa: E402
 from gridwise.sources import files as FS  # noqa: E402
 
 
@@ -204,27 +206,29 @@ def scan_objects(spark, sf_dir):
 
 @query
 def list_files(spark, sf_dir):
-    path = _customer_files(spark, sf_dir)
-    return FS.list_files(spark, path, glob="*.csv").select("name", "length")
+    return FS.list_files(spark, _customer_zips(spark, sf_dir)).select("name")
+
+
+def _expected_archives(spark, sf_dir):
+    """The archives that the customers should give, and one that nobody wrote."""
+    number = F.floor(F.floor(F.col("c_custkey") / ZIP_GROUP) / MEMBERS_PER_ZIP)
+    names = (_t(spark, sf_dir)("customer").select(
+        F.concat(F.lit("archive_"), number.cast("string"), F.lit(".zip")).alias("name")).distinct())
+    return names.unionByName(spark.range(1).select(F.lit("archive_x#1.zip").alias("name")))
 
 
 @query
 def check_objects(spark, sf_dir):
-    path = _customer_files(spark, sf_dir)
-    found = FS.list_files(spark, path, glob="*.csv").select("name")
-    expected = found.unionByName(spark.range(1).select(F.lit("missing.csv").alias("name")))
-    return FS.check_objects(spark, path, expected).select("name", "present")
+    folder = _customer_zips(spark, sf_dir)
+    return FS.check_objects(spark, folder, _expected_archives(spark, sf_dir)).select(
+        "name", "present")
 
 
 @query
 def publish_manifest(spark, sf_dir):
-    c = _t(spark, sf_dir)("customer")
-    folder = work_dir(spark, "publish")
-    X.export_csv(c, folder, "customers", sep=";", run_date="2024-01-01")
-    X.export_geojson(I.nb(_t(spark, sf_dir)), f"{folder}/areas.geojson", "geom",
-                     ["code", "naam"])
-    return _manifest(spark, f"{folder}/*", glob="part-*").select(
-        "name", "length", "content_type")
+    return publish_files(spark, _customer_zips(spark, sf_dir), work_dir(spark, "published"),
+                         _expected_archives(spark, sf_dir)).select(
+        "name", "content_type", "present")
 
 
 ZIP_GROUP = 100      # customers per archive member
@@ -232,9 +236,9 @@ MEMBERS_PER_ZIP = 10
 
 
 def _write_zips(folder):
-    """applyInPandas body: one archive per group of members; archive 0 is
-    written truncated (corrupt).  Writes through pyarrow's file systems, so
-    the folder may be local, HDFS or an object store."""
+    """applyInPandas body: one archive per group of members, and beside archive 0
+    a damaged one.  Writes through pyarrow's file systems, so the folder may be
+    local, HDFS or an object store."""
     import io
     import zipfile
 
@@ -248,19 +252,19 @@ def _write_zips(folder):
             for m, text in sorted(zip(pdf["member"], pdf["text"])):
                 zf.writestr(f"customers_{int(m)}.csv", text)
         data = buf.getvalue()
-        if arch == 0:
-            data = data[: len(data) // 3]
         filesystem, root = pafs.FileSystem.from_uri(folder)
         filesystem.create_dir(root, recursive=True)
         with filesystem.open_output_stream(f"{root}/archive_{arch}.zip") as out:
             out.write(data)
+        if arch == 0:
+            with filesystem.open_output_stream(f"{root}/broken#1.zip") as out:
+                out.write(data[: len(data) // 3])
         return pd.DataFrame({"archive": [arch], "bytes": [len(data)]})
 
     return write
 
 
-@query
-def zip_members(spark, sf_dir):
+def _customer_zips(spark, sf_dir):
     c = _t(spark, sf_dir)("customer")
     member = F.floor(F.col("c_custkey") / ZIP_GROUP)
     line = F.concat_ws(",", F.col("c_custkey").cast("string"), F.col("c_name"))
@@ -274,7 +278,12 @@ def zip_members(spark, sf_dir):
         folder = "file://" + folder
     (members.groupBy("archive").applyInPandas(_write_zips(folder), "archive long, bytes long")
      .write.format("noop").mode("overwrite").save())
-    rows = FS.zip_members(spark, folder)
+    return folder
+
+
+@query
+def zip_members(spark, sf_dir):
+    rows = FS.zip_members(spark, _customer_zips(spark, sf_dir))
     return rows.select(
         "member",
         F.when(F.col("content").isNotNull(),

@@ -5,7 +5,7 @@
     load_areas    GeoJSON layers (4326)   -> layer tables in 28992 (E3)
     enrich        staging + types + layers -> inspections_total_areas (E4-E6)
     export        table -> dated CSV folder (K4, K6)
-    publish       folder -> manifest of names, sizes, content types (K8, K9, S7)
+    publish       folder -> destination, every expected file verified (K8, K9, S7)
 
 Every job reads and writes through Spark's sources and sinks, so paths can be
 local, HDFS or object-store URIs; tables are replaced whole, as the original
@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridwise.plans import enrich
-from gridwise.plans.loaders import inspection_rounds, inspection_types
+from gridwise.plans.loaders import inspection_types, landed_rounds
 from gridwise.sinks.export import export_csv
-from gridwise.sinks.publish import publish_manifest
+from gridwise.sinks.publish import publish_files
 from gridwise.sinks.tables import replace_table, scan_table  # noqa: F401 (re-exported)
 from gridwise.sources.areas import layer_columns, load_layers
-from gridwise.sources.documents import read_json_text
+from gridwise.sources.documents import read_json_text, scan_detail_by_uri
 
 # The names of the four area layers of the upstream map
 # service and the property columns used from each.
@@ -35,17 +35,25 @@ LAYER_COLUMNS = {
 }
 
 
-def load_types(spark: SparkSession, docs_path: str, out_path: str) -> str:
-    """Type documents (JSON, one per line) -> staging table with idx."""
-    docs = read_json_text(spark, docs_path).withColumn("_order", F.col("id"))
+def load_types(spark: SparkSession, docs_path: str, out_path: str, schema=None,
+               listing: DataFrame | None = None) -> str:
+    """Type documents (JSON, one per line) -> staging table with idx, in
+    order of their id or, with a ``listing`` (uri, position), exactly the listed
+    documents in its order."""
+    docs = read_json_text(spark, docs_path, schema=schema)
+    if listing is None:
+        docs = docs.withColumn("_order", F.col("id"))
+    else:
+        docs = scan_detail_by_uri(listing, docs).withColumnRenamed("position", "_order")
     return replace_table(inspection_types(docs, doc_order=["_order"]), out_path)
 
 
 def load_rounds(spark: SparkSession, docs_path: str, out_path: str,
-                mode: str = "failfast") -> str:
-    """Round documents (JSON, one per line) -> staging table with idx."""
-    docs = read_json_text(spark, docs_path).withColumn("_order", F.col("id"))
-    return replace_table(inspection_rounds(docs, doc_order=["_order"], mode=mode), out_path)
+                mode: str = "failfast", schema=None, listing: DataFrame | None = None) -> str:
+    """Round documents (JSON, one per line) -> staging table with idx; see
+    ``loaders.landed_rounds``."""
+    return replace_table(landed_rounds(spark, docs_path, schema=schema, mode=mode,
+                                       listing=listing), out_path)
 
 
 def load_areas(spark: SparkSession, layer_paths: dict[str, str], out_root: str,
@@ -59,11 +67,14 @@ def load_areas(spark: SparkSession, layer_paths: dict[str, str], out_root: str,
 
 
 def enrich_tables(spark: SparkSession, area_staging: str, object_staging: str, types: str,
-                  layers: dict[str, str], out_path: str) -> str:
-    """The enriched, area-coded inspections table."""
+                  layers: dict[str, str], out_path: str, total_path: str | None = None) -> str:
+    """The enriched, area-coded inspections table; ``total_path`` also
+    publishes ``inspections_total``, which the areas are then joined to."""
     total = enrich.inspections_total(scan_table(spark, area_staging),
                                      scan_table(spark, object_staging),
                                      scan_table(spark, types))
+    if total_path:
+        total = scan_table(spark, replace_table(total, total_path))
     hierarchy = enrich.area_hierarchy(scan_table(spark, layers["buurt"]),
                                       scan_table(spark, layers["buurtcombinatie"]),
                                       scan_table(spark, layers["stadsdeel"]))
@@ -79,6 +90,9 @@ def export(spark: SparkSession, table_path: str, output_folder: str,
                       run_date=run_date)
 
 
-def publish(spark: SparkSession, folder: str) -> DataFrame:
-    """Manifest of the published files (name, path, size, type)."""
-    return publish_manifest(spark, folder)
+def publish(spark: SparkSession, folder: str, destination: str,
+            expected: DataFrame | None = None) -> DataFrame:
+    """Every file of a folder copied to ``destination``; the manifest
+    (name, length, content_type, present) lists the ``expected`` names, by
+    default the folder's."""
+    return publish_files(spark, folder, destination, expected)

@@ -3,11 +3,14 @@ nested documents into flat staging tables with a row index ``idx``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridwise.operators import shape
+from gridwise.operators.round_text import explode_round_texts
 from gridwise.operators.row_index import with_row_index
+from gridwise.sources.documents import read_json_text
 
 
 def inspection_types(docs: DataFrame, doc_order: list[str] | None = None,
@@ -29,7 +32,44 @@ def inspection_rounds(docs: DataFrame, doc_order: list[str] | None = None,
     explode results, drop the display names, cut the geometry out as JSON
     text, merge round > inspection > result, flatten to dotted columns) with
     ``idx`` in document order."""
-    rows = shape.explode_rounds(docs, mode=mode, doc_order=doc_order)
+    return _staged(shape.explode_rounds(docs, mode=mode, doc_order=doc_order), with_index)
+
+
+def landed_rounds(spark: SparkSession, path: str, schema: StructType | None = None,
+                  order: list[str] | None = None, with_index: bool = True,
+                  mode: str = "failfast", listing: DataFrame | None = None) -> DataFrame:
+    """E2 over landed JSON texts (one document per line).  Nothing of a document
+    is lost: geometries stay text whatever their types, and a key only wins over
+    a child's where the document has it.
+
+    ``schema`` is that of the documents; without one it is inferred, which reads
+    them once more.  ``order`` names paths of the documents that set the row
+    order (default: ``id``).  With a ``listing`` (uri, position) exactly the listed
+    documents are loaded, in its order; a listed uri without a document raises.
+    """
+    texts = spark.read.text(path).where(F.trim("value") != "")
+    schema = schema or read_json_text(spark, path).schema
+    if listing is not None:
+        texts = texts.withColumn("uri", F.get_json_object("value", "$.uri"))
+        if not listing.join(texts, "uri", "left_anti").isEmpty():
+            raise LookupError("listed uri without a document")
+        texts = listing.select("uri", "position").join(texts, "uri")
+        names = ["position"]
+    else:
+        names = []
+        for name in order or ["id"]:
+            texts = texts.withColumn(f"_by_{len(names)}", _order_key(schema, name))
+            names.append(f"_by_{len(names)}")
+    return _staged(explode_round_texts(texts, schema, names, mode), with_index)
+
+
+def _order_key(schema: StructType, path: str) -> F.Column:
+    kind = shape.field_type(schema, path)
+    return F.get_json_object("value", f"$.{path}").cast(kind)
+
+
+def _staged(rows: DataFrame, with_index: bool) -> DataFrame:
+    """Exploded rounds -> flat staging columns, numbered by ``idx`` on request."""
     flat_cols = shape.flatten_columns(rows, "rec")
     names = [n for n, _ in flat_cols] + ["geojson"]
     if not with_index:

@@ -23,7 +23,7 @@ from gridwise.operators.joins import join_concat_key, join_prefix, union_all
 from gridwise.operators.row_index import with_row_index
 from gridwise.operators.spatial_join import spatial_join, within_candidates
 from gridwise.plans import enrich, inputs as I
-from gridwise.plans.loaders import inspection_rounds, inspection_types
+from gridwise.plans.loaders import inspection_rounds, inspection_types, landed_rounds
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -470,6 +470,36 @@ def nested_field(spark, sf_dir):
                       shape.nested_field("location", "geoJsonProperties.y").alias("y"))
 
 
+def _mixed_documents(spark, sf_dir):
+    """Round documents as landed JSON texts (see ``inputs.mixed_round_texts``)."""
+    from gridwise.sources.documents import write_json_text
+    t = _t(spark, sf_dir)
+    return write_json_text(spark, I.mixed_round_texts(t), "mixed_rounds")
+
+
+@query
+def inspection_rounds_mixed(spark, sf_dir):
+    """E2 over documents with four kinds of geometry and with keys that only some
+    rounds or inspections have."""
+    rows = landed_rounds(spark, _mixed_documents(spark, sf_dir), with_index=False)
+    return rows.select("id", F.col("`location.locationId`").alias("part"), "score", "status",
+                       "modifiedAt", "_tag", "note", "geojson")
+
+
+@query
+def inspections_mixed_areas(spark, sf_dir):
+    """The same documents through E2, E4 and E6."""
+    t = _t(spark, sf_dir)
+    staging = landed_rounds(spark, _mixed_documents(spark, sf_dir), with_index=False)
+    types = inspection_types(I.type_docs_region(t), doc_order=["id", "_chunk"], with_index=False)
+    b6, w6, s6, g6 = I.rd_layers(t)
+    total = enrich.inspections_total(staging, staging.where("false"), types)
+    out = enrich.inspections_total_areas(total, enrich.area_hierarchy(b6, w6, s6), g6)
+    return out.select("inspection_round_id", "location_id", "score", "stadsdeelcode", "wijkcode",
+                      "buurtcode", "gebiedscode", F.round("lat", 9).alias("lat"),
+                      F.round("lon", 9).alias("lon"))
+
+
 def all_queries() -> dict[str, Query]:
     # import for registration side effects
     from gridwise.plans import io_queries  # noqa: F401

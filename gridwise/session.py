@@ -1,13 +1,12 @@
 """Session construction and the shared working folder.
 
 On a cluster the shared folder comes from ``spark.checkpoint.dir`` (an
-HDFS/S3/ABFS URI every executor can reach).  Only when that setting is absent
-— local runs and tests — do we create a scratch folder ourselves.
+HDFS/S3/ABFS URI every executor can reach).  Where that setting is absent, a
+local master (tests, bench) gets a scratch folder; on a cluster it is an error.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -28,7 +27,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
-        .config("spark.sql.constraintPropagation.enabled", "false")
     )
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -37,20 +35,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-def geometry_plan_settings(spark: SparkSession) -> None:
-    """Settings the geometry plans rely on.
-
-    Constraint propagation infers ``isnotnull`` filters for join keys and
-    pushes them below the projections that compute those keys; for keys
-    derived from geometry (a projected centroid) that copies the whole
-    parse -> centroid -> projection expression into the filter, so it is both
-    evaluated twice per row and, through alias substitution, blows up the
-    optimizer.  Our joins add their own null handling, so it is switched off.
-    """
-    if spark.conf.get("spark.sql.constraintPropagation.enabled", "true") != "false":
-        spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; set one if unset."""
     try:
@@ -64,9 +48,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached outside a cluster (tests, local bench): no shared
-        # folder was configured, so a scratch folder on this host is the
-        # shared folder.
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
+        # a local master: its one process sees a scratch folder on this host
         configured = tempfile.mkdtemp(prefix="gridwise-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(configured)
@@ -79,22 +64,3 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder, as a URI/path."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/gridwise/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can open the path."""
-    if uri.startswith("file://"):
-        return uri[len("file://"):]
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return uri
-
-
-def is_local(uri: str) -> bool:
-    return uri.startswith("file:") or uri.startswith("/") or "://" not in uri
-
-
-def ensure_local_dir(uri: str) -> str:
-    path = local_path(uri)
-    os.makedirs(path, exist_ok=True)
-    return path

@@ -6,20 +6,44 @@ tasks simply re-run: Spark's file commit protocol publishes each write once.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet",
                   partition_by: list[str] | None = None) -> str:
-    """K1: write ``df`` to ``path``, replacing what was there."""
-    w = df.write.mode("overwrite").format(fmt)
+    """K1: write ``df`` beside ``path``, then put it in the old table's place.
+
+    Readers see the old table until the new one is complete; a run that fails
+    leaves it untouched.  On object stores the move is a copy, and ``path`` is
+    briefly absent between the two moves."""
+    fresh = f"{path.rstrip('/')}__new_{uuid.uuid4().hex[:8]}"
+    w = df.write.format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    w.save(fresh)
+    _swap(df.sparkSession, fresh, path)
     return path
 
 
+def _swap(spark: SparkSession, fresh: str, path: str) -> None:
+    """Move ``fresh`` to ``path`` with the Hadoop file system of the paths."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    new, old = jvm.org.apache.hadoop.fs.Path(fresh), jvm.org.apache.hadoop.fs.Path(path)
+    store = old.getFileSystem(conf)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}__old_{uuid.uuid4().hex[:8]}")
+    had = store.exists(old)
+    if had and not store.rename(old, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not store.rename(new, old):
+        if had:
+            store.rename(aside, old)
+        raise OSError(f"cannot move the new table to {path}")
+    if had:
+        store.delete(aside, True)
+
+
 def scan_table(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
     """``SELECT * FROM t`` for a catalog table name or a path."""
     if "/" in source or ":" in source:
@@ -27,19 +51,17 @@ def scan_table(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFr
     return spark.table(source)
 
 
-_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
+_NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*){0,2}$")
 
 
 def create_table_as_select(spark: SparkSession, df: DataFrame, table: str, location: str,
                            fmt: str = "parquet") -> DataFrame:
-    """K3: ``DROP TABLE IF EXISTS t; SELECT ... INTO t`` — drop the catalog
-    entry, then create the table from the query at ``location`` (a fresh
-    folder per run; the old data stays until the caller removes it)."""
+    """K3: ``DROP TABLE IF EXISTS t; SELECT ... INTO t`` — the rows are written
+    to ``location`` (a fresh folder per run) first; only then the catalog entry
+    is dropped and made anew over them.  Names may have a schema."""
     if not _NAME.match(table):
         raise ValueError(f"not a plain table name: {table!r}")
-    view = f"_ctas_src_{table}"
-    df.createOrReplaceTempView(view)
+    df.write.format(fmt).save(location)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} USING {fmt} LOCATION '{location}' AS SELECT * FROM {view}")
-    spark.catalog.dropTempView(view)
+    spark.catalog.createTable(table, path=location, source=fmt)
     return spark.table(table)

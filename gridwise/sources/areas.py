@@ -15,37 +15,59 @@ from pyspark.sql import functions as F
 from gridwise.functions.crs import st_transform
 from gridwise.functions.geometry import geom_from_geojson
 
+_MEMBER = "properties map<string, string>, geometry string"
+_MEMBER_FIELDS = "properties:map<string,string>,geometry:string"
 _FEATURE = "type string, properties map<string, string>, geometry string, features array<string>"
 
 
+def _documents(spark: SparkSession, path: str, whole_files: bool) -> DataFrame:
+    text = spark.read.text(path, wholetext=whole_files)
+    return text.where(F.trim("value") != "").select(
+        "value", F.from_json("value", _FEATURE).alias("d"))
+
+
+def _is_known(d) -> F.Column:
+    return F.coalesce((d["type"] == "Feature")
+                      | ((d["type"] == "FeatureCollection") & d["features"].isNotNull()),
+                      F.lit(False))
+
+
 def read_area_layer(spark: SparkSession, path: str, to_srid: int | None = None,
                     whole_files: bool = False, geom: str = "wkb_geometry",
-                    source_srid: int = 4326) -> DataFrame:
+                    source_srid: int = 4326, mode: str = "failfast") -> DataFrame:
     """GeoJSON features -> rows of lower-cased properties + geometry.
 
     ``whole_files=True`` reads each file as one document (a pretty-printed
     FeatureCollection); otherwise every line is a Feature or a
-    FeatureCollection.
+    FeatureCollection.  A line that is neither raises in ``failfast`` mode; in
+    ``permissive`` mode it gives no row and ``layer_rejects`` lists it.
     """
-    if whole_files:
-        text = spark.read.option("wholetext", "true").text(path)
-    else:
-        text = spark.read.text(path)
-    doc = text.select(F.from_json(F.col("value"), _FEATURE).alias("d"))
-    single = doc.where(F.col("d.type") == "Feature").select(
-        F.col("d.properties").alias("p"), F.col("d.geometry").alias("g"))
-    members = (doc.where(F.col("d.type") == "FeatureCollection")
-               .select(F.explode("d.features").alias("f"))
-               .select(F.from_json("f", _FEATURE).alias("d"))
-               .select(F.col("d.properties").alias("p"), F.col("d.geometry").alias("g")))
-    feats = single.unionByName(members)
-    props = F.transform_keys(F.col("p"), lambda k, v: F.lower(k))
-    g = geom_from_geojson(F.col("g"), srid=source_srid)
+    if mode not in ("failfast", "permissive"):
+        raise ValueError("mode must be 'failfast' or 'permissive'")
+    docs = _documents(spark, path, whole_files)
+    d = F.col("d")
+    one = F.struct(d["properties"].alias("properties"), d["geometry"].alias("geometry"))
+    many = F.transform(d["features"], lambda f: F.from_json(f, _MEMBER))
+    unknown = F.lit(None)
+    if mode == "failfast":
+        unknown = F.raise_error(F.concat(
+            F.lit("neither a Feature nor a FeatureCollection (is the file pretty-printed? "
+                  "then read it with whole_files): "), F.substring("value", 1, 200)))
+    feats = docs.select(F.explode(
+        F.when(~_is_known(d), unknown.cast(f"array<struct<{_MEMBER_FIELDS}>>"))
+        .when(d["type"] == "Feature", F.array(one)).otherwise(many)).alias("f"))
+    props = F.transform_keys(F.col("f.properties"), lambda k, v: F.lower(k))
+    g = geom_from_geojson(F.col("f.geometry"), srid=source_srid)
     if to_srid is not None:
         g = st_transform(g, to_srid)
     return feats.select(props.alias("properties"), g.alias(geom))
 
 
+def layer_rejects(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """The lines (or files) of a layer that hold no feature: column ``value``."""
+    return _documents(spark, path, whole_files).where(~_is_known(F.col("d"))).select("value")
+
+
 def layer_columns(layer: DataFrame, names: list[str], geom: str = "wkb_geometry") -> DataFrame:
     """Pick named properties as columns (absent -> null)."""
     return layer.select(*[F.col("properties")[n].alias(n) for n in names], F.col(geom))

@@ -33,34 +33,38 @@ def documents(draw):
     return docs
 
 
-def _flatten_reference(obj, name="", out=None):
-    out = {} if out is None else out
-    if isinstance(obj, dict):
-        for k, v in obj.items():
-            _flatten_reference(v, f"{name}{k}.", out)
-    elif isinstance(obj, list):
-        for i, v in enumerate(obj):
-            _flatten_reference(v, f"{name}{i}.", out)
-    else:
-        out[name[:-1]] = obj
-    return out
+def _rebuilt(rows):
+    """A document from its (path, value) rows; a step of digits is a list position."""
+    top = {}
+    for path, value in rows:
+        node = top
+        *steps, last = path.split(".")
+        for step in steps:
+            node = node.setdefault(step, {})
+        node[last] = value
+
+    def lists(node):
+        if not isinstance(node, dict):
+            return node
+        if node and all(k.isdigit() for k in node):
+            return [lists(node[k]) for k in sorted(node, key=int)]
+        return {k: lists(v) for k, v in node.items()}
+
+    return lists(top)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(docs=documents())
-def test_flatten_long_matches_reference(spark, docs):
+def test_documents_come_back_from_their_paths(spark, docs):
     schema = ("id long, a long, b struct<x:long, y:struct<z:long>>, c array<long>, "
               "p array<struct<u:long>>")
     df = spark.read.schema(schema).json(spark.sparkContext.parallelize(
         [json.dumps(d) for d in docs]))
     nested = df.select("id", F.struct("a", "b", "c", "p").alias("r"))
-    long = shape.flatten_long(nested, "id", "r").collect()
-    got = {}
-    for r in long:
-        got.setdefault(r.id, {})[r.path] = int(r.value)
-    want = {}
-    for d in docs:
-        flat = _flatten_reference({k: v for k, v in d.items() if k != "id"})
-        if flat:
-            want[d["id"]] = flat
-    assert got == want
+    rows = {d["id"]: [] for d in docs}
+    for r in shape.flatten_long(nested, "id", "r", keep_nulls=False).collect():
+        rows[r.id].append((r.path, int(r.value)))
+    assert {i: {"id": i} | _rebuilt(found) for i, found in rows.items()} == {d["id"]: d for d in docs}
+    # null leaves stay by default: every document has the same paths
+    every = shape.flatten_long(nested, "id", "r").groupBy("id").count().collect()
+    assert len({r["count"] for r in every}) == 1

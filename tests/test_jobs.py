@@ -43,9 +43,15 @@ def test_job_chain(spark):
     tables = jobs.load_areas(spark, layers, f"{root}/areas", source_srid=28992)
     out = jobs.enrich_tables(spark, area, obj, types, tables, f"{root}/inspections_total_areas")
     result = scan_table(spark, out)
-    assert len(result.columns) == 28 and result.count() > 0
+    rows = result.count()
+    assert len(result.columns) == 28 and rows > 0
     csv = jobs.export(spark, out, f"{root}/export", run_date="2024-05-06")
     assert csv.endswith("inspections_total_areas_2024-05-06.csv")
-    manifest = jobs.publish(spark, csv).collect()
-    assert manifest and all(r.content_type == "text/csv" for r in manifest
-                            if r.name.endswith(".csv"))
+    manifest = jobs.publish(spark, csv, f"{root}/published").collect()
+    assert manifest and all(r.present for r in manifest)
+    assert all(r.content_type == "text/csv" for r in manifest if r.name.endswith(".csv"))
+    # a second run replaces the tables whole, and E4's table can be published too
+    again = jobs.enrich_tables(spark, area, obj, types, tables, f"{root}/inspections_total_areas",
+                               total_path=f"{root}/inspections_total")
+    assert scan_table(spark, again).count() == rows
+    assert scan_table(spark, f"{root}/inspections_total").count() >= 1

@@ -8,10 +8,18 @@ import zipfile
 
 from pyspark.sql import functions as F
 
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridwise.session import checkpoint_root
+from gridwise.sinks.tables import replace_table
+from gridwise.sources.areas import layer_rejects, read_area_layer
 from gridwise.functions.geometry import make_box
 from gridwise.sinks import export as X
 from gridwise.sinks import tables as T
-from gridwise.sinks.publish import publish_manifest
+from gridwise.sinks.publish import publish_files, publish_manifest
 from gridwise.sources import files as FS
 from gridwise.sources.areas import layer_columns, read_area_layer
 from gridwise.sources.documents import read_json_text, scan_listing, write_json_text
@@ -72,7 +80,14 @@ def test_objects_manifest_and_existence(spark):
         with open(os.path.join(d, name), "wb") as fh:
             fh.write(body)
     man = {r.name: r.content_type for r in publish_manifest(spark, d).collect()}
-    assert man == {"a.csv": "text/csv", "b.json": "application/json", "c.bin": None}
+    assert man == {"a.csv": "text/csv", "b.json": "application/json", "c.bin": "application/octet-stream"}
+    with open(os.path.join(d, "a#1.csv"), "wb") as fh:
+        fh.write(b"y\n")
+    assert "a#1.csv" in [r.name for r in FS.list_files(spark, d).collect()]
+    expected = spark.createDataFrame([("a#1.csv",), ("lost.csv",)], "name string")
+    out = {r.name: (r.present, r.length) for r in
+           publish_files(spark, d, os.path.join(_tmp(), "to"), expected).collect()}
+    assert out == {"a#1.csv": (True, 2), "lost.csv": (False, None)}
     expected = spark.createDataFrame([("a.csv",), ("zzz.csv",)], "name string")
     got = {r.name: r.present for r in FS.check_objects(spark, d, expected).collect()}
     assert got == {"a.csv": True, "zzz.csv": False}
@@ -86,13 +101,74 @@ def test_zip_members_with_corrupt_archive(spark):
         zf.writestr("sub/two.txt", "22")
     with open(os.path.join(d, "good.zip"), "wb") as fh:
         fh.write(buf.getvalue())
+    damaged = io.BytesIO()
+    with zipfile.ZipFile(damaged, "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("fine.txt", "f" * 500)
+        zf.writestr("torn.txt", "".join(map(str, range(500))))
+    raw = bytearray(damaged.getvalue())
+    at = raw.index(b"torn.txt") + 30
+    raw[at:at + 40] = bytes(40)  # deflate data of one member
+    with open(os.path.join(d, "half.zip"), "wb") as fh:
+        fh.write(bytes(raw))
     with open(os.path.join(d, "bad.zip"), "wb") as fh:
         fh.write(b"not a zip at all")
     with open(os.path.join(d, "note.txt"), "wb") as fh:
         fh.write(b"ignored")
     rows = FS.zip_members(spark, d, filename_as_folder=True).collect()
     good = sorted((r.member, r.size) for r in rows if r.error is None)
-    bad = [r for r in rows if r.error is not None]
-    assert good == [("one.txt", 1), ("sub/two.txt", 2)]
-    assert len(bad) == 1 and bad[0].archive.endswith("bad.zip")
-    assert all(r.target.endswith("/good/" + r.member) for r in rows if r.error is None)
+    bad = sorted((r.archive.rpartition("/")[2], r.member) for r in rows if r.error is not None)
+    assert good == [("fine.txt", 500), ("one.txt", 1), ("sub/two.txt", 2)]
+    assert bad == [("bad.zip", None), ("half.zip", "torn.txt")]
+    assert all(r.target.endswith("/" + r.member) for r in rows if r.error is None)
+
+
+def test_area_layer_has_no_silent_drops(spark):
+    feature = ('{"type":"Feature","properties":{"CODE":"a"},"geometry":'
+               '{"type":"Point","coordinates":[1,2]}}')
+    collection = '{"type":"FeatureCollection","features":[' + feature + "," + feature + "]}"
+    lines = spark.createDataFrame([(feature,), ('{"type":"Feat',), ('{"type":"Other"}',),
+                                   (collection,), ("",)], "value string")
+    path = write_json_text(spark, lines, "layer-test")
+    with pytest.raises(Exception, match="neither a Feature nor"):
+        read_area_layer(spark, path).collect()
+    assert read_area_layer(spark, path, mode="permissive").count() == 3
+    assert layer_rejects(spark, path).count() == 2
+    d = _tmp()
+    with open(os.path.join(d, "pretty.geojson"), "w") as fh:
+        fh.write(json.dumps(json.loads(collection), indent=2))
+    with pytest.raises(Exception, match="whole_files"):
+        read_area_layer(spark, d).collect()
+    assert read_area_layer(spark, d, whole_files=True).count() == 2
+
+
+def test_replace_table_keeps_the_old_one_when_a_run_fails(spark):
+    path = os.path.join(_tmp(), "t")
+    replace_table(spark.range(5), path)
+    broken = spark.range(3).select(F.raise_error(F.lit("no")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        replace_table(broken, path)
+    assert spark.read.parquet(path).count() == 5
+    replace_table(spark.range(7), path)
+    assert spark.read.parquet(path).count() == 7
+    # a table can be replaced by what was read from it
+    replace_table(spark.read.parquet(path).where("id > 2"), path)
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Conf:
+        def get(self, key, default=None):
+            return "yarn" if key == "spark.master" else default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())

@@ -7,7 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridwise.functions.geometry import geom_from_geojson
-from gridwise.operators.spatial_join import spatial_join, within_candidates
+from gridwise.functions import geometry as G
+from gridwise.functions.crs import st_transform
+from gridwise.operators.spatial_join import (plan_grid, polygon_cells, spatial_join,
+                                             within_candidates)
 
 
 def _inside(px, py, rings):
@@ -124,3 +127,46 @@ def test_many_vertex_stars_and_multipolygons(spark):
     want = sorted((pid, gid) for pid, x, y in pts for gid, parts in polys
                   if any(_inside(x, y, part) for part in parts))
     assert got == want
+
+
+def _square(x, y, side):
+    return _geojson([[(x, y), (x + side, y), (x + side, y + side), (x, y + side), (x, y)]])
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_one_giant_polygon_leaves_small_cells_small(spark, limit):
+    shapes = [(i, _square(i % 50, i // 50, 1)) for i in range(2500)] + [(9999, _square(-10, -10, 2000))]
+    gdf = spark.createDataFrame(shapes, "gid long, t string").select(
+        "gid", geom_from_geojson(F.col("t")).alias("geom"))
+    grid = plan_grid(gdf)
+    assert len(grid.levels) == 2 and grid.est_bytes > 2501 * 4 * 5 * 88
+    cells = polygon_cells(gdf, "geom").groupBy("_g_level", "_g_cx", "_g_cy").count()
+    assert cells.agg(F.max("count")).first()[0] <= 9
+    assert polygon_cells(gdf, "geom").count() <= 4 * 2501
+    pts = spark.range(400).select("id", (F.col("id") % 50 + 0.5).alias("x"),
+                                  (F.col("id") % 7 + 0.25).alias("y"))
+    pts = pts.unionByName(spark.createDataFrame([(900, 60.0, 60.0), (901, None, 1.0), (902, -99.0, 0.0)],
+                                                "id long, x double, y double"))
+    kw = {} if limit is None else {"broadcast_limit": limit}
+    rows = spatial_join(pts, gdf, how="left", **kw).groupBy("id").agg(F.count("gid").alias("n")).collect()
+    assert {r.id: r.n for r in rows} == {**{i: 2 for i in range(400)}, 900: 1, 901: 0, 902: 0}
+    assert spatial_join(pts, gdf, **kw).count() == 801
+
+
+def test_geometry_functions_tell_two_frames_apart(spark):
+    """Expressions over a column of the same name in two joined frames."""
+    def frame(key, x):
+        return spark.createDataFrame([(1, _square(x, x, 2))], f"{key} int, t string").select(
+            key, geom_from_geojson(F.col("t")).alias("geom"))
+
+    a, b = frame("k", 0), frame("j", 8)
+    both = a.join(b, a["k"] == b["j"])
+    for f in (lambda g: G.st_x(G.st_centroid(g)), lambda g: G.bbox(g)["minx"],
+              lambda g: G.polygon_edges(g)[0]["x1"], lambda g: G.to_geojson(g),
+              lambda g: G.st_within(F.lit(1.0), F.lit(1.0), g),
+              lambda g: st_transform(g)["parts"][0][0][0]["x"],
+              lambda g: G.within_edges(F.lit(1.0), F.lit(1.0), G.polygon_edges(g))):
+        row = both.select(f(a["geom"]).alias("p"), f(b["geom"]).alias("q")).first()
+        assert row.p != row.q
+    # and each still works on a frame of its own
+    assert a.select(G.st_x(G.st_centroid(F.col("geom"))).alias("x")).first().x == 1.0
