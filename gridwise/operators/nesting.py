@@ -7,7 +7,8 @@ checkpoints that layout so ids are stable on re-execution, and numbers
 consecutive runs of at most ``max_size`` rows.  ``nest`` then collects each
 (group, chunk) into a sorted list: every list holds at most ``max_size``
 elements, and concatenating a group's lists in chunk order gives the group
-in order.
+in order.  Where the rows of a group have a key of their own, ``nest`` cuts by
+spans of that key instead.
 """
 
 from __future__ import annotations
@@ -34,11 +35,19 @@ def bounded_chunks(df: DataFrame, group_keys: list[str], order_keys: list[str],
 
 
 def nest(df: DataFrame, group_keys: list[str], order_keys: list[str], fields: list[Column],
-         list_name: str, max_size: int = 64) -> DataFrame:
+         list_name: str, max_size: int = 64, span: int | None = None) -> DataFrame:
     """Group rows into lists of at most ``max_size`` structs ``fields``,
     ordered by ``order_keys``.  Output: group keys, ``_chunk``, ``list_name``.
+
+    With ``span``, the first order key is a whole number that no two rows of a
+    group share: a list then holds the rows of one span of it, at most ``span``.
+    That cut is arithmetic: it needs no total order and no checkpoint, and it is
+    the same on every cluster.
     """
-    chunked = bounded_chunks(df, group_keys, order_keys, max_size)
+    if span is None:
+        chunked = bounded_chunks(df, group_keys, order_keys, max_size)
+    else:
+        chunked = df.withColumn("_chunk", F.floor(F.col(order_keys[0]) / F.lit(span)))
     ordered = F.struct(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(order_keys)],
                        F.struct(*fields).alias("_v"))
     agg = (chunked.groupBy(*group_keys, "_chunk")

@@ -241,7 +241,7 @@ def type_docs_region(t: Tables) -> DataFrame:
         F.col("n_name").alias("name"),
         F.concat(F.lit("score "), F.col("n_name")).alias("description"),
         F.concat(F.lit("measure "), _txt(F.col("n_nationkey"))).alias("measuring_desc"),
-    ], "inspectionItemOptions", max_size=64)
+    ], "inspectionItemOptions", span=64)
     return (r.join(opts, r["r_regionkey"] == opts["n_regionkey"], "inner")
             .select(F.col("r_regionkey").cast("bigint").alias("id"),
                     F.col("r_name").alias("inspectionItemName"),
@@ -250,7 +250,7 @@ def type_docs_region(t: Tables) -> DataFrame:
 
 def type_docs_supplier(t: Tables) -> DataFrame:
     """Score-type documents that grow with the data: one type per nation, its
-    options the nation's suppliers, in documents of at most 64 options."""
+    options the nation's suppliers, in documents of spans of 1,024 supplier keys."""
     s = t("supplier")
     n = t("nation")
     opts = nest(s, ["s_nationkey"], ["s_suppkey"], [
@@ -258,7 +258,7 @@ def type_docs_supplier(t: Tables) -> DataFrame:
         F.col("s_name").alias("name"),
         F.concat(F.lit("score "), F.col("s_name")).alias("description"),
         F.concat(F.lit("measure "), _txt(F.col("s_suppkey") % 10)).alias("measuring_desc"),
-    ], "inspectionItemOptions", max_size=64)
+    ], "inspectionItemOptions", span=1024)
     n = broadcast_if_small(n)
     return (opts.join(n, opts["s_nationkey"] == n["n_nationkey"], "inner")
             .select(F.col("s_nationkey").cast("bigint").alias("id"),
@@ -310,7 +310,8 @@ def _photos(k: Column, n: Column) -> Column:
             .otherwise(F.array(ph(0), ph(1))))
 
 
-def round_docs(t: Tables, max_results: int = 64, max_inspections: int = 16) -> DataFrame:
+def round_docs(t: Tables, line_span: int = 64, order_span: int = 1 << 16) -> DataFrame:
+    """Rounds cut by spans of their orders' keys, results by spans of line numbers."""
     li = t("lineitem")
     o = t("orders")
     c = t("customer")
@@ -323,7 +324,7 @@ def round_docs(t: Tables, max_results: int = 64, max_inspections: int = 16) -> D
         _photos(F.col("l_partkey"), F.col("l_linenumber") % 3).alias("photos"),
         F.col("l_quantity").alias("quantity"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("createdAt"),
-    ], "results", max_size=max_results)
+    ], "results", span=line_span)
     ok = F.col("o_orderkey")
     # WGS 84 degrees: lon = 4.7 + v/2000, lat = 52.2 + w/2000
     gx = (F.lit(47000) + ((ok * 37) % 1000) * 5).cast("double") / F.lit(10000.0)
@@ -347,7 +348,7 @@ def round_docs(t: Tables, max_results: int = 64, max_inspections: int = 16) -> D
         F.col("o_orderstatus").alias("status"),
         F.lit("x").alias("modifiedAt"),
         F.col("results"),
-    ], "inspections", max_size=max_inspections)
+    ], "inspections", span=order_span)
     ck = F.col("c_custkey")
     day = F.lpad(_txt(ck % 28 + 1), 2, "0")
     docs = c.join(insps, c["c_custkey"] == insps["o_custkey"], "left")
