@@ -114,7 +114,9 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         if still.isEmpty() or not wanted:
             break
         probes = still.mapInArrow(_probes(cuts, radius), "q long, seg int, value long")
-        seen = (probes.join(index, ["seg", "value"]).select("q", "code").distinct()
+        # many probes come of few queries, which the planner can't know: no side
+        # of this join is to be broadcast
+        seen = (probes.join(index.hint("merge"), ["seg", "value"]).select("q", "code").distinct()
                 .join(entries, "code")
                 .select("q", "code", F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
                         .cast("int").alias("distance"), "held",
