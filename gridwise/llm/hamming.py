@@ -1,12 +1,13 @@
 """Exact k nearest binary codes by multi-index hashing.
 
-A 64-bit code is cut into segments of about log2(number of codes) bits, and
+A 64-bit code is cut into segments of about log2(number of codes) - 4 bits, and
 every segment is indexed by its value.  Two codes at distance d have a segment
 that differs in at most d / segments bits.  So round r probes, for every query
 still open, the values at distance r in each segment, verifies the codes found
 there by their whole Hamming distance, and after it every code up to distance
 ``segments * (r + 1) - 1`` is known.  A query is closed when that covers its
-k-th best distance; the others go on with the next radius.
+k-th best distance; the others go on with the next radius, and the join keeps
+only codes that are no farther than the k-th best so far.
 
 Equal codes are one index entry with their number and their k smallest ids, so
 a code that a third of all rows share is compared once per query.
@@ -52,7 +53,7 @@ def sign_code(vector: Column) -> Column:
 
 def segments(codes: int) -> list[tuple[int, int]]:
     """(lowest bit, width) of each segment."""
-    width = min(30, max(8, round(math.log2(max(2, codes)))))
+    width = min(30, max(8, round(math.log2(max(2, codes))) - 4))
     count = math.ceil(BITS / width)
     edges = [BITS * i // count for i in range(count + 1)]
     return [(a, b - a) for a, b in itertools.pairwise(edges)]
@@ -63,7 +64,7 @@ def segment_value(code: Column, low: int, width: int) -> Column:
 
 
 def _probes(cuts: list[tuple[int, int]], radius: int):
-    """Rows (q, seg, value) at ``radius`` from each query's segment values."""
+    """Rows (q, seg, value, most) at ``radius`` from each query's segment values."""
 
     def masks(width: int) -> Iterator[np.ndarray]:
         bits = itertools.combinations(range(width), radius)
@@ -72,7 +73,7 @@ def _probes(cuts: list[tuple[int, int]], radius: int):
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for q in batch.column("q").to_pylist():
+            for q, most in zip(batch.column("q").to_pylist(), batch.column("most").to_pylist()):
                 for seg, (low, width) in enumerate(cuts):
                     if radius > width:
                         continue
@@ -81,7 +82,9 @@ def _probes(cuts: list[tuple[int, int]], radius: int):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.full(len(mask), q, np.int64)),
                              pa.array(np.full(len(mask), seg, np.int32)),
-                             pa.array(mask ^ value)], ["q", "seg", "value"])
+                             pa.array(mask ^ value),
+                             pa.array(np.full(len(mask), most, np.int32))],
+                            ["q", "seg", "value", "most"])
 
     return probe
 
@@ -107,19 +110,21 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         "hamming-index")
 
     # queries with one code share their search
-    still = materialize(queries.select("q").distinct(), "hamming-open")
+    still = materialize(queries.select("q", F.lit(BITS).alias("most")).distinct(), "hamming-open")
     best = spark_empty(still, "q long, code long, distance int, held int, least long")
     closed = best
     for radius in range(max(w for _, w in cuts) + 1):
         if still.isEmpty() or not wanted:
             break
-        probes = still.mapInArrow(_probes(cuts, radius), "q long, seg int, value long")
+        probes = still.mapInArrow(_probes(cuts, radius), "q long, seg int, value long, most int")
+        cells = index.withColumnsRenamed({"seg": "i_seg", "value": "i_value"}).hint("merge")
+        differ = F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).cast("int")
         # many probes come of few queries, which the planner can't know: no side
         # of this join is to be broadcast
-        seen = (probes.join(index.hint("merge"), ["seg", "value"]).select("q", "code").distinct()
-                .join(entries, "code")
-                .select("q", "code", F.bit_count(F.col("q").bitwiseXOR(F.col("code")))
-                        .cast("int").alias("distance"), "held",
+        seen = (probes.join(cells, (F.col("seg") == F.col("i_seg"))
+                            & (F.col("value") == F.col("i_value")) & (differ <= F.col("most")))
+                .select("q", "code").distinct().join(entries, "code")
+                .select("q", "code", differ.alias("distance"), "held",
                         F.get("ids", F.lit(0)).alias("least")))
         top = Window.partitionBy("q").orderBy("distance", F.col("least").asc_nulls_last(), "code")
         best = materialize(
@@ -131,7 +136,10 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         full = materialize(full, "hamming-full")
         closed = closed.unionByName(best.join(full, "q", "left_semi"))
         best = best.join(full, "q", "left_anti")
-        still = materialize(still.join(full, "q", "left_anti"), "hamming-open")
+        limits = best.groupBy("q").agg(F.sum("held").alias("n"), F.max("distance").alias("d"))
+        still = materialize(still.join(full, "q", "left_anti").select("q").join(limits, "q", "left")
+                            .select("q", F.when(F.col("n") >= wanted, F.col("d")).otherwise(BITS)
+                                    .alias("most")), "hamming-open")
     closed = closed.unionByName(best)
     last = Window.partitionBy("query_id").orderBy("distance", F.col("id").asc_nulls_last())
     listed = (closed.join(entries.select("code", "ids"), "code")
