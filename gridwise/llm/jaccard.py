@@ -25,6 +25,10 @@ group's largest component with every node of another component in the group.
 Pairs left out are pairs that are connected already.  Every link joins what it
 should and no link is lost for the components.
 
+Before texts are fetched, a pair's parity bits (``PARITY_BITS`` bits of a set,
+of which every token flips one) are compared: they bound the tokens in which
+the sets differ from below, so no similar pair is left out.
+
 Defined results: a null text, or one without words, has 0 shingles and is its
 own component.  Rows with equal sets are linked; repeated rows fall together.
 A null doc_id never names a component: such a row reports that of its set, or
@@ -50,29 +54,44 @@ SALTS = 64
 LEAST_FREQUENT = 16
 HEAVY_BITS = 22
 GROUP_TOKENS = 1 << 22
-BATCH_CHARS = 1 << 23
+BATCH_CHARS = 1 << 22
+PARITY_BITS = 1024
+BROADCAST_IDS = 1 << 20
+CACHED_TOKENS = 1 << 22
 _SINGLE, _PAIR = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
 # -- sets and their classes ---------------------------------------------------
 
 def set_index(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) -> (doc_id, n_shingles, h1, h2); the 128 bits of the
-    set are null for an empty set."""
+    """docs (doc_id, text) -> (doc_id, n_shingles, h1, h2, bits): the set's size,
+    128 bits that stand for it (null for an empty set), and its parity bits."""
 
-    @F.pandas_udf("n_shingles long, h1 long, h2 long")
+    @F.pandas_udf("n_shingles long, h1 long, h2 long, bits array<long>")
     def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = []
             for part in _parts(texts.tolist()):
-                rows += [(len(s), *shingles.digest(s)) if len(s) else (0, None, None)
-                         for s in shingles.sets(part)]
-            yield pd.DataFrame(rows, columns=["n_shingles", "h1", "h2"]).astype(
-                {"n_shingles": "int64", "h1": "Int64", "h2": "Int64"})
+                rows += [(len(s), *shingles.digest(s), parity_bits(s)) if len(s)
+                         else (0, None, None, None) for s in shingles.sets(part)]
+            # nullable integers column by column: a frame of rows would turn
+            # longs beside nulls into doubles
+            n, h1, h2, bits = zip(*rows) if rows else ((), (), (), ())
+            yield pd.DataFrame({"n_shingles": pd.array(n, dtype="int64"),
+                                "h1": pd.array(h1, dtype="Int64"),
+                                "h2": pd.array(h2, dtype="Int64"),
+                                "bits": pd.Series(bits, dtype=object)})
 
     return docs.select("doc_id", measure(F.col("text")).alias("m")).select("doc_id", "m.*")
 
 
+def parity_bits(one: np.ndarray) -> np.ndarray:
+    """Each token flips one of ``PARITY_BITS`` bits, so the bits in which two
+    sets differ are no more than the tokens in which they differ."""
+    flips = np.bincount((one % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits((flips & 1).astype(bool), bitorder="little").view("<i8")
+
+
 def _parts(texts: list) -> Iterator[list]:
     """Runs of texts of about ``BATCH_CHARS`` characters."""
     held, size = [], 0
@@ -187,12 +206,12 @@ def token_pairs(rare: int, frequent: np.ndarray, n: int, step: int,
     end = enough[0] + 1 if len(enough) else len(frequent)
     order = np.argsort(cls[:end], kind="stable")
     cls, token = cls[order], frequent[:end][order]
-    out = []
+    out, salt = [], shingles.mix(np.array([step + 1], np.uint64))
     for gap in range(1, end):
         same = cls[gap:] == cls[:-gap]
         if not same.any():
             break
-        out.append(shingles.mix(shingles.mix(token[:-gap][same] + _PAIR * np.uint64(step + 1))
+        out.append(shingles.mix(shingles.mix(token[:-gap][same] + salt)
                                 + token[gap:][same]))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
@@ -229,6 +248,8 @@ def shared_tokens(docs: DataFrame, heavy, tokens: int) -> DataFrame:
                 sizes.append(n)
             count = np.fromiter(map(len, prefix), np.int64, len(prefix))
             token = np.concatenate(prefix)
+            if not len(token):
+                continue
             node = np.repeat(np.arange(len(prefix)), count)
             part = (token >> shift).astype(np.int64)
             order = np.argsort(part, kind="stable")  # by range, then node, then token
@@ -237,8 +258,6 @@ def shared_tokens(docs: DataFrame, heavy, tokens: int) -> DataFrame:
             owner, sizes = np.array(owner, np.int64), np.array(sizes, np.int64)
             columns = [[], [], [], [], []]
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                if a == b:
-                    continue
                 nodes, runs = np.unique(node[a:b], return_counts=True)
                 for c, x in zip(columns, (int(part[a]), token[a:b].tobytes(),
                                           owner[nodes].tobytes(),
@@ -323,62 +342,91 @@ def neighbours(groups: DataFrame, order: list, *more: str) -> DataFrame:
         *_ordered("h1", "p_h1")).distinct()
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (u, v) of representatives for the pairs (a, b) of nodes whose sets
-    are similar.  Each row holds the texts of one pair; rows stream through."""
+def nodes(index: DataFrame) -> DataFrame:
+    """(h1, rep, n, bits): one row per set, named by its smallest doc_id."""
+    return (index.where("h1 is not null and doc_id is not null").groupBy("h1", "h2")
+            .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"),
+                 F.first("bits").alias("bits")).drop("h2"))
+
+
+def plausible(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs (a, b) -> (a, b, u, v) with the ids of both, without those whose
+    parity bits differ in more places than similar sets can differ in tokens."""
+    for end, rep in (("a", "u"), ("b", "v")):
+        pairs = pairs.join(known.select(F.col("h1").alias(end), F.col("rep").alias(rep),
+                                        F.col("n").alias(f"n_{end}"),
+                                        F.col("bits").alias(f"bits_{end}")), end)
+    differ = F.aggregate(F.zip_with("bits_a", "bits_b",
+                                    lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                         F.lit(0), lambda s, x: s + x.cast("int"))
+    return pairs.where(differ * (100 + PERCENT) <= (F.col("n_a") + F.col("n_b")) * (100 - PERCENT)
+                       ).select("a", "b", "u", "v")
+
+
+def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (u, v) for the pairs (a, b, u, v) whose sets are similar.  Each row
+    holds the texts of one pair; rows stream through."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: dict[str, np.ndarray] = {}
+        held = 0
         for batch in batches:
             u, v = batch.column("u").to_pylist(), batch.column("v").to_pylist()
-            texts = [batch.column("ta").to_pylist(), batch.column("tb").to_pylist()]
-            fresh = [t for t in dict.fromkeys(texts[0] + texts[1]) if t not in recent]
-            if len(recent) + len(fresh) > 4096:
-                recent.clear()
-                fresh = list(dict.fromkeys(texts[0] + texts[1]))
-            for part in _parts(fresh):
-                recent.update(zip(part, shingles.sets(part)))
+            ta, tb = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
             links = []
-            for i in range(len(u)):
-                x, y = recent[texts[0][i]], recent[texts[1][i]]
-                both = np.intersect1d(x, y, assume_unique=True).size
-                if 100 * both >= PERCENT * (len(x) + len(y) - both):
-                    links.append(i)
+            for at in range(0, len(u), 256):
+                texts = list(dict.fromkeys(ta[at:at + 256] + tb[at:at + 256]))
+                if held > CACHED_TOKENS:
+                    recent.clear()
+                    held = 0
+                fresh = [t for t in texts if t not in recent]
+                for part in _parts(fresh):
+                    found = shingles.sets(part)
+                    held += sum(map(len, found))
+                    recent.update(zip(part, found))
+                for i in range(at, min(at + 256, len(u))):
+                    x, y = recent[ta[i]], recent[tb[i]]
+                    both = np.intersect1d(x, y, assume_unique=True).size
+                    if 100 * both >= PERCENT * (len(x) + len(y) - both):
+                        links.append(i)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([u[i] for i in links], pa.int64()),
                  pa.array([v[i] for i in links], pa.int64())], ["u", "v"])
 
+    texts = _node_texts(docs, pairs.select(F.col("a").alias("h1"), F.col("u").alias("rep"))
+                        .unionByName(pairs.select(F.col("b").alias("h1"), F.col("v").alias("rep")))
+                        .distinct())
     left = texts.select(F.col("h1").alias("a"), F.col("rep").alias("u"), F.col("text").alias("ta"))
     right = texts.select(F.col("h1").alias("b"), F.col("rep").alias("v"), F.col("text").alias("tb"))
-    return (pairs.join(left, "a").join(right, "b").select("u", "v", "ta", "tb")
+    return (pairs.join(left, ["a", "u"]).join(right, ["b", "v"]).select("u", "v", "ta", "tb")
             .mapInArrow(compare, "u long, v long"))
 
 
-def _node_texts(docs: DataFrame, index: DataFrame, groups: DataFrame) -> DataFrame:
-    """(h1, rep, text) of the nodes of signature groups: one text each."""
+def _node_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(h1, rep, text) of the wanted nodes (h1, rep): one text each.
+
+    The ids are broadcast only where they are few, counted first; otherwise
+    ids and documents are shuffled."""
 
-    @F.pandas_udf("h1 long, h2 long")
-    def digest_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("long")
+    def digest_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            rows = [shingles.digest(s) for part in _parts(texts.tolist())
-                    for s in shingles.sets(part)]
-            yield pd.DataFrame(rows, columns=["h1", "h2"], dtype="int64")
-
-    wanted = groups.select("h1").distinct()
-    reps = (index.where("h1 is not null and doc_id is not null").join(wanted, "h1", "left_semi")
-            .groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")))
-    rows = (docs.where("text is not null").select(F.col("doc_id").alias("rep"), "text")
-            .join(reps, "rep"))
+            yield pd.Series([shingles.digest(s)[0] for part in _parts(texts.tolist())
+                             for s in shingles.sets(part)], dtype="int64")
+
+    wanted = materialize(wanted, "jaccard-wanted")
+    count = wanted.count()
+    rows = docs.where("text is not null").select(F.col("doc_id").alias("rep"), "text").join(
+        F.broadcast(wanted) if count <= BROADCAST_IDS else wanted, "rep")
     # an id may stand for several texts: the node's own is the one with its digest
-    return (rows.select("rep", "text", "h1", "h2", digest_of(F.col("text")).alias("d"))
-            .where("d.h1 = h1 and d.h2 = h2")
-            .groupBy("h1", "h2", "rep").agg(F.first("text").alias("text"))
-            .select("h1", "rep", "text"))
+    texts = materialize(rows.select("rep", "h1", "text", digest_of(F.col("text")).alias("d"))
+                        .where("d = h1").drop("d"), "jaccard-texts")
+    return texts if texts.count() <= count else texts.dropDuplicates(["rep", "h1"])
 
 
-def _undecided(groups: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
+def _undecided(groups: DataFrame, known: DataFrame, found: DataFrame) -> DataFrame:
     """Rows (sig, h1, n, component) of the groups that hold several components."""
-    named = (texts.select("h1", F.col("rep").alias("node")).join(found, "node", "left")
+    named = (known.select("h1", F.col("rep").alias("node")).join(found, "node", "left")
              .select("h1", F.coalesce("component", "node").alias("component")))
     rows = groups.join(named, "h1")
     open_groups = rows.groupBy("sig").agg(F.min("component").alias("lo"),
@@ -411,22 +459,26 @@ def join(docs: DataFrame) -> DataFrame:
     heavy = spark.sparkContext.broadcast(heavy_buckets(docs, tokens, limit))
     groups = materialize(shared_tokens(docs, heavy, tokens).unionByName(
         pair_signatures(docs, heavy)), "jaccard-groups")
-    texts = materialize(_node_texts(docs, index, groups), "jaccard-texts")
+    known = materialize(nodes(index), "jaccard-nodes")
 
     tested = materialize(neighbours(groups, ["n", "h1"]), "jaccard-pairs")
-    links = materialize(verified(tested, texts), "jaccard-links")
+    likely = materialize(plausible(tested, known), "jaccard-likely")
+    links = materialize(verified(likely, docs), "jaccard-links")
     found = materialize(components(links, name="jaccard-components"), "jaccard-found")
     for pairs_of in (lambda r: neighbours(r, [F.xxhash64("sig", "h1"), "h1"], "component"),
                      _outside_pairs):
-        rows = materialize(_undecided(groups, texts, found), "jaccard-undecided")
+        rows = materialize(_undecided(groups, known, found), "jaccard-undecided")
         if rows.isEmpty():
             break
         fresh = materialize(pairs_of(rows).join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
-        more = materialize(verified(fresh, texts), "jaccard-links")
+        likely = materialize(plausible(fresh, known), "jaccard-likely")
+        tested = tested.unionByName(fresh)
+        if likely.isEmpty():
+            continue
+        more = materialize(verified(likely, docs), "jaccard-links")
         if not more.isEmpty():
             links = links.unionByName(more)
             found = materialize(components(links, name="jaccard-components"), "jaccard-found")
-        tested = tested.unionByName(fresh)
 
     # membership: a set's smallest id, and that id's component, per set and salt
     keyed = index.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
