@@ -82,7 +82,7 @@ def components(edges: DataFrame, salts: int = 32, name: str = "components") -> D
     while state[0]:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (_attach_min(both, salts).where("v > u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
         small = _attach_min(large, salts)
         links = materialize(
             small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")

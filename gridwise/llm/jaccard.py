@@ -12,16 +12,17 @@ lack, one fewer than the prefix can lose.
   of classes follows the size of a set; sets that can be similar share a size
   step, for which both index.
 
-A token is frequent when more texts hold it (or one of the same 32-bit bucket)
-than ``max(16, tokens / 2**22)``.  All tokens are counted; at most 2**22
-buckets can be that heavy, so the list of heavy buckets, which is all that is
-broadcast, has a bound that does not grow with the data.
+A token is frequent when more than ``RARE_LIMIT`` different sets hold it.  All
+tokens are counted, by 32-bit bucket; the result is a bitmap of 2**27 cells
+(16 MB whatever the data) with the cells of heavy buckets set, which is all that is
+broadcast.  A rare token in such a cell counts as frequent too: a token's class
+need only be the same everywhere.
 
 Verification goes in rounds over signature groups, so that a group of g alike
 texts costs about g comparisons, not g**2: first each node is compared with its
 neighbours in the order of sizes, then (where a group still has several
 components) with a neighbour in a random order, and at last the nodes outside a
-group's largest component with every node of another component in the group.
+group's largest component with one another and with that component's nodes.
 Pairs left out are pairs that are connected already.  Every link joins what it
 should and no link is lost for the components.
 
@@ -40,10 +41,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridwise.llm import shingles
@@ -51,8 +54,8 @@ from gridwise.llm.common import components, group_min_by_salt, materialize, tabl
 
 PERCENT = 75
 SALTS = 64
-LEAST_FREQUENT = 16
-HEAVY_BITS = 22
+RARE_LIMIT = 4
+CELL_BITS = 27
 GROUP_TOKENS = 1 << 22
 BATCH_CHARS = 1 << 22
 PARITY_BITS = 1024
@@ -123,13 +126,17 @@ def allowed_loss(n, percent: int = PERCENT):
 
 # -- frequent tokens ----------------------------------------------------------
 
-def heavy_buckets(docs: DataFrame, tokens: int, limit: int) -> np.ndarray:
-    """The 32-bit buckets that more than ``limit`` different sets hold, sorted.
+def heavy_cells(docs: DataFrame, tokens: int, limit: int = RARE_LIMIT) -> np.ndarray:
+    """The bitmap of the cells (first ``CELL_BITS`` bits of a token) that hold a
+    32-bit bucket of more than ``limit`` different sets.
 
     Every task sends, per range of buckets, the buckets it saw as differences
-    (whose high bytes are zero and compress away) with their counts."""
-    groups = _groups(tokens, GROUP_TOKENS)
-    shift = np.uint32(32 - (groups.bit_length() - 1))
+    (whose high bytes are zero and compress away) with their counts; a range
+    comes back as its slice of the bitmap."""
+    groups = min(_groups(tokens, GROUP_TOKENS), 1 << 16)
+    bits = groups.bit_length() - 1
+    shift = np.uint32(32 - bits)
+    slice_bits = CELL_BITS - bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in _distinct_sets(batches):
@@ -161,12 +168,21 @@ def heavy_buckets(docs: DataFrame, tokens: int, limit: int) -> np.ndarray:
         bucket, n = bucket[order], n[order]
         first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
         sums = np.add.reduceat(n.astype(np.int64), first)
-        return pa.table({"bucket": pa.array(bucket[first][sums > limit].astype(np.int64))})
-
-    heavy = (docs.select("text").mapInArrow(count, "part int, buckets binary, counts binary")
-             .groupBy("part").applyInArrow(total, "bucket long"))
-    rows = heavy.toPandas()["bucket"].to_numpy(dtype=np.int64)
-    return np.sort(rows.astype(np.uint32))
+        cells = bucket[first][sums > limit] >> np.uint32(32 - CELL_BITS)
+        marked = np.zeros(1 << slice_bits, bool)
+        marked[cells & np.uint32((1 << slice_bits) - 1)] = True
+        packed = zlib.compress(np.packbits(marked, bitorder="little").tobytes(), 1)
+        return pa.table({"part": pa.array([int(bucket[0] >> shift)], pa.int32()),
+                         "cells": pa.array([packed], pa.binary())})
+
+    slices = (docs.select("text").mapInArrow(count, "part int, buckets binary, counts binary")
+              .groupBy("part").applyInArrow(total, "part int, cells binary"))
+    bitmap = np.zeros(1 << (CELL_BITS - 3), np.uint8)
+    width = 1 << (slice_bits - 3)
+    for row in slices.toLocalIterator():
+        bitmap[row["part"] * width:(row["part"] + 1) * width] = np.frombuffer(
+            zlib.decompress(row["cells"]), np.uint8)
+    return bitmap
 
 
 def _groups(tokens: int, size: int) -> int:
@@ -176,19 +192,17 @@ def _groups(tokens: int, size: int) -> int:
 
 # -- signatures ---------------------------------------------------------------
 
-def size_step(n: int, percent: int = PERCENT) -> int:
-    """The largest c with (100 / percent) ** c <= n; sets that can be similar
-    are at most one step apart."""
-    c = 0
-    while 100 ** (c + 1) <= n * percent ** (c + 1):
-        c += 1
-    return c
+def size_steps(n: int, percent: int = PERCENT) -> range:
+    """Steps (powers of four) of the sizes that sets similar to one of n tokens
+    can have; two similar sets have the step of either's size in common."""
+    least, most = -(-percent * n // 100), 100 * n // percent
+    return range((least.bit_length() - 1) // 2, (most.bit_length() - 1) // 2 + 1)
 
 
 def class_count(step: int, percent: int = PERCENT) -> int:
-    """Classes of frequent tokens for sets of a size step: about a third of
-    the tokens that such a set may lack."""
-    return max(1, int((100 / percent) ** step) * (100 - percent) // 300)
+    """Classes of frequent tokens for sets of a step: about as many as tokens
+    that a set in the middle of it may lack."""
+    return max(1, 2 * 4 ** step * (100 - percent) // 100)
 
 
 def token_pairs(rare: int, frequent: np.ndarray, n: int, step: int,
@@ -219,9 +233,8 @@ def token_pairs(rare: int, frequent: np.ndarray, n: int, step: int,
 def _split(found: list[tuple[int, np.ndarray]], heavy: np.ndarray):
     """(h1, n, rare tokens, frequent tokens), each in hash order."""
     tokens = np.concatenate([s for _, s in found])
-    bucket = (tokens >> np.uint64(32)).astype(np.uint32)
-    at = np.minimum(np.searchsorted(heavy, bucket), max(0, len(heavy) - 1))
-    is_heavy = heavy[at] == bucket if len(heavy) else np.zeros(len(tokens), bool)
+    cell = tokens >> np.uint64(64 - CELL_BITS)
+    is_heavy = (heavy[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 > 0
     begin = 0
     for h1, s in found:
         mask = is_heavy[begin:begin + len(s)]
@@ -301,9 +314,8 @@ def pair_signatures(docs: DataFrame, heavy) -> DataFrame:
             for h1, n, rare, frequent in _split(found, heavy.value) if found else ():
                 if len(rare) > allowed_loss(n):
                     continue
-                step = size_step(n)
                 sig = np.unique(np.concatenate([
-                    token_pairs(len(rare), frequent, n, s) for s in (step, step - 1) if s >= 0]))
+                    token_pairs(len(rare), frequent, n, s) for s in size_steps(n)]))
                 if len(sig):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(sig.view(np.int64)),
@@ -356,11 +368,15 @@ def plausible(pairs: DataFrame, known: DataFrame) -> DataFrame:
         pairs = pairs.join(known.select(F.col("h1").alias(end), F.col("rep").alias(rep),
                                         F.col("n").alias(f"n_{end}"),
                                         F.col("bits").alias(f"bits_{end}")), end)
-    differ = F.aggregate(F.zip_with("bits_a", "bits_b",
-                                    lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+    return pairs.where(may_be_similar("n_a", "bits_a", "n_b", "bits_b")).select("a", "b", "u", "v")
+
+
+def may_be_similar(n_a: str, bits_a: str, n_b: str, bits_b: str) -> Column:
+    """Whether sizes and parity bits of two sets allow them to be similar."""
+    differ = F.aggregate(F.zip_with(bits_a, bits_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                          F.lit(0), lambda s, x: s + x.cast("int"))
-    return pairs.where(differ * (100 + PERCENT) <= (F.col("n_a") + F.col("n_b")) * (100 - PERCENT)
-                       ).select("a", "b", "u", "v")
+    return (F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * PERCENT) & (
+        differ * (100 + PERCENT) <= (F.col(n_a) + F.col(n_b)) * (100 - PERCENT))
 
 
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -424,29 +440,41 @@ def _node_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts if texts.count() <= count else texts.dropDuplicates(["rep", "h1"])
 
 
+def _named(known: DataFrame, found: DataFrame) -> DataFrame:
+    """(h1, n, bits, component) of all nodes."""
+    return (known.select("h1", "n", "bits", F.col("rep").alias("node"))
+            .join(found, "node", "left")
+            .select("h1", "n", "bits", F.coalesce("component", "node").alias("component")))
+
+
 def _undecided(groups: DataFrame, known: DataFrame, found: DataFrame) -> DataFrame:
     """Rows (sig, h1, n, component) of the groups that hold several components."""
-    named = (known.select("h1", F.col("rep").alias("node")).join(found, "node", "left")
-             .select("h1", F.coalesce("component", "node").alias("component")))
-    rows = groups.join(named, "h1")
+    rows = groups.join(_named(known, found).select("h1", "component"), "h1")
     open_groups = rows.groupBy("sig").agg(F.min("component").alias("lo"),
                                           F.max("component").alias("hi")).where("lo < hi")
     return rows.join(open_groups.select("sig"), "sig").select("sig", "h1", "n", "component")
 
 
-def _outside_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a node outside its group's largest component with the
-    nodes of other components in the group, where sizes allow."""
+def _outside_pairs(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """Pairs (a, b) that may still join components: nodes outside their group's
+    largest component, with one another and with that component's nodes, where
+    sizes allow.  The latter are paired once per component, not once per group."""
     sizes = rows.groupBy("sig", "component").agg(F.count(F.lit(1)).alias("k"))
     main = sizes.groupBy("sig").agg(
         F.max(F.struct("k", "component"))["component"].alias("main"))
-    rows = rows.join(main, "sig")
-    o = rows.where("component <> main").select(
-        "sig", F.col("h1").alias("o_h1"), F.col("n").alias("o_n"), F.col("component").alias("o_c"))
-    return (o.join(rows, "sig")
-            .where("component <> o_c and h1 <> o_h1 and (component = main or o_h1 < h1)")
-            .where(F.least("n", "o_n") * 100 >= F.greatest("n", "o_n") * PERCENT)
-            .select(*_ordered("h1", "o_h1")).distinct())
+    # the joins themselves leave out what sizes and parity bits rule out
+    alike = may_be_similar("n", "bits", "o_n", "o_bits")
+    outside = (rows.join(main, "sig").where("component <> main")
+               .join(named.select("h1", "bits"), "h1"))
+    o = outside.select("sig", "main", F.col("h1").alias("o_h1"), F.col("n").alias("o_n"),
+                       F.col("bits").alias("o_bits"), F.col("component").alias("o_c"))
+    to_main = o.select("main", "o_h1", "o_n", "o_bits").distinct().join(
+        named, (F.col("component") == F.col("main")) & alike)
+    inner = outside.drop("main").withColumnRenamed("sig", "i_sig")
+    others = o.join(inner, (F.col("sig") == F.col("i_sig")) & (F.col("o_h1") < F.col("h1"))
+                    & (F.col("component") != F.col("o_c")) & alike)
+    return to_main.select(*_ordered("h1", "o_h1")).unionByName(
+        others.select(*_ordered("h1", "o_h1"))).distinct()
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -455,8 +483,7 @@ def join(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     index = materialize(set_index(docs), "jaccard-index")
     tokens = index.agg(F.sum("n_shingles")).first()[0] or 0
-    limit = max(LEAST_FREQUENT, tokens >> HEAVY_BITS)
-    heavy = spark.sparkContext.broadcast(heavy_buckets(docs, tokens, limit))
+    heavy = spark.sparkContext.broadcast(heavy_cells(docs, tokens))
     groups = materialize(shared_tokens(docs, heavy, tokens).unionByName(
         pair_signatures(docs, heavy)), "jaccard-groups")
     known = materialize(nodes(index), "jaccard-nodes")
@@ -466,7 +493,7 @@ def join(docs: DataFrame) -> DataFrame:
     links = materialize(verified(likely, docs), "jaccard-links")
     found = materialize(components(links, name="jaccard-components"), "jaccard-found")
     for pairs_of in (lambda r: neighbours(r, [F.xxhash64("sig", "h1"), "h1"], "component"),
-                     _outside_pairs):
+                     lambda r: _outside_pairs(r, _named(known, found))):
         rows = materialize(_undecided(groups, known, found), "jaccard-undecided")
         if rows.isEmpty():
             break

@@ -49,11 +49,9 @@ def test_similar_sets_share_a_signature(n, common, seed, draw):
         loss = jaccard.allowed_loss(len(s))
         out = {("one", t) for t in rare[:loss + 1]}
         if len(rare) <= loss:
-            step = jaccard.size_step(len(s))
-            for c in (step, step - 1):
-                if c >= 0:
-                    out |= {("two", t) for t in
-                            jaccard.token_pairs(len(rare), often, len(s), c).tolist()}
+            for c in jaccard.size_steps(len(s)):
+                out |= {("two", t) for t in
+                        jaccard.token_pairs(len(rare), often, len(s), c).tolist()}
         return out
 
     if x != y:
@@ -117,9 +115,10 @@ def test_null_ids_and_empty_table(spark):
     assert jaccard.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_heavy_buckets_count_all_sets(spark):
+def test_heavy_cells_count_all_sets(spark):
     rows = [(i, f"a b c d e f u{i} v{i} w{i} x{i} y{i}") for i in range(50)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
-    heavy = jaccard.heavy_buckets(docs, 1000, 16)
+    docs = spark.createDataFrame(rows + rows, "doc_id long, text string").repartition(8)
+    heavy = np.unpackbits(jaccard.heavy_cells(docs, 1000), bitorder="little")
     common = shingles.sets(["a b c d e f"])[0]
-    assert sorted(heavy.tolist()) == sorted({int(t) >> 32 for t in common.tolist()})
+    assert np.flatnonzero(heavy).tolist() == sorted(
+        {int(t) >> (64 - jaccard.CELL_BITS) for t in common.tolist()})
