@@ -157,4 +157,5 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab_path, folder = default_vocabulary(), work_dir(spark, "llm-tokens")
     manifest = write(docs, folder, vocab_path)
     counted = scan(manifest.select("file", "file_ids").distinct(), folder, separator(vocab_path))
-    return counted.join(manifest, ["file", "ordinal"]).select("doc_id", "n_tokens")
+    # the manifest has a row per document: never broadcast, however small its file
+    return counted.join(manifest.hint("merge"), ["file", "ordinal"]).select("doc_id", "n_tokens")
