@@ -55,8 +55,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: the ids of each document, their number and digests."""
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), bpe.default_vocabulary())
-    return bpe.with_digests(encoded, bpe.default_vocabulary()).drop("text")
+    return bpe.tokenized(docs.select("doc_id", "lang", "source", "text"), bpe.default_vocabulary())
 
 
 STAGES = [

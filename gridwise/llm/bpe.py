@@ -37,6 +37,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -558,22 +559,45 @@ def decode(docs: DataFrame, vocab_path: str, ids: str = "ids") -> DataFrame:
     return docs.withColumn("decoded", text_of(F.col(ids)))
 
 
-def with_digests(docs: DataFrame, vocab_path: str, ids: str = "ids") -> DataFrame:
-    """``docs`` with n_tokens, ids_sha256 and decoded_sha256 of lists of ids added."""
+def tokenized(docs: DataFrame, vocab_path: str, text: str = "text",
+              batch_chars: int = 1 << 20) -> DataFrame:
+    """``docs`` without the text, with ids (array of int), n_tokens, ids_sha256 and
+    decoded_sha256 of each whole text.  Rows leave in batches of about
+    ``batch_chars`` characters, so lists of ids never pile up in a worker."""
+    keep = [c for c in docs.columns if c not in (*OUTPUTS, "ids", text)]
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        decoder = Decoder(vocabulary(vocab_path))
-        for lists in batches:
-            rows = []
-            for x in lists:
-                x = np.asarray([] if x is None else x, "<u4")
-                text = hashlib.sha256(decoder.feed(x.tolist()) + decoder.finish())
-                rows.append((len(x), hashlib.sha256(x.tobytes()).hexdigest(), text.hexdigest()))
-            yield pd.DataFrame(rows, columns=list(OUTPUTS))
-
-    keep = [c for c in docs.columns if c not in OUTPUTS]
-    return docs.select(*keep, measure(F.col(ids)).alias("_m")).select(*keep, "_m.*")
+    def encode_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = Encoder(vocabulary(vocab_path)), Decoder(vocabulary(vocab_path))
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text))
+            begin = 0
+            while begin < batch.num_rows:
+                end, size = begin, 0
+                while end < batch.num_rows and size < batch_chars:
+                    size += len(texts[end].as_py() or "")
+                    end += 1
+                values, digests_of, ends = [], [], [0]
+                for t in learn_batch(encoder, texts.slice(begin, end - begin).to_pylist()):
+                    ids = b"".join(stream_ids(encoder, t))
+                    out = decoder.feed(np.frombuffer(ids, "<u4").tolist()) + decoder.finish()
+                    values.append(ids)
+                    ends.append(ends[-1] + len(ids) // 4)
+                    digests_of.append((hashlib.sha256(ids).hexdigest(),
+                                       hashlib.sha256(out).hexdigest()))
+                flat = np.frombuffer(b"".join(values), "<u4").astype("<i4")
+                rows = batch.slice(begin, end - begin)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(rows.schema.get_field_index(c)) for c in keep]
+                    + [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                       pa.array(np.diff(ends), pa.int64()),
+                       pa.array([d[0] for d in digests_of]), pa.array([d[1] for d in digests_of])],
+                    [*keep, "ids", *OUTPUTS])
+                begin = end
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields]
+    schema = ", ".join([*fields, "ids array<int>", "n_tokens long", "ids_sha256 string",
+                        "decoded_sha256 string"])
+    return docs.select(*keep, F.col(text)).mapInArrow(encode_rows, schema)
 
 
 def digests(docs: DataFrame, vocab_path: str, text: str = "text") -> DataFrame:

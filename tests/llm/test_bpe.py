@@ -93,8 +93,11 @@ def test_dataframe_forms(spark, library):
         assert got[doc_id].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert got[doc_id].decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
     encoded = bpe.encode(docs, PATH)
-    assert {r.doc_id: r.ids_sha256 for r in bpe.with_digests(encoded, PATH).collect()} == {
-        k: v.ids_sha256 for k, v in got.items()}
+    lists = {r.doc_id: r for r in bpe.tokenized(docs, PATH, batch_chars=10).collect()}
+    assert {k: (r.ids_sha256, r.decoded_sha256) for k, r in lists.items()} == {
+        k: (r.ids_sha256, r.decoded_sha256) for k, r in got.items()}
+    assert {r.doc_id: r.ids for r in encoded.collect()} == {k: r.ids for k, r in lists.items()}
+    assert bpe.tokenized(docs.limit(0), PATH).count() == 0
     back = {r.doc_id: r.decoded for r in bpe.decode(encoded, PATH).collect()}
     assert back[1] == library.decode(library.encode("Hello  World's").ids, skip_special_tokens=False)
     assert back[2] == back[3] == ""
