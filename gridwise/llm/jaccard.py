@@ -179,7 +179,7 @@ def heavy_cells(docs: DataFrame, tokens: int, limit: int = RARE_LIMIT) -> np.nda
               .groupBy("part").applyInArrow(total, "part int, cells binary"))
     bitmap = np.zeros(1 << (CELL_BITS - 3), np.uint8)
     width = 1 << (slice_bits - 3)
-    for row in slices.toLocalIterator():
+    for row in slices.collect():  # the slices of one bitmap, packed
         bitmap[row["part"] * width:(row["part"] + 1) * width] = np.frombuffer(
             zlib.decompress(row["cells"]), np.uint8)
     return bitmap
