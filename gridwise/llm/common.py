@@ -27,7 +27,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(written: DataFrame) -> None:
+    """Delete a table of ``materialize`` that nothing reads any more."""
+    spark = written.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(written.written_to)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -84,9 +93,11 @@ def components(edges: DataFrame, salts: int = 32, name: str = "components") -> D
         large = (_attach_min(both, salts).where("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")))
         small = _attach_min(large, salts)
+        before = links
         links = materialize(
             small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
             .unionByName(small.select("u", F.col("m").alias("v"))).distinct(), name)
+        discard(before)
         after = _signature(links)
         if after == state:
             break
