@@ -1,8 +1,8 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
-Vectors are compared only within their label.  Equal vectors of a label are one
-class, which its smallest vec_id stands for, so a vector that a third of all
-rows share is compared once.  Every tree splits the classes of a label again
+Vectors are compared only within their label.  Vectors of a label that are equal
+once divided by their largest component are one class, which its smallest
+vec_id stands for, so a vector that a third of all rows share is compared once.  Every tree splits the classes of a label again
 and again: at each level a node's classes are projected on a random direction
 and parted at the middle of their projections; those near the middle (a
 ``SPILL`` share on either side) go to both children.  A node of at most
@@ -58,14 +58,17 @@ def usable(vector) -> F.Column:
 
 
 def classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """vectors (vec_id, embedding, label) -> (members, classes).
+    """vectors (vec_id, embedding, label) -> (members, classes).  ``vector`` has
+    the largest component 1 or -1, so exact multiples are mostly one class.
 
     members: one row per usable vector (vec_id, class_id, size).  classes: one
     row per class (class_id, rep, label, vector, size).  ``class_id`` is a hash of
     label and vector, ``rep`` the smallest vec_id."""
     good = vectors.where(F.col("label").isNotNull() & usable(F.col("embedding"))).select(
         "vec_id", F.col("label").cast("string").alias("label"),
-        F.col("embedding").cast("array<double>").alias("vector"))
+        F.col("embedding").cast("array<double>").alias("raw"))
+    most = F.array_max(F.transform("raw", F.abs))
+    good = good.select("vec_id", "label", F.transform("raw", lambda x: x / most).alias("vector"))
     key = F.sha2(F.concat_ws("|", F.col("label"),
                              F.transform("vector", lambda x: (x + 0.0).cast("string"))
                              .cast("array<string>")).cast("binary"), 256)
@@ -120,7 +123,7 @@ def _split(rows: DataFrame) -> DataFrame:
                      F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     # the children of a node are named by a hash of its name and the side
     child = lambda side: F.xxhash64("tree", "node", F.lit(side))
-    coin = F.pmod(F.xxhash64("class_id", "node"), F.lit(2)) == 0
+    coin = F.pmod(F.xxhash64("class_id", "tree", "node"), F.lit(2)) == 0
     left = F.when(F.col("flat"), coin).otherwise(F.col("at") <= F.col("q")[2])
     right = F.when(F.col("flat"), ~coin).otherwise(F.col("at") > F.col("q")[0])
     sides = F.filter(F.array(F.when(left, child(0)), F.when(right, child(1))),

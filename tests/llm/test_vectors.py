@@ -76,6 +76,25 @@ def test_equal_projections_still_split(spark, monkeypatch):
     assert len(got) == 200 and {r.component_id for r in got} == {0}
 
 
+def test_exact_multiples_are_one_class(spark, monkeypatch):
+    rows = [(i, [float(x * (-1) ** j * 2.0 ** (i % 100 - 50)) for j, x in enumerate(range(1, 17))], 1)
+            for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert rp_forest.classes(df)[1].count() == 1
+    monkeypatch.setattr(rp_forest.leaves, "__defaults__", (rp_forest.TREES, 32))
+    assert {(r.n_links, r.component_id) for r in run(spark, rows)} == {(199, 0)}
+
+
+def test_flat_splits_differ_by_tree(spark):
+    rows = spark.range(200).selectExpr("id as class_id", "explode(array(0, 1)) as tree",
+                                       "7L as node", "array(1D) as vector", "0.5D as at")
+    halves = {}
+    for r in rp_forest._split(rows).collect():
+        halves.setdefault((r.tree, r.node), set()).add(r.class_id)
+    first, second = ({frozenset(v) for (t, _), v in halves.items() if t == tree} for tree in (0, 1))
+    assert len(first) == len(second) == 2 and first != second
+
+
 def test_null_ids_and_empty_table(spark):
     rows = [(None, [1.0] * 16, 1), (4, [1.0] * 16, 1), (4, [1.0] * 16, 1), (None, [-1.0] * 16, 1)]
     got = run(spark, rows)
