@@ -8,16 +8,26 @@ and parted at the middle of their projections; those near the middle (a
 ``SPILL`` share on either side) go to both children.  A node of at most
 ``LEAF`` classes is a leaf.  A label that fits into one leaf needs no tree.
 
-All classes go through all trees.  A leaf's classes are compared with one
+A node is not split through a large group of near copies.  A sample of the
+node shows whether one class is linked with ``DENSE`` of it or more; such
+classes are pivots.  The classes linked with a pivot are its core, those within
+twice the angle its fringe, so by the triangle inequality every link of a core
+class inside the node ends in the core or the fringe.  All of those pairs are
+compared, cut into blocks of half a leaf with each pair of blocks as a group of
+its own, and the core leaves the node.  This is done for a whole label before
+the trees part, where it settles all links of the core, and at every node after.
+
+All other classes go through all trees.  A leaf's classes are compared with one
 another as a block in one task, which is bounded by ``LEAF``.  A pair that
 several leaves share is counted in the first of them only: each class carries
-the list of its leaves.  A leaf returns, instead of pairs, the number of each
+the list of its leaves, cores and fringes.  A leaf returns, instead of pairs, the number of each
 class's links and one edge to the smallest class it is connected with inside
 the leaf; the components of those edges over all trees are the result.
 
 Vectors are hashed, projected and compared in double precision.  Splits come
 from approximate quantiles, which combine before their shuffle.  A node whose
-projections are all equal is parted by hash, so every node shrinks.
+projections are all equal and that has no pivot is parted by a hash that differs
+by tree, so every node shrinks; rows left after ``MOST_LEVELS`` are an error.
 
 Defined results: a vector that is null, empty, zero or holds a null or
 non-finite component, and one without label, links with nothing and is its own
@@ -44,6 +54,7 @@ MIN_COSINE = 0.93
 TREES = 6
 LEAF = 1024
 SPILL = 0.08
+DENSE = 8  # a pivot is linked with one in DENSE of its node, less than both spills hold
 SALTS = 64
 MOST_LEVELS = 64
 SEED = 20240301
@@ -133,50 +144,175 @@ def _split(rows: DataFrame) -> DataFrame:
             .select("class_id", "tree", "vector", F.explode(sides).alias("node")))
 
 
-def leaves(points: DataFrame, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
-    """classes -> (class_id, node): the leaves of each class over all trees.
+def _pivots(rows: DataFrame, level: int, leaf: int, min_cosine: float) -> DataFrame:
+    """Rows (class_id, tree, node, vector, k) of large nodes -> (tree, node, pivots)
+    for the nodes with a group of near copies that a split would part.  The
+    sample, about ``leaf`` classes of a node, only finds pivots."""
+    sample = rows.where(F.pmod(F.xxhash64("class_id", "tree", "node", F.lit(level)),
+                               F.col("k")) < leaf)
 
-    One round per level; rows of nodes that are small enough leave the loop."""
+    def find(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        group = group.sort_by("class_id")
+        vectors = group.column("vector").to_pylist()
+        n = len(vectors)
+        dims = np.fromiter(map(len, vectors), np.int64, n)
+        linked = np.zeros((n, n), bool)
+        units: list[np.ndarray] = [np.empty(0)] * n
+        for d in np.unique(dims):
+            at = np.flatnonzero(dims == d)
+            x = np.array([vectors[r] for r in at], dtype=np.float64)
+            x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+            linked[np.ix_(at, at)] = x @ x.T >= min_cosine
+            for r, unit in zip(at, x):
+                units[r] = unit
+        left = np.ones(n, bool)
+        pivots = []
+        while left.any():
+            degree = np.where(left, linked[:, left].sum(axis=1), 0)
+            best = int(degree.argmax())
+            if degree[best] < max(2, left.sum() / DENSE, n / (4 * DENSE)):
+                break
+            pivots.append(units[best].tolist())
+            left &= ~linked[best]
+            left[best] = False
+        return pa.table({"tree": pa.array([key[0].as_py()] if pivots else [], pa.int32()),
+                         "node": pa.array([key[1].as_py()] if pivots else [], pa.int64()),
+                         "pivots": pa.array([pivots] if pivots else [],
+                                            pa.list_(pa.list_(pa.float64())))})
+
+    return sample.select("tree", "node", "class_id", "vector").groupBy("tree", "node").applyInArrow(
+        find, "tree int, node long, pivots array<array<double>>")
+
+
+def _peel(rows: DataFrame, pivots: DataFrame, level: int, min_cosine: float) -> DataFrame:
+    """Rows of the nodes in ``pivots`` -> (class_id, tree, node, vector, core, fringes):
+    the first pivot a class is linked with, or null, and the pivots before
+    whose fringe it is in."""
+    near = 2 * min_cosine ** 2 - 1 - 1e-9 if min_cosine > 0 else -2.0
+
+    @F.pandas_udf("array<int>")
+    def place(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for vector, named in batches:
+            out = []
+            for v, ps in zip(vector, named):
+                unit = v / np.sqrt(v @ v)
+                found = [-1]
+                for j, p in enumerate(ps):
+                    cosine = p @ unit if len(p) == len(unit) else -2.0
+                    if cosine >= min_cosine:
+                        found[0] = j
+                        break
+                    if len(p) == len(unit) and cosine >= near:
+                        found.append(j)
+                out.append(found)
+            yield pd.Series(out)
+
+    salted = pivots.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    name = lambda j: F.xxhash64(F.lit("peel"), "tree", "node", F.lit(level), j)
+    return (rows.withColumn("salt", F.pmod(F.xxhash64("class_id"), F.lit(SALTS)).cast("int"))
+            .join(salted, ["tree", "node", "salt"])
+            .select("class_id", "tree", "node", "vector", place("vector", "pivots").alias("at"))
+            .select("class_id", "tree", "node", "vector",
+                    F.when(F.col("at")[0] >= 0, name(F.col("at")[0])).alias("core"),
+                    F.transform(F.expr("slice(at, 2, size(at))"), name).alias("fringes")))
+
+
+def leaves(points: DataFrame, trees: int = TREES, leaf: int = LEAF, *,
+           min_cosine: float = MIN_COSINE) -> DataFrame:
+    """classes -> (class_id, node, part): the leaves, cores and fringes of each
+    class over all trees.
+
+    One round per level; rows of nodes that are small enough leave the loop.  A
+    node with pivots loses their cores and waits for the next round unsplit.
+    Tree -1 is the label before the trees part."""
     labels = points.groupBy("label").agg(F.count(F.lit(1)).alias("k"))
     small = labels.where(F.col("k") <= leaf).select("label")
     root = F.xxhash64(F.lit("root"), F.col("label"))
-    done = [points.join(small, "label", "left_semi").select("class_id", root.alias("node"))]
+    done = [points.join(small, "label", "left_semi").select(
+        "class_id", root.alias("node"), F.lit("leaf").alias("part"))]
     rows = (points.join(small, "label", "left_anti")
-            .select("class_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"),
-                    "vector", root.alias("node")))
+            .select("class_id", F.lit(-1).alias("tree"), "vector", root.alias("node")))
     for level in range(MOST_LEVELS):
         rows = materialize(rows, "forest-level")
         sizes = materialize(rows.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("k")),
                             "forest-sizes")
-        large = sizes.where(F.col("k") > leaf).select("tree", "node")
         if sizes.isEmpty():
             break
         fit = sizes.where(F.col("k") <= leaf).select("tree", "node")
         done.append(rows.join(fit, ["tree", "node"], "left_semi").select(
-            "class_id", F.xxhash64("tree", "node").alias("node")))
-        rows = _split(projections(rows.join(large, ["tree", "node"], "left_semi"), level))
+            "class_id", F.xxhash64("tree", "node").alias("node"), F.lit("leaf").alias("part")))
+        large = rows.join(sizes.where(F.col("k") > leaf), ["tree", "node"])
+        pivots = materialize(_pivots(large, level, leaf, min_cosine), "forest-pivots")
+        whole = large.drop("k")
+        rest = None
+        if not pivots.isEmpty():
+            peeled = materialize(_peel(whole, pivots, level, min_cosine), "forest-peeled")
+            done.append(peeled.where("core is not null").select(
+                "class_id", F.col("core").alias("node"), F.lit("core").alias("part")))
+            done.append(peeled.select("class_id", F.explode("fringes").alias("node"),
+                                      F.lit("fringe").alias("part")))
+            rest = peeled.where("core is null").select("class_id", "tree", "vector", "node")
+            whole = whole.join(pivots, ["tree", "node"], "left_anti")
+        parted = whole.where("tree < 0").select(
+            "class_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"),
+            "vector", "node")
+        rows = parted.unionByName(_split(projections(whole.where("tree >= 0"), level)))
+        rows = rows if rest is None else rows.unionByName(rest)
+    else:
+        if not rows.isEmpty():
+            raise RuntimeError(f"classes remain in large nodes after {MOST_LEVELS} levels")
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
     return out.distinct()
 
 
+def _blocks(leaf_rows: DataFrame) -> DataFrame:
+    """(class_id, node, part, block, low, high): a leaf is one block; a core and
+    its fringe are cut into blocks of half a leaf, and every pair of blocks with
+    a block of the core is a group (node, low, high)."""
+    one = leaf_rows.where("part = 'leaf'").select(
+        "class_id", "node", "part", *[F.lit(0).alias(c) for c in ("block", "low", "high")])
+    cut = leaf_rows.where("part <> 'leaf'")
+    half = F.lit(max(1, LEAF // 2))
+    number = lambda part: F.ceil(F.count(F.when(F.col("part") == part, 1)) / half).cast("int")
+    counts = cut.groupBy("node").agg(number("core").alias("c"), number("fringe").alias("f"))
+    counts = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    key = F.xxhash64("class_id", "node")
+    core = F.col("part") == "core"
+    last = F.when(core, F.col("c") + F.col("f")).otherwise(F.col("c")) - 1
+    block = F.when(core, F.pmod(key, F.col("c"))).otherwise(
+        F.col("c") + F.pmod(key, F.greatest(F.col("f"), F.lit(1)))).cast("int")
+    pairs = (cut.withColumn("salt", F.pmod(F.xxhash64("class_id"), F.lit(SALTS)).cast("int"))
+             .join(counts, ["node", "salt"]).where("c > 0")
+             .select("class_id", "node", "part", block.alias("block"),
+                     F.explode(F.sequence(F.lit(0), last)).alias("other")))
+    return one.unionByName(pairs.select(
+        "class_id", "node", "part", "block", F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high")))
+
+
 def compare(points: DataFrame, leaf_rows: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
-    """(class_id, links, root): per leaf the vectors linked with each class, counted
-    in the first leaf that both share, and the smallest rep connected there."""
-    all_leaves = leaf_rows.groupBy("class_id").agg(
-        F.sort_array(F.collect_list("node")).alias("leaves"))
-    placed = (points.join(all_leaves, "class_id")
-              .select("class_id", "rep", "size", "vector", "leaves",
-                      F.explode("leaves").alias("node")))
+    """(class_id, links, root): per leaf or pair of blocks the vectors linked with
+    each class, counted in the first leaf that both share, and the smallest rep
+    connected there."""
+    names = lambda fringe: F.sort_array(F.collect_list(
+        F.when((F.col("part") == "fringe") == fringe, F.col("node"))))
+    all_leaves = leaf_rows.groupBy("class_id").agg(names(False).alias("leaves"),
+                                                   names(True).alias("fringes"))
+    placed = (points.join(all_leaves, "class_id").join(_blocks(leaf_rows), "class_id")
+              .select("class_id", "rep", "size", "vector", "leaves", "fringes", "node",
+                      "block", "low", "high"))
 
     def block(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        node = key[0].as_py()
+        node, low, high = (k.as_py() for k in key)
         class_id = group.column("class_id").to_numpy()
         rep = group.column("rep").to_numpy()
         size = group.column("size").to_numpy()
+        side = group.column("block").to_numpy()
         vectors = group.column("vector").to_pylist()
-        leaf_lists = [np.array(x, np.int64) for x in group.column("leaves").to_pylist()]
+        leaf_lists, fringe_lists = ([np.array(x, np.int64) for x in group.column(c).to_pylist()]
+                                    for c in ("leaves", "fringes"))
         dims = np.fromiter(map(len, vectors), np.int64, len(vectors))
         out_class, out_links, out_root = [], [], []
         for d in np.unique(dims):
@@ -185,8 +321,11 @@ def compare(points: DataFrame, leaf_rows: DataFrame, min_cosine: float = MIN_COS
             x /= np.abs(x).max(axis=1, keepdims=True)
             x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
             linked = np.triu(x @ x.T >= min_cosine, 1)
+            if low != high:
+                linked &= side[rows][:, None] != side[rows][None, :]
             a, b = np.nonzero(linked)
-            first = linked & ~_share_earlier([leaf_lists[r] for r in rows], node)
+            first = linked & ~_share_earlier([leaf_lists[r] for r in rows],
+                                             [fringe_lists[r] for r in rows], node)
             links = first @ size[rows] + first.T @ size[rows]
             root = _local_roots(rep[rows], a, b)
             touched = np.zeros(len(rows), bool)
@@ -198,16 +337,22 @@ def compare(points: DataFrame, leaf_rows: DataFrame, min_cosine: float = MIN_COS
                          "links": np.concatenate(out_links).astype(np.int64),
                          "root": np.concatenate(out_root).astype(np.int64)})
 
-    return placed.groupBy("node").applyInArrow(block, "class_id long, links long, root long")
+    return placed.groupBy("node", "low", "high").applyInArrow(
+        block, "class_id long, links long, root long")
 
 
-def _share_earlier(leaf_lists: list[np.ndarray], node: int) -> np.ndarray:
-    """Whether two rows share a leaf that comes before ``node``."""
-    earlier = [x[x < node] for x in leaf_lists]
-    names, at = np.unique(np.concatenate(earlier), return_inverse=True)
-    held = np.zeros((len(earlier), max(1, len(names))), np.float32)
-    held[np.repeat(np.arange(len(earlier)), [len(x) for x in earlier]), at] = 1
-    return held @ held.T > 0
+def _share_earlier(leaf_lists: list[np.ndarray], fringe_lists: list[np.ndarray],
+                   node: int) -> np.ndarray:
+    """Whether two rows share a leaf or core that comes before ``node``, or one
+    is in the core whose fringe the other is in."""
+    lists = [x[x < node] for x in leaf_lists + fringe_lists]
+    n = len(leaf_lists)
+    names, at = np.unique(np.concatenate(lists), return_inverse=True)
+    held = np.zeros((2 * n, max(1, len(names))), np.float32)
+    held[np.repeat(np.arange(2 * n), [len(x) for x in lists]), at] = 1
+    own, fringe = held[:n], held[n:]
+    mixed = own @ fringe.T
+    return own @ own.T + mixed + mixed.T > 0
 
 
 def _local_roots(rep: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -227,7 +372,7 @@ def join(vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataFrame:
     vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label")
     members, points = classes(vectors)
     points = materialize(points.where("rep is not null"), "forest-classes")
-    found = materialize(compare(points, leaves(points), min_cosine), "forest-links")
+    found = materialize(compare(points, leaves(points, min_cosine=min_cosine), min_cosine), "forest-links")
     counts = found.groupBy("class_id").agg(F.sum("links").alias("links"))
     edges = found.join(points.select("class_id", F.col("rep").alias("u")), "class_id").select(
         "u", F.col("root").alias("v"))

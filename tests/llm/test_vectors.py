@@ -95,6 +95,31 @@ def test_flat_splits_differ_by_tree(spark):
     assert len(first) == len(second) == 2 and first != second
 
 
+def test_group_of_several_leaves_is_exact(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = vectors(6, 20, 8, 0.12)
+    for at, spread in ((rng.standard_normal(16), 0.05), (rng.standard_normal(16), 0.15)):
+        rows += [(len(rows) + i, [float(np.float32(x)) for x in at + spread * rng.standard_normal(16)], 1)
+                 for i in range(400)]
+    links, n = brute_join(rows)
+    named = brute_components([r[0] for r in rows], [(rows[a][0], rows[b][0]) for a, b in links])
+    monkeypatch.setattr(rp_forest.leaves, "__defaults__", (rp_forest.TREES, 64))
+    monkeypatch.setattr(rp_forest, "LEAF", 64)
+    got = {r.vec_id: r for r in run(spark, rows)}
+    assert {v: got[v].component_id for v in got} == named
+    assert [got[i].n_links for i in range(160, 560)] == n[160:560]
+    found = sum(r.n_links for r in got.values()) / 2
+    assert 0.999 * len(links) <= found <= len(links)
+    assert all(got[v].n_links <= n[v] for v in got)
+
+
+def test_rows_left_after_the_last_level_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(rp_forest.leaves, "__defaults__", (rp_forest.TREES, 16))
+    monkeypatch.setattr(rp_forest, "MOST_LEVELS", 2)
+    with pytest.raises(RuntimeError, match="levels"):
+        run(spark, vectors(7, 100, 2, 0.12))
+
+
 def test_null_ids_and_empty_table(spark):
     rows = [(None, [1.0] * 16, 1), (4, [1.0] * 16, 1), (4, [1.0] * 16, 1), (None, [-1.0] * 16, 1)]
     got = run(spark, rows)
