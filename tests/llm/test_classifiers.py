@@ -43,6 +43,16 @@ def test_language_defined_results(spark):
     assert langid.identify(docs.where("false"), model).count() == 0
 
 
+def test_language_sample_does_not_shrink_with_copies(spark):
+    copies = spark.range(4000).selectExpr("'die katze und der hund' as text", "'de' as lang")
+    others = spark.range(30).selectExpr("concat('der text hat nummer ', id) as text", "'de' as lang")
+    few = spark.createDataFrame([("the cat and the dog", "en")], "text string, lang string")
+    rare = few.unionByName(spark.range(4000).selectExpr("'the cat' as text", "'en' as lang"))
+    model = langid.fit(copies.unionByName(others).unionByName(rare), texts_per_lang=5)
+    assert model.langs == ("de", "en")
+    assert [len(d.split(b"\n")) for d in model.dictionaries] == [5, 2]
+
+
 def test_language_equal_sizes_go_to_the_smaller_value():
     import numpy as np
 
