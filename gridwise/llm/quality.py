@@ -9,8 +9,9 @@ that the sample has the class shares of all training rows.
 Defined results: null and empty texts have difference 0 and get the curve's
 value there.  Rows without an id are held out.  With labels of one class only,
 or none, every score is the smoothed share of label 1 (0.5 without labels).
-Repeated rows and repeated labels count as often as they occur.  Label values
-other than 0 and 1 are ignored.  Extra columns pass through ``score``.
+Repeated labels count as often as they occur in the class shares; an id gives
+one text to the sample however often it occurs.  Label values other than 0 and 1
+are ignored.  Extra columns pass through ``score``.
 """
 
 from __future__ import annotations
@@ -85,8 +86,9 @@ def fit(docs: DataFrame, labels: DataFrame, pieces_per_class: int = 3500,
     Bounded sample, by parameter: the labelled ids that come first by hash,
     ``pieces_per_class`` of each class for the dictionaries (one piece of
     ``piece_chars`` characters each, at an offset set by the text's hash) and
-    the next ``curve_texts_per_class`` whole texts for the curve.  Class
-    shares count all training labels.
+    the next ``curve_texts_per_class`` whole texts for the curve.  Of an id with
+    several texts the one with the smallest hash is drawn.  Class shares count all
+    training labels.
     """
     known = (labels.where(~held_out(F.col("doc_id")) & F.col("quality").isin(0, 1))
              .select("doc_id", "quality"))
@@ -97,7 +99,7 @@ def fit(docs: DataFrame, labels: DataFrame, pieces_per_class: int = 3500,
     if not bad_n or not good_n:
         return QualityModel(b"bad", b"good", 0.0, prior, level, block_bytes)
     wanted = pieces_per_class + curve_texts_per_class
-    ids = [known.where(F.col("quality") == c)
+    ids = [known.where(F.col("quality") == c).distinct()
            .select("doc_id", "quality", F.xxhash64("doc_id").alias("k"))
            .orderBy("k", "doc_id").limit(wanted) for c in (0, 1)]
     # of every five drawn ids (by hash, so independent of class) some draw the curve
@@ -105,18 +107,24 @@ def fit(docs: DataFrame, labels: DataFrame, pieces_per_class: int = 3500,
     chosen = ids[0].unionByName(ids[1]).withColumn(
         "curve", F.pmod(F.xxhash64("k"), F.lit(1000)) < int(curve_share * 1000))
     offset = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - piece_chars, F.lit(0)) + 1)
+    piece = F.substring(F.col("text"), (offset + 1).cast("int"), F.lit(piece_chars))
     # at most 2 * wanted small rows are broadcast
     drawn = docs.where("text is not null").select("doc_id", "text").join(
         F.broadcast(chosen), "doc_id")
-    rows = (drawn.where("not curve")
-            .select("quality", "k", F.substring(F.col("text"), (offset + 1).cast("int"),
-                                                F.lit(piece_chars)).alias("piece"))
-            .orderBy("k", "piece").limit(2 * wanted).collect())
-    content = ["\n".join(r["piece"] for r in rows if r["quality"] == c).encode() or b"-"
+
+    def one_each(curve: bool, value) -> DataFrame:
+        """One row (quality, k, value) of each drawn id, so at most 2 * wanted."""
+        return (drawn.where(F.col("curve") == curve)
+                .groupBy("quality", "doc_id", "k")
+                .agg(F.min(F.struct(F.xxhash64("text").alias("h"), value.alias("value"))).alias("m"))
+                .select("quality", "k", F.col("m.value").alias("text")))
+
+    rows = one_each(False, piece).orderBy("k", "text").limit(2 * wanted).collect()
+    content = ["\n".join(r["text"] for r in rows if r["quality"] == c).encode() or b"-"
                for c in (0, 1)]
-    curve = (difference(drawn.where("curve").select("quality", "text"), *content, level,
-                        block_bytes)
-             .select("quality", "difference").limit(2 * wanted).toPandas())
+    curve = (difference(one_each(True, F.col("text")), *content, level, block_bytes)
+             .select("quality", "k", "difference").orderBy("k", "quality", "difference")
+             .limit(2 * wanted).toPandas())
     y = curve["quality"].to_numpy(dtype=float)
     n_bad, n_good = int((y == 0).sum()), int((y == 1).sum())
     if not n_bad or not n_good:

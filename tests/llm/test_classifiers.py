@@ -3,6 +3,7 @@
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridwise.llm import langid, quality
 from gridwise.llm.queries import QUERIES
@@ -88,3 +89,18 @@ def test_quality_defined_results(spark):
     none = quality.fit(docs, labels.where("false"))
     assert {r.score for r in quality.score(docs, none).collect()} == {0.5}
     assert quality.score(docs.where("false"), model).count() == 0
+
+
+def test_quality_sample_is_cut_by_ids(spark):
+    docs = spark.createDataFrame([(i, f"good words here {i} " * 5) for i in range(40)]
+                                 + [(100 + i, f"$$ %% ** {i} " * 5) for i in range(40)],
+                                 "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id < 100) as quality")
+    settings = {"pieces_per_class": 12, "curve_texts_per_class": 8}
+    want = quality.fit(docs, labels, **settings)
+    assert want.slope != 0
+    copied = docs.withColumn("copy", F.explode(F.sequence(
+        F.lit(0), F.when(F.col("doc_id") < 100, 60).otherwise(0)))).drop("copy").repartition(4)
+    assert quality.fit(copied, labels, **settings) == want
+    again = quality.fit(docs, labels.crossJoin(spark.range(30)).drop("id"), **settings)
+    assert (again.bad, again.good) == (want.bad, want.good)
