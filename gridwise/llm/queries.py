@@ -11,6 +11,7 @@ from gridwise.llm.pii import op7_pii
 from gridwise.llm.quality import op6_quality
 from gridwise.llm.rp_forest import OP5_SQL, op5_embedding_dedup
 from gridwise.llm.token_scan import op4_token_counts
+from gridwise.llm.variants import OP11_SQL, op11_variants
 from gridwise.llm.warc import OP1_SQL, op1_warc
 
 QUERIES = {
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_language_id": op10_language_id,
+    "op11_variants": op11_variants,
 }
 
 SQL: dict[str, str] = {
@@ -32,4 +34,5 @@ SQL: dict[str, str] = {
     "op5_embedding_dedup": OP5_SQL,
     "op8_mixing": OP8_SQL,
     "op9_jaccard_join": OP9_SQL,
+    "op11_variants": OP11_SQL,
 }
