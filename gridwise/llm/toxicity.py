@@ -6,8 +6,8 @@ Its trie is intersected with Levenshtein automata: a state holds the trie nodes
 reachable with the letters read so far and the fewest edits for each; states are
 determinised as words ask for them and remembered.  A word thus matches each
 entry within the edits its length allows (see ``Entry.edits``).  Entry and
-number of edits have a weight, the smoothed log odds of the labelled texts that
-hold such words; a misspelling never seen gets half the weight per edit.
+number of edits have a weight, the smoothed log odds of the labelled
+texts' places that hold such words; a misspelling never seen gets half the weight per edit.
 
 Each match is weighted by its context window: less between quotation marks or
 next to words that report speech, more next to words that address a person.  The
@@ -253,29 +253,31 @@ def curve_fit(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-3,
     return (*map(float, slopes), float(beta[-1] - (slopes * mean).sum()))
 
 
-def _log_odds(bad: Column, clean: Column, bad_texts: int, clean_texts: int) -> Column:
-    return (F.log((bad + 0.5) / (bad_texts + 1.0)) - F.log((clean + 0.5) / (clean_texts + 1.0)))
+def _log_odds(bad: Column, clean: Column, bad_all: int, clean_all: int) -> Column:
+    return (F.log((bad + 0.5) / (bad_all + 1.0)) - F.log((clean + 0.5) / (clean_all + 1.0)))
 
 
 def _words_by_label(texts: DataFrame) -> DataFrame:
-    """(word, bad, clean): the numbers of toxic and of other texts with each word."""
+    """(word, bad, clean): in how many contexts (the words before and after) each word
+    occurs in toxic and in other texts.  A passage that many copies share counts once."""
 
     def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            found = [sorted(set(WORD.findall(t.lower()))) for t in part["text"]]
-            sizes = [len(f) for f in found]
-            yield pd.DataFrame({"word": [w for f in found for w in f],
-                                "toxic": np.repeat(part["toxic"].to_numpy(), sizes)})
+            for text, toxic in zip(part["text"], part["toxic"]):
+                words = WORD.findall(text.lower())
+                places = set(zip(words, ["", *words], [*words[1:], ""]))
+                yield pd.DataFrame([(w, f"{x} {y}", toxic) for w, x, y in places],
+                                   columns=["word", "place", "toxic"])
 
-    return (texts.select("text", "toxic").mapInPandas(rows, "word string, toxic int")
-            .groupBy("word").agg(F.sum("toxic").alias("bad"),
-                                 F.sum(1 - F.col("toxic")).alias("clean")))
+    return (texts.select("text", "toxic").mapInPandas(rows, "word string, place string, toxic int")
+            .distinct().groupBy("word").agg(F.sum("toxic").alias("bad"),
+                                            F.sum(1 - F.col("toxic")).alias("clean")))
 
 
-def choose_entries(words: DataFrame, bad_texts: int, clean_texts: int, max_entries: int,
-                   least_log_odds: float, errors: float) -> list[Entry]:
-    """The words and stems whose log odds stay above ``least_log_odds`` less
-    ``errors`` standard errors above 0, best first, at most ``max_entries``.
+def choose_entries(words: DataFrame, bad_all: int, clean_all: int, max_entries: int,
+                   least_log_odds: float, least_ratio: float) -> list[Entry]:
+    """The words and stems with log odds of ``least_log_odds`` and a likelihood ratio
+    (G squared) of ``least_ratio`` at least, best ratio first, at most ``max_entries``.
 
     A stem has 4 to 8 letters and at least three words.  What a better stem
     covers is left out.
@@ -292,12 +294,18 @@ def choose_entries(words: DataFrame, bad_texts: int, clean_texts: int, max_entri
              .agg(F.sum("bad").alias("bad"), F.sum("clean").alias("clean"),
                   F.count(F.lit(1)).alias("words")).where("words >= 3")
              .select(F.col("stem_text").alias("word"), F.lit(True).alias("stem"), "bad", "clean"))
-    odds = _log_odds(F.col("bad"), F.col("clean"), bad_texts, clean_texts)
-    error = F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("clean") + 0.5))
+    odds = _log_odds(F.col("bad"), F.col("clean"), bad_all, clean_all)
+    share = bad_all / (bad_all + clean_all)
+
+    def term(seen: str, part: float) -> Column:
+        return F.when(F.col(seen) > 0, F.col(seen) * F.log(
+            F.col(seen) / ((F.col("bad") + F.col("clean")) * part))).otherwise(0.0)
+
     ranked = (whole.unionByName(stems).where(F.length("word").between(3, 24))
-              .withColumn("odds", odds).withColumn("low", odds - errors * error)
-              .where((F.col("odds") >= least_log_odds) & (F.col("low") > 0))
-              .orderBy(F.desc("low"), "word", "stem").limit(20 * max_entries).collect())
+              .withColumn("odds", odds)
+              .withColumn("ratio", 2 * (term("bad", share) + term("clean", 1 - share)))
+              .where((F.col("odds") >= least_log_odds) & (F.col("ratio") >= least_ratio))
+              .orderBy(F.desc("ratio"), "word", "stem").limit(20 * max_entries).collect())
     chosen: list[Entry] = []
     covering: set[str] = set()
     for row in ranked:
@@ -311,7 +319,7 @@ def choose_entries(words: DataFrame, bad_texts: int, clean_texts: int, max_entri
     return chosen
 
 
-def match_weights(words: DataFrame, entries: list[Entry], bad_texts: int, clean_texts: int
+def match_weights(words: DataFrame, entries: list[Entry], bad_all: int, clean_all: int
                   ) -> dict[tuple[int, int], float]:
     """Weight of every (entry, edits): log odds of the words that match so, smoothed
     by one toxic text at the weight expected (the exact one, halved per edit)."""
@@ -328,7 +336,7 @@ def match_weights(words: DataFrame, entries: list[Entry], bad_texts: int, clean_
               words.mapInPandas(rows, "entry bigint, edits bigint, bad bigint, clean bigint")
               .groupBy("entry", "edits").agg(F.sum("bad").alias("bad"), F.sum("clean").alias("clean"))
               .collect()}
-    ratio = (clean_texts + 1.0) / (bad_texts + 1.0)
+    ratio = (clean_all + 1.0) / (bad_all + 1.0)
     weights = {}
     for number, entry in enumerate(entries):
         bad, clean = counts.get((number, 0), (0, 0))
@@ -343,7 +351,7 @@ def match_weights(words: DataFrame, entries: list[Entry], bad_texts: int, clean_
 
 def fit(docs: DataFrame, labels: DataFrame, texts_per_class: int = 12_000,
         curve_share: float = 0.4, max_entries: int = 300, least_log_odds: float = 1.5,
-        errors: float = 3.0) -> ToxicityModel:
+        least_ratio: float = 25.0) -> ToxicityModel:
     """Learn from the labelled rows outside the held-out fold.
 
     Bounded sample, by parameter: the texts of the ``texts_per_class`` labelled ids
@@ -370,10 +378,12 @@ def fit(docs: DataFrame, labels: DataFrame, texts_per_class: int = 12_000,
     try:
         sizes = {(r["curve"], r["toxic"]): r["n"] for r in
                  texts.groupBy("curve", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-        bad_texts, clean_texts = sizes.get((False, 1), 0), sizes.get((False, 0), 0)
+        if not sizes.get((False, 1)) or not sizes.get((False, 0)):
+            return ToxicityModel([], {}, prior)
         words = _words_by_label(texts.where(~F.col("curve"))).persist()
-        entries = choose_entries(words, bad_texts, clean_texts, max_entries, least_log_odds, errors)
-        weights = match_weights(words, entries, bad_texts, clean_texts)
+        bad_all, clean_all = words.agg(F.sum("bad"), F.sum("clean")).first()
+        entries = choose_entries(words, bad_all, clean_all, max_entries, least_log_odds, least_ratio)
+        weights = match_weights(words, entries, bad_all, clean_all)
         words.unpersist()
         model = ToxicityModel(entries, weights, prior)
         # at most 2 * texts_per_class rows of four numbers
