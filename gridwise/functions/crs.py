@@ -1,5 +1,5 @@
 """Coordinate transformation EPSG:4326 (WGS 84 lon/lat) -> EPSG:28992
-(Amersfoort / RD New) as closed-form Column arithmetic.
+(Amersfoort / RD New) as closed-form arithmetic in SQL text (see ``geometry``).
 
 Chain: geodetic WGS 84 -> geocentric -> inverse 7-parameter Helmert
 (position-vector convention) -> geodetic Bessel 1841 (Bowring's formula plus
@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gridwise.functions.geometry import GEOM_TYPE, let
+from gridwise.functions.geometry import GEOM_SQL, bound, let
 
 # ---------------------------------------------------------------------------
 # Fixed values (public EPSG parameters; results must match PostGIS/PROJ).
@@ -91,83 +91,79 @@ def _col(v) -> Column:
     return F.col(v) if isinstance(v, str) else v
 
 
-def chain(value: Column, *stages) -> Column:
-    """``let`` applied stage after stage: each stage maps the previous bound
-    struct to the next struct."""
-    if not stages:
-        return value
-    return let(value, lambda v: chain(stages[0](v), *stages[1:]))
+def _d(value: float) -> str:
+    """A double literal."""
+    return f"({value!r}D)"
 
 
-def _s(**cols) -> Column:
-    return F.struct(*[c.alias(n) for n, c in cols.items()])
+def _chain(first: str, *stages: tuple[str, str]) -> str:
+    """``let`` applied stage after stage: (name, body) binds the stage before to
+    ``name`` in ``body``."""
+    if not stages:
+        return first
+    name, body = stages[0]
+    if len(stages) == 1:
+        return let(first, name, body)
+    return let(first, name, _chain(body, *stages[1:]))
+
+
+def _rd_sql(lon: str, lat: str) -> str:
+    """struct<x, y> of longitude and latitude.  Stage borders only where a value is
+    used again and again; cheap values are written out twice (fewer bindings a row)."""
+    a, b = _d(BESSEL_A), _d(P.b_b)
+    # geocentric (h = 0), then inverse Helmert: X_a = R^T (X_w - T) / scale
+    nu = f"{_d(WGS84_A)} / sqrt(1.0D - {_d(P.e2_w)} * w.sphi * w.sphi)"
+    start = (f"named_struct('lam', radians({lon}), 'sphi', sin(radians({lat})), "
+             f"'cphi', cos(radians({lat})))")
+    shifted = f"""named_struct(
+        'ux', ({nu} * w.cphi * cos(w.lam) - {_d(P.tx)}) / {_d(P.scale)},
+        'uy', ({nu} * w.cphi * sin(w.lam) - {_d(P.ty)}) / {_d(P.scale)},
+        'uz', ({nu} * {_d(1.0 - P.e2_w)} * w.sphi - {_d(P.tz)}) / {_d(P.scale)})"""
+    turned = f"""named_struct(
+        'ax', u.ux + {_d(P.rz)} * u.uy - {_d(P.ry)} * u.uz,
+        'ay', {_d(-P.rz)} * u.ux + u.uy + {_d(P.rx)} * u.uz,
+        'az', {_d(P.ry)} * u.ux - {_d(P.rx)} * u.uy + u.uz)"""
+    bowring = f"""named_struct('ax', g.ax, 'ay', g.ay, 'az', g.az,
+        'p', sqrt(g.ax * g.ax + g.ay * g.ay),
+        'th', atan2(g.az * {a}, sqrt(g.ax * g.ax + g.ay * g.ay) * {b}))"""
+    first = f"""sin(atan2(d.az + {_d(P.ep2_b * P.b_b)} * pow(sin(d.th), 3),
+        d.p - {_d(P.e2_b * BESSEL_A)} * pow(cos(d.th), 3)))"""
+    phi = let(first, "s0", f"""sin(atan2(d.az + {_d(P.e2_b)} *
+        ({a} / sqrt(1.0D - {_d(P.e2_b)} * s0 * s0)) * s0, d.p))""")
+    refined = f"""named_struct('sp', {phi},
+        'dl', {_d(P.n)} * (atan2(d.ay, d.ax) - {_d(P.lam0)}))"""
+    sa = "((1.0D + f.sp) / (1.0D - f.sp))"
+    sb = f"((1.0D - {_d(P.e_b)} * f.sp) / (1.0D + {_d(P.e_b)} * f.sp))"
+    sine = let(f"{_d(P.c)} * pow({sa} * pow({sb}, {_d(P.e_b)}), {_d(P.n)})", "q",
+               "asin((q - 1.0D) / (q + 1.0D))")
+    conformal = let(sine, "chi", """named_struct('sc', sin(chi), 'cc', cos(chi),
+        'sdl', sin(f.dl), 'cdl', cos(f.dl))""")
+    den = f"(1.0D + h.sc * {_d(P.sin_chi0)} + h.cc * {_d(P.cos_chi0)} * h.cdl)"
+    projected = f"""named_struct(
+        'x', {_d(FALSE_EASTING)} + {_d(P.two_r_k0)} * h.cc * h.sdl / {den},
+        'y', {_d(FALSE_NORTHING)} + {_d(P.two_r_k0)} * (h.sc * {_d(P.cos_chi0)}
+             - h.cc * {_d(P.sin_chi0)} * h.cdl) / {den})"""
+    return _chain(start, ("w", shifted), ("u", turned), ("g", bowring), ("d", refined),
+                  ("f", conformal), ("h", projected))
+
+
+_TO_RD = _rd_sql("v.lon", "v.lat")
+_GEOM_TO_RD = ("transform(v.g.parts, part -> transform(part, ring -> transform(ring, p -> "
+               + _rd_sql("p.x", "p.y") + ")))")
 
 
 def wgs84_to_rd(lon, lat) -> Column:
     """struct<x, y> in EPSG:28992 for WGS 84 longitude/latitude in degrees."""
-    lam = F.radians(_col(lon).cast("double"))
-    phi = F.radians(_col(lat).cast("double"))
-    # stage boundaries only where a value is reused heavily; cheap values
-    # are recomputed inline (fewer bindings per row)
-    start = _s(lam=lam, sphi=F.sin(phi), cphi=F.cos(phi))
-
-    def shifted(b):
-        # geocentric (h = 0), then inverse Helmert: X_a = R^T (X_w - T) / scale
-        nu = F.lit(WGS84_A) / F.sqrt(1.0 - P.e2_w * b["sphi"] * b["sphi"])
-        ux = (nu * b["cphi"] * F.cos(b["lam"]) - P.tx) / P.scale
-        uy = (nu * b["cphi"] * F.sin(b["lam"]) - P.ty) / P.scale
-        uz = (nu * (1.0 - P.e2_w) * b["sphi"] - P.tz) / P.scale
-        return _s(ux=ux, uy=uy, uz=uz)
-
-    def bowring(u):
-        ax = u["ux"] + P.rz * u["uy"] - P.ry * u["uz"]
-        ay = -P.rz * u["ux"] + u["uy"] + P.rx * u["uz"]
-        az = P.ry * u["ux"] - P.rx * u["uy"] + u["uz"]
-        p = F.sqrt(ax * ax + ay * ay)
-        return _s(ax=ax, ay=ay, az=az, p=p, th=F.atan2(az * BESSEL_A, p * P.b_b))
-
-    def refined(d):
-        st, ct = F.sin(d["th"]), F.cos(d["th"])
-        s0 = F.sin(F.atan2(d["az"] + P.ep2_b * P.b_b * F.pow(st, 3),
-                           d["p"] - P.e2_b * BESSEL_A * F.pow(ct, 3)))
-        nu_b = F.lit(BESSEL_A) / F.sqrt(1.0 - P.e2_b * s0 * s0)
-        phi_b = F.atan2(d["az"] + P.e2_b * nu_b * s0, d["p"])
-        return _s(sp=F.sin(phi_b), dl=P.n * (F.atan2(d["ay"], d["ax"]) - P.lam0))
-
-    def conformal(f):
-        sp = f["sp"]
-        sa = (1.0 + sp) / (1.0 - sp)
-        sb = (1.0 - P.e_b * sp) / (1.0 + P.e_b * sp)
-        w = P.c * F.pow(sa * F.pow(sb, F.lit(P.e_b)), F.lit(P.n))
-        chi = F.asin((w - 1.0) / (w + 1.0))
-        return _s(sc=F.sin(chi), cc=F.cos(chi), sdl=F.sin(f["dl"]), cdl=F.cos(f["dl"]))
-
-    def projected(h):
-        bden = 1.0 + h["sc"] * P.sin_chi0 + h["cc"] * P.cos_chi0 * h["cdl"]
-        x = FALSE_EASTING + P.two_r_k0 * h["cc"] * h["sdl"] / bden
-        y = FALSE_NORTHING + P.two_r_k0 * (h["sc"] * P.cos_chi0
-                                           - h["cc"] * P.sin_chi0 * h["cdl"]) / bden
-        return _s(x=x, y=y)
-
-    return chain(start, shifted, bowring, refined, conformal, projected)
+    return bound(_TO_RD, lon=_col(lon).cast("double"), lat=_col(lat).cast("double"))
 
 
 def st_transform(geom, to_srid: int = 28992) -> Column:
     """``ST_Transform(g, 28992)`` for geometries labelled 4326: every vertex
     is reprojected; the label becomes 28992.  Other pairs raise."""
-    g = _col(geom)
     if to_srid != 28992:
         raise NotImplementedError("only EPSG:4326 -> EPSG:28992 is supported")
-
-    def proj(p):
-        return wgs84_to_rd(p["x"], p["y"])
-
-    parts = F.transform(g["parts"], lambda part: F.transform(
-        part, lambda ring: F.transform(ring, proj)))
-    out = F.struct(F.lit(to_srid).alias("srid"), g["dim"].alias("dim"), parts.alias("parts"))
-    return (F.when(g.isNull(), g)
-            .when(g["srid"] == 28992, g)
-            .when(g["srid"] != 4326,
-                  F.raise_error(F.concat(F.lit("unsupported transform from SRID "),
-                                         g["srid"].cast("string"))).cast(GEOM_TYPE))
-            .otherwise(out))
+    return bound(f"""case when v.g is null or v.g.srid = 28992 then v.g
+        when v.g.srid != 4326 then cast(raise_error(concat(
+          'unsupported transform from SRID ', cast(v.g.srid as string))) as {GEOM_SQL})
+        else named_struct('srid', {to_srid}, 'dim', v.g.dim, 'parts', {_GEOM_TO_RD}) end""",
+                 g=_col(geom))

@@ -1,5 +1,5 @@
 """Geometry as a plain struct column, with GeoJSON parsing, centroid,
-point-in-polygon and bounding boxes written as built-in Column expressions.
+point-in-polygon and bounding boxes written as built-in expressions.
 
     geom: struct<srid:int, dim:int, parts:array<array<array<struct<x,y>>>>>
 
@@ -8,6 +8,10 @@ point-in-polygon and bounding boxes written as built-in Column expressions.
 part.  No Python UDF is involved: everything is Spark SQL expressions (the
 loops are higher-order ``transform``/``aggregate`` functions), so the work
 runs in the executors' JVMs next to the data.
+
+Each function's body is SQL text made once, at import, and handed to the parser
+in one call (``bound``); building it call by call took most of a query's
+planning time.  Arguments are bound once as fields of the lambda variable ``v``.
 """
 
 from __future__ import annotations
@@ -27,66 +31,104 @@ GEOM_TYPE = StructType([
 ])
 
 DEFAULT_SRID = 4326
+# Collections within collections are unfolded this deep; deeper ones are invalid.
+MAX_COLLECTION_DEPTH = 8
 
+_PARTS_SQL = "array<array<array<struct<x:double,y:double>>>>"
+GEOM_SQL = f"struct<srid:int,dim:int,parts:{_PARTS_SQL}>"
 _HEAD_SCHEMA = "type string, coordinates string, geometries array<string>"
+_EMPTY = f"cast(array() as {_PARTS_SQL})"
 
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it many times in ``body``.
+def let(value: str, name: str, body: str) -> str:
+    """SQL text that evaluates ``value`` once and uses it as ``name`` in ``body``.
+
+    Expressions are trees: text that repeats a value repeats its subtree, and
+    chains of such reuse grow exponentially.  A one-element ``transform`` binds
+    the value to a lambda variable instead, so expressions stay linear in size."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def bound(body: str, **args: Column) -> Column:
+    """The SQL text ``body`` over ``args``, which it knows as ``v.<name>``."""
+    row = F.struct(*[a.alias(n) for n, a in args.items()])
+    return F.get(F.call_function("transform", F.array(row), F.expr(f"v -> {body}")), 0)
+
+
+# ---------------------------------------------------------------------------
+# GeoJSON
+# ---------------------------------------------------------------------------
+
+def _ring(coords: str) -> str:
+    """array<array<double>> -> array<struct<x, y>>, incomplete positions dropped."""
+    return (f"filter(transform({coords}, c -> named_struct('x', get(c, 0), 'y', get(c, 1))), "
+            "p -> p.x is not null and p.y is not null)")
+
+
+def _one_part(ring: str) -> str:
+    return let(ring, "r", f"if(size(r) > 0, array(array(r)), {_EMPTY})")
+
 
-    Column expressions are trees: reusing one Python Column object in several
-    places copies its subtree each time, and chains of such reuse grow
-    exponentially.  A one-element ``transform`` binds the value to a lambda
-    variable instead, so expressions stay linear in size."""
-    return F.get(F.transform(F.array(value), body), 0)
+def _members(kind: str, coords: str) -> str:
+    """struct<dim, parts> of a simple GeoJSON geometry; null dim if the type is
+    unknown.  Coordinates are parsed only in the branch of their type."""
+    def parsed(depth: int, body: str) -> str:
+        schema = "array<" * depth + "double" + ">" * depth
+        return let(f"from_json({coords}, '{schema}')", "a", body)
 
+    parts = f"""case {kind}
+      when 'Point' then {parsed(1, _one_part(_ring("array(a)")))}
+      when 'MultiPoint' then {parsed(2, f"transform({_ring('a')}, p -> array(array(p)))")}
+      when 'LineString' then {parsed(2, _one_part(_ring("a")))}
+      when 'MultiLineString' then {parsed(3, "transform(filter(a, l -> size(l) > 0), l -> array("
+                                             + _ring("l") + "))")}
+      when 'Polygon' then {parsed(3, f"if(size(a) > 0, array(transform(a, l -> {_ring('l')})), {_EMPTY})")}
+      when 'MultiPolygon' then {parsed(4, "transform(filter(a, g -> size(g) > 0), g -> transform(g, l -> "
+                                          + _ring("l") + "))")}
+    end"""
+    dim = f"""case when {kind} in ('Point', 'MultiPoint') then 0
+      when {kind} in ('LineString', 'MultiLineString') then 1
+      when {kind} in ('Polygon', 'MultiPolygon') then 2 end"""
+    return f"named_struct('dim', {dim}, 'parts', coalesce({parts}, {_EMPTY}))"
 
-def _pt(arr: Column) -> Column:
-    """array<double> [x, y, ...] -> struct<x, y>."""
-    return F.struct(F.get(arr, 0).alias("x"), F.get(arr, 1).alias("y"))
 
+def _unfolded(texts: str, depth: int) -> str:
+    """The members of nested collections, ``depth`` levels deep, as one flat list."""
+    for level in range(depth):
+        one = let(f"from_json(m{level}, '{_HEAD_SCHEMA}')", "u",
+                  "if(u.type = 'GeometryCollection', "
+                  f"coalesce(u.geometries, cast(array() as array<string>)), array(m{level}))")
+        texts = f"flatten(transform({texts}, m{level} -> coalesce({one}, array(m{level}))))"
+    return texts
 
-def _ring(arr: Column) -> Column:
-    return F.filter(F.transform(arr, _pt), lambda p: p["x"].isNotNull() & p["y"].isNotNull())
 
+def _collection(texts: str) -> str:
+    """struct<dim, parts>: the members of the highest dimension.  A member of
+    unknown type, or a collection left over, makes the whole geometry invalid."""
+    members = (f"transform({_unfolded(texts, MAX_COLLECTION_DEPTH - 1)}, m -> "
+               + let(f"from_json(m, '{_HEAD_SCHEMA}')", "h", _members("h.type", "h.coordinates")) + ")")
+    found = let("array_max(transform(ms, e -> e.dim))", "top", f"""named_struct(
+      'dim', if(exists(ms, e -> e.dim is null), cast(null as int), coalesce(top, 0)),
+      'parts', coalesce(flatten(transform(filter(ms, e -> e.dim = top), e -> e.parts)), {_EMPTY}))""")
+    return let(members, "ms", found)
 
-def _empty_parts() -> Column:
-    return F.array().cast(PARTS_TYPE)
 
+def _geojson_sql() -> str:
+    bad = "raise_error(concat('invalid GeoJSON geometry: ', substring(v.t, 1, 200)))"
+    body = f"""case when h.type = 'GeometryCollection'
+        then {_collection("coalesce(h.geometries, cast(array() as array<string>))")}
+        else {_members("h.type", "h.coordinates")} end"""
+    done = f"""case when v.t is null or trim(v.t) = 'null' then cast(null as {GEOM_SQL})
+        when b.dim is null then if(v.fail, cast({bad} as {GEOM_SQL}), cast(null as {GEOM_SQL}))
+        else named_struct('srid', v.srid, 'dim', b.dim, 'parts', b.parts) end"""
+    return let(f"from_json(v.t, '{_HEAD_SCHEMA}')", "h", let(body, "b", done))
 
-def _dispatch(gtype: Column, coords: Column):
-    """(dim, parts) for a simple GeoJSON geometry type; null dim if unknown.
-    Coordinates are parsed only in the branch of their type."""
-    def parsed(schema, body):
-        return let(F.from_json(coords, schema), body)
 
-    parts = (
-        F.when(gtype == "Point", parsed("array<double>", lambda a: let(
-            _ring(F.array(a)), lambda r: F.when(F.size(r) > 0, F.array(F.array(r)))
-            .otherwise(_empty_parts()))))
-        .when(gtype == "MultiPoint", parsed("array<array<double>>", lambda a: F.transform(
-            _ring(a), lambda p: F.array(F.array(p)))))
-        .when(gtype == "LineString", parsed("array<array<double>>", lambda a: let(
-            _ring(a), lambda r: F.when(F.size(r) > 0, F.array(F.array(r)))
-            .otherwise(_empty_parts()))))
-        .when(gtype == "MultiLineString", parsed("array<array<array<double>>>", lambda a:
-              F.transform(F.filter(a, lambda ln: F.size(ln) > 0),
-                          lambda ln: F.array(_ring(ln)))))
-        .when(gtype == "Polygon", parsed("array<array<array<double>>>", lambda a:
-              F.when(F.size(a) > 0, F.array(F.transform(a, _ring)))
-              .otherwise(_empty_parts())))
-        .when(gtype == "MultiPolygon", parsed("array<array<array<array<double>>>>", lambda a:
-              F.transform(F.filter(a, lambda poly: F.size(poly) > 0),
-                          lambda poly: F.transform(poly, _ring))))
-    )
-    dim = (F.when(gtype.isin("Point", "MultiPoint"), F.lit(0))
-           .when(gtype.isin("LineString", "MultiLineString"), F.lit(1))
-           .when(gtype.isin("Polygon", "MultiPolygon"), F.lit(2)))
-    return dim, F.coalesce(parts, _empty_parts())
+_GEOM_FROM_GEOJSON = _geojson_sql()
 
 
 def geom_from_geojson(text, srid: int = DEFAULT_SRID, on_error: str = "fail") -> Column:
@@ -95,53 +137,41 @@ def geom_from_geojson(text, srid: int = DEFAULT_SRID, on_error: str = "fail") ->
     A null input or the JSON text ``null`` gives a null geometry.  An unknown
     type raises (``on_error='fail'``) or gives null (``on_error='null'``).
     GeometryCollection keeps its members of the highest dimension (that is
-    all a centroid or containment test uses).
+    all a centroid or containment test uses); collections within collections
+    count as their members, ``MAX_COLLECTION_DEPTH`` levels deep.
     """
     if on_error not in ("fail", "null"):
         raise ValueError("on_error must be 'fail' or 'null'")
-    txt = _c(text)
-    bound = F.struct(txt.alias("t"), F.from_json(txt, _HEAD_SCHEMA).alias("h"))
-    return let(bound, lambda v: _from_head(v["t"], v["h"], srid, on_error))
-
-
-def _from_head(txt: Column, head: Column, srid: int, on_error: str) -> Column:
-    gtype = head["type"]
-    dim, parts = _dispatch(gtype, head["coordinates"])
-
-    def collection(members):
-        # members are taken one level deep; a nested collection or a member
-        # of unknown type makes the whole geometry invalid (null dim)
-        invalid = F.exists(members, lambda m: m["dim"].isNull())
-        return let(F.array_max(F.transform(members, lambda m: m["dim"])), lambda top: F.struct(
-            F.when(invalid, F.lit(None).cast("int"))
-            .otherwise(F.coalesce(top, F.lit(0))).alias("dim"),
-            F.coalesce(F.flatten(F.transform(F.filter(members, lambda m: m["dim"] == top),
-                                             lambda m: m["parts"])), _empty_parts())
-            .alias("parts")))
-
-    members = F.transform(
-        F.coalesce(head["geometries"], F.array().cast("array<string>")),
-        lambda m: let(F.from_json(m, _HEAD_SCHEMA), lambda mh: F.struct(*[
-            v.alias(n) for n, v in zip(("dim", "parts"),
-                                       _dispatch(mh["type"], mh["coordinates"]))])))
-    simple = F.struct(dim.cast("int").alias("dim"), parts.alias("parts"))
-    body = F.when(gtype == "GeometryCollection", collection(members)).otherwise(simple)
-
-    def finish(b):
-        geom = F.struct(F.lit(srid).alias("srid"), b["dim"].cast("int").alias("dim"),
-                        b["parts"].alias("parts"))
-        if on_error == "fail":
-            bad_value = F.raise_error(F.concat(F.lit("invalid GeoJSON geometry: "),
-                                               F.substring(txt, 1, 200)))
-        else:
-            bad_value = F.lit(None)
-        return (F.when(txt.isNull() | (F.trim(txt) == "null"), F.lit(None).cast(GEOM_TYPE))
-                .when(b["dim"].isNull(), bad_value.cast(GEOM_TYPE))
-                .otherwise(geom))
-
-    return let(body, finish)
+    return bound(_GEOM_FROM_GEOJSON, t=_c(text), srid=F.lit(srid), fail=F.lit(on_error == "fail"))
+
+
+_TO_GEOJSON = let("size(v.g.parts)", "n", """case when v.g is null then null else concat(
+    '{"type":"',
+    case when v.g.dim = 0 then if(n = 1, 'Point', 'MultiPoint')
+         when v.g.dim = 1 then if(n = 1, 'LineString', 'MultiLineString')
+         else if(n = 1, 'Polygon', 'MultiPolygon') end,
+    '","coordinates":',
+    case when v.g.dim = 0 then """ + let(
+        "transform(v.g.parts, part -> array(get(get(part, 0), 0).x, get(get(part, 0), 0).y))", "l",
+        "if(n = 1, to_json(get(l, 0)), to_json(l))") + """
+         when v.g.dim = 1 then """ + let(
+        "transform(v.g.parts, part -> transform(get(part, 0), p -> array(p.x, p.y)))", "l",
+        "if(n = 1, to_json(get(l, 0)), to_json(l))") + """
+         else """ + let(
+        "transform(v.g.parts, part -> transform(part, r -> transform(r, p -> array(p.x, p.y))))", "l",
+        "if(n = 1, to_json(get(l, 0)), to_json(l))") + """ end,
+    '}') end""")
 
 
+def to_geojson(geom) -> Column:
+    """Geometry struct -> compact GeoJSON geometry text."""
+    return bound(_TO_GEOJSON, g=_c(geom))
+
+
+# ---------------------------------------------------------------------------
+# making and relabelling
+# ---------------------------------------------------------------------------
+
 def make_point(x, y, srid: int = DEFAULT_SRID) -> Column:
     return F.struct(F.lit(srid).alias("srid"), F.lit(0).alias("dim"),
                     F.array(F.array(F.array(F.struct(_c(x).cast("double").alias("x"),
@@ -149,16 +179,16 @@ def make_point(x, y, srid: int = DEFAULT_SRID) -> Column:
                     .alias("parts"))
 
 
-def make_box(x0, y0, x1, y1, srid: int = DEFAULT_SRID) -> Column:
-    """Axis-aligned rectangle polygon (counter-clockwise, closed ring)."""
-    x0, y0, x1, y1 = (_c(v).cast("double") for v in (x0, y0, x1, y1))
+_BOX = """named_struct('srid', v.srid, 'dim', 2, 'parts', array(array(array(
+    named_struct('x', v.x0, 'y', v.y0), named_struct('x', v.x1, 'y', v.y0),
+    named_struct('x', v.x1, 'y', v.y1), named_struct('x', v.x0, 'y', v.y1),
+    named_struct('x', v.x0, 'y', v.y0)))))"""
 
-    def p(x, y):
-        return F.struct(x.alias("x"), y.alias("y"))
 
-    ring = F.array(p(x0, y0), p(x1, y0), p(x1, y1), p(x0, y1), p(x0, y0))
-    return F.struct(F.lit(srid).alias("srid"), F.lit(2).alias("dim"),
-                    F.array(F.array(ring)).alias("parts"))
+def make_box(x0, y0, x1, y1, srid: int = DEFAULT_SRID) -> Column:
+    """Axis-aligned rectangle polygon (counter-clockwise, closed ring)."""
+    sides = {n: _c(c).cast("double") for n, c in zip(("x0", "y0", "x1", "y1"), (x0, y0, x1, y1))}
+    return bound(_BOX, srid=F.lit(srid), **sides)
 
 
 def st_set_srid(geom, srid: int) -> Column:
@@ -185,80 +215,96 @@ def vertices(geom) -> Column:
     return F.flatten(F.flatten(_c(geom)["parts"]))
 
 
+def _bbox_sql(geom: str) -> str:
+    return let(f"flatten(flatten({geom}.parts))", "vs", let(
+        "named_struct('xs', transform(vs, p -> p.x), 'ys', transform(vs, p -> p.y))", "q",
+        "named_struct('minx', array_min(q.xs), 'miny', array_min(q.ys), "
+        "'maxx', array_max(q.xs), 'maxy', array_max(q.ys))"))
+
+
+_BBOX = _bbox_sql("v.g")
+
+
 def bbox(geom) -> Column:
     """struct<minx, miny, maxx, maxy> of a geometry (nulls when empty)."""
-    def box(vs):
-        xs = F.transform(vs, lambda p: p["x"])
-        ys = F.transform(vs, lambda p: p["y"])
-        return F.struct(F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"),
-                        F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy"))
-    return let(vertices(geom), box)
-
-
-def _ring_area(ring: Column, sign: Column, x0: Column, y0: Column) -> Column:
-    """One pass over a ring (closing edge included): weight = signed area and
-    the first moments, coordinates relative to (x0, y0)."""
-    init = F.struct(
-        F.lit(0.0).alias("a2"), F.lit(0.0).alias("sx"), F.lit(0.0).alias("sy"),
-        F.lit(None).cast("double").alias("px"), F.lit(None).cast("double").alias("py"),
-        F.lit(None).cast("double").alias("fx"), F.lit(None).cast("double").alias("fy"))
-
-    def step(acc, p):
-        xj = p["x"] - x0
-        yj = p["y"] - y0
-        xi = F.coalesce(acc["px"], xj)
-        yi = F.coalesce(acc["py"], yj)
-        cross = xi * yj - xj * yi
-        return F.struct(
-            (acc["a2"] + cross).alias("a2"),
-            (acc["sx"] + (xi + xj) * cross).alias("sx"),
-            (acc["sy"] + (yi + yj) * cross).alias("sy"),
-            xj.alias("px"), yj.alias("py"),
-            F.coalesce(acc["fx"], xj).alias("fx"), F.coalesce(acc["fy"], yj).alias("fy"))
-
-    def finish(acc):
-        xi, yi, xj, yj = acc["px"], acc["py"], acc["fx"], acc["fy"]
-        cross = F.coalesce(xi * yj - xj * yi, F.lit(0.0))
-        a2 = acc["a2"] + cross
-        sx = acc["sx"] + F.coalesce((xi + xj) * cross, F.lit(0.0))
-        sy = acc["sy"] + F.coalesce((yi + yj) * cross, F.lit(0.0))
-        return F.struct((sign * F.abs(a2) / 2.0).alias("w"),
-                        (sign * F.signum(a2) * sx / 6.0).alias("cx"),
-                        (sign * F.signum(a2) * sy / 6.0).alias("cy"))
-
-    return F.aggregate(ring, init, step, finish)
-
-
-def _ring_length(ring: Column, x0: Column, y0: Column) -> Column:
-    """Segment lengths and length-weighted midpoints along a ring/line."""
-    init = F.struct(F.lit(0.0).alias("l"), F.lit(0.0).alias("lx"), F.lit(0.0).alias("ly"),
-                    F.lit(None).cast("double").alias("px"),
-                    F.lit(None).cast("double").alias("py"))
-
-    def step(acc, p):
-        xj = p["x"] - x0
-        yj = p["y"] - y0
-        xi = F.coalesce(acc["px"], xj)
-        yi = F.coalesce(acc["py"], yj)
-        seg = F.sqrt((xj - xi) * (xj - xi) + (yj - yi) * (yj - yi))
-        return F.struct((acc["l"] + seg).alias("l"),
-                        (acc["lx"] + seg * (xi + xj) / 2.0).alias("lx"),
-                        (acc["ly"] + seg * (yi + yj) / 2.0).alias("ly"),
-                        xj.alias("px"), yj.alias("py"))
-
-    return F.aggregate(ring, init, step)
-
-
-def _sum3(arr: Column, term) -> Column:
-    """Element-wise sums of three terms over an array, in one pass."""
-    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("a", "b", "c")])
-
-    def step(acc, e):
-        ta, tb, tc = term(e)
-        return F.struct((acc["a"] + ta).alias("a"), (acc["b"] + tb).alias("b"),
-                        (acc["c"] + tc).alias("c"))
-
-    return F.aggregate(arr, zero, step)
+    return bound(_BBOX, g=_c(geom))
+
+
+# ---------------------------------------------------------------------------
+# centroid
+# ---------------------------------------------------------------------------
+
+# One pass over a ring rs.r (closing edge included): weight = signed area and the
+# first moments, coordinates relative to the origin o.
+_RING_AREA = """aggregate(rs.r,
+    named_struct('a2', 0.0D, 'sx', 0.0D, 'sy', 0.0D, 'px', cast(null as double),
+                 'py', cast(null as double), 'fx', cast(null as double), 'fy', cast(null as double)),
+    (acc, p) -> """ + let(
+    """named_struct('xj', p.x - o.x, 'yj', p.y - o.y, 'xi', coalesce(acc.px, p.x - o.x),
+                 'yi', coalesce(acc.py, p.y - o.y))""", "e", let("e.xi * e.yj - e.xj * e.yi", "cross", """
+       named_struct('a2', acc.a2 + cross, 'sx', acc.sx + (e.xi + e.xj) * cross,
+         'sy', acc.sy + (e.yi + e.yj) * cross, 'px', e.xj, 'py', e.yj,
+         'fx', coalesce(acc.fx, e.xj), 'fy', coalesce(acc.fy, e.yj))""")) + """,
+    acc -> """ + let("coalesce(acc.px * acc.fy - acc.fx * acc.py, 0.0D)", "cross", let(
+    """named_struct('a2', acc.a2 + cross,
+        'sx', acc.sx + coalesce((acc.px + acc.fx) * cross, 0.0D),
+        'sy', acc.sy + coalesce((acc.py + acc.fy) * cross, 0.0D))""", "t", """
+       named_struct('w', rs.s * abs(t.a2) / 2.0D, 'cx', rs.s * signum(t.a2) * t.sx / 6.0D,
+                    'cy', rs.s * signum(t.a2) * t.sy / 6.0D)""")) + ")"
+
+# Segment lengths and length-weighted midpoints along a ring or line r.
+_RING_LENGTH = """aggregate(r,
+    named_struct('l', 0.0D, 'lx', 0.0D, 'ly', 0.0D, 'px', cast(null as double),
+                 'py', cast(null as double)),
+    (acc, p) -> """ + let(
+    """named_struct('xj', p.x - o.x, 'yj', p.y - o.y, 'xi', coalesce(acc.px, p.x - o.x),
+                 'yi', coalesce(acc.py, p.y - o.y))""", "e", let(
+        "sqrt((e.xj - e.xi) * (e.xj - e.xi) + (e.yj - e.yi) * (e.yj - e.yi))", "seg", """
+       named_struct('l', acc.l + seg, 'lx', acc.lx + seg * (e.xi + e.xj) / 2.0D,
+                    'ly', acc.ly + seg * (e.yi + e.yj) / 2.0D, 'px', e.xj, 'py', e.yj)""")) + ")"
+
+
+def _sum3(arr: str, a: str, b: str, c: str) -> str:
+    """Sums of three terms of each element ``e`` of an array, in one pass."""
+    return (f"aggregate({arr}, named_struct('a', 0.0D, 'b', 0.0D, 'c', 0.0D), (s, e) -> "
+            f"named_struct('a', s.a + ({a}), 'b', s.b + ({b}), 'c', s.c + ({c})))")
+
+
+def _ratio(x: str, y: str, weight: str, test: str) -> str:
+    """Vertex (x / weight, y / weight) moved back from the origin, null unless ``test``."""
+    safe = f"if({test}, {weight}, null)"
+    return (f"if({test}, named_struct('x', {x} / {safe} + o.x, 'y', {y} / {safe} + o.y), "
+            "cast(null as struct<x:double,y:double>))")
+
+
+def _centroid_sql() -> str:
+    """Area centroid for areas; only when that is undefined (lines, zero area)
+    the length-weighted centroid; only when that is undefined too the mean of
+    the vertices.  Each fallback pass runs only when it is needed."""
+    by_points = let(_sum3("flatten(flatten(v.g.parts))", "e.x - o.x", "e.y - o.y", "1.0D"), "tp",
+                    _ratio("tp.a", "tp.b", "tp.c", "tp.c > 0"))
+    by_length = let(
+        _sum3(f"transform(flatten(v.g.parts), r -> {_RING_LENGTH})", "e.l", "e.lx", "e.ly"), "tl",
+        f"coalesce({_ratio('tl.b', 'tl.c', 'tl.a', 'tl.a > 0')}, {by_points})")
+    signed = ("flatten(transform(v.g.parts, part -> transform(part, (r, i) -> "
+              "named_struct('r', r, 's', if(i = 0, 1.0D, -1.0D)))))")
+    by_area = let(
+        _sum3(f"transform({signed}, rs -> {_RING_AREA})", "e.w", "e.cx", "e.cy"), "ta",
+        f"coalesce({_ratio('ta.b', 'ta.c', 'ta.a', 'ta.a != 0.0D')}, {by_length})")
+    found = (f"case when v.g.dim = 2 then {by_area} when v.g.dim = 1 then {by_length} "
+             f"else {by_points} end")
+    geom = f"""named_struct('srid', v.g.srid, 'dim', 0, 'parts',
+        if(cc is null or cc.x is null, {_EMPTY}, array(array(array(cc)))))"""
+    centre = let("get(get(get(v.g.parts, 0), 0), 0)", "o", let(found, "cc", geom))
+    # fast path: a single point is its own centroid (no loop over rings)
+    return f"""case when v.g is null then cast(null as {GEOM_SQL})
+        when size(v.g.parts) = 1 and size(get(v.g.parts, 0)) = 1
+             and size(get(get(v.g.parts, 0), 0)) = 1
+          then named_struct('srid', v.g.srid, 'dim', 0, 'parts', v.g.parts)
+        else {centre} end"""
+
+
+_CENTROID = _centroid_sql()
 
 
 def st_centroid(geom) -> Column:
@@ -269,63 +315,22 @@ def st_centroid(geom) -> Column:
     zero length falls back to the mean of the vertices.  Empty -> a point
     geometry with no vertex (so ``st_x`` is null).
     """
-    return let(_c(geom), _centroid_of)
+    return bound(_CENTROID, g=_c(geom))
 
 
-def _centroid_of(g: Column) -> Column:
-    # fast path: a single point is its own centroid (no loop over rings)
-    parts = g["parts"]
-    single = ((F.size(parts) == 1) & (F.size(F.get(parts, 0)) == 1)
-              & (F.size(F.get(F.get(parts, 0), 0)) == 1))
-    as_point = F.struct(g["srid"].alias("srid"), F.lit(0).alias("dim"), parts.alias("parts"))
-    return F.when(g.isNull(), F.lit(None).cast(GEOM_TYPE)).when(single, as_point).otherwise(
-        let(_first_vertex(g), lambda origin: _centroid_at(g, origin)))
-
-
-def _centroid_at(g: Column, origin: Column) -> Column:
-    """Area centroid for areas; only when that is undefined (lines, zero
-    area) the length-weighted centroid; only when that is undefined too the
-    mean of the vertices.  Each fallback pass runs only when it is needed."""
-    x0 = origin["x"]
-    y0 = origin["y"]
-    rings = F.flatten(g["parts"])
-    signed = F.flatten(F.transform(
-        g["parts"],
-        lambda part: F.transform(part, lambda r, i: F.struct(
-            r.alias("r"), F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("s")))))
-
-    def point(x, y):
-        return F.struct((x + x0).alias("x"), (y + y0).alias("y"))
-
-    def ratio(t, num, den, positive):
-        ok = t[den] > 0 if positive else t[den] != 0.0
-        return F.when(ok, point(t[num[0]] / F.when(ok, t[den]), t[num[1]] / F.when(ok, t[den])))
-
-    def by_points():
-        vs = F.flatten(rings)
-        return let(_sum3(vs, lambda p: (p["x"] - x0, p["y"] - y0, F.lit(1.0))),
-                   lambda t: ratio(t, ("a", "b"), "c", True))
-
-    def by_length():
-        lens = F.transform(rings, lambda r: _ring_length(r, x0, y0))
-        return let(_sum3(lens, lambda e: (e["l"], e["lx"], e["ly"])),
-                   lambda t: F.coalesce(ratio(t, ("b", "c"), "a", True), by_points()))
-
-    def by_area():
-        areas = F.transform(signed, lambda rs: _ring_area(rs["r"], rs["s"], x0, y0))
-        return let(_sum3(areas, lambda e: (e["w"], e["cx"], e["cy"])),
-                   lambda t: F.coalesce(ratio(t, ("b", "c"), "a", False), by_length()))
-
-    dim = g["dim"]
-    c = F.when(dim == 2, by_area()).when(dim == 1, by_length()).otherwise(by_points())
-
-    def as_geom(cc):
-        parts = F.when(cc.isNull() | cc["x"].isNull(), _empty_parts()).otherwise(
-            F.array(F.array(F.array(cc))))
-        return F.when(g.isNull(), F.lit(None).cast(GEOM_TYPE)).otherwise(
-            F.struct(g["srid"].alias("srid"), F.lit(0).alias("dim"), parts.alias("parts")))
-
-    return let(c, as_geom)
+# ---------------------------------------------------------------------------
+# containment
+# ---------------------------------------------------------------------------
+
+def _edges_sql(geom: str) -> str:
+    edge = let("get(r, (k + 1) % size(r))", "q", """named_struct(
+        'x1', p.x, 'y1', p.y, 'dx', q.x - p.x, 'dy', q.y - p.y, 'y2', q.y,
+        'minx', least(p.x, q.x), 'maxx', greatest(p.x, q.x),
+        'miny', least(p.y, q.y), 'maxy', greatest(p.y, q.y))""")
+    return f"flatten(transform(flatten({geom}.parts), r -> transform(r, (p, k) -> {edge})))"
+
+
+_EDGES = _edges_sql("v.g")
 
 
 def polygon_edges(geom) -> Column:
@@ -333,43 +338,42 @@ def polygon_edges(geom) -> Column:
     miny,maxy>> (each ring closed back to its first vertex).  Computed once
     per polygon, so the per-pair containment test is one cheap pass over a
     flat array with everything that depends only on the edge precomputed."""
-    rings = F.flatten(_c(geom)["parts"])
+    return bound(_EDGES, g=_c(geom))
 
-    def edge(r, p, k):
-        return let(F.get(r, (k + 1) % F.size(r)), lambda q: F.struct(
-            p["x"].alias("x1"), p["y"].alias("y1"),
-            (q["x"] - p["x"]).alias("dx"), (q["y"] - p["y"]).alias("dy"),
-            q["y"].alias("y2"),
-            F.least(p["x"], q["x"]).alias("minx"), F.greatest(p["x"], q["x"]).alias("maxx"),
-            F.least(p["y"], q["y"]).alias("miny"), F.greatest(p["y"], q["y"]).alias("maxy")))
 
-    return F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p, k: edge(r, p, k))))
+def _crossings(x: str, y: str, edges: str) -> str:
+    """True if a ray from the point to the right crosses an odd number of edges and
+    the point lies on none (the count is -1 once it is found on one).  Written without division, so horizontal edges need
+    no special case.  (The lambda variables' names keep clear of column names.)"""
+    cross = f"(({x} - _edge.x1) * _edge.dy - _edge.dx * ({y} - _edge.y1))"
+    return f"""aggregate({edges}, 0, (_n, _edge) -> case when _n < 0 then _n
+        when {cross} = 0 and {x} >= _edge.minx and {x} <= _edge.maxx
+             and {y} >= _edge.miny and {y} <= _edge.maxy then -1
+        when (_edge.y1 > {y}) != (_edge.y2 > {y}) and {cross} * _edge.dy < 0 then _n + 1
+        else _n end, _n -> _n >= 0 and _n % 2 = 1)"""
+
+
+_IN_EDGES = _crossings("v.x", "v.y", "v.edges")
 
 
 def within_edges(px, py, edges) -> Column:
     """Point strictly inside the area bounded by ``edges`` (even-odd rule).
 
-    A point on any edge — outer boundary or hole — is not within.  The
-    crossing test is written without division so that horizontal edges need
-    no special case.  The accumulator is one integer: the crossing count,
-    or -1 once the point is found on an edge.
+    A point on any edge — outer boundary or hole — is not within.
     """
-    return let(F.struct(_c(px).cast("double").alias("x"), _c(py).cast("double").alias("y")),
-               lambda p: point_in_edges(p["x"], p["y"], _c(edges)))
+    return bound(_IN_EDGES, x=_c(px).cast("double"), y=_c(py).cast("double"), edges=_c(edges))
+
 
+def point_in_edges(x: str, y: str, edges: str) -> Column:
+    """``within_edges`` for plain columns given by name (no binding needed, e.g.
+    inside a join condition)."""
+    return F.expr(_crossings(f"`{x}`", f"`{y}`", f"`{edges}`"))
 
-def point_in_edges(x: Column, y: Column, edges: Column) -> Column:
-    """``within_edges`` for coordinates that are plain column references (no
-    binding needed, e.g. inside a join condition)."""
-    def step(acc, e):
-        cross = (x - e["x1"]) * e["dy"] - e["dx"] * (y - e["y1"])
-        on_edge = ((cross == 0) & (x >= e["minx"]) & (x <= e["maxx"])
-                   & (y >= e["miny"]) & (y <= e["maxy"]))
-        straddles = (e["y1"] > y) != (e["y2"] > y)
-        return (F.when(acc < 0, acc).when(on_edge, F.lit(-1))
-                .when(straddles & (cross * e["dy"] < 0), acc + 1).otherwise(acc))
 
-    return F.aggregate(edges, F.lit(0), step, lambda acc: (acc >= 0) & ((acc % 2) == 1))
+_WITHIN = let(_bbox_sql("v.g"), "b", f"""case
+    when v.x is null or v.y is null or v.g is null then cast(null as boolean)
+    else v.g.dim = 2 and v.x > b.minx and v.x < b.maxx and v.y > b.miny and v.y < b.maxy
+      and {_crossings("v.x", "v.y", _edges_sql("v.g"))} end""")
 
 
 def st_within(px, py, geom) -> Column:
@@ -377,43 +381,4 @@ def st_within(px, py, geom) -> Column:
 
     Only area geometries contain points; null point or geometry -> null.
     """
-    bound = F.struct(_c(px).cast("double").alias("x"), _c(py).cast("double").alias("y"),
-                     _c(geom).alias("g"))
-
-    def body(v):
-        x, y, g = v["x"], v["y"], v["g"]
-        return let(bbox(g), lambda b: F.when(
-            x.isNull() | y.isNull() | g.isNull(), F.lit(None).cast("boolean")).otherwise(
-            (g["dim"] == 2) & (x > b["minx"]) & (x < b["maxx"]) & (y > b["miny"])
-            & (y < b["maxy"]) & point_in_edges(x, y, polygon_edges(g))))
-
-    return let(bound, body)
-
-
-def to_geojson(geom) -> Column:
-    """Geometry struct -> compact GeoJSON geometry text."""
-    return let(_c(geom), _geojson_of)
-
-
-def _geojson_of(g: Column) -> Column:
-    parts = g["parts"]
-    n = F.size(parts)
-
-    def xy(p):
-        return F.array(p["x"], p["y"])
-
-    pts = F.transform(parts, lambda part: xy(F.get(F.get(part, 0), 0)))
-    lines = F.transform(parts, lambda part: F.transform(F.get(part, 0), xy))
-    polys = F.transform(parts, lambda part: F.transform(part, lambda r: F.transform(r, xy)))
-    dim = g["dim"]
-    gtype = (F.when((dim == 0) & (n == 1), "Point").when(dim == 0, "MultiPoint")
-             .when((dim == 1) & (n == 1), "LineString").when(dim == 1, "MultiLineString")
-             .when(n == 1, "Polygon").otherwise("MultiPolygon"))
-    coords = (F.when((dim == 0) & (n == 1), F.to_json(F.get(pts, 0)))
-              .when(dim == 0, F.to_json(pts))
-              .when((dim == 1) & (n == 1), F.to_json(F.get(lines, 0)))
-              .when(dim == 1, F.to_json(lines))
-              .when(n == 1, F.to_json(F.get(polys, 0)))
-              .otherwise(F.to_json(polys)))
-    return F.when(g.isNull(), F.lit(None).cast("string")).otherwise(
-        F.concat(F.lit('{"type":"'), gtype, F.lit('","coordinates":'), coords, F.lit("}")))
+    return bound(_WITHIN, x=_c(px).cast("double"), y=_c(py).cast("double"), g=_c(geom))

@@ -1,28 +1,32 @@
-"""Dense row index 0..n-1 in a given order, without a single-partition window.
-
-``row_number().over(Window.orderBy(k))`` moves every row into one task.  At
-scale we instead:
-
-1. range-partition on the order keys (plus a tiebreaker, so a hot tied
-   value is split too) and sort within partitions;
-2. reliably checkpoint that layout (so partition contents are fixed for the
-   two passes below, even if an executor is lost and tasks re-run);
-3. count rows per partition — one row per partition reaches the driver — and
-   turn the counts into starting offsets;
-4. add ``offset[partition] + position within partition``, the position being
-   the low bits of ``monotonically_increasing_id``.
+"""Dense row index 0..n-1 in a given order, without a single-partition window
+and with one evaluation of the input.
+
+``row_number().over(Window.orderBy(k))`` moves every row into one task, and a
+range partitioning of the rows themselves evaluates them once more to sample
+them.  Here the rows are evaluated once:
+
+1. they are reliably checkpointed as they come, each with a number of its own;
+2. the order keys, weights and numbers alone (light rows) are range-partitioned and
+   checkpointed, so that the layout is fixed for the passes below, even if an executor
+   is lost and tasks re-run;
+3. sums of weights per partition — one row per partition reaches the driver — become
+   starting offsets, a window within each partition gives the rest;
+4. the rows get their start by a join on their number, broadcast where the starts are
+   measured to be small.
+
+A row of weight w takes w numbers: a document (or an inspection) that unfolds into
+w rows is numbered before it is unfolded, and each row adds its position.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from gridwise.operators.joins import DEFAULT_BROADCAST_ROWS
 from gridwise.session import checkpoint_root
 
-_LOW_BITS = (1 << 33) - 1
-
 
 def tiebreak(df: DataFrame):
     """A hash of the row, over the columns that have one (maps don't)."""
@@ -32,30 +36,42 @@ def tiebreak(df: DataFrame):
     return F.xxhash64(*hashable) if hashable else F.lit(0).cast("long")
 
 
-def with_row_index(df: DataFrame, order_cols: list[str], name: str = "idx",
-                   partitions: int | None = None) -> DataFrame:
+def with_starts(df: DataFrame, order_cols: list[str], weight: Column, name: str = "_start",
+                partitions: int | None = None) -> DataFrame:
+    """``df`` with the sum of the weights of all rows before each in the order of
+    ``order_cols``.  Rows with equal keys follow each other in some order.  A null
+    weight counts as 0.
+
+    ``df`` is evaluated once, by an eager checkpoint.
+    """
     spark: SparkSession = df.sparkSession
     checkpoint_root(spark)
-    # Tied order keys get a tiebreaker (a hash of the row) and rows that are
-    # equal altogether a random number, so a value or a row that a third of the
-    # table shares is spread over several range partitions.  The layout is
-    # checkpointed before it is used; without ``partitions`` the session decides
-    # their number and adaptive execution joins small ones.
-    keys = [F.col(c) for c in order_cols] + [F.col("_tie"), F.col("_draw")]
-    laid = (df.withColumn("_tie", tiebreak(df)).withColumn("_draw", F.rand(17))
-            .repartitionByRange(*([partitions] if partitions else []), *keys)
-            .sortWithinPartitions(*keys).drop("_tie", "_draw")
-            .withColumn("_mid", F.monotonically_increasing_id())
-            .checkpoint(eager=True))
-    counts = (laid.groupBy(F.shiftright(F.col("_mid"), 33).alias("_pid"))
-              .agg(F.count(F.lit(1)).alias("_n")).orderBy("_pid").collect())
-    offsets, acc = [], 0
-    for r in counts:
-        offsets.append((int(r["_pid"]), acc))
-        acc += int(r["_n"])
-    off_df = spark.createDataFrame(offsets, StructType([
-        StructField("_pid", LongType(), False), StructField("_off", LongType(), False)]))
-    return (laid.withColumn("_pid", F.shiftright(F.col("_mid"), 33))
-            .join(F.broadcast(off_df), "_pid")   # one row per partition: bounded
-            .withColumn(name, F.col("_off") + (F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))))
-            .drop("_pid", "_off", "_mid"))
+    laid = (df.withColumn("_weight", F.coalesce(weight.cast("long"), F.lit(0).cast("long")))
+            .withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True))
+    # the rows' numbers split a key that a third of the table shares over several ranges
+    light = (laid.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order_cols)],
+                         "_row", "_weight"))
+    keys = [*[F.col(f"_k{i}") for i in range(len(order_cols))], F.col("_row")]
+    light = (light.repartitionByRange(*([partitions] if partitions else []), *keys)
+             .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    sums = light.groupBy("_pid").agg(F.sum("_weight").alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    offsets, total, rows = [], 0, 0
+    for row in sums.orderBy("_pid").collect():
+        offsets.append((int(row["_pid"]), total))
+        total += int(row["_n"])
+        rows += int(row["_rows"])
+    bases = spark.createDataFrame(offsets, StructType([
+        StructField("_pid", LongType(), False), StructField("_base", LongType(), False)]))
+    before = Window.partitionBy("_pid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    starts = (light.withColumn("_in", F.coalesce(F.sum("_weight").over(before), F.lit(0)))
+              .join(F.broadcast(bases), "_pid")   # one row per partition: bounded
+              .select("_row", (F.col("_base") + F.col("_in")).alias(name)))
+    # two numbers a row, counted above
+    starts = F.broadcast(starts) if rows <= DEFAULT_BROADCAST_ROWS else starts
+    return laid.join(starts, "_row").drop("_row", "_weight")
+
+
+def with_row_index(df: DataFrame, order_cols: list[str], name: str = "idx",
+                   partitions: int | None = None) -> DataFrame:
+    """``df`` with the dense number 0..n-1 of each row in the order of ``order_cols``."""
+    return with_starts(df, order_cols, F.lit(1), name, partitions)

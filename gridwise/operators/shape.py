@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
+from gridwise.operators.flatten import flatten_json_long, flatten_long  # noqa: F401
+
 
 # ---------------------------------------------------------------------------
 # Field names of the inspection API documents.
@@ -179,6 +181,19 @@ def explode_rounds(docs: DataFrame, mode: str = "failfast",
     the merge (the original removes the child's copy before merging);
     ``redrop=True`` removes such names from the merged record as well.
     """
+    level = inspection_level(docs, mode, doc_order, inspections, results, inspection_drop,
+                             geometry_path)
+    return result_level(level, mode, results, inspection_drop, result_drop, redrop)
+
+
+def inspection_level(docs: DataFrame, mode: str = "failfast",
+                     doc_order: list[str] | str | None = None,
+                     inspections: str = ROUND_INSPECTIONS, results: str = INSPECTION_RESULTS,
+                     inspection_drop: str = INSPECTION_DROP,
+                     geometry_path: str = GEOMETRY_PATH) -> DataFrame:
+    """The first half of ``explode_rounds``: one row per inspection with ``_doc``,
+    ``_i``, ``geojson`` and ``_m``, the inspection merged with its round, whose list of
+    results is still nested."""
     rtype: StructType = docs.schema
     if inspections not in rtype.fieldNames():
         raise KeyError(f"required field missing: {inspections}")
@@ -220,11 +235,21 @@ def explode_rounds(docs: DataFrame, mode: str = "failfast",
     mtype = _merged_type(itype3, round_type)
     if results not in mtype.fieldNames():
         raise KeyError(f"required field missing: {results}")
-    lvl2 = lvl1.select("_doc", "_i", geojson.alias("geojson"), merged_insp.alias("_m"))
+    return lvl1.select("_doc", "_i", geojson.alias("geojson"), merged_insp.alias("_m"))
+
+
+def result_level(level: DataFrame, mode: str = "failfast", results: str = INSPECTION_RESULTS,
+                 inspection_drop: str = INSPECTION_DROP, result_drop: str = RESULT_DROP,
+                 redrop: bool = True) -> DataFrame:
+    """The second half of ``explode_rounds``: rows of ``inspection_level`` -> one row per
+    result.  Columns of ``level`` beside its own pass through."""
+    own = ["_doc", "_i", "geojson"]
+    more = [c for c in level.columns if c not in (*own, "_m")]
+    lvl2, mtype = level, level.schema["_m"].dataType
     res_arr = _require(F.col("_m")[results], results, mode)
     inspection_wo_results = F.col("_m").dropFields(results)
     itype4 = StructType([f for f in mtype.fields if f.name != results])
-    lvl3 = lvl2.select("_doc", "_i", "geojson", inspection_wo_results.alias("_m"),
+    lvl3 = lvl2.select(*own, *more, inspection_wo_results.alias("_m"),
                        F.posexplode(res_arr).alias("_r", "_res"))
     rtype_: StructType = lvl3.schema["_res"].dataType
     res = drop_fields(F.col("_res"), rtype_, (result_drop,), mode)
@@ -235,7 +260,7 @@ def explode_rounds(docs: DataFrame, mode: str = "failfast",
         again = [n for n in (inspection_drop, result_drop) if n in merged]
         if again:
             rec = rec.dropFields(*again)
-    return lvl3.select("_doc", "_i", "_r", rec.alias("rec"), "geojson")
+    return lvl3.select("_doc", "_i", "_r", rec.alias("rec"), "geojson", *more)
 
 
 def round_problems(docs: DataFrame, doc_key: str = "id", inspections: str = ROUND_INSPECTIONS,
@@ -356,20 +381,6 @@ def flatten_wide(df: DataFrame, col: str | None = None, keep: list[str] | None =
     return df.select(*[F.col(k) for k in (keep or [])], *[e.alias(n) for n, e in cols])
 
 
-def flatten_long(df: DataFrame, id_col: str, col: str | None = None,
-                 keep_nulls: bool = True) -> DataFrame:
-    """Long form ``(id, path, value)``: one row per leaf, value as text; null
-    leaves stay unless ``keep_nulls`` is false.  A single ``explode`` of an
-    array of (path, value) structs — no shuffle; lists are measured as for the
-    wide form."""
-    cols = flatten_columns(df, col)
-    pairs = [F.struct(F.lit(n).alias("path"), e.cast("string").alias("value"))
-             for n, e in cols]
-    out = df.select(F.col(id_col), F.explode(F.array(*pairs)).alias("_kv"))
-    out = out.select(id_col, "_kv.path", "_kv.value")
-    return out if keep_nulls else out.where(F.col("value").isNotNull())
-
-
 def array_first(arr, field: str | None = None) -> Column:
     """First element of a list (``x.0`` / ``x.0.field``); absent -> null."""
     first = F.get(_c(arr), 0)

@@ -334,6 +334,16 @@ SQL: dict[str, str] = {
         f"FROM ({PTS})",
     "st_centroid":
         f"SELECT id, round({_h('vx')}, 6) AS cx, round({_h('vy')}, 6) AS cy FROM ({PTS})",
+    "nested_collections":
+        "SELECT id, round((vx + CASE id % 4 WHEN 0 THEN 50.0 WHEN 3 THEN 100.0 / 3 ELSE 0.0 END) / 100.0, 6) "
+        f"AS cx, round({_h('vy')}, 6) AS cy FROM ({PTS})",
+    "st_within_flag":
+        f"SELECT id, step, x + step / 8.0 > x0 AND x + step / 8.0 < x1 AS within "
+        f"FROM ({SQ}), (SELECT unnest(range(-2, 3))::INTEGER AS step)",
+    "spatial_join_detailed":
+        "SELECT p.id, CAST(n_nationkey AS VARCHAR) AS code, n_name AS naam "
+        f"FROM ({PTS}) p, nation WHERE (p.x - ((n_nationkey % 5) * 2 + 1)) ** 2 "
+        "+ (p.y - ((n_nationkey // 5) * 2 + 1)) ** 2 < 0.9137 ** 2",
     "st_xy": f"SELECT id, x AS px, y AS py FROM ({PTS})",
     "st_set_srid":
         "SELECT id, 4326 AS srid_before, 28992 AS srid, "
@@ -440,6 +450,26 @@ SQL: dict[str, str] = {
         "SELECT id, CASE WHEN id % 10 = 0 THEN 'null' ELSE "
         "'{\"type\":\"Point\",\"coordinates\":[' || CAST(x AS VARCHAR) || ',' || "
         f"CAST(y AS VARCHAR) || ']}}' END AS geojson FROM ({PTS})",
+    "flatten_open": """
+        WITH l AS (SELECT l_orderkey AS id, l_linenumber AS n, l_partkey AS part,
+                          row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey,
+                            l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
+                            l_linestatus, l_shipdate) - 1 AS i FROM lineitem),
+             o AS (SELECT o_orderkey AS id, o_orderkey % 6 AS kind, o_orderkey % 7 AS pair,
+                          CAST(o_orderkey AS VARCHAR) AS k FROM orders)
+        SELECT id, 'o' AS path, k AS value FROM o
+        UNION ALL SELECT id, 'x', CASE kind WHEN 0 THEN k WHEN 1 THEN 's ' || k END FROM o
+                  WHERE kind IN (0, 1, 4)
+        UNION ALL SELECT id, 'x.y', k FROM o WHERE kind = 2
+        UNION ALL SELECT id, 'x.z', NULL FROM o WHERE kind = 2
+        UNION ALL SELECT id, 'x.' || CAST(v.i AS VARCHAR), coalesce(v.value, CASE v.i WHEN 0 THEN k END)
+                  FROM o, (VALUES (0, NULL), (1, '{t}'), (2, 'true'), (3, NULL)) v(i, value) WHERE kind = 3
+        UNION ALL SELECT id, 'a.b', CASE pair WHEN 0 THEN '0' ELSE k END FROM o WHERE pair IN (0, 1)
+        UNION ALL SELECT id, 'lines.' || CAST(i AS VARCHAR) || '.id', CAST(n AS VARCHAR) FROM l
+        UNION ALL SELECT id, 'lines.' || CAST(i AS VARCHAR) || '.part', CAST(part AS VARCHAR) FROM l
+        UNION ALL SELECT id, 'lines.' || CAST(i AS VARCHAR) || '.tags.' || CAST(j AS VARCHAR),
+                         't' || CAST(j AS VARCHAR)
+                  FROM (SELECT *, unnest(range(0, n % 3 + 1)) AS j FROM l)""",
     "flatten_long":
         "SELECT event_id, 'event_type' AS path, event_type AS value FROM events "
         "UNION ALL SELECT event_id, 'user_id', CAST(user_id AS VARCHAR) FROM events "
@@ -476,6 +506,9 @@ SQL: dict[str, str] = {
     "scan_area_layer":
         "SELECT CAST(id AS VARCHAR) AS code, naam, x0 AS minx, y0 AS miny, x1 AS maxx, "
         f"y1 AS maxy FROM ({SQ})",
+    "scan_area_layer_split":
+        "SELECT CAST(id AS VARCHAR) AS code, naam, x0 AS minx, y0 AS miny, x1 AS maxx, "
+        f"y1 AS maxy FROM ({SQ})",
     "area_layers": AREA_LAYERS,
     "scan_objects": "SELECT c_custkey, c_name FROM customer",
     "zip_members":

@@ -15,10 +15,12 @@ with the scale factor except for the fixed-size area layers built from
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridwise.functions.geometry import make_box
+from gridwise.functions.geometry import bound, make_box
 from gridwise.operators.joins import broadcast_if_small
 from gridwise.operators.nesting import nest
 
@@ -94,6 +96,43 @@ def cust_squares_degrees(t: Tables, geom: str = "geom") -> DataFrame:
                     .alias(geom))
 
 
+DISC_RADIUS = 0.9137
+DISC_VERTICES = 10_000
+
+
+def discs(t: Tables, geom: str = "geom") -> DataFrame:
+    """Nations as polygons of ``DISC_VERTICES`` vertices on a circle around the middle of
+    their square of the plane (see ``nb``)."""
+    n = t("nation")
+    k = F.col("n_nationkey")
+    step = 2 * math.pi / DISC_VERTICES
+    ring = bound(f"""transform(sequence(0, {DISC_VERTICES}), i -> named_struct(
+        'x', v.cx + {DISC_RADIUS}D * cos((i % {DISC_VERTICES}) * {step!r}D),
+        'y', v.cy + {DISC_RADIUS}D * sin((i % {DISC_VERTICES}) * {step!r}D)))""",
+                 cx=((k % 5) * 2 + 1).cast("double"), cy=(_div(k, 5) * 2 + 1).cast("double"))
+    disc = F.struct(F.lit(0).alias("srid"), F.lit(2).alias("dim"),
+                    F.array(F.array(ring)).alias("parts"))
+    return n.select(_txt(k).alias("code"), F.col("n_name").alias("naam"), disc.alias(geom))
+
+
+def collections(t: Tables) -> DataFrame:
+    """The geometries of ``pts_geojson`` within collections: beside them, in a collection
+    of its own, a point one unit to the right and an empty collection; every other one
+    lies two collections deeper."""
+    k = F.col("id")
+    vx = (k * 37) % 1000
+    vy = (k * 91) % 1000
+    deep = F.when(k % 8 >= 4, F.concat(
+        F.lit('{"type":"GeometryCollection","geometries":[{"type":"GeometryCollection","geometries":['),
+        F.col("geojson"), F.lit("]}]}"))).otherwise(F.col("geojson"))
+    point = F.concat(F.lit('{"type":"Point","coordinates":['), _txt(_h(vx + 100)), F.lit(","),
+                     _txt(_h(vy)), F.lit("]}"))
+    text = F.concat(F.lit('{"type":"GeometryCollection","geometries":['), deep,
+                    F.lit(',{"type":"GeometryCollection","geometries":['), point,
+                    F.lit(',{"type":"GeometryCollection","geometries":[]}]}]}'))
+    return pts_geojson(t).select("id", text.alias("geojson"))
+
+
 def bands(t: Tables, offset: int, geom: str = "geom") -> DataFrame:
     """Region bands x in (0, 10), y in (2r + offset, 2r + offset + 2)."""
     r = t("region")
@@ -365,6 +404,30 @@ def round_docs(t: Tables, line_span: int = 64, order_span: int = 1 << 16) -> Dat
     )
 
 
+def open_documents(t: Tables) -> DataFrame:
+    """(id, value): a JSON text per order, with its lines as a list of objects that
+    hold lists, a member ``x`` of another type in every kind of order, and a pair of
+    members whose leaves have one path, in either order."""
+    lines = nest(t("lineitem"), ["l_orderkey"], LINE_ORDER[1:], [
+        F.col("l_linenumber").cast("bigint").alias("id"), F.col("l_partkey").alias("part"),
+        F.transform(F.sequence(F.lit(0), F.col("l_linenumber").cast("int") % 3),
+                    lambda i: F.concat(F.lit("t"), _txt(i))).alias("tags")], "lines", span=64)
+    ok = F.col("o_orderkey")
+    o = t("orders").join(lines, ok == F.col("l_orderkey"), "left")
+    k = _txt(ok)
+    x = (F.when(ok % 6 == 0, F.concat(F.lit(',"x":'), k))
+         .when(ok % 6 == 1, F.concat(F.lit(',"x":"s '), k, F.lit('"')))
+         .when(ok % 6 == 2, F.concat(F.lit(',"x":{"y":'), k, F.lit(',"z":null}')))
+         .when(ok % 6 == 3, F.concat(F.lit(',"x":['), k, F.lit(',"{t}",true,null,[],{}]')))
+         .when(ok % 6 == 4, F.lit(',"x":null')).otherwise(F.lit("")))
+    pair = (F.when(ok % 7 == 0, F.concat(F.lit(',"a":{"b":'), k, F.lit('},"a.b":0')))
+            .when(ok % 7 == 1, F.concat(F.lit(',"a.b":0,"a":{"b":'), k, F.lit("}")))
+            .otherwise(F.lit("")))
+    text = F.concat(F.lit('{"o":'), k, x, pair, F.lit(',"lines":'),
+                    F.coalesce(F.to_json("lines"), F.lit("[]")), F.lit("}"))
+    return o.select(ok.alias("id"), text.alias("value"))
+
+
 def events_json_text(t: Tables) -> DataFrame:
     """Heterogeneous JSON records: ``error`` events carry no ``value`` key."""
     e = t("events")

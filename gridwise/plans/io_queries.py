@@ -140,6 +140,45 @@ def scan_area_layer(spark, sf_dir):
                         b["maxx"].alias("maxx"), b["maxy"].alias("maxy"))
 
 
+def _layer_document(features, stem: str):
+    """One pretty-printed FeatureCollection document of the features (id, code, naam,
+    geom) in a new folder; other members of the root stand around the list."""
+    from gridwise.functions.geometry import to_geojson
+    from gridwise.operators.row_index import with_row_index
+    spark = features.sparkSession
+    text = F.concat(
+        F.when(F.col("n") == 1, F.lit("    ")).otherwise(F.lit("    ,")), F.lit('{\n      "type": "Feature",\n'),
+        F.lit('      "properties": {"CODE": "'), F.col("code"), F.lit('", "note": "}] \\\\ \\"{ '),
+        F.col("naam"), F.lit('",\n        "naam": "'), F.col("naam"), F.lit('"},\n      "geometry":\n'),
+        to_geojson(F.col("geom")), F.lit("\n    }"))
+    body = with_row_index(features, ["id"], "n").select(
+        (F.col("n") + 1).alias("n"), "code", "naam", "geom").select("n", text.alias("value"))
+    last = F.lit(1 << 62)
+    head = spark.range(1).select(F.lit(0).cast("long").alias("n"), F.lit(
+        '{\n  "type": "FeatureCollection",\n  "crs": {"type": "name", "properties": {"name": "x"}},\n'
+        '  "features": [').alias("value"))
+    tail = spark.range(1).select(last.alias("n"), F.lit(
+        '  ],\n  "links": [{"rel": "]}"}, {"rel": "next"}]\n}').alias("value"))
+    path = work_dir(spark, stem)
+    # a test input: one file, so one task writes it
+    (head.unionByName(body).unionByName(tail).coalesce(1).sortWithinPartitions("n")
+     .select("value").write.text(path))
+    return path
+
+
+@query
+def scan_area_layer_split(spark, sf_dir):
+    """S4 over one pretty-printed document that many tasks read."""
+    from gridwise.functions.geometry import bbox
+    from gridwise.sources.areas import layer_columns, read_area_layer
+    sq = I.cust_squares(_t(spark, sf_dir)).withColumn("code", F.col("id").cast("string"))
+    path = _layer_document(sq.select("id", "code", "naam", "geom"), "squares_document")
+    layer = layer_columns(read_area_layer(spark, path, split=True), ["code", "naam"])
+    b = bbox(F.col("wkb_geometry"))
+    return layer.select("code", "naam", b["minx"].alias("minx"), b["miny"].alias("miny"),
+                        b["maxx"].alias("maxx"), b["maxy"].alias("maxy"))
+
+
 def degree_layers(t):
     """Two layers in WGS 84 degrees: customer squares (neighbourhoods, grows
     with the data) and region bands (districts)."""

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 from gridwise.operators import shape
 from gridwise.operators.round_text import explode_round_texts
-from gridwise.operators.row_index import with_row_index
+from gridwise.operators.row_index import with_row_index, with_starts
 from gridwise.sources.documents import read_json_text
 
 
@@ -31,8 +31,19 @@ def inspection_rounds(docs: DataFrame, doc_order: list[str] | None = None,
     """Round documents -> one flat row per result (explode inspections,
     explode results, drop the display names, cut the geometry out as JSON
     text, merge round > inspection > result, flatten to dotted columns) with
-    ``idx`` in document order."""
-    return _staged(shape.explode_rounds(docs, mode=mode, doc_order=doc_order), with_index)
+    ``idx`` in document order.
+
+    The inspections are numbered by the sizes of their lists of results before these
+    unfold, so the documents are evaluated once."""
+    if not with_index:
+        return _staged(shape.explode_rounds(docs, mode=mode, doc_order=doc_order), False)
+    level = shape.inspection_level(docs, mode, doc_order)
+    size = F.size(F.col("_m").getField(shape.INSPECTION_RESULTS))
+    numbered = with_starts(level, ["_doc", "_i"], F.greatest(size, F.lit(0)))
+    rows = shape.result_level(numbered, mode)
+    flat_cols = shape.flatten_columns(rows, "rec")
+    return rows.select((F.col("_start") + F.col("_r")).alias("idx"),
+                       *[e.alias(n) for n, e in flat_cols], "geojson")
 
 
 def landed_rounds(spark: SparkSession, path: str, schema: StructType | None = None,

@@ -107,6 +107,31 @@ def st_centroid(spark, sf_dir):
                              F.round(G.st_y(c), 6).alias("cy"))
 
 
+@query
+def nested_collections(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    c = G.st_centroid(G.geom_from_geojson(F.col("geojson")))
+    return I.collections(t).select("id", F.round(G.st_x(c), 6).alias("cx"),
+                                   F.round(G.st_y(c), 6).alias("cy"))
+
+
+@query
+def st_within_flag(spark, sf_dir):
+    """``ST_Within`` itself, row by row: points on a line through each square."""
+    t = _t(spark, sf_dir)
+    b = I.pts(t).select("id", F.explode(F.sequence(F.lit(-2), F.lit(2))).alias("step"), "x", "y")
+    b = b.join(I.cust_squares(t).select("id", "geom"), "id")
+    x = F.col("x") + F.col("step").cast("double") / F.lit(8.0)
+    return b.select("id", "step", G.st_within(x, F.col("y"), F.col("geom")).alias("within"))
+
+
+@query
+def spatial_join_detailed(spark, sf_dir):
+    """Points against polygons of 10,000 vertices."""
+    t = _t(spark, sf_dir)
+    return spatial_join(I.pts(t), I.discs(t)).select("id", "code", "naam")
+
+
 @query
 def st_xy(spark, sf_dir):
     t = _t(spark, sf_dir)
@@ -439,6 +464,13 @@ def flatten_long(spark, sf_dir):
     return shape.flatten_long(df, "event_id", "r")
 
 
+@query
+def flatten_open(spark, sf_dir):
+    """Documents of open schema, unfolded as variants."""
+    docs = I.open_documents(_t(spark, sf_dir))
+    return shape.flatten_json_long(docs, ["id"], "value")
+
+
 @query
 def flatten_wide(spark, sf_dir):
     from gridwise.sources.documents import read_json_text, write_json_text

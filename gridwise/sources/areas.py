@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gridwise.functions.crs import st_transform
 from gridwise.functions.geometry import geom_from_geojson
+from gridwise.sources.split_json import list_texts
 
 _MEMBER = "properties map<string, string>, geometry string"
 _MEMBER_FIELDS = "properties:map<string,string>,geometry:string"
@@ -34,16 +35,19 @@ def _is_known(d) -> F.Column:
 
 def read_area_layer(spark: SparkSession, path: str, to_srid: int | None = None,
                     whole_files: bool = False, geom: str = "wkb_geometry",
-                    source_srid: int = 4326, mode: str = "failfast") -> DataFrame:
+                    source_srid: int = 4326, mode: str = "failfast",
+                    split: bool = False) -> DataFrame:
     """GeoJSON features -> rows of lower-cased properties + geometry.
 
-    ``whole_files=True`` reads each file as one document (a pretty-printed
-    FeatureCollection); otherwise every line is a Feature or a
-    FeatureCollection.  A line that is neither raises in ``failfast`` mode; in
+    ``split=True`` reads each file as one FeatureCollection, however written, and of
+    any size: many tasks share a file (``split_json``).  ``whole_files=True`` reads
+    it in one task.  Otherwise every line is a Feature or a FeatureCollection.  A line that is neither raises in ``failfast`` mode; in
     ``permissive`` mode it gives no row and ``layer_rejects`` lists it.
     """
     if mode not in ("failfast", "permissive"):
         raise ValueError("mode must be 'failfast' or 'permissive'")
+    if split:
+        return _rows(_split_features(spark, path, mode), to_srid, geom, source_srid)
     docs = _documents(spark, path, whole_files)
     d = F.col("d")
     one = F.struct(d["properties"].alias("properties"), d["geometry"].alias("geometry"))
@@ -56,6 +60,17 @@ def read_area_layer(spark: SparkSession, path: str, to_srid: int | None = None,
     feats = docs.select(F.explode(
         F.when(~_is_known(d), unknown.cast(f"array<struct<{_MEMBER_FIELDS}>>"))
         .when(d["type"] == "Feature", F.array(one)).otherwise(many)).alias("f"))
+    return _rows(feats, to_srid, geom, source_srid)
+
+
+def _split_features(spark: SparkSession, path: str, mode: str) -> DataFrame:
+    member = F.from_json("value", _FEATURE)
+    texts = list_texts(spark, path, "features", mode).select(member.alias("d"))
+    return texts.where(F.col("d.type") == "Feature").select(
+        F.struct("d.properties", "d.geometry").alias("f"))
+
+
+def _rows(feats: DataFrame, to_srid: int | None, geom: str, source_srid: int) -> DataFrame:
     props = F.transform_keys(F.col("f.properties"), lambda k, v: F.lower(k))
     g = geom_from_geojson(F.col("f.geometry"), srid=source_srid)
     if to_srid is not None:

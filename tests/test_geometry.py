@@ -90,10 +90,33 @@ def test_bad_geojson(spark):
         df.select(G.geom_from_geojson(F.col("t")).alias("g")).collect()
 
 
-def test_nested_collection_is_invalid(spark):
-    t = ('{"type":"GeometryCollection","geometries":[{"type":"GeometryCollection",'
-         '"geometries":[{"type":"Point","coordinates":[1,1]}]}]}')
-    df = spark.createDataFrame([(t,)], "t string")
+def _nested(inner, depth):
+    for _ in range(depth):
+        inner = '{"type":"GeometryCollection","geometries":[' + inner + ']}'
+    return inner
+
+
+SQUARE = '{"type":"Polygon","coordinates":[[[0,0],[2,0],[2,2],[0,2],[0,0]]]}'
+
+
+@pytest.mark.parametrize("text,expected", [
+    (_nested('{"type":"Point","coordinates":[1,2]}', 2), (1.0, 2.0)),
+    (_nested(SQUARE + "," + _nested('{"type":"Point","coordinates":[9,9]}', 3), 2), (1.0, 1.0)),
+    (_nested('{"type":"Point","coordinates":[0,0]},' + _nested(SQUARE, 5), 1), (1.0, 1.0)),
+    (_nested("", 3), (None, None)),
+    (_nested(_nested("", 1) + ',{"type":"LineString","coordinates":[[0,0],[4,0]]}', 1), (2.0, 0.0)),
+    (_nested(SQUARE, G.MAX_COLLECTION_DEPTH), (1.0, 1.0)),
+])
+def test_nested_collections(spark, text, expected):
+    c = G.st_centroid(G.geom_from_geojson(F.col("t")))
+    r = spark.createDataFrame([(text,)], "t string").select(G.st_x(c), G.st_y(c)).first()
+    assert tuple(r) == expected
+
+
+@pytest.mark.parametrize("text", [_nested(SQUARE, G.MAX_COLLECTION_DEPTH + 1),
+                                  _nested('{"type":"Circle"}', 2), _nested(SQUARE + ',{"type":"X"}', 1)])
+def test_invalid_collections(spark, text):
+    df = spark.createDataFrame([(text,)], "t string")
     assert df.select(G.geom_from_geojson(F.col("t"), on_error="null").alias("g")).first().g is None
     with pytest.raises(Exception):
         df.select(G.geom_from_geojson(F.col("t")).alias("g")).collect()

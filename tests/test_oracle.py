@@ -2,11 +2,14 @@
 column names and an order-insensitive value hash)."""
 
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
+from gridwise.plans.registry import all_queries
 from tools.check_oracle import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -30,7 +33,8 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+# the training-data queries have their own cases in tests/llm
+@pytest.mark.parametrize("key", sorted(all_queries()))
 def test_query(spark, con, key):
     df = E.queries()[key](spark, SF)
     plan = _plan(df)
@@ -67,3 +71,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "buurtcode" in df.columns and len(df.columns) == 28
+
+
+def test_entry_without_the_training_data_queries():
+    """The entry module imports and keeps the engine's queries where the subpackage,
+    or a library that only it needs, is absent."""
+    code = (
+        "import sys, warnings; warnings.simplefilter('ignore')\n"
+        "sys.modules[{name!r}] = None\n"
+        "import __spark_entry__ as e; print(sorted(e.queries()))")
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    for name in ("gridwise.llm", "corpus_pipeline", "xxhash"):
+        out = subprocess.run([sys.executable, "-c", code.format(name=name)], cwd=root,
+                             capture_output=True, text=True, check=True)
+        assert out.stdout.strip().splitlines()[-1] == str(sorted(all_queries()))

@@ -1,6 +1,7 @@
 """Grid spatial join: equal to a brute-force check on random data, left-join
 semantics, and a plan without Cartesian products."""
 
+import math
 import random
 
 import pytest
@@ -170,3 +171,56 @@ def test_geometry_functions_tell_two_frames_apart(spark):
         assert row.p != row.q
     # and each still works on a frame of its own
     assert a.select(G.st_x(G.st_centroid(F.col("geom"))).alias("x")).first().x == 1.0
+
+
+def _disc(n, x=5.0, y=5.0, r=3.0):
+    ring = [(x + r * math.cos(2 * math.pi * k / n), y + r * math.sin(2 * math.pi * k / n))
+            for k in range(n)]
+    return _geojson([ring + ring[:1]])
+
+
+def test_edge_tests_do_not_grow_with_vertices(spark):
+    most, mean = {}, {}
+    for n in (100, 1000, 10_000):
+        gdf = spark.createDataFrame([(1, _disc(n))], "gid long, t string").select(
+            "gid", geom_from_geojson(F.col("t")).alias("geom"))
+        cells = polygon_cells(gdf, "geom").select(F.size("_g_edges").alias("n")).cache()
+        most[n] = cells.agg(F.max("n")).first()[0]
+        mean[n] = cells.agg(F.avg("n")).first()[0]
+        assert cells.agg(F.sum("n")).first()[0] <= 8 * n
+        plan = plan_grid(gdf)
+        assert plan.levels[0][1] > 0 and plan.est_bytes >= 96 * cells.agg(F.sum("n")).first()[0]
+    assert max(mean.values()) < 8 and max(most.values()) <= 24
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_slabs_equal_all_edges(spark, limit):
+    """Gaps between parts, holes, long edges, points on vertices and edges, and layers
+    that mix polygons of few and of many edges."""
+    rng = random.Random(5)
+    comb = [(0.0, 0.0)] + [(i / 4, 9.0 if i % 2 else 1.0) for i in range(1, 60)] + [(15.0, 0.0), (0.0, 0.0)]
+    disc = [(5 + 3 * math.cos(k / 20), 5 + 3 * math.sin(k / 20)) for k in range(126)]
+    disc += disc[:1]
+    low = [(x, y - 20) for x, y in disc]
+    hole = [(4.0, 4.0), (6.0, 4.0), (6.0, 6.0), (4.0, 6.0), (4.0, 4.0)]
+    polys = [(1, [[comb]]), (2, [[disc, hole]]), (3, [[disc], [low]]), (4, [[hole]])]
+    corners = [v for _, parts in polys for part in parts for ring in part for v in ring[::7]]
+    pts = [(rng.choice(range(-80, 160)) / 8, rng.choice(range(-200, 100)) / 8) for _ in range(1500)] + corners
+    pts = [(j, x, y) for j, (x, y) in enumerate(pts)]
+
+    def gj(parts):
+        body = ",".join("[" + ",".join("[" + ",".join(f"[{x!r},{y!r}]" for x, y in r) + "]"
+                                         for r in part) + "]" for part in parts)
+        return '{"type":"MultiPolygon","coordinates":[' + body + ']}'
+
+    pdf = spark.createDataFrame(pts, "pid long, x double, y double")
+    gdf = spark.createDataFrame([(i, gj(p)) for i, p in polys], "gid long, t string") \
+        .select("gid", geom_from_geojson(F.col("t")).alias("geom"))
+    kw = {} if limit is None else {"broadcast_limit": limit}
+    got = sorted((r.pid, r.gid) for r in spatial_join(pdf, gdf, **kw).select("pid", "gid").collect())
+    flags = pdf.join(F.broadcast(gdf)).where(G.st_within("x", "y", "geom")).select("pid", "gid")
+    assert got == sorted((r.pid, r.gid) for r in flags.collect())
+    assert len(got) > 150
+    both = sorted((r.pid, r.gid) for r in within_candidates(pdf, gdf).where("within")
+                  .select("pid", "gid").collect())
+    assert both == got
