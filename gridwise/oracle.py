@@ -494,6 +494,8 @@ SQL: dict[str, str] = {
     "scan_table": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "sink_replace_table":
         "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
+    "sink_replace_version":
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "sink_ctas": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "export_csv_semicolon": "SELECT doc_id, text, lang, source FROM documents",
     "export_csv_comma": "SELECT doc_id, text, lang, source FROM documents",

@@ -81,6 +81,18 @@ def sink_replace_table(spark, sf_dir):
     return T.scan_table(spark, path).select(*ORDER_COLS)
 
 
+@query
+def sink_replace_version(spark, sf_dir):
+    from gridwise.sinks.versions import remove_old, replace_version
+    o = _t(spark, sf_dir)("orders").select(*ORDER_COLS)
+    path = work_dir(spark, "orders_versions")
+    replace_version(o.where(F.col("o_orderstatus") == "F"), path)
+    replace_version(o.withColumn("o_totalprice", F.lit(0.0)), path)
+    replace_version(o, path)
+    remove_old(spark, path)
+    return T.scan_table(spark, path).select(*ORDER_COLS)
+
+
 @query
 def sink_ctas(spark, sf_dir):
     o = _t(spark, sf_dir)("orders").select(*ORDER_COLS)
