@@ -1,11 +1,13 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and
 read again as the next one's input.
 
-Defined results: rows without doc_id leave at the near-duplicate stage, where a
-group is known by an id, and of rows that repeat an id one stays.  Documents
-without a letter have no language and leave at the first stage.  An empty table
-passes through all stages.  Columns beyond those of ``documents`` pass through
-the first four stages.
+Defined results: a row is a document of its own, whether it has a doc_id or shares
+it with other rows.  Documents without a letter have no language and leave at the
+first stage.  Of near duplicates the row with the smallest doc_id stays (null last),
+of equal ids that whose text has the smallest hash.  Of rows equal in doc_id, source
+and text the mix writes one, as often as it takes all of them.  An empty table passes
+through all stages.  Columns beyond those of ``documents`` pass through the first four
+stages.
 """
 
 from __future__ import annotations
@@ -25,10 +27,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: of each group of near duplicates the smallest doc_id stays."""
-    joined = jaccard.join(docs.select("doc_id", "text"))
-    first = joined.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Operator 9: of each group of near duplicates one document stays.
+
+    Rows get a number, written with them, as ids may be null or stand for several texts."""
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("_row"), "*"), "numbered")
+    joined = jaccard.join(rows.select(F.col("_row").alias("doc_id"), "text"))
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"),
+                     F.xxhash64("text").alias("h"), F.col("_row").alias("_row"))
+    first = (joined.select(F.col("doc_id").alias("_row"), "component_id")
+             .join(rows.select("_row", order.alias("o")), "_row")
+             .groupBy("component_id").agg(F.min("o")["_row"].alias("_row")))
+    return rows.join(first.select("_row"), "_row", "left_semi").select(*docs.columns)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,13 +53,19 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: each document as often as the mix takes it."""
-    mixed = mixing.mix(docs)
-    times = mixed.where("taken > 0").select(
-        "doc_id", (F.col("taken") / F.col("size")).cast("int").alias("_times"))
-    return (docs.join(times, "doc_id")
+    """Operator 8: each document as often as the mix takes it.
+
+    A document is known by its id, source and text."""
+    name = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")),
+                       F.sha2(F.to_json(F.struct("source", "text")), 256))
+    rows = docs.select(name.alias("_name"), F.struct(*docs.columns).alias("_row"))
+    mixed = mixing.mix(docs.select("doc_id", "source", "text", name.alias("_name")), carry=["_name"])
+    times = (mixed.where("taken > 0").groupBy("_name")
+             .agg(F.sum(F.col("taken") / F.col("size")).cast("int").alias("_times")))
+    one = rows.groupBy("_name").agg(F.first("_row").alias("_row"))
+    return (one.join(times, "_name")
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-            .select(*docs.columns))
+            .select("_row.*"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,11 +18,13 @@ epoch, and takes 0.  The key is a function of doc_id, source, size and of the
 row's number among equal (doc_id, source, size), so reruns agree, and repeated
 rows draw different keys.  Equal keys are ordered by doc_id.  The last document
 drawn is the one with which the sum comes closest to the target.  Null sources
-form one source.  Extra columns are ignored; an empty table gives no rows.
+form one source.  Sizes and targets are exact up to 2**53 words.  Extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,7 @@ from gridwise.llm.common import materialize, table
 WEIGHT_CYCLE = 3
 MAX_EPOCHS = 3
 BINS = 4096
+REPEATS = 4096
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -63,17 +66,20 @@ def targets(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     after = filled.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     whole = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding,
                                                  Window.unboundedFollowing)
-    stepped = ranked.select(
-        "*", ((F.sum("source_size").over(whole) - F.coalesce(F.sum("limit").over(before), F.lit(0)))
-              / F.sum("weight").over(after)).alias("level"))
-    # the common level is that of the first source which stays below its limit
-    level = F.first(F.when(F.col("level") <= F.col("ratio"), F.col("level")), True).over(
+    stepped = ranked.select("*", F.struct(
+        (F.sum("source_size").over(whole) - F.coalesce(F.sum("limit").over(before), F.lit(0)))
+        .alias("left"), F.sum("weight").over(after).alias("weights")).alias("share"))
+    # the common level is that of the first source which stays below its limit; a
+    # source's part of it is one division, as it would be by hand
+    stays = F.col("share.left") / F.col("share.weights") <= F.col("ratio")
+    common = F.first(F.when(stays, F.col("share")), True).over(
         filled.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return stepped.withColumn("common", level).select(
+    stepped = stepped.withColumn("common", common)
+    part = F.col("common.left") * F.col("weight") / F.col("common.weights")
+    return stepped.select(
         "source", "source_size",
         F.least(F.col("limit").cast("double"),
-                F.coalesce(F.col("common") * F.col("weight"), F.col("limit").cast("double")))
-        .alias("target"))
+                F.coalesce(part, F.col("limit").cast("double"))).alias("target"))
 
 
 def draw_key(weight: Column) -> Column:
@@ -85,24 +91,37 @@ def draw_key(weight: Column) -> Column:
     return -F.log((bits + 1.0) / float(2 ** 52 + 1)) / weight
 
 
-def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, bins: int = BINS) -> DataFrame:
+def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, bins: int = BINS,
+        carry: Sequence[str] = ()) -> DataFrame:
     """docs (doc_id, source, text) -> doc_id, source, size, source_size, target
-    (of the source) and taken (words of the document that the mix takes)."""
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
+    (of the source) and taken (words of the document that the mix takes).
+
+    Columns named in ``carry`` come along; rows that differ in them only are told
+    apart by them."""
+    sized = docs.select("doc_id", "source", *carry, word_count(F.col("text")).alias("size"),
                         F.coalesce(F.length("text"), F.lit(0)).alias("chars"))
     # the texts are read once; what follows works on a few numbers per document
     sized = materialize(sized, "mix-sizes")
-    copies = Window.partitionBy("doc_id", "source", "size").orderBy("chars")
-    spread = sized.groupBy("doc_id", "source", "size", "chars").agg(F.count(F.lit(1)).alias("n"))
-    # rows that repeat one another are numbered by exploding their count
-    keyed = (spread.withColumn("before", F.sum("n").over(
-                 copies.rowsBetween(Window.unboundedPreceding, -1)))
-             .select("doc_id", "source", "size", "chars", "before",
+    copies = Window.partitionBy("doc_id", "source", "size").orderBy("chars", *carry)
+    spread = sized.groupBy("doc_id", "source", "size", "chars", *carry).agg(F.count(F.lit(1)).alias("n"))
+    # rows that repeat one another are numbered by exploding their count; a large count
+    # in blocks, which are dealt out before they unfold
+    spread = spread.withColumn("before", F.coalesce(F.sum("n").over(
+        copies.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    few = spread.where(F.col("n") <= REPEATS)
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / REPEATS)))
+    many = (spread.where(F.col("n") > REPEATS).select("*", blocks.alias("block"))
+            .select("doc_id", "source", "size", "chars", *carry,
+                    F.least(F.col("n") - F.col("block") * REPEATS, F.lit(REPEATS)).alias("n"),
+                    (F.col("before") + F.col("block") * REPEATS).alias("before"))
+            .repartition("doc_id", "source", "size", "before"))
+    keyed = (few.unionByName(many)
+             .select("doc_id", "source", "size", "chars", *carry, "before",
                      F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("i"))
-             .withColumn("copy", F.coalesce(F.col("before"), F.lit(0)) + F.col("i") - 1)
+             .withColumn("copy", F.col("before") + F.col("i") - 1)
              .withColumn("key", draw_key(quality_weight(F.col("size"), F.col("chars"))))
              .withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * bins).cast("int")))
-    keyed = materialize(keyed.select("doc_id", "source", "size", "copy", "key", "bin"), "mix-keys")
+    keyed = materialize(keyed.select("doc_id", "source", "size", *carry, "copy", "key", "bin"), "mix-keys")
 
     by_bin = keyed.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
     sums = by_bin.groupBy("source").agg(F.sum("bin_size").alias("source_size"))
@@ -122,7 +141,7 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, bins: int = BINS) -> Data
     row = keyed.alias("k").join(
         plan.alias("p"), (F.col("k.bin") == F.col("p.bin"))
         & F.col("k.source").eqNullSafe(F.col("p.source"))).select(
-        "k.doc_id", "k.source", "k.size", "k.key", "k.copy", "k.bin", "bin_size", "bin_end",
+        "k.doc_id", "k.source", "k.size", *[f"k.{c}" for c in carry], "k.key", "k.copy", "k.bin", "bin_size", "bin_end",
         "source_size", "target", "epochs", "rest")
     base = F.col("epochs") * F.col("size")
     inside = F.col("bin_end") <= F.col("rest")
@@ -136,7 +155,7 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, bins: int = BINS) -> Data
     ended = row.where(~(inside | outside)).withColumn("end", end).withColumn(
         "taken", base + F.when(F.col("end") - F.col("size") / 2 <= F.col("rest"),
                                F.col("size")).otherwise(0))
-    columns = ["doc_id", "source", "size", "source_size", "target",
+    columns = ["doc_id", "source", *carry, "size", "source_size", "target",
                F.col("taken").cast("long").alias("taken")]
     return sure.select(*columns).unionByName(ended.select(*columns))
 
