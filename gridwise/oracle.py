@@ -536,6 +536,7 @@ SQL: dict[str, str] = {
     "inspections_mixed_areas":
         "SELECT inspection_round_id, location_id, score, stadsdeelcode, wijkcode, buurtcode, "
         f"gebiedscode, lat, lon FROM ({FLAGSHIP})",
+    "inspections_changed_areas": FLAGSHIP,
     "inspections_total_areas_stream": FLAGSHIP,
     "inspections_end_to_end": E2E,
 }

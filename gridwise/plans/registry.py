@@ -21,6 +21,7 @@ from gridwise.functions.text import (concat_text, content_type, dated_name, file
 from gridwise.operators import shape
 from gridwise.operators.joins import join_concat_key, join_prefix, union_all
 from gridwise.operators.row_index import with_row_index
+from gridwise.session import work_dir
 from gridwise.operators.spatial_join import spatial_join, within_candidates
 from gridwise.plans import enrich, inputs as I
 from gridwise.plans.loaders import inspection_rounds, inspection_types, landed_rounds
@@ -198,6 +199,29 @@ def inspections_total_areas(spark, sf_dir):
     return e.withColumn("lat", F.round("lat", 9)).withColumn("lon", F.round("lon", 9))
 
 
+@query
+def inspections_changed_areas(spark, sf_dir):
+    """E6 over layers of which three neighbourhoods and a working area changed since the
+    table was published: one is new, one moved, one has another name, one was dropped."""
+    from gridwise.plans.changed_areas import update_areas
+    from gridwise.sinks.tables import scan_table
+    from gridwise.sinks.versions import replace_version
+    t = _t(spark, sf_dir)
+    b6, w6, s6, g6 = I.rd_layers(t)
+    k = F.col("code")
+    moved = G.make_box(F.lit(109500), F.lit(481000), F.lit(116500), F.lit(492000), srid=28992)
+    old_b = (b6.where(k != "03a").withColumn("naam", F.when(k == "07a", "former").otherwise(F.col("naam")))
+             .withColumn("wkb_geometry", F.when(k == "05a", moved).otherwise(F.col("wkb_geometry"))))
+    gone = G.make_box(F.lit(120000), F.lit(480000), F.lit(121000), F.lit(490000), srid=28992)
+    old_g = g6.unionByName(g6.where(k == "G0").withColumn("wkb_geometry", gone))
+    total = _total(t)
+    old_d, d = enrich.area_hierarchy(old_b, w6, s6), enrich.area_hierarchy(b6, w6, s6)
+    path = replace_version(enrich.inspections_total_areas(total, old_d, old_g),
+                           work_dir(spark, "published_areas"))
+    e = update_areas(scan_table(spark, path), total, old_d, d, old_g, g6)
+    return e.withColumn("lat", F.round("lat", 9)).withColumn("lon", F.round("lon", 9))
+
+
 @query
 def inspections_end_to_end(spark, sf_dir):
     """The production flow in one plan: nested round documents -> E2 staging
