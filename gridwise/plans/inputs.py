@@ -209,9 +209,25 @@ def sd_codes(t: Tables) -> DataFrame:
 # flagship inputs: inspections (from part), score types, city layers in RD
 # ---------------------------------------------------------------------------
 
-def _dec4(v: Column) -> Column:
-    """integer ten-thousandths -> decimal text with 4 decimals."""
-    return F.concat(_txt(_div(v, 10000)), F.lit("."), F.lpad(_txt(v % 10000), 4, "0"))
+def _dec4(v: str) -> str:
+    """SQL text: integer ten-thousandths -> decimal text with 4 decimals."""
+    return f"cast(floor(({v}) / 10000) as bigint), '.', lpad(cast(({v}) % 10000 as string), 4, '0')"
+
+
+# lon = v.lon / 10000, lat = v.lat / 10000; 5 is half a side, in 1e-4 degrees
+def _insp_geojson() -> str:
+    def xy(dx: int, dy: int) -> str:
+        return f"'[', {_dec4(f'v.lon + {dx}')}, ',', {_dec4(f'v.lat + {dy}')}, ']'"
+
+    def ring(*corners: tuple[int, int]) -> str:
+        return ", ',', ".join(xy(*c) for c in corners)
+
+    return f"""case v.kind
+      when 0 then concat('{{"type":"Point","coordinates":', {xy(0, 0)}, '}}')
+      when 1 then concat('{{"type":"Polygon","coordinates":[[',
+        {ring((-5, -5), (5, -5), (5, 5), (-5, 5), (-5, -5))}, ']]}}')
+      when 2 then concat('{{"type":"LineString","coordinates":[', {ring((-5, 0), (5, 0))}, ']}}')
+      else concat('{{"type":"MultiPoint","coordinates":[', {ring((-5, -5), (5, 5))}, ']}}') end"""
 
 
 def insp_staging(t: Tables) -> DataFrame:
@@ -220,26 +236,7 @@ def insp_staging(t: Tables) -> DataFrame:
     k = F.col("p_partkey")
     vlon = F.lit(47000) + ((k * 37) % 1000) * 5    # lon = vlon / 10000
     vlat = F.lit(522000) + ((k * 91) % 1000) * 5   # lat = vlat / 10000
-    d = 5  # half size of the square / line, in 1e-4 degrees
-
-    def xy(a, b):
-        return F.concat(F.lit("["), _dec4(a), F.lit(","), _dec4(b), F.lit("]"))
-
-    kind = k % 4
-    geojson = (
-        F.when(kind == 0, F.concat(F.lit('{"type":"Point","coordinates":'), xy(vlon, vlat),
-                                   F.lit("}")))
-        .when(kind == 1, F.concat(F.lit('{"type":"Polygon","coordinates":[['),
-                                  xy(vlon - d, vlat - d), F.lit(","), xy(vlon + d, vlat - d),
-                                  F.lit(","), xy(vlon + d, vlat + d), F.lit(","),
-                                  xy(vlon - d, vlat + d), F.lit(","), xy(vlon - d, vlat - d),
-                                  F.lit("]]}")))
-        .when(kind == 2, F.concat(F.lit('{"type":"LineString","coordinates":['),
-                                  xy(vlon - d, vlat), F.lit(","), xy(vlon + d, vlat),
-                                  F.lit("]}")))
-        .otherwise(F.concat(F.lit('{"type":"MultiPoint","coordinates":['),
-                            xy(vlon - d, vlat - d), F.lit(","), xy(vlon + d, vlat + d),
-                            F.lit("]}"))))
+    geojson = bound(_insp_geojson(), kind=k % 4, lon=vlon, lat=vlat)
     day = F.lpad(_txt(k % 28 + 1), 2, "0")
     month = F.lpad(_txt(k % 12 + 1), 2, "0")
     no_photo = (k % 7) == 0
