@@ -36,24 +36,30 @@ def tiebreak(df: DataFrame):
     return F.xxhash64(*hashable) if hashable else F.lit(0).cast("long")
 
 
-def with_starts(df: DataFrame, order_cols: list[str], weight: Column, name: str = "_start",
+_LOW_BITS = (1 << 33) - 1  # a row's place in its partition, in monotonically_increasing_id
+
+
+def with_starts(df: DataFrame, order_cols: list[str], weight: Column | None, name: str = "_start",
                 partitions: int | None = None) -> DataFrame:
     """``df`` with the sum of the weights of all rows before each in the order of
     ``order_cols``.  Rows with equal keys follow each other in some order.  A null
-    weight counts as 0.
+    weight counts as 0; without ``weight`` every row weighs 1.
 
     ``df`` is evaluated once, by an eager checkpoint.
     """
     spark: SparkSession = df.sparkSession
     checkpoint_root(spark)
-    laid = (df.withColumn("_weight", F.coalesce(weight.cast("long"), F.lit(0).cast("long")))
+    each = F.lit(1) if weight is None else F.coalesce(weight, F.lit(0))
+    laid = (df.withColumn("_weight", each.cast("long"))
             .withColumn("_row", F.monotonically_increasing_id()).checkpoint(eager=True))
     # the rows' numbers split a key that a third of the table shares over several ranges
     light = (laid.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order_cols)],
                          "_row", "_weight"))
     keys = [*[F.col(f"_k{i}") for i in range(len(order_cols))], F.col("_row")]
     light = (light.repartitionByRange(*([partitions] if partitions else []), *keys)
-             .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+             .sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id())
+             .withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS)))
+             .checkpoint(eager=True))
     sums = light.groupBy("_pid").agg(F.sum("_weight").alias("_n"), F.count(F.lit(1)).alias("_rows"))
     offsets, total, rows = [], 0, 0
     for row in sums.orderBy("_pid").collect():
@@ -62,8 +68,9 @@ def with_starts(df: DataFrame, order_cols: list[str], weight: Column, name: str
         rows += int(row["_rows"])
     bases = spark.createDataFrame(offsets, StructType([
         StructField("_pid", LongType(), False), StructField("_base", LongType(), False)]))
-    before = Window.partitionBy("_pid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (light.withColumn("_in", F.coalesce(F.sum("_weight").over(before), F.lit(0)))
+    before = Window.partitionBy("_pid").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.col("_at") if weight is None else F.coalesce(F.sum("_weight").over(before), F.lit(0))
+    starts = (light.withColumn("_in", inside)
               .join(F.broadcast(bases), "_pid")   # one row per partition: bounded
               .select("_row", (F.col("_base") + F.col("_in")).alias(name)))
     # two numbers a row, counted above
@@ -74,4 +81,4 @@ def with_starts(df: DataFrame, order_cols: list[str], weight: Column, name: str
 def with_row_index(df: DataFrame, order_cols: list[str], name: str = "idx",
                    partitions: int | None = None) -> DataFrame:
     """``df`` with the dense number 0..n-1 of each row in the order of ``order_cols``."""
-    return with_starts(df, order_cols, F.lit(1), name, partitions)
+    return with_starts(df, order_cols, None, name, partitions)
