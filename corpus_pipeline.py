@@ -30,14 +30,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Operator 9: of each group of near duplicates one document stays.
 
     Rows get a number, written with them, as ids may be null or stand for several texts."""
-    rows = materialize(docs.select(F.monotonically_increasing_id().alias("_row"), "*"), "numbered")
-    joined = jaccard.join(rows.select(F.col("_row").alias("doc_id"), "text"))
-    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"),
-                     F.xxhash64("text").alias("h"), F.col("_row").alias("_row"))
+    rows = materialize(docs.select(F.monotonically_increasing_id().alias("_row"),
+                                   F.struct("*").alias("_doc")), "numbered")
+    joined = jaccard.join(rows.select(F.col("_row").alias("doc_id"), F.col("_doc.text").alias("text")))
+    order = F.struct(F.col("_doc.doc_id").isNull().alias("n"), F.col("_doc.doc_id").alias("i"),
+                     F.xxhash64("_doc.text").alias("h"), F.col("_row").alias("_row"))
     first = (joined.select(F.col("doc_id").alias("_row"), "component_id")
              .join(rows.select("_row", order.alias("o")), "_row")
              .groupBy("component_id").agg(F.min("o")["_row"].alias("_row")))
-    return rows.join(first.select("_row"), "_row", "left_semi").select(*docs.columns)
+    return rows.join(first.select("_row"), "_row", "left_semi").select("_doc.*")
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

