@@ -14,8 +14,9 @@ phrases at any size of corpus.  The steps at which phrases reached the threshold
 are told to the next scan by an array of at most 2**MAX_CELL_BITS bytes: that is
 all that is broadcast or collected, whatever the corpus.  Phrases that share a
 cell or a hash can only add candidates.  A last scan names the candidates by
-their words' hashes and counts them exactly; ``frequent_words`` makes sure that
-no frequent word shares its hash (another seed is taken if one does).
+their words' hashes and counts them exactly; ``spellings`` reads the texts once more
+for the frequent words' own texts and makes sure that none of them shares its hash
+with another word (another seed is taken if one does).
 
 Defined results: null and empty texts have no words; a null lang is ``und``.
 Repeated rows count as often as they occur.  Very long texts are encoded in
@@ -27,7 +28,6 @@ says: score, then count, then the phrase in UTF-8 byte order.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,17 +37,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridwise.llm.common import discard, materialize, table
+from gridwise.llm.common import discard, materialize, release_memory, table
 
 THRESHOLD = 100
 LONGEST = 5
 TOP = 2000
 SHARDS = 3
 SEGMENT_BYTES = 1 << 21
-CHUNK_WORDS = 1 << 18
-TASK_WORDS = 150_000
-COUNT_BUFFER = 1 << 21
-BUCKET_WORDS = 1 << 21
+CHUNK_WORDS = 1 << 15
+KNOWN_WORDS = 40_000  # of a language, in a task that hashes words
+SEEN_WORDS = 100_000  # of all languages, in a task that spells words
+TASK_LANGS = 16
+COUNT_BUFFER = 1 << 20
+NAMED_BUFFER = 1 << 18
+BUCKET_WORDS = 1 << 19
 MIN_CELL_BITS, MAX_CELL_BITS = 16, 26
 UNREACHED = 255
 
@@ -71,52 +74,38 @@ def segments(data: bytes, limit: int = SEGMENT_BYTES) -> Iterator[list[bytes]]:
 
 
 class _Lang(dict):
-    """Hash of each word of one language, and the words' counts."""
+    """Hash of each word of one language."""
 
     def __init__(self, lang: str, seed: int):
         super().__init__({BORDER: 0})
-        self.lang, self.seed, self.prefix = lang, seed, lang.encode() + BORDER
-        self.counts: Counter = Counter()
+        self.seed, self.prefix = seed, lang.encode() + BORDER
 
     def __missing__(self, word: bytes) -> int:
+        if len(self) > KNOWN_WORDS:
+            self.clear()
+            self[BORDER] = 0
         h = xxhash.xxh3_64_intdigest(self.prefix + word, self.seed) or 1
         self[word] = h
         return h
 
 
 ENCODED = pa.schema([("shard", pa.int32()), ("ids", pa.binary()), ("lead", pa.int32()),
-                     ("words", pa.int64()), ("lang", pa.string()), ("word", pa.string()),
-                     ("h", pa.int64()), ("n", pa.int64())])
+                     ("words", pa.int64()), ("lang", pa.string())])
 
 
 def encode(docs: DataFrame, seed: int, shards: int = SHARDS, longest: int = LONGEST,
            name: str = "phrase-words") -> DataFrame:
     """Two kinds of rows: chunks (shard, ids, lead, words), ids being hashes as
     little-endian 64-bit integers of which the first ``lead`` were counted in the
-    chunk before; and counts (lang, word, h, n) of each task's words."""
+    chunk before; and each task's number of words per language (lang, words)."""
 
     def chunk(shard: int, ids: list[np.ndarray], lead: int, words: int) -> pa.RecordBatch:
         row = {"shard": shard, "ids": np.concatenate(ids).tobytes(), "lead": lead, "words": words}
         return pa.RecordBatch.from_pylist([row], schema=ENCODED)
 
-    def tallies(langs: dict[str, _Lang]) -> Iterator[pa.RecordBatch]:
-        for known in langs.values():
-            items = list(known.counts.items())
-            if not items:
-                continue
-            count = len(items)
-            h = np.fromiter((known[w] for w, _ in items), dtype=np.uint64, count=count)
-            nothing = pa.nulls(count)
-            yield pa.RecordBatch.from_arrays(
-                [nothing.cast(pa.int32()), nothing.cast(pa.binary()), nothing.cast(pa.int32()),
-                 nothing.cast(pa.int64()), pa.array([known.lang] * count, pa.string()),
-                 pa.array([w for w, _ in items], pa.binary()).cast(pa.string()),
-                 pa.array(h.view(np.int64)), pa.array([n for _, n in items], pa.int64())],
-                schema=ENCODED)
-        langs.clear()
-
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs: dict[str, _Lang] = {}
+        totals: dict[str, int] = {}
         held: list[np.ndarray] = []
         lead = size = words = 0
         shard = 0
@@ -129,14 +118,16 @@ def encode(docs: DataFrame, seed: int, shards: int = SHARDS, longest: int = LONG
                 for tokens in segments(texts[at].as_py() or b""):
                     known = langs.get(lang)
                     if known is None:
+                        if len(langs) > TASK_LANGS:
+                            langs.clear()
                         known = langs[lang] = _Lang(lang, seed)
                     ids = np.fromiter(map(known.__getitem__, tokens), dtype=np.uint64,
                                       count=len(tokens))
-                    known.counts.update(tokens)
-                    borders = known.counts.pop(BORDER, 0)
+                    found = int(np.count_nonzero(ids))
+                    totals[lang] = totals.get(lang, 0) + found
                     held.append(ids)
                     size += len(ids)
-                    words += len(ids) - borders
+                    words += found
                     if size >= CHUNK_WORDS:
                         whole = np.concatenate(held)
                         yield chunk(shard, [whole], lead, words)
@@ -145,29 +136,66 @@ def encode(docs: DataFrame, seed: int, shards: int = SHARDS, longest: int = LONG
                         cut = np.flatnonzero(tail == 0)
                         tail = tail[cut[-1] + 1:] if len(cut) else tail
                         held, size, lead, words = [tail], len(tail), len(tail), 0
-                    if sum(map(len, langs.values())) > TASK_WORDS:
-                        yield from tallies(langs)
                 held.append(end)
                 size += 1
         if words:
             yield chunk(shard, held, lead, words)
-        yield from tallies(langs)
+        yield pa.RecordBatch.from_pylist([{"lang": k, "words": n} for k, n in totals.items()],
+                                         schema=ENCODED)
+        langs.clear()
+        release_memory()
 
     dealt = docs.select(F.pmod(F.spark_partition_id(), F.lit(shards)).cast("int").alias("shard"),
-                        F.coalesce("lang", F.lit("und")).alias("lang"), "text")
+                        _lang().alias("lang"), "text")
     return materialize(dealt.mapInArrow(
-        rows, "shard int, ids binary, lead int, words bigint, lang string, word string, "
-              "h bigint, n bigint"), name)
+        rows, "shard int, ids binary, lead int, words bigint, lang string"), name)
+
+
+def _lang() -> Column:
+    return F.coalesce("lang", F.lit("und"))
 
 
-def frequent_words(encoded: DataFrame, threshold: int) -> DataFrame:
-    """(h, lang, word, n, clash) of the words that reach ``threshold``, and of those
-    that share their hash with another word (clash)."""
-    counts = (encoded.where("word is not null").repartition("h")
-              .groupBy("h", "lang", "word").agg(F.sum("n").alias("n")))
+def spellings(docs: DataFrame, seed: int, cells: bytes, layout: Layout) -> DataFrame:
+    """(h, lang, word, clash) of the words that reached the threshold (and of others
+    that share a cell with one); clash marks words that share a hash."""
+    shared = docs.sparkSession.sparkContext.broadcast(cells)
+    schema = pa.schema([("h", pa.int64()), ("lang", pa.string()), ("word", pa.string())])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reached = np.frombuffer(zlib.decompress(shared.value), dtype=np.uint8)
+        told: dict[str, set[bytes]] = {}
+        seen: dict[str, set[bytes]] = {}
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary())
+            fresh: dict[str, set[bytes]] = {}
+            for lang, text in zip(batch.column("lang").to_pylist(), texts):
+                known, new = seen.setdefault(lang, {BORDER}), fresh.setdefault(lang, set())
+                for tokens in segments(text.as_py() or b""):
+                    unseen = set(tokens) - known
+                    new |= unseen
+                    known |= unseen
+                if sum(map(len, seen.values())) > SEEN_WORDS:
+                    seen.clear()
+            for lang, new in fresh.items():
+                sent = told.setdefault(lang, set())
+                words = list(new - sent)
+                prefix = lang.encode() + BORDER
+                h = np.fromiter((xxhash.xxh3_64_intdigest(prefix + w, seed) or 1 for w in words),
+                                dtype=np.uint64, count=len(words))
+                hit = np.flatnonzero(reached[layout.cell(layout.place(h))] != UNREACHED)
+                found = [words[i] for i in hit.tolist()]
+                sent.update(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[hit].view(np.int64)), pa.array([lang] * len(found), pa.string()),
+                     pa.array(found, pa.binary()).cast(pa.string())], schema=schema)
+        seen.clear()
+        release_memory()
+
+    found = docs.select(_lang().alias("lang"), "text").mapInArrow(
+        rows, "h bigint, lang string, word string")
+    each = found.repartition("h").distinct()
     same = F.count(F.lit(1)).over(Window.partitionBy("h"))
-    return (counts.withColumn("clash", same > 1)
-            .where((F.col("n") >= threshold) | F.col("clash")))
+    return each.withColumn("clash", same > 1)
 
 
 @dataclass(frozen=True)
@@ -283,6 +311,8 @@ def scan(encoded: DataFrame, step: int, cells: bytes, layout: Layout) -> DataFra
                     held, size = [], 0
         if size:
             yield packed()
+            held.clear()
+        release_memory()
 
     shard = encoded.where(F.col("shard") == step % layout.shards).select("ids", "lead")
     return shard.mapInArrow(count, "bucket int, keys binary, counts binary")
@@ -317,6 +347,7 @@ def merge(counts: DataFrame, step: int, layout: Layout) -> DataFrame:
         row = {"bucket": bucket, "keys": _five_bytes(keys[goes_on]), "counts": kept.tobytes(),
                "cells": np.unique(cell[hit & ~last]).tobytes(),
                "last_cells": np.unique(cell[hit & last]).tobytes()}
+        release_memory()
         return pa.Table.from_pylist([row], schema=STATE)
 
     return counts.groupBy("bucket").applyInArrow(
@@ -358,21 +389,35 @@ def count_cycles(encoded: DataFrame, layout: Layout) -> bytes:
     return zlib.compress(cells.tobytes(), 1)
 
 
+def _tallied(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows of word hashes and the sums of their counts."""
+    order = np.lexsort(words.T[::-1])
+    words, counts = words[order], counts[order]
+    new = np.concatenate([[True], (words[1:] != words[:-1]).any(axis=1)])
+    first = np.flatnonzero(new)
+    return words[first], np.add.reduceat(counts, first)
+
+
 def name_candidates(encoded: DataFrame, cells: bytes, layout: Layout) -> DataFrame:
     """(w1 .. w<longest>, a): the word hashes (0 beyond the last word) and the exact
-    number of occurrences of each phrase of two or more words that reaches the threshold."""
+    number of occurrences of each word and phrase that reaches the threshold."""
     shared = encoded.sparkSession.sparkContext.broadcast(cells)
-    names = [f"w{i + 1}" for i in range(layout.longest)]
-    schema = pa.schema([(c, pa.int64()) for c in names] + [("a", pa.int64())])
+    longest = layout.longest
+    names = [f"w{i + 1}" for i in range(longest)]
+    mix = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) % (1 << 64) for i in range(longest)],
+                   dtype=np.uint64)
 
-    def tally(held: list[np.ndarray]) -> pa.RecordBatch:
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
         words = np.concatenate(held)
-        words = words[np.lexsort(words.T[::-1])]
-        border = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]).any(axis=1)]))
-        counts = np.diff(np.concatenate([border, [len(words)]]))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.ascontiguousarray(words[border, i])) for i in range(layout.longest)]
-            + [pa.array(counts.astype(np.int64))], schema=schema)
+        words, counts = _tallied(words, np.ones(len(words), dtype=np.int64))
+        h = (words.view(np.uint64) * mix).sum(axis=1, dtype=np.uint64)
+        bucket = (((h >> np.uint64(40)) * np.uint64(layout.buckets)) >> np.uint64(24)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        words, counts, bucket = words[order], counts[order], bucket[order]
+        border = np.flatnonzero(np.diff(bucket)) + 1
+        rows = [{"bucket": int(bucket[s]), "keys": words[s:e].tobytes(), "counts": counts[s:e].tobytes()}
+                for s, e in zip([0, *border.tolist()], [*border.tolist(), len(words)])]
+        return pa.RecordBatch.from_pylist(rows, schema=PACKED)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reached = np.frombuffer(zlib.decompress(shared.value), dtype=np.uint8)
@@ -382,22 +427,32 @@ def name_candidates(encoded: DataFrame, cells: bytes, layout: Layout) -> DataFra
             for data, lead in zip(batch.column("ids"), batch.column("lead").to_pylist()):
                 ids = np.frombuffer(data.as_buffer(), dtype=np.uint64)
                 for length, _, first, known in active_phrases(ids, lead, reached, layout):
-                    at = np.flatnonzero(known & (first != UNREACHED)) if length > 1 else []
+                    at = np.flatnonzero(known & (first != UNREACHED))
                     if len(at):
-                        words = np.zeros((len(at), layout.longest), dtype=np.int64)
+                        words = np.zeros((len(at), longest), dtype=np.int64)
                         words[:, :length] = ids.view(np.int64)[at[:, None] + np.arange(length)]
                         held.append(words)
                         size += len(at)
-                if size > COUNT_BUFFER // 2:
-                    yield tally(held)
+                if size > NAMED_BUFFER:
+                    yield packed(held)
                     held, size = [], 0
         if size:
-            yield tally(held)
+            yield packed(held)
+            held.clear()
+        release_memory()
+
+    def together(group: pa.Table) -> pa.Table:
+        words = np.concatenate([np.frombuffer(k, dtype=np.int64) for k in group["keys"].to_pylist()])
+        counts = np.concatenate([np.frombuffer(c, dtype=np.int64) for c in group["counts"].to_pylist()])
+        words, counts = _tallied(words.reshape(-1, longest), counts)
+        kept = counts >= layout.threshold
+        return pa.table({**{n: np.ascontiguousarray(words[kept, i]) for i, n in enumerate(names)},
+                         "a": counts[kept]})
 
     found = encoded.where("ids is not null").select("ids", "lead").mapInArrow(
-        rows, ", ".join(f"{c} bigint" for c in [*names, "a"]))
-    return (found.groupBy(*names).agg(F.sum("a").alias("a"))
-            .where(F.col("a") >= layout.threshold))
+        rows, "bucket int, keys binary, counts binary")
+    return found.groupBy("bucket").applyInArrow(
+        together, ", ".join(f"{c} bigint" for c in [*names, "a"]))
 
 
 def spelled(candidates: DataFrame, words: DataFrame, longest: int = LONGEST) -> DataFrame:
@@ -451,23 +506,25 @@ def collocations(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LON
                  shards: int = SHARDS, top: int = TOP) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of each language's first ``top``
     phrases of ``docs`` (columns lang and text)."""
+    parallel = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seed = 0
     while True:
         encoded = encode(docs, seed, shards, longest)
-        words = materialize(frequent_words(encoded, threshold), "phrase-frequent")
+        total = encoded.where("lang is not null").agg(F.sum("words")).first()[0] or 0
+        bits = min(MAX_CELL_BITS, max(MIN_CELL_BITS, (total // 8).bit_length()))
+        layout = Layout(max(parallel, -(-total // BUCKET_WORDS)), bits, shards, threshold, longest)
+        cells = count_cycles(encoded, layout)
+        named = materialize(name_candidates(encoded, cells, layout), "phrase-named")
+        told = materialize(spellings(docs, seed, cells, layout), "phrase-spellings")
+        frequent = named.where("w2 = 0").select(F.col("w1").alias("h"), F.col("a").alias("n"))
+        words = told.join(frequent, "h")
         if words.where("clash").isEmpty():
             break
-        discard(encoded)
-        discard(words)
+        for table_of in (encoded, named, told):
+            discard(table_of)
         seed += 1
-    total = encoded.agg(F.sum("words")).first()[0] or 0
-    parallel = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = min(MAX_CELL_BITS, max(MIN_CELL_BITS, (total // 8).bit_length()))
-    layout = Layout(max(parallel, -(-total // BUCKET_WORDS)), bits, shards, threshold, longest)
-    cells = count_cycles(encoded, layout)
-    named = spelled(name_candidates(encoded, cells, layout), words, longest)
-    phrases = materialize(named, "phrase-candidates")
-    totals = encoded.where("word is not null").groupBy("lang").agg(F.sum("n").alias("n"))
+    phrases = materialize(spelled(named.where("w2 <> 0"), words, longest), "phrase-candidates")
+    totals = encoded.where("lang is not null").groupBy("lang").agg(F.sum("words").alias("n"))
     ranked = scored(phrases, words, totals).join(
         maximal(phrases).select("lang", "phrase"), ["lang", "phrase"])
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

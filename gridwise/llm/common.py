@@ -8,8 +8,10 @@ rows are written as Parquet below the shared folder that the cluster names in
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,18 @@ def discard(written: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release_memory() -> None:
+    """Give the memory that a task freed back to the system.
+
+    Python workers stay for later tasks, and what their allocators keep counts against
+    an executor's memory.  Where the C library has no such call, nothing happens."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def held_out(doc_id: Column) -> Column:
     """True where crc32 of the id as text is divisible by five; rows without
     an id count as held out, so nothing is learned from them."""
