@@ -407,9 +407,13 @@ def name_candidates(encoded: DataFrame, cells: bytes, layout: Layout) -> DataFra
     mix = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) % (1 << 64) for i in range(longest)],
                    dtype=np.uint64)
 
-    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+    def added(known: tuple, held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """What the task counted so far, with the phrases of ``held``."""
         words = np.concatenate(held)
         words, counts = _tallied(words, np.ones(len(words), dtype=np.int64))
+        return _tallied(np.concatenate([known[0], words]), np.concatenate([known[1], counts]))
+
+    def packed(words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         h = (words.view(np.uint64) * mix).sum(axis=1, dtype=np.uint64)
         bucket = (((h >> np.uint64(40)) * np.uint64(layout.buckets)) >> np.uint64(24)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
@@ -423,6 +427,8 @@ def name_candidates(encoded: DataFrame, cells: bytes, layout: Layout) -> DataFra
         reached = np.frombuffer(zlib.decompress(shared.value), dtype=np.uint8)
         held: list[np.ndarray] = []
         size = 0
+        none = np.zeros((0, longest), dtype=np.int64), np.zeros(0, dtype=np.int64)
+        so_far = none
         for batch in batches:
             for data, lead in zip(batch.column("ids"), batch.column("lead").to_pylist()):
                 ids = np.frombuffer(data.as_buffer(), dtype=np.uint64)
@@ -434,11 +440,16 @@ def name_candidates(encoded: DataFrame, cells: bytes, layout: Layout) -> DataFra
                         held.append(words)
                         size += len(at)
                 if size > NAMED_BUFFER:
-                    yield packed(held)
-                    held, size = [], 0
+                    so_far, held, size = added(so_far, held), [], 0
+                    if len(so_far[1]) > NAMED_BUFFER:
+                        yield packed(*so_far)
+                        so_far = none
         if size:
-            yield packed(held)
+            so_far = added(so_far, held)
             held.clear()
+        if len(so_far[1]):
+            yield packed(*so_far)
+        so_far = none
         release_memory()
 
     def together(group: pa.Table) -> pa.Table:
