@@ -50,17 +50,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridwise.llm import shingles
-from gridwise.llm.common import components, group_min_by_salt, materialize, table
+from gridwise.llm.common import (components, group_min_by_salt, materialize, release_memory,
+                                 table)
 
 PERCENT = 75
 SALTS = 64
 RARE_LIMIT = 4
 CELL_BITS = 27
-GROUP_TOKENS = 1 << 22
-BATCH_CHARS = 1 << 22
+GROUP_TOKENS = 1 << 21
+BATCH_CHARS = 1 << 20
+SLICE_ROWS = 256
 PARITY_BITS = 1024
 BROADCAST_IDS = 1 << 20
-CACHED_TOKENS = 1 << 22
+CACHED_TOKENS = 1 << 20
 _SINGLE, _PAIR = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
@@ -108,15 +110,32 @@ def _parts(texts: list) -> Iterator[list]:
         yield held
 
 
+def _text_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+    """The texts of batches in runs of about ``BATCH_CHARS`` characters, taken out of
+    the batch a few rows at a time."""
+    for batch in batches:
+        texts = batch.column("text")
+        held, size = [], 0
+        for at in range(0, len(texts), SLICE_ROWS):
+            for text in texts.slice(at, SLICE_ROWS).to_pylist():
+                held.append(text)
+                size += len(text or "")
+                if size >= BATCH_CHARS:
+                    yield held
+                    held, size = [], 0
+        if held:
+            yield held
+    release_memory()
+
+
 def _distinct_sets(batches) -> Iterator[list[tuple[int, np.ndarray]]]:
     """(first half of the digest, set) of the different non-empty sets of runs of texts."""
-    for batch in batches:
-        for part in _parts(batch.column("text").to_pylist()):
-            found: dict[tuple[int, int], np.ndarray] = {}
-            for s in shingles.sets(part):
-                if len(s):
-                    found.setdefault(shingles.digest(s), s)
-            yield [(d[0], s) for d, s in found.items()]
+    for part in _text_parts(batches):
+        found: dict[tuple[int, int], np.ndarray] = {}
+        for s in shingles.sets(part):
+            if len(s):
+                found.setdefault(shingles.digest(s), s)
+        yield [(d[0], s) for d, s in found.items()]
 
 
 def allowed_loss(n, percent: int = PERCENT):
@@ -172,6 +191,7 @@ def heavy_cells(docs: DataFrame, tokens: int, limit: int = RARE_LIMIT) -> np.nda
         marked = np.zeros(1 << slice_bits, bool)
         marked[cells & np.uint32((1 << slice_bits) - 1)] = True
         packed = zlib.compress(np.packbits(marked, bitorder="little").tobytes(), 1)
+        release_memory()
         return pa.table({"part": pa.array([int(bucket[0] >> shift)], pa.int32()),
                          "cells": pa.array([packed], pa.binary())})
 
@@ -384,37 +404,52 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     holds the texts of one pair; rows stream through."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        recent: dict[str, np.ndarray] = {}
+        recent: dict[tuple[int, int], np.ndarray] = {}  # by node: its digest and id
         held = 0
         for batch in batches:
-            u, v = batch.column("u").to_pylist(), batch.column("v").to_pylist()
-            ta, tb = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
             links = []
-            for at in range(0, len(u), 256):
-                texts = list(dict.fromkeys(ta[at:at + 256] + tb[at:at + 256]))
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                rows = batch.slice(at, SLICE_ROWS)
+                ends = [list(zip(rows.column(h).to_pylist(), rows.column(i).to_pylist()))
+                        for h, i in (("a", "u"), ("b", "v"))]
                 if held > CACHED_TOKENS:
                     recent.clear()
                     held = 0
-                fresh = [t for t in texts if t not in recent]
-                for part in _parts(fresh):
-                    found = shingles.sets(part)
+                fresh: dict[tuple[int, int], tuple[str, int]] = {}
+                for nodes_of, column in zip(ends, ("ta", "tb")):
+                    for i, node in enumerate(nodes_of):
+                        if node not in recent:
+                            fresh.setdefault(node, (column, i))
+                names, texts, size = [], [], 0
+                for node, (column, i) in fresh.items():
+                    text = rows.column(column)[i].as_py()
+                    names.append(node)
+                    texts.append(text)
+                    size += len(text)
+                    if size >= BATCH_CHARS:
+                        found = shingles.sets(texts)
+                        held += sum(map(len, found))
+                        recent.update(zip(names, found))
+                        names, texts, size = [], [], 0
+                if names:
+                    found = shingles.sets(texts)
                     held += sum(map(len, found))
-                    recent.update(zip(part, found))
-                for i in range(at, min(at + 256, len(u))):
-                    x, y = recent[ta[i]], recent[tb[i]]
+                    recent.update(zip(names, found))
+                for i, (one, other) in enumerate(zip(*ends)):
+                    x, y = recent[one], recent[other]
                     both = np.intersect1d(x, y, assume_unique=True).size
                     if 100 * both >= PERCENT * (len(x) + len(y) - both):
-                        links.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([u[i] for i in links], pa.int64()),
-                 pa.array([v[i] for i in links], pa.int64())], ["u", "v"])
+                        links.append(at + i)
+            yield batch.select(["u", "v"]).take(pa.array(links, pa.int64()))
+        recent.clear()
+        release_memory()
 
     texts = _node_texts(docs, pairs.select(F.col("a").alias("h1"), F.col("u").alias("rep"))
                         .unionByName(pairs.select(F.col("b").alias("h1"), F.col("v").alias("rep")))
                         .distinct())
     left = texts.select(F.col("h1").alias("a"), F.col("rep").alias("u"), F.col("text").alias("ta"))
     right = texts.select(F.col("h1").alias("b"), F.col("rep").alias("v"), F.col("text").alias("tb"))
-    return (pairs.join(left, ["a", "u"]).join(right, ["b", "v"]).select("u", "v", "ta", "tb")
+    return (pairs.join(left, ["a", "u"]).join(right, ["b", "v"]).select("a", "b", "u", "v", "ta", "tb")
             .mapInArrow(compare, "u long, v long"))
 
 

@@ -14,7 +14,7 @@ import numpy as np
 import xxhash
 
 WIDTH = 5
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 19
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _BASE = 0xD6E8FEB86659FD93 | 1
