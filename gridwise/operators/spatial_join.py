@@ -10,7 +10,7 @@ join an equality key instead:
 2. every point falls in one cell per level that the layer has, so a
    (point, polygon) pair meets at most once — no de-duplication needed;
 3. equi-join on the cell: a broadcast hash join when the polygon side's bound is
-   below the limit, otherwise a shuffled join on the salted cell;
+   below the limit, otherwise a sort-merge join on the salted cell;
 4. the bounding-box test and then the exact ``within`` test run as the join
    condition.
 
@@ -195,8 +195,9 @@ def _candidates(points: DataFrame, polys: DataFrame, x: str, y: str, geom: str,
         F.pmod(F.xxhash64(px, py), F.lit(salt)).cast("int").alias("_p_s"))
         for level, fine in levels])
     pts = points.where(px.isNotNull() & py.isNotNull()).select("*", F.inline(probes))
-    if grid.broadcast:
-        cells = F.broadcast(cells)
+    # without a hint the planner may broadcast a layer above the bound: it takes the frame
+    # for as small as the file that its edges were made from
+    cells = F.broadcast(cells) if grid.broadcast else cells.hint("merge")
     inside = ((px >= box["minx"]) & (px <= box["maxx"]) & (py >= box["miny"]) & (py <= box["maxy"])
               if closed else
               (px > box["minx"]) & (px < box["maxx"]) & (py > box["miny"]) & (py < box["maxy"])

@@ -97,6 +97,22 @@ def test_plan_has_equi_join_not_cartesian(spark):
         assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
 
 
+def test_layer_above_the_bound_is_not_broadcast(spark, tmp_path):
+    """A small file of few rows whose polygons have many edges."""
+    spark.range(3).write.parquet(f"{tmp_path}/layer")
+    ring = F.transform(F.sequence(F.lit(0), F.lit(2000)), lambda i: F.struct(
+        (F.col("id") + 0.4 * F.cos(i % 2000 * math.pi / 1000)).alias("x"),
+        (F.col("id") + 0.4 * F.sin(i % 2000 * math.pi / 1000)).alias("y")))
+    gdf = spark.read.parquet(f"{tmp_path}/layer").select(F.col("id").alias("gid"), F.struct(
+        F.lit(0).alias("srid"), F.lit(2).alias("dim"), F.array(F.array(ring)).alias("parts")).alias("geom"))
+    pdf = spark.range(40).select(F.col("id").alias("pid"), (F.col("id") / 10).alias("x"),
+                                 (F.col("id") / 10).alias("y"))
+    joined = spatial_join(pdf, gdf, broadcast_limit=1 << 20)
+    assert "Broadcast" not in _plan(joined)
+    assert {(r.pid, r.gid) for r in joined.collect()} == {
+        (p, g) for p in range(40) for g in range(3) if 2 * (p / 10 - g) ** 2 < 0.16}
+
+
 def _star(cx, cy, r_out, r_in, n):
     import math
     pts = []
