@@ -44,13 +44,26 @@ def nest(df: DataFrame, group_keys: list[str], order_keys: list[str], fields: li
     That cut is arithmetic: it needs no total order and no checkpoint, and it is
     the same on every cluster.
     """
+    carried = [F.struct(*fields).alias("_v")]
+    rows = nest_rows(df, group_keys, order_keys, list_name, max_size, span, carried)
+    return rows.withColumn(list_name, F.transform(list_name, lambda e: e["_v"]))
+
+
+def nest_rows(df: DataFrame, group_keys: list[str], order_keys: list[str], list_name: str,
+              max_size: int = 64, span: int | None = None, carried: list[Column] = (),
+              together: str | None = None) -> DataFrame:
+    """``nest`` whose lists hold the order keys under their own names and the ``carried``
+    columns.  Wide fields that follow from these are better made after the last shuffle.
+
+    With ``together``, one of the group keys, the rows are dealt out by that key alone: a
+    join on it needs no second shuffle, and no lists are serialised before the first."""
     if span is None:
         chunked = bounded_chunks(df, group_keys, order_keys, max_size)
     else:
         chunked = df.withColumn("_chunk", F.floor(F.col(order_keys[0]) / F.lit(span)))
-    ordered = F.struct(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(order_keys)],
-                       F.struct(*fields).alias("_v"))
-    agg = (chunked.groupBy(*group_keys, "_chunk")
-           .agg(F.array_sort(F.collect_list(ordered)).alias("_l")))
-    return agg.select(*group_keys, "_chunk",
-                      F.transform("_l", lambda e: e["_v"]).alias(list_name))
+    ordered = F.struct(*order_keys, *carried)
+    if together is not None:
+        chunked = chunked.select(*group_keys, "_chunk", ordered.alias("_e")).repartition(together)
+        ordered = F.col("_e")
+    return chunked.groupBy(*group_keys, "_chunk").agg(
+        F.array_sort(F.collect_list(ordered)).alias(list_name))

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from gridwise.functions.geometry import bound, make_box
 from gridwise.operators.joins import broadcast_if_small
-from gridwise.operators.nesting import nest
+from gridwise.operators.nesting import nest, nest_rows
+from gridwise.operators.spatial_join import computed_once
 
 
 class Tables:
@@ -346,49 +347,70 @@ def _photos(k: Column, n: Column) -> Column:
             .otherwise(F.array(ph(0), ph(1))))
 
 
-def round_docs(t: Tables, line_span: int = 64, order_span: int = 1 << 16) -> DataFrame:
-    """Rounds cut by spans of their orders' keys, results by spans of line numbers."""
-    li = t("lineitem")
-    o = t("orders")
-    c = t("customer")
-    results = nest(li, ["l_orderkey"], LINE_ORDER[1:], [
-        F.col("l_linenumber").cast("bigint").alias("id"),
-        (F.col("l_partkey") % 25).alias("score"),
-        F.struct((F.col("l_suppkey") % 5).alias("id")).alias("inspectionItem"),
-        F.concat(F.lit("user "), _txt(F.col("l_suppkey"))).alias("creatingUserDisplayName"),
-        F.col("l_suppkey").alias("creatingUserId"),
-        _photos(F.col("l_partkey"), F.col("l_linenumber") % 3).alias("photos"),
-        F.col("l_quantity").alias("quantity"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("createdAt"),
-    ], "results", span=line_span)
-    ok = F.col("o_orderkey")
+def _result(line: Column) -> Column:
+    """The result document of a lineitem."""
+    return F.struct(
+        line["l_linenumber"].cast("bigint").alias("id"),
+        (line["l_partkey"] % 25).alias("score"),
+        F.struct((line["l_suppkey"] % 5).alias("id")).alias("inspectionItem"),
+        F.concat(F.lit("user "), _txt(line["l_suppkey"])).alias("creatingUserDisplayName"),
+        line["l_suppkey"].alias("creatingUserId"),
+        _photos(line["l_partkey"], line["l_linenumber"] % 3).alias("photos"),
+        line["l_quantity"].alias("quantity"),
+        F.date_format(line["l_shipdate"], "yyyy-MM-dd").alias("createdAt"))
+
+
+def _inspection(order: Column) -> Column:
+    """The inspection document of an order with its list of lines."""
+    ok = order["o_orderkey"]
     # WGS 84 degrees: lon = 4.7 + v/2000, lat = 52.2 + w/2000
     gx = (F.lit(47000) + ((ok * 37) % 1000) * 5).cast("double") / F.lit(10000.0)
     gy = (F.lit(522000) + ((ok * 91) % 1000) * 5).cast("double") / F.lit(10000.0)
-    orders = (o.join(results, o["o_orderkey"] == results["l_orderkey"], "left")
-              .select("o_custkey", "o_orderkey",
-                      F.coalesce(F.col("_chunk"), F.lit(-1)).alias("_rchunk"),
-                      F.coalesce(F.col("results"), F.array().cast(results.schema["results"]
-                                                                  .dataType)).alias("results"),
-                      "o_orderpriority", "o_orderdate", "o_orderstatus"))
-    insps = nest(orders, ["o_custkey"], ["o_orderkey", "_rchunk"], [
-        F.col("o_orderkey").alias("id"),
-        F.col("o_orderpriority").alias("closingUserDisplayName"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("createdAt"),
-        F.struct(F.col("o_orderkey").alias("locationId"),
+    return F.struct(
+        ok.alias("id"),
+        order["o_orderpriority"].alias("closingUserDisplayName"),
+        order["createdAt"].alias("createdAt"),
+        F.struct(ok.alias("locationId"),
                  F.struct(gx.alias("x"), gy.alias("y")).alias("geoJsonProperties"),
                  F.struct(F.lit("Feature").alias("type"),
                           F.struct(F.lit("Point").alias("type"),
                                    F.array(gx, gy).alias("coordinates")).alias("geometry"))
                  .alias("geoJsonFeature")).alias("location"),
-        F.col("o_orderstatus").alias("status"),
+        order["o_orderstatus"].alias("status"),
         F.lit("x").alias("modifiedAt"),
-        F.col("results"),
-    ], "inspections", span=order_span)
+        F.transform(order["lines"], _result).alias("results"))
+
+
+def _or_empty(df: DataFrame, name: str) -> Column:
+    return F.coalesce(F.col(name), F.array().cast(df.schema[name].dataType))
+
+
+def round_docs(t: Tables, line_span: int = 64, order_span: int = 1 << 16) -> DataFrame:
+    """Rounds cut by spans of their orders' keys, results by spans of line numbers.
+
+    The lines are shuffled twice, as bare columns: by order and, in lists of those that
+    the documents need, by customer.  The documents' fields are made of them after that."""
+    li = t("lineitem")
+    o = t("orders")
+    c = t("customer")
+    lines = nest_rows(li, ["l_orderkey"], LINE_ORDER[1:], "lines", span=line_span,
+                      together="l_orderkey")
+    needed = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
+    lines = lines.withColumn("lines", F.transform(
+        "lines", lambda e: F.struct(*[e[n].alias(n) for n in needed])))
+    orders = (o.join(lines, o["o_orderkey"] == lines["l_orderkey"], "left")
+              .select("o_custkey", "o_orderkey",
+                      F.coalesce(F.col("_chunk"), F.lit(-1)).alias("_rchunk"),
+                      _or_empty(lines, "lines").alias("lines"),
+                      "o_orderpriority", "o_orderdate", "o_orderstatus"))
+    insps = nest_rows(orders, ["o_custkey"], ["o_orderkey", "_rchunk"], "orders", span=order_span,
+                      carried=[F.col("o_orderpriority"),
+                               F.date_format("o_orderdate", "yyyy-MM-dd").alias("createdAt"),
+                               F.col("o_orderstatus"), F.col("lines")], together="o_custkey")
     ck = F.col("c_custkey")
     day = F.lpad(_txt(ck % 28 + 1), 2, "0")
     docs = c.join(insps, c["c_custkey"] == insps["o_custkey"], "left")
-    return docs.select(
+    docs = docs.select(
         ck.alias("id"),
         F.col("c_name").alias("inspectionRoundName"),
         F.concat(F.lit("2024-01-"), day).alias("modifiedAt"),
@@ -396,9 +418,9 @@ def round_docs(t: Tables, line_span: int = 64, order_span: int = 1 << 16) -> Dat
         .otherwise(F.concat(F.lit("2024-02-"), day)).alias("roundResultCompletedAt"),
         F.col("c_mktsegment").alias("segment"),
         F.coalesce(F.col("_chunk"), F.lit(-1)).alias("_doc_chunk"),
-        F.coalesce(F.col("inspections"),
-                   F.array().cast(insps.schema["inspections"].dataType)).alias("inspections"),
+        _or_empty(insps, "orders").alias("_orders"),
     )
+    return computed_once(docs, inspections=F.transform("_orders", _inspection)).drop("_orders")
 
 
 def open_documents(t: Tables) -> DataFrame:
