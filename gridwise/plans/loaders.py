@@ -9,7 +9,8 @@ from pyspark.sql.types import StructType
 
 from gridwise.operators import shape
 from gridwise.operators.round_text import explode_round_texts
-from gridwise.operators.row_index import with_row_index, with_starts
+from gridwise.operators.row_index import starts_of, stored_rows, with_row_index
+from gridwise.sinks.stored import stored
 from gridwise.sources.documents import read_json_text
 
 
@@ -33,15 +34,16 @@ def inspection_rounds(docs: DataFrame, doc_order: list[str] | None = None,
     text, merge round > inspection > result, flatten to dotted columns) with
     ``idx`` in document order.
 
-    The inspections are numbered by the sizes of their lists of results before these
-    unfold, so the documents are evaluated once."""
-    if not with_index:
-        return _staged(shape.explode_rounds(docs, mode=mode, doc_order=doc_order), False)
+    The documents are evaluated once: their inspections are stored before the longest
+    lists are measured, and numbered by the sizes of their lists of results before these
+    unfold."""
     level = shape.inspection_level(docs, mode, doc_order)
+    if not with_index:
+        return _staged(shape.result_level(stored(level, "inspections"), mode), False)
     size = F.size(F.col("_m").getField(shape.INSPECTION_RESULTS))
-    numbered = with_starts(level, ["_doc", "_i"], F.greatest(size, F.lit(0)))
-    rows = shape.result_level(numbered, mode)
-    flat_cols = shape.flatten_columns(rows, "rec")
+    laid = stored_rows(level, F.greatest(size, F.lit(0)))
+    flat_cols = shape.flatten_columns(shape.result_level(laid, mode), "rec")
+    rows = shape.result_level(starts_of(laid, ["_doc", "_i"]), mode)
     return rows.select((F.col("_start") + F.col("_r")).alias("idx"),
                        *[e.alias(n) for n, e in flat_cols], "geojson")
 
@@ -86,5 +88,5 @@ def _staged(rows: DataFrame, with_index: bool) -> DataFrame:
     if not with_index:
         return rows.select(*[e.alias(n) for n, e in flat_cols], "geojson")
     flat = rows.select("_doc", "_i", "_r", *[e.alias(n) for n, e in flat_cols], "geojson")
-    out = with_row_index(flat, ["_doc", "_i", "_r"])   # checkpointed layout
+    out = with_row_index(flat, ["_doc", "_i", "_r"])   # stored layout
     return out.select("idx", *[F.col(f"`{n}`") for n in names])
