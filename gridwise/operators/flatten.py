@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
+from gridwise.sinks.stored import stored
+
 _ENTRY = "array<struct<path:string,value:string>>"
 
 
@@ -164,17 +166,21 @@ def flatten_json_long(docs: DataFrame, ids: list[str], text: str, sep: str = "."
     that is no JSON raises (``failfast``) or has no leaf (``permissive``).
 
     ``depth`` levels are unfolded; without it the deepest text's, which one aggregate
-    over the texts measures.  Values below ``depth`` stay JSON text.  The plan has one
+    over the stored texts measures.  Values below ``depth`` stay JSON text.  The plan has one
     explode a level, whatever the lengths of lists; only texts with a key that holds
     ``sep`` are shuffled, to compare their leaves' paths.
     """
     if mode not in ("failfast", "permissive"):
         raise ValueError("mode must be 'failfast' or 'permissive'")
     source = F.col(text)
+    dotted = _has_key_with(source, sep)
     if depth is None:
-        depth = docs.agg(F.max(json_depth(source))).first()[0] or 0
+        # the texts are read for the measure and for either kind of them
+        docs = stored(docs.select(*ids, source.alias("_source"), json_depth(source).alias("_depth"),
+                                  dotted.alias("_dotted")), "texts")
+        depth = docs.agg(F.max("_depth")).first()[0] or 0
+        source, dotted = F.col("_source"), F.col("_dotted")
     parsed = F.parse_json(source) if mode == "failfast" else F.try_parse_json(source)
-    dotted = _has_key_with(source, sep)
     rows = docs.where(source.isNotNull()).select(
         *ids, F.lit(None).cast("string").alias("path"),
         F.when(dotted, F.monotonically_increasing_id()).alias("_doc"),

@@ -427,12 +427,14 @@ def open_documents(t: Tables) -> DataFrame:
     """(id, value): a JSON text per order, with its lines as a list of objects that
     hold lists, a member ``x`` of another type in every kind of order, and a pair of
     members whose leaves have one path, in either order."""
-    lines = nest(t("lineitem"), ["l_orderkey"], LINE_ORDER[1:], [
-        F.col("l_linenumber").cast("bigint").alias("id"), F.col("l_partkey").alias("part"),
-        F.transform(F.sequence(F.lit(0), F.col("l_linenumber").cast("int") % 3),
-                    lambda i: F.concat(F.lit("t"), _txt(i))).alias("tags")], "lines", span=64)
+    lines = nest_rows(t("lineitem"), ["l_orderkey"], LINE_ORDER[1:], "_lines", span=64,
+                      together="l_orderkey")
     ok = F.col("o_orderkey")
     o = t("orders").join(lines, ok == F.col("l_orderkey"), "left")
+    listed = F.transform("_lines", lambda e: F.struct(
+        e["l_linenumber"].cast("bigint").alias("id"), e["l_partkey"].alias("part"),
+        F.transform(F.sequence(F.lit(0), e["l_linenumber"].cast("int") % 3),
+                    lambda i: F.concat(F.lit("t"), _txt(i))).alias("tags")))
     k = _txt(ok)
     x = (F.when(ok % 6 == 0, F.concat(F.lit(',"x":'), k))
          .when(ok % 6 == 1, F.concat(F.lit(',"x":"s '), k, F.lit('"')))
@@ -443,7 +445,7 @@ def open_documents(t: Tables) -> DataFrame:
             .when(ok % 7 == 1, F.concat(F.lit(',"a.b":0,"a":{"b":'), k, F.lit("}")))
             .otherwise(F.lit("")))
     text = F.concat(F.lit('{"o":'), k, x, pair, F.lit(',"lines":'),
-                    F.coalesce(F.to_json("lines"), F.lit("[]")), F.lit("}"))
+                    F.coalesce(F.to_json(listed), F.lit("[]")), F.lit("}"))
     return o.select(ok.alias("id"), text.alias("value"))
 
 

@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from gridwise.operators.flatten import flatten_json_long
 from gridwise.operators.row_index import with_starts
 from gridwise.plans import inputs as I
 from gridwise.plans.loaders import inspection_rounds
@@ -92,3 +93,19 @@ def test_stored_keeps_what_parquet_cannot(spark):
         got = stored(df, "test")
         assert got.dtypes == df.dtypes
         assert sorted(got.collect()) == sorted(df.collect())
+
+
+def test_open_documents_are_evaluated_once(spark):
+    """The measure of the depth and both kinds of texts read what is stored."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    plain = spark.createDataFrame([(1, '{"a":[{"b":1}]}'), (2, '{"a":{"b":1},"a.b":2}'), (3, None)],
+                                  "id long, t string")
+    rows = flatten_json_long(plain.mapInPandas(counted, plain.schema), ["id"], "t").collect()
+    assert sorted((r.id, r.path, r.value) for r in rows) == [(1, "a.0.b", "1"), (2, "a.b", "2")]
+    assert reads.value == 3
