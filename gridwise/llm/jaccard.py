@@ -521,6 +521,7 @@ def join(docs: DataFrame) -> DataFrame:
     heavy = spark.sparkContext.broadcast(heavy_cells(docs, tokens))
     groups = materialize(shared_tokens(docs, heavy, tokens).unionByName(
         pair_signatures(docs, heavy)), "jaccard-groups")
+    heavy.destroy()  # the groups are written
     known = materialize(nodes(index), "jaccard-nodes")
 
     tested = materialize(neighbours(groups, ["n", "h1"]), "jaccard-pairs")
@@ -539,7 +540,8 @@ def join(docs: DataFrame) -> DataFrame:
             continue
         more = materialize(verified(likely, docs), "jaccard-links")
         if not more.isEmpty():
-            links = links.unionByName(more)
+            # what is joined already counts as a star, so only what is new takes rounds
+            links = found.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more)
             found = materialize(components(links, name="jaccard-components"), "jaccard-found")
 
     # membership: a set's smallest id, and that id's component, per set and salt
