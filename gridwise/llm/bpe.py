@@ -50,6 +50,7 @@ CACHED_CHUNKS = 1 << 18
 CACHED_CHUNK_CHARS = 64
 ARRAY_WORD_BYTES = 32
 NO_MERGE = 1 << 62
+LETTERS_FIRST = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|"
 OUTPUTS = ("n_tokens", "ids_sha256", "decoded_sha256")
 
 
@@ -125,12 +126,19 @@ class Vocabulary:
         self.symbols = byte_symbols()
         self.inner = [self.ids[s] for s in self.symbols]
         self.last = [self.ids[s + self.suffix] for s in self.symbols]
+        self.inner_ids, self.last_ids = np.array(self.inner, np.int32), np.array(self.last, np.int32)
+        if len(self.pair_keys):  # of each two bytes, the second within a word or its last
+            bytes_each = np.repeat(self.inner_ids, 256).reshape(256, 256)
+            self.inner_pairs = self._pairs(bytes_each, bytes_each.T)
+            self.last_pairs = self._pairs(bytes_each, np.broadcast_to(self.last_ids, (256, 256)))
         lengths = [len(t.removesuffix(self.suffix)) if self.suffix else len(t)
                    for t in self.tokens]
         self.lengths = lengths
         self.lookahead = sufficient_lookahead(self.merges, lengths)
         splits = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         self.word_pattern = regex.compile(splits[0]["pattern"]["Regex"])
+        # this pattern's forms before the letters begin with an apostrophe
+        self.letters_are_words = splits[0]["pattern"]["Regex"].startswith(LETTERS_FIRST)
         self.byte_decoder = (spec.get("decoder") or {}).get("type") == "ByteLevel"
 
     def normalized(self, text: str) -> str:
@@ -176,52 +184,54 @@ class Vocabulary:
         per round, over arrays."""
         out = [b""] * len(words)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        inner, last = np.array(self.inner, np.int64), np.array(self.last, np.int64)
         for low, high in ((0, 4), (4, 8), (8, 12), (12, 18), (18, ARRAY_WORD_BYTES)):
             rows = np.flatnonzero((sizes > low) & (sizes <= high))
             if not len(rows) or not len(self.pair_keys):
                 continue
-            n, width = len(rows), high + 1
+            n, width = len(rows), high
             flat = np.frombuffer(b"".join(words[r].ljust(width, b"\0") for r in rows.tolist()),
                                  np.uint8).reshape(n, width)
             size = sizes[rows]
-            ids = inner[flat]
-            ids[np.arange(n), size - 1] = last[flat[np.arange(n), size - 1]]
             column = np.arange(width)
+            ids = self.inner_ids[flat]
+            ends = np.arange(n), size - 1
+            ids[ends] = self.last_ids[flat[ends]]
             ids[column[None, :] >= size[:, None]] = -1
-            pairs = np.full((n, width), NO_MERGE, np.int64)
-            pairs[:, :-1] = self._pairs(ids[:, :-1], ids[:, 1:])
-            pairs[column[None, :] >= (size - 1)[:, None]] = NO_MERGE
-            done_ids = np.full((n, width), -1, np.int64)
+            pairs = self.inner_pairs[flat[:, :-1], flat[:, 1:]]
+            two = np.flatnonzero(size > 1)
+            final = two, size[two] - 2
+            pairs[final] = self.last_pairs[flat[final], flat[two, size[two] - 1]]
+            pairs[column[None, :-1] >= (size - 1)[:, None]] = NO_MERGE
+            done_ids = np.full((n, width), -1, np.int32)
             live = np.arange(n)
-            while len(live):
+            while width > 1:
+                r = np.arange(len(live))
                 at = pairs.argmin(axis=1)
-                best = pairs[np.arange(len(live)), at]
+                best = pairs[r, at]
                 more = best != NO_MERGE
                 if not more.all():
-                    done_ids[live[~more]] = ids[~more]
+                    done_ids[live[~more], :width] = ids[~more]
                     live, ids, pairs, at, best = (x[more] for x in (live, ids, pairs, at, best))
                     if not len(live):
                         break
-                r = np.arange(len(live))
+                    r = np.arange(len(live))
+                # each row loses the symbol after the place, and the pair at it
                 ids[r, at] = best & 0xFFFFFFFF
-                shift = np.minimum(column[None, :] + (column[None, :] > at[:, None]), width - 1)
-                ids = np.take_along_axis(ids, shift, axis=1)
-                ids[:, -1] = -1
-                shift = np.minimum(column[None, :] + (column[None, :] >= at[:, None]), width - 1)
-                pairs = np.take_along_axis(pairs, shift, axis=1)
-                pairs[:, -1] = NO_MERGE
-                right = np.minimum(at + 1, width - 1)
-                left = np.maximum(at - 1, 0)
-                here, after = ids[r, at], ids[r, right]
-                pairs[r, at] = np.where(after >= 0, self._pairs(here, np.maximum(after, 0)), NO_MERGE)
-                first = at == 0
-                fresh = self._pairs(ids[r, left], here)
-                pairs[r, left] = np.where(first, pairs[r, left], fresh)
-            count = (done_ids >= 0).sum(axis=1)
-            packed = done_ids.astype("<u4")
-            for k, row in enumerate(rows.tolist()):
-                out[row] = packed[k, :count[k]].tobytes()
+                ids = ids[column[None, :width] != (at + 1)[:, None]].reshape(len(live), width - 1)
+                pairs = pairs[column[None, :width - 1] != at[:, None]].reshape(len(live), width - 2)
+                width -= 1
+                right = np.flatnonzero(at < width - 1)
+                right = right[ids[right, at[right] + 1] >= 0]
+                pairs[r[at < width - 1], at[at < width - 1]] = NO_MERGE
+                left = np.flatnonzero(at > 0)
+                here = np.concatenate([right, left]), np.concatenate([at[right], at[left] - 1])
+                pairs[here] = self._pairs(ids[here], ids[here[0], here[1] + 1])
+            done_ids[live, :width] = ids
+            kept = done_ids >= 0
+            packed = done_ids[kept].astype("<u4").tobytes()
+            ends = (4 * np.cumsum(kept.sum(axis=1))).tolist()
+            for row, start, end in zip(rows.tolist(), [0, *ends], ends):
+                out[row] = packed[start:end]
         return out
 
     def _merged_long(self, ids: list[int]) -> list[int]:
@@ -346,17 +356,19 @@ class Encoder:
 
     def _plain(self, text: str) -> bytes:
         chunks = chunks_of(text)
-        self.learn([c for c in chunks if c not in self.cache])
         get = self.cache.get
         out = list(map(get, chunks))
-        if None in out:  # long chunks, which aren't kept
-            out = [x if x is not None else self._long_chunk(c) for x, c in zip(out, chunks)]
+        if None in out:
+            self.learn([c for x, c in zip(out, chunks) if x is None])
+            # long chunks aren't kept
+            out = [x if x is not None else self._long_chunk(c) if (y := get(c)) is None else y
+                   for x, c in zip(out, chunks)]
         return b"".join(out)
 
     def learn(self, chunks: Iterable[str]) -> None:
         """Put the ids of short chunks without white space into the cache."""
         v, cache = self.vocab, self.cache
-        if len(cache) >= CACHED_CHUNKS:
+        if len(cache) >= 2 * CACHED_CHUNKS:
             cache.clear()
         cache[""] = b""
         found: dict[str, list[str]] = {}
@@ -364,10 +376,18 @@ class Encoder:
         words, pattern = self.words, v.word_pattern
         if len(words) >= CACHED_CHUNKS:
             words.clear()
+        plain = v.letters_are_words
         for chunk in chunks:
             if chunk in found or len(chunk) > CACHED_CHUNK_CHARS:
                 continue
-            found[chunk] = parts = pattern.findall(v.normalized(chunk))
+            if plain and chunk.isalpha() and chunk.isascii():
+                w = chunk.lower()
+                if w in words:
+                    cache[chunk] = words[w]
+                    continue
+                found[chunk] = parts = [w]
+            else:
+                found[chunk] = parts = pattern.findall(v.normalized(chunk))
             for w in parts:
                 if w not in words and w not in unseen:
                     unseen[w] = w.encode("utf-8", "surrogatepass")
@@ -520,6 +540,8 @@ def _learned(encoder: Encoder, texts: list[str | None]) -> list[str | None]:
     for text in texts:
         if text and len(text) <= encoder.block:
             chunks.update(chunks_of(text))
+    if len(encoder.cache) >= CACHED_CHUNKS:  # before these are learned, not while they are used
+        encoder.cache.clear()
     encoder.learn(chunks.difference(encoder.cache))
     return texts
 

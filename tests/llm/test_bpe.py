@@ -102,3 +102,25 @@ def test_dataframe_forms(spark, library):
     assert back[1] == library.decode(library.encode("Hello  World's").ids, skip_special_tokens=False)
     assert back[2] == back[3] == ""
     assert bpe.digests(docs.limit(0), PATH).count() == 0
+
+
+def test_a_full_cache_is_not_cleared_while_in_use(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_CHUNKS", 30)
+    encoder = bpe.Encoder(bpe.vocabulary(bpe.default_vocabulary()))
+    calls, long_chunk = [], encoder._long_chunk
+    monkeypatch.setattr(encoder, "_long_chunk", lambda chunk: calls.append(chunk) or long_chunk(chunk))
+    texts = [f"Word{i} other{i}. Again" for i in range(20)]
+    for text in bpe.learn_batch(encoder, texts):
+        b"".join(bpe.stream_ids(encoder, text))
+    assert not calls  # before, learned chunks were lost and made again one by one
+
+
+def test_words_merged_together_equal_words_merged_alone():
+    v = bpe.vocabulary(bpe.default_vocabulary())
+    draw = random.Random(5)
+    words = [bytes(draw.choice(b"aeinorst") for _ in range(n)) for n in range(1, 33) for _ in range(30)]
+    words += [draw.randbytes(n) for n in range(1, 33)] + [b"aaaaaaaa", b"ababababab", b"the", b"t"]
+    got = v.merged_words(words)
+    for word, ids in zip(words, got):
+        alone = v.merged([*(v.inner[b] for b in word[:-1]), v.last[word[-1]]])
+        assert np.frombuffer(ids, "<u4").tolist() == alone
