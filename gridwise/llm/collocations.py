@@ -15,7 +15,7 @@ are told to the next scan by an array of at most 2**MAX_CELL_BITS bytes: that is
 all that is broadcast or collected, whatever the corpus.  Phrases that share a
 cell or a hash can only add candidates.  A last scan names the candidates by
 their words' hashes and counts them exactly; ``spellings`` reads the texts once more
-for the frequent words' own texts and makes sure that none of them shares its hash
+for the candidates' words' own texts and makes sure that none of them shares its hash
 with another word (another seed is taken if one does).
 
 Defined results: null and empty texts have no words; a null lang is ``und``.
@@ -69,7 +69,8 @@ def segments(data: bytes, limit: int = SEGMENT_BYTES) -> Iterator[list[bytes]]:
         if end < len(data):
             ends = [at for at in (data.find(c, end) for c in (b" ", b"\t", BORDER)) if at >= 0]
             end = min(ends) if ends else len(data)
-        yield [w for w in data[start:end].replace(BORDER, b" \xff ").replace(b"\t", b" ").split(b" ") if w]
+        # blanks and tabs are the only white space left: all other became BORDER
+        yield data[start:end].replace(BORDER, b" \xff ").split()
         start = end
 
 
@@ -155,8 +156,27 @@ def _lang() -> Column:
     return F.coalesce("lang", F.lit("und"))
 
 
+def candidate_words(named: DataFrame, layout: Layout) -> bytes:
+    """The cells of the words of candidate phrases, compressed: each task's as an array,
+    so at most 4 * 2**cell_bits bytes of one task are with the driver at a time."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(0, dtype=np.uint32)
+        for batch in batches:
+            h = batch.column("h").to_numpy().view(np.uint64)
+            found = np.union1d(found, layout.cell(layout.place(h)).astype(np.uint32))
+        yield pa.RecordBatch.from_arrays([pa.array([found.astype("<u4").tobytes()], pa.binary())], ["cells"])
+
+    h = F.explode(F.array(*[f"w{i + 1}" for i in range(layout.longest)])).alias("h")
+    found = named.where("w2 <> 0").select(h).where("h <> 0").distinct().mapInArrow(packed, "cells binary")
+    cells = np.full(1 << layout.cell_bits, UNREACHED, dtype=np.uint8)
+    for row in found.toLocalIterator():
+        cells[np.frombuffer(row["cells"], dtype="<u4")] = 0
+    return zlib.compress(cells.tobytes(), 1)
+
+
 def spellings(docs: DataFrame, seed: int, cells: bytes, layout: Layout) -> DataFrame:
-    """(h, lang, word, clash) of the words that reached the threshold (and of others
+    """(h, lang, word, clash) of the words whose cells are named (and of others
     that share a cell with one); clash marks words that share a hash."""
     shared = docs.sparkSession.sparkContext.broadcast(cells)
     schema = pa.schema([("h", pa.int64()), ("lang", pa.string()), ("word", pa.string())])
@@ -390,22 +410,33 @@ def count_cycles(encoded: DataFrame, layout: Layout) -> bytes:
 
 
 def _tallied(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct rows of word hashes and the sums of their counts."""
-    order = np.lexsort(words.T[::-1])
-    words, counts = words[order], counts[order]
+    """The distinct rows of word hashes and the sums of their counts, ordered by a hash of
+    the row; rows that share one without being equal are ordered by their words."""
+    h = _row_hash(words)
+    order = np.argsort(h)
+    words, counts, h = words[order], counts[order], h[order]
     new = np.concatenate([[True], (words[1:] != words[:-1]).any(axis=1)])
+    if (new[1:] & (h[1:] == h[:-1])).any():
+        order = np.lexsort(words.T[::-1])
+        words, counts = words[order], counts[order]
+        new = np.concatenate([[True], (words[1:] != words[:-1]).any(axis=1)])
     first = np.flatnonzero(new)
     return words[first], np.add.reduceat(counts, first)
 
 
+def _row_hash(words: np.ndarray) -> np.ndarray:
+    """A hash of each row of word hashes."""
+    mix = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) % (1 << 64) for i in range(words.shape[1])],
+                   dtype=np.uint64)
+    return (words.view(np.uint64) * mix).sum(axis=1, dtype=np.uint64)
+
+
 def name_candidates(encoded: DataFrame, cells: bytes, layout: Layout) -> DataFrame:
     """(w1 .. w<longest>, a): the word hashes (0 beyond the last word) and the exact
     number of occurrences of each word and phrase that reaches the threshold."""
     shared = encoded.sparkSession.sparkContext.broadcast(cells)
     longest = layout.longest
     names = [f"w{i + 1}" for i in range(longest)]
-    mix = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) % (1 << 64) for i in range(longest)],
-                   dtype=np.uint64)
 
     def added(known: tuple, held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """What the task counted so far, with the phrases of ``held``."""
@@ -414,7 +445,7 @@ def name_candidates(encoded: DataFrame, cells: bytes, layout: Layout) -> DataFra
         return _tallied(np.concatenate([known[0], words]), np.concatenate([known[1], counts]))
 
     def packed(words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        h = (words.view(np.uint64) * mix).sum(axis=1, dtype=np.uint64)
+        h = _row_hash(words)
         bucket = (((h >> np.uint64(40)) * np.uint64(layout.buckets)) >> np.uint64(24)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         words, counts, bucket = words[order], counts[order], bucket[order]
@@ -526,7 +557,8 @@ def collocations(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LON
         layout = Layout(max(parallel, -(-total // BUCKET_WORDS)), bits, shards, threshold, longest)
         cells = count_cycles(encoded, layout)
         named = materialize(name_candidates(encoded, cells, layout), "phrase-named")
-        told = materialize(spellings(docs, seed, cells, layout), "phrase-spellings")
+        told = materialize(spellings(docs, seed, candidate_words(named, layout), layout),
+                           "phrase-spellings")
         frequent = named.where("w2 = 0").select(F.col("w1").alias("h"), F.col("a").alias("n"))
         words = told.join(frequent, "h")
         if words.where("clash").isEmpty():

@@ -143,3 +143,31 @@ def test_words_that_share_a_hash_take_another_seed(spark, monkeypatch):
     rows = corpus(6, 100)
     assert found(spark, rows, threshold=6) == brute(rows, 6)
     assert seeds == [0, 1]
+
+
+def test_only_words_of_candidates_are_spelled(spark, monkeypatch):
+    told, spellings = [], C.spellings
+    monkeypatch.setattr(C, "spellings", lambda *a: told.append(spellings(*a)) or told[-1])
+    # each other word is as frequent, but stands alone in its piece
+    rows = [("en", "green tea. " + ". ".join(f"w{i}" for i in range(300)))] * 20
+    got = found(spark, rows, threshold=20, shards=2, longest=3)
+    assert {r[2] for r in got} == {"green tea"}
+    words = {r.word for r in told[0].collect()}
+    assert {"green", "tea"} <= words and len(words) < 20  # all 302 before
+
+
+def test_words_are_cut_at_blanks_and_tabs_only():
+    text = "a\t b\x1cc\x85\u00a0d  e\nf\x0b\x0cg\r\t\th,".encode()
+    assert [w for part in C.segments(text) for w in part] == [
+        b"a", "b\x1cc\x85\u00a0d".encode(), b"e", C.BORDER, b"f", C.BORDER, C.BORDER, b"g", C.BORDER,
+        b"h", C.BORDER]
+
+
+def test_rows_that_share_a_hash_stay_apart(monkeypatch):
+    words = np.array([[1, 2], [3, 0], [1, 2], [2, 1], [3, 0], [1, 2]], dtype=np.int64)
+    counts = np.arange(1, 7, dtype=np.int64)
+    want = {(1, 2): 10, (3, 0): 7, (2, 1): 4}
+    for hash_of in (C._row_hash, lambda w: np.zeros(len(w), dtype=np.uint64)):
+        monkeypatch.setattr(C, "_row_hash", hash_of)
+        rows, sums = C._tallied(words, counts)
+        assert dict(zip(map(tuple, rows.tolist()), sums.tolist())) == want and len(rows) == 3
